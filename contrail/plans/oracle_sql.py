@@ -275,33 +275,147 @@ fct AS (
     ON f.origin_code = w.origin_code AND f.scheduled_departure_hour_utc = w.observed_hour_utc)"""
 
 
+MARTS = f"""
+m_carrier AS (
+  SELECT c.carrier_code, c.carrier_name, a.n::BIGINT AS flight_count, a.canc::BIGINT AS cancelled_count,
+    a.dive::BIGINT AS diverted_count, a.ddel::BIGINT AS departure_delayed_count,
+    a.adel::BIGINT AS arrival_delayed_count, a.dests::BIGINT AS destination_count,
+    a.tails::BIGINT AS aircraft_count,
+    {pct('a.canc', 'a.n')} AS cancellation_rate_pct, {pct('a.ddel', 'a.n')} AS departure_delay_rate_pct,
+    {pct('a.adel', 'a.n')} AS arrival_delay_rate_pct,
+    {rhu('a.avg_dep', 2)} AS avg_departure_delay_minutes, {rhu('a.avg_arr', 2)} AS avg_arrival_delay_minutes,
+    {rhu('a.med_arr', 2)} AS median_arrival_delay_minutes, {rhu('a.p90_arr', 2)} AS p90_arrival_delay_minutes,
+    {rhu('a.avg_chg', 2)} AS avg_delay_change_in_air_minutes, a.dist::BIGINT AS total_distance_miles
+  FROM (
+    SELECT carrier_key, count(*) AS n,
+      count(*) FILTER (WHERE is_cancelled) AS canc, count(*) FILTER (WHERE is_diverted) AS dive,
+      count(*) FILTER (WHERE is_departure_delayed) AS ddel, count(*) FILTER (WHERE is_arrival_delayed) AS adel,
+      count(DISTINCT destination_code) AS dests, count(DISTINCT tail_number) AS tails,
+      avg(departure_delay_minutes) AS avg_dep, avg(arrival_delay_minutes) AS avg_arr,
+      quantile_cont(arrival_delay_minutes, 0.5) AS med_arr, quantile_cont(arrival_delay_minutes, 0.9) AS p90_arr,
+      avg(delay_change_in_air_minutes) AS avg_chg, sum(distance_miles) AS dist
+    FROM fct GROUP BY carrier_key) a
+  JOIN d_carrier c ON a.carrier_key = c.carrier_key),
+m_route AS (
+  SELECT a.route_code, a.origin_code, a.destination_code, d.airport_name AS destination_name,
+    d.municipality AS destination_city, d.iso_region AS destination_region, a.dist::BIGINT AS distance_miles,
+    a.n::BIGINT AS flight_count, a.carriers::BIGINT AS carrier_count, a.canc::BIGINT AS cancelled_count,
+    a.adel::BIGINT AS arrival_delayed_count,
+    {pct('a.canc', 'a.n')} AS cancellation_rate_pct, {pct('a.adel', 'a.n')} AS arrival_delay_rate_pct,
+    {rhu('a.avg_arr', 2)} AS avg_arrival_delay_minutes, {rhu('a.avg_air', 2)} AS avg_air_time_minutes,
+    {rhu('a.dist::DOUBLE / nullif(a.avg_air, 0.0::DOUBLE) * 60.0::DOUBLE', 1)} AS avg_ground_speed_mph
+  FROM (
+    SELECT route_code, origin_code, destination_code, origin_airport_key, destination_airport_key,
+      count(*) AS n, count(DISTINCT carrier_code) AS carriers,
+      count(*) FILTER (WHERE is_cancelled) AS canc, count(*) FILTER (WHERE is_arrival_delayed) AS adel,
+      avg(arrival_delay_minutes) AS avg_arr, avg(air_time_minutes) AS avg_air, min(distance_miles) AS dist
+    FROM fct GROUP BY route_code, origin_code, destination_code, origin_airport_key, destination_airport_key) a
+  JOIN d_airport d ON a.destination_airport_key = d.airport_key),
+banded AS (
+  SELECT *,
+    CASE WHEN origin_visibility_miles IS NULL THEN 'unknown'
+         WHEN origin_visibility_miles < 1 THEN 'visibility under 1 mile'
+         WHEN origin_visibility_miles < 3 THEN 'visibility 1 to 3 miles'
+         WHEN origin_visibility_miles < 10 THEN 'visibility 3 to 10 miles'
+         ELSE 'visibility 10 miles or more' END AS vis_band,
+    CASE WHEN origin_precipitation_in IS NULL THEN 'unknown'
+         WHEN origin_precipitation_in = 0 THEN 'no precipitation'
+         WHEN origin_precipitation_in < 0.05::DOUBLE THEN 'light precipitation'
+         WHEN origin_precipitation_in < 0.2::DOUBLE THEN 'moderate precipitation'
+         ELSE 'heavy precipitation' END AS pre_band,
+    CASE WHEN origin_wind_speed_mph IS NULL THEN 'unknown'
+         WHEN origin_wind_speed_mph < 10 THEN 'wind under 10 mph'
+         WHEN origin_wind_speed_mph < 20 THEN 'wind 10 to 20 mph'
+         WHEN origin_wind_speed_mph < 30 THEN 'wind 20 to 30 mph'
+         ELSE 'wind 30 mph or more' END AS wind_band
+  FROM fct),
+stacked AS (
+  SELECT 'visibility' AS condition_type, vis_band AS condition_band, * FROM banded
+  UNION ALL SELECT 'precipitation', pre_band, * FROM banded
+  UNION ALL SELECT 'wind', wind_band, * FROM banded),
+m_weather AS (
+  SELECT condition_type, condition_band, count(*)::BIGINT AS flight_count,
+    count(*) FILTER (WHERE is_cancelled)::BIGINT AS cancelled_count,
+    count(*) FILTER (WHERE is_departure_delayed)::BIGINT AS departure_delayed_count,
+    {pct('count(*) FILTER (WHERE is_cancelled)', 'count(*)')} AS cancellation_rate_pct,
+    {pct('count(*) FILTER (WHERE is_departure_delayed)', 'count(*)')} AS departure_delay_rate_pct,
+    {rhu('avg(departure_delay_minutes)', 2)} AS avg_departure_delay_minutes,
+    {rhu('quantile_cont(departure_delay_minutes, 0.5)', 2)} AS median_departure_delay_minutes,
+    {rhu('quantile_cont(departure_delay_minutes, 0.9)', 2)} AS p90_departure_delay_minutes
+  FROM stacked WHERE condition_band <> 'unknown' GROUP BY condition_type, condition_band),
+m_daily AS (
+  SELECT d.date_day, d.calendar_month, d.month_name, d.day_name, d.is_weekend, d.is_holiday, d.holiday_name,
+    a.origin_code, a.n::BIGINT AS flight_count, a.canc::BIGINT AS cancelled_count,
+    a.ddel::BIGINT AS departure_delayed_count,
+    {pct('a.canc', 'a.n')} AS cancellation_rate_pct, {pct('a.ddel', 'a.n')} AS departure_delay_rate_pct,
+    {rhu('a.avg_dep', 2)} AS avg_departure_delay_minutes, a.max_dep::BIGINT AS max_departure_delay_minutes,
+    {rhu('a.avg_p', 4)} AS avg_precipitation_in, a.min_v AS min_visibility_miles, a.max_w AS max_wind_speed_mph
+  FROM (
+    SELECT date_key, origin_code, count(*) AS n, count(*) FILTER (WHERE is_cancelled) AS canc,
+      count(*) FILTER (WHERE is_departure_delayed) AS ddel, avg(departure_delay_minutes) AS avg_dep,
+      max(departure_delay_minutes) AS max_dep, avg(origin_precipitation_in) AS avg_p,
+      min(origin_visibility_miles) AS min_v, max(origin_wind_speed_mph) AS max_w
+    FROM fct GROUP BY date_key, origin_code) a
+  JOIN d_date d ON a.date_key = d.date_key),
+m_aircraft AS (
+  SELECT c.tail_number, c.manufacturer, c.model, c.size_class, c.seat_count, c.manufactured_year,
+    c.age_years_in_2013, c.has_reference_record, a.n::BIGINT AS flight_count,
+    a.days::BIGINT AS active_day_count, a.carriers::BIGINT AS carrier_count, a.routes::BIGINT AS route_count,
+    a.air::BIGINT AS total_air_time_minutes, a.dist::BIGINT AS total_distance_miles,
+    {rhu('a.n::DOUBLE / nullif(a.days::DOUBLE, 0.0::DOUBLE)', 2)} AS flights_per_active_day,
+    {rhu('a.avg_arr', 2)} AS avg_arrival_delay_minutes
+  FROM (
+    SELECT aircraft_key, count(*) AS n, count(DISTINCT flight_date) AS days,
+      count(DISTINCT carrier_code) AS carriers, count(DISTINCT route_code) AS routes,
+      sum(air_time_minutes) AS air, sum(distance_miles) AS dist, avg(arrival_delay_minutes) AS avg_arr
+    FROM fct WHERE tail_number IS NOT NULL GROUP BY aircraft_key) a
+  JOIN d_aircraft c ON a.aircraft_key = c.aircraft_key)"""
+
+
 def with_model(body: str) -> str:
-    return f"WITH {RAW},{STAGING},{WAREHOUSE}\n{body}"
+    return f"WITH {RAW},{STAGING},{WAREHOUSE},{MARTS}\n{body}"
+
+
+DELAY_BY_HOUR = with_model(f"""
+SELECT scheduled_departure_hour_local, count(*)::BIGINT AS flight_count,
+  count(*) FILTER (WHERE is_departure_delayed)::BIGINT AS departure_delayed_count,
+  {pct('count(*) FILTER (WHERE is_departure_delayed)', 'count(*)')} AS departure_delay_rate_pct,
+  {rhu('avg(departure_delay_minutes)', 1)} AS avg_departure_delay_minutes
+FROM fct GROUP BY scheduled_departure_hour_local ORDER BY 1""")
 
+HOLIDAY_EFFECT = with_model(f"""
+SELECT d.is_holiday, count(*)::BIGINT AS flight_count,
+  count(*) FILTER (WHERE f.is_departure_delayed)::BIGINT AS departure_delayed_count,
+  count(*) FILTER (WHERE f.is_arrival_delayed)::BIGINT AS arrival_delayed_count,
+  count(*) FILTER (WHERE f.is_cancelled)::BIGINT AS cancelled_count,
+  {pct('count(*) FILTER (WHERE f.is_departure_delayed)', 'count(*)')} AS departure_delay_rate_pct,
+  {pct('count(*) FILTER (WHERE f.is_arrival_delayed)', 'count(*)')} AS arrival_delay_rate_pct,
+  {pct('count(*) FILTER (WHERE f.is_cancelled)', 'count(*)')} AS cancellation_rate_pct
+FROM fct f JOIN d_date d ON f.date_key = d.date_key GROUP BY d.is_holiday ORDER BY 1""")
 
-MART_CARRIER = with_model(f"""
-, agg AS (
-  SELECT carrier_key, count(*) AS n,
-    count(*) FILTER (WHERE is_cancelled) AS canc, count(*) FILTER (WHERE is_diverted) AS dive,
-    count(*) FILTER (WHERE is_departure_delayed) AS ddel, count(*) FILTER (WHERE is_arrival_delayed) AS adel,
-    count(DISTINCT destination_code) AS dests, count(DISTINCT tail_number) AS tails,
-    avg(departure_delay_minutes) AS avg_dep, avg(arrival_delay_minutes) AS avg_arr,
-    quantile_cont(arrival_delay_minutes, 0.5) AS med_arr, quantile_cont(arrival_delay_minutes, 0.9) AS p90_arr,
-    avg(delay_change_in_air_minutes) AS avg_chg, sum(distance_miles) AS dist
-  FROM fct GROUP BY carrier_key)
-SELECT c.carrier_code, c.carrier_name, a.n::BIGINT AS flight_count, a.canc::BIGINT AS cancelled_count,
-  a.dive::BIGINT AS diverted_count, a.ddel::BIGINT AS departure_delayed_count,
-  a.adel::BIGINT AS arrival_delayed_count, a.dests::BIGINT AS destination_count,
-  a.tails::BIGINT AS aircraft_count,
-  {pct('a.canc', 'a.n')} AS cancellation_rate_pct, {pct('a.ddel', 'a.n')} AS departure_delay_rate_pct,
-  {pct('a.adel', 'a.n')} AS arrival_delay_rate_pct,
-  {rhu('a.avg_dep', 2)} AS avg_departure_delay_minutes, {rhu('a.avg_arr', 2)} AS avg_arrival_delay_minutes,
-  {rhu('a.med_arr', 2)} AS median_arrival_delay_minutes, {rhu('a.p90_arr', 2)} AS p90_arrival_delay_minutes,
-  {rhu('a.avg_chg', 2)} AS avg_delay_change_in_air_minutes, a.dist::BIGINT AS total_distance_miles
-FROM agg a JOIN d_carrier c ON a.carrier_key = c.carrier_key
-ORDER BY flight_count DESC, carrier_code""")
+WORST_DAYS = with_model("""
+SELECT date_day, origin_code, flight_count, cancelled_count, cancellation_rate_pct FROM m_daily
+ORDER BY cancellation_rate_pct DESC NULLS LAST, flight_count DESC, date_day, origin_code LIMIT 10""")
 
 
 ORACLES: dict[str, str] = {
-    "mart_carrier_performance": MART_CARRIER,
+    "stg_flight": with_model("SELECT * FROM s_flight"),
+    "stg_weather": with_model("SELECT * FROM s_weather"),
+    "stg_plane": with_model("SELECT * FROM s_plane"),
+    "stg_carrier": with_model("SELECT * FROM s_carrier"),
+    "stg_airport_reference": with_model("SELECT * FROM s_ref"),
+    "stg_airport": with_model("SELECT * FROM s_airport"),
+    "dim_date": with_model("SELECT * FROM d_date"),
+    "dim_airport": with_model("SELECT * FROM d_airport"),
+    "dim_carrier": with_model("SELECT * FROM d_carrier"),
+    "dim_aircraft": with_model("SELECT * FROM d_aircraft"),
+    "fct_flight": with_model("SELECT * FROM fct"),
+    "mart_carrier_performance": with_model("SELECT * FROM m_carrier ORDER BY flight_count DESC, carrier_code"),
+    "mart_route_performance": with_model("SELECT * FROM m_route ORDER BY flight_count DESC, route_code"),
+    "mart_weather_impact": with_model("SELECT * FROM m_weather ORDER BY condition_type, condition_band"),
+    "mart_daily_operations": with_model("SELECT * FROM m_daily ORDER BY date_day, origin_code"),
+    "mart_aircraft_utilization": with_model("SELECT * FROM m_aircraft ORDER BY flight_count DESC, tail_number"),
+    "delay_by_hour": DELAY_BY_HOUR,
+    "holiday_effect": HOLIDAY_EFFECT,
+    "worst_days": WORST_DAYS,
 }

@@ -40,6 +40,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.master("local[*]")
     builder = (builder
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for key, value in {**SESSION_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
