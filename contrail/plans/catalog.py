@@ -38,6 +38,49 @@ MODEL_QUERIES: dict[str, Query] = {
 MODEL_QUERIES["worst_days"] = _worst_days
 
 
+def _checks(fn_name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from contrail.plans import checks
+        return getattr(checks, fn_name)(Models.from_driver_tables(spark, sf_dir))
+    run.__name__ = fn_name
+    return run
+
+
+def _fk_destination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contrail.operators.quality import relationships
+    m = Models.from_driver_tables(spark, sf_dir)
+    return relationships(m.fct_flight, "destination_airport_key", m.dim_airport, "airport_key")
+
+
+CHECK_QUERIES: dict[str, Query] = {
+    "dq_report": _checks("quality_report"),
+    "dq_cancelled_times": _checks("cancelled_with_times"),
+    "dq_reconcile": _checks("fact_count_mismatch"),
+    "dq_coverage": _checks("weather_coverage_gap"),
+    "dq_fk_destination": _fk_destination,
+}
+
+
+def _job(fn_name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from contrail.plans import jobs
+        return getattr(jobs, fn_name)(spark, sf_dir)
+    run.__name__ = fn_name
+    return run
+
+
+JOB_QUERIES: dict[str, Query] = {
+    "incremental_fact": _job("build_fact_incrementally"),
+    "monthly_reload": _job("monthly_reload"),
+    "full_load_counts": _job("full_load_counts"),
+    "audit_recent": _job("audit_recent"),
+    "csv_roundtrip": _job("csv_roundtrip"),
+    "snap_airport_reference": _job("snapshot_history"),
+}
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = dict(MODEL_QUERIES)
+    out.update(CHECK_QUERIES)
+    out.update(JOB_QUERIES)
     return out

@@ -419,3 +419,134 @@ ORACLES: dict[str, str] = {
     "holiday_effect": HOLIDAY_EFFECT,
     "worst_days": WORST_DAYS,
 }
+
+
+# --- data-quality checks ---------------------------------------------------
+
+SQL_TABLE = {
+    "raw.flights": "raw_flights", "raw.weather": "raw_weather", "raw.planes": "raw_planes",
+    "raw.airlines": "raw_airlines", "raw.airports": "raw_airports",
+    "raw.ourairports_airports": "raw_ourairports", "raw.openflights_airlines": "raw_openflights",
+    "stg_flight": "s_flight", "stg_weather": "s_weather", "stg_plane": "s_plane", "stg_carrier": "s_carrier",
+    "stg_airport_reference": "s_ref", "stg_airport": "s_airport", "dim_date": "d_date",
+    "dim_airport": "d_airport", "dim_carrier": "d_carrier", "dim_aircraft": "d_aircraft",
+    "fct_flight": "fct", "mart_carrier_performance": "m_carrier", "mart_route_performance": "m_route",
+    "mart_weather_impact": "m_weather", "mart_daily_operations": "m_daily",
+    "mart_aircraft_utilization": "m_aircraft",
+}
+
+
+def _lit(v) -> str:
+    return "'" + str(v).replace("'", "''") + "'" if isinstance(v, str) else repr(v)
+
+
+def check_count_sql(c) -> str:
+    t = SQL_TABLE[c.table]
+    scope = f"({c.where})" if c.where else "TRUE"
+    v = c.column
+    if c.kind == "not_null":
+        return f"SELECT count(*) FROM {t} WHERE {scope} AND ({v}) IS NULL"
+    if c.kind == "accepted_values":
+        vals = ", ".join(_lit(x) for x in c.values)
+        return f"SELECT count(*) FROM {t} WHERE {scope} AND ({v}) IS NOT NULL AND ({v}) NOT IN ({vals})"
+    if c.kind == "non_negative":
+        return f"SELECT count(*) FROM {t} WHERE {scope} AND ({v}) < 0"
+    if c.kind == "within_range":
+        return f"SELECT count(*) FROM {t} WHERE {scope} AND (({v}) < {c.lo} OR ({v}) > {c.hi})"
+    if c.kind == "unique":
+        return (f"SELECT count(*) FROM (SELECT ({v}) AS x FROM {t} WHERE {scope} AND ({v}) IS NOT NULL "
+                f"GROUP BY x HAVING count(*) > 1)")
+    if c.kind == "relationships":
+        p = SQL_TABLE[c.parent]
+        return (f"SELECT count(*) FROM {t} c WHERE {scope} AND c.{v} IS NOT NULL AND NOT EXISTS "
+                f"(SELECT 1 FROM {p} WHERE {p}.{c.parent_field} = c.{v})")
+    raise ValueError(c.kind)
+
+
+def dq_report_sql() -> str:
+    from contrail.plans.checks import declared_checks
+    from contrail.sources.feed import STATIONS
+    arms = [f"SELECT {_lit(c.name)} AS check_name, {_lit(c.table)} AS table_name, "
+            f"({check_count_sql(c)})::BIGINT AS violations" for c in declared_checks(STATIONS)]
+    return with_model(", report AS (\n" + "\nUNION ALL\n".join(arms) +
+                      ")\nSELECT check_name, table_name, violations, violations = 0 AS passed FROM report")
+
+
+DQ_CANCELLED = with_model("""
+SELECT flight_key, actual_departure_minute, arrival_delay_minutes FROM fct
+WHERE is_cancelled AND (actual_departure_minute IS NOT NULL OR arrival_delay_minutes IS NOT NULL)""")
+
+DQ_RECONCILE = with_model("""
+SELECT source_rows, fact_rows FROM (
+  SELECT (SELECT count(*) FROM raw_flights)::BIGINT AS source_rows, (SELECT count(*) FROM fct)::BIGINT AS fact_rows)
+WHERE source_rows <> fact_rows""")
+
+DQ_COVERAGE = with_model(f"""
+SELECT total_flights, matched_flights, {pct('matched_flights', 'total_flights')} AS coverage_pct FROM (
+  SELECT count(*)::BIGINT AS total_flights, count(origin_temperature_f)::BIGINT AS matched_flights FROM fct)
+WHERE 100.0::DOUBLE * matched_flights::DOUBLE / total_flights::DOUBLE < 99.0::DOUBLE""")
+
+DQ_FK_DESTINATION = with_model("""
+SELECT f.* FROM fct f WHERE f.destination_airport_key IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM d_airport d WHERE d.airport_key = f.destination_airport_key)""")
+
+# --- write-path jobs ------------------------------------------------------
+
+MONTHLY_RELOAD = with_model("""
+SELECT year, month, count(*)::BIGINT AS rows FROM raw_flights
+WHERE NOT (year = 1999 AND month = 3) GROUP BY year, month""")
+
+FULL_LOAD_COUNTS = with_model("""
+SELECT 'airlines' AS table_name, count(*)::BIGINT AS rows FROM raw_airlines
+UNION ALL SELECT 'airports', count(*) FROM raw_airports
+UNION ALL SELECT 'flights', count(*) FROM raw_flights
+UNION ALL SELECT 'openflights_airlines', count(*) FROM raw_openflights
+UNION ALL SELECT 'ourairports_airports', count(*) FROM raw_ourairports
+UNION ALL SELECT 'planes', count(*) FROM raw_planes
+UNION ALL SELECT 'weather', count(*) FROM raw_weather""")
+
+AUDIT_RECENT = with_model("""
+SELECT TIMESTAMP '2024-02-01 06:11:00' AS loaded_at, 'flights' AS table_name,
+  printf('%04d-%02d', year, month) AS month, count(*)::BIGINT AS rows
+FROM raw_flights GROUP BY year, month ORDER BY month DESC LIMIT 10""")
+
+CSV_ROUNDTRIP = with_model("""
+SELECT carrier_code, carrier_name || ', "Intl"' AS carrier_name, icao_code, callsign, country,
+  is_active_in_openflights FROM s_carrier""")
+
+_SNAP_T = ("TIMESTAMP '2024-01-01 00:00:00'", "TIMESTAMP '2024-02-01 00:00:00'", "TIMESTAMP '2024-03-01 00:00:00'")
+
+
+def _snap_row(name_expr: str, country_expr: str, frm: str, to: str | None, upd: str) -> str:
+    return (f"SELECT ident, airport_type, {name_expr} AS airport_name, municipality, {country_expr} AS iso_country, "
+            f"iso_region, has_scheduled_service, md5(ident || '||' || CAST({frm} AS VARCHAR)) AS version_id, "
+            f"{frm} AS valid_from, {to or 'CAST(NULL AS TIMESTAMP)'} AS valid_to, {upd} AS updated_at FROM snap_src")
+
+
+def snapshot_sql() -> str:
+    t1, t2, t3 = _SNAP_T
+    keep = "WHERE r IN (1, 3, 4)"
+    arms = [
+        _snap_row("airport_name", "iso_country", t1, None, t1) + " WHERE r IN (1, 3, 4)",
+        _snap_row("airport_name", "iso_country", t1, t2, t2) + " WHERE r IN (0, 2)",
+        _snap_row("airport_name || ' II'", "iso_country", t2, t3, t3) + " WHERE r = 0",
+        _snap_row("airport_name", "iso_country", t3, None, t3) + " WHERE r IN (0, 2)",
+    ]
+    del keep
+    return with_model(", snap_src AS (SELECT *, CAST(substr(ident, 2) AS BIGINT) % 5 AS r FROM s_ref)\n"
+                      + "\nUNION ALL\n".join(arms))
+
+
+ORACLES.update({
+    "dq_report": dq_report_sql(),
+    "dq_cancelled_times": DQ_CANCELLED,
+    "dq_reconcile": DQ_RECONCILE,
+    "dq_coverage": DQ_COVERAGE,
+    "dq_fk_destination": DQ_FK_DESTINATION,
+    "incremental_fact": with_model("SELECT * FROM fct"),
+    "monthly_reload": MONTHLY_RELOAD,
+    "full_load_counts": FULL_LOAD_COUNTS,
+    "audit_recent": AUDIT_RECENT,
+    "csv_roundtrip": CSV_ROUNDTRIP,
+    "snap_airport_reference": snapshot_sql(),
+})
