@@ -52,8 +52,19 @@ def _fk_destination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relationships(m.fct_flight, "destination_airport_key", m.dim_airport, "airport_key")
 
 
+def _dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole check catalogue over a materialised build (each model is
+    computed once and stored, then every check reads the stored tables)."""
+    from contrail.plans import checks
+    from contrail.plans.build import Warehouse
+    from contrail.session import scratch_dir
+    from contrail.sources import feed
+    wh = Warehouse(spark, scratch_dir(spark, "wh"), feed.raw_sources(spark, sf_dir), hubs=feed.STATIONS)
+    return checks.quality_report(wh)
+
+
 CHECK_QUERIES: dict[str, Query] = {
-    "dq_report": _checks("quality_report"),
+    "dq_report": _dq_report,
     "dq_cancelled_times": _checks("cancelled_with_times"),
     "dq_reconcile": _checks("fact_count_mismatch"),
     "dq_coverage": _checks("weather_coverage_gap"),

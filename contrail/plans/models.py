@@ -38,30 +38,34 @@ class Models:
         every year the flights span."""
         return cls(feed.raw_sources(spark, sf_dir), holidays=None, hubs=feed.STATIONS)
 
+    def _model(self, name: str, build) -> DataFrame:
+        """Hook for materialisation; the lazy graph just returns the plan."""
+        return build()
+
     # staging -----------------------------------------------------------
     @cached_property
     def stg_flight(self) -> DataFrame:
-        return staging.stg_flight(self.raw["flights"])
+        return self._model("stg_flight", lambda: staging.stg_flight(self.raw["flights"]))
 
     @cached_property
     def stg_weather(self) -> DataFrame:
-        return staging.stg_weather(self.raw["weather"])
+        return self._model("stg_weather", lambda: staging.stg_weather(self.raw["weather"]))
 
     @cached_property
     def stg_plane(self) -> DataFrame:
-        return staging.stg_plane(self.raw["planes"])
+        return self._model("stg_plane", lambda: staging.stg_plane(self.raw["planes"]))
 
     @cached_property
     def stg_carrier(self) -> DataFrame:
-        return staging.stg_carrier(self.raw["airlines"], self.raw["openflights_airlines"])
+        return self._model("stg_carrier", lambda: staging.stg_carrier(self.raw["airlines"], self.raw["openflights_airlines"]))
 
     @cached_property
     def stg_airport_reference(self) -> DataFrame:
-        return staging.stg_airport_reference(self.raw["ourairports_airports"])
+        return self._model("stg_airport_reference", lambda: staging.stg_airport_reference(self.raw["ourairports_airports"]))
 
     @cached_property
     def stg_airport(self) -> DataFrame:
-        return staging.stg_airport(self.raw["airports"], self.stg_airport_reference, self.stg_flight)
+        return self._model("stg_airport", lambda: staging.stg_airport(self.raw["airports"], self.stg_airport_reference, self.stg_flight))
 
     # warehouse ---------------------------------------------------------
     @cached_property
@@ -74,53 +78,53 @@ class Models:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return warehouse.dim_date(self.stg_flight, self.holidays)
+        return self._model("dim_date", lambda: warehouse.dim_date(self.stg_flight, self.holidays))
 
     @cached_property
     def dim_airport(self) -> DataFrame:
-        return warehouse.dim_airport(self.stg_airport, self.stg_flight, self.hubs)
+        return self._model("dim_airport", lambda: warehouse.dim_airport(self.stg_airport, self.stg_flight, self.hubs))
 
     @cached_property
     def dim_carrier(self) -> DataFrame:
-        return warehouse.dim_carrier(self.stg_carrier)
+        return self._model("dim_carrier", lambda: warehouse.dim_carrier(self.stg_carrier))
 
     @cached_property
     def dim_aircraft(self) -> DataFrame:
-        return warehouse.dim_aircraft(self.stg_flight, self.stg_plane, self.as_of_year)
+        return self._model("dim_aircraft", lambda: warehouse.dim_aircraft(self.stg_flight, self.stg_plane, self.as_of_year))
 
     @cached_property
     def fct_flight(self) -> DataFrame:
-        return warehouse.fct_flight(self.stg_flight, self.stg_weather)
+        return self._model("fct_flight", lambda: warehouse.fct_flight(self.stg_flight, self.stg_weather))
 
     # marts -------------------------------------------------------------
     @cached_property
     def mart_carrier_performance(self) -> DataFrame:
-        return marts.mart_carrier_performance(self.fct_flight, self.dim_carrier)
+        return self._model("mart_carrier_performance", lambda: marts.mart_carrier_performance(self.fct_flight, self.dim_carrier))
 
     @cached_property
     def mart_route_performance(self) -> DataFrame:
-        return marts.mart_route_performance(self.fct_flight, self.dim_airport)
+        return self._model("mart_route_performance", lambda: marts.mart_route_performance(self.fct_flight, self.dim_airport))
 
     @cached_property
     def mart_weather_impact(self) -> DataFrame:
-        return marts.mart_weather_impact(self.fct_flight)
+        return self._model("mart_weather_impact", lambda: marts.mart_weather_impact(self.fct_flight))
 
     @cached_property
     def mart_daily_operations(self) -> DataFrame:
-        return marts.mart_daily_operations(self.fct_flight, self.dim_date)
+        return self._model("mart_daily_operations", lambda: marts.mart_daily_operations(self.fct_flight, self.dim_date))
 
     @cached_property
     def mart_aircraft_utilization(self) -> DataFrame:
-        return marts.mart_aircraft_utilization(self.fct_flight, self.dim_aircraft)
+        return self._model("mart_aircraft_utilization", lambda: marts.mart_aircraft_utilization(self.fct_flight, self.dim_aircraft))
 
     # analyses ----------------------------------------------------------
     @cached_property
     def delay_by_hour(self) -> DataFrame:
-        return analyses.delay_by_hour(self.fct_flight)
+        return self._model("delay_by_hour", lambda: analyses.delay_by_hour(self.fct_flight))
 
     @cached_property
     def holiday_effect(self) -> DataFrame:
-        return analyses.holiday_effect(self.fct_flight, self.dim_date)
+        return self._model("holiday_effect", lambda: analyses.holiday_effect(self.fct_flight, self.dim_date))
 
     def worst_days(self, n: int = 10) -> DataFrame:
         return analyses.worst_days(self.mart_daily_operations, n)

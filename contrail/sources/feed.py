@@ -53,35 +53,43 @@ def station_code(event_type: Column) -> Column:
 
 
 def flights(orders: DataFrame) -> DataFrame:
+    # Step 1: the per-order integers every column is derived from, computed
+    # once (kept as separate columns so the optimiser does not inline them
+    # into every use and blow up the generated code).
     k, c = F.col("o_orderkey"), F.col("o_custkey")
-    cancelled = (k % 41) == 0
-    diverted = ~cancelled & ((k % 53) == 7)
-    sched_min = F.lit(300) + (k * 7) % 1200
-    dep_delay = (k * 37) % 200 - 20
-    block = F.lit(30) + (c * 11 + k) % 300
-    sched_arr_min = (sched_min + block + 20) % 1440
-    arr_delay = dep_delay + (k * 13) % 41 - 20
-    dest_i = (k * 7 + c) % 150
-    sched_hhmm = minute_to_hhmm(sched_min)
-    d = F.col("o_orderdate")
-    out = orders.select(
+    base = orders.select(
+        k.alias("_k"), c.alias("_c"), F.col("o_orderdate").alias("_d"),
+        ((k % 41) == 0).alias("_canc"),
+        (((k % 41) != 0) & ((k % 53) == 7)).alias("_dive"),
+        (F.lit(300) + (k * 7) % 1200).alias("_smin"),
+        ((k * 37) % 200 - 20).alias("_ddel"),
+        (F.lit(30) + (c * 11 + k) % 300).alias("_blk"),
+        ((k * 7 + c) % 150).alias("_di"),
+    )
+    base = base.select("*", ((F.col("_smin") + F.col("_blk") + 20) % 1440).alias("_samin"),
+                       (F.col("_ddel") + (F.col("_k") * 13) % 41 - 20).alias("_adel"),
+                       minute_to_hhmm(F.col("_smin")).alias("_sched"))
+    k, c, d = F.col("_k"), F.col("_c"), F.col("_d")
+    cancelled, diverted = F.col("_canc"), F.col("_dive")
+    flown = ~cancelled & ~diverted
+    out = base.select(
         k.alias("rownames"),
         F.year(d).alias("year"), F.month(d).alias("month"), F.dayofmonth(d).alias("day"),
-        F.when(~cancelled, minute_to_hhmm((sched_min + dep_delay) % 1440)).alias("dep_time"),
-        sched_hhmm.alias("sched_dep_time"),
-        F.when(~cancelled, dep_delay).alias("dep_delay"),
-        F.when(~cancelled & ~diverted, minute_to_hhmm((sched_arr_min + arr_delay + 1440) % 1440)).alias("arr_time"),
-        F.when(~cancelled, minute_to_hhmm(sched_arr_min)).alias("sched_arr_time"),
-        F.when(~cancelled & ~diverted, arr_delay).alias("arr_delay"),
+        F.when(~cancelled, minute_to_hhmm((F.col("_smin") + F.col("_ddel")) % 1440)).alias("dep_time"),
+        F.col("_sched").alias("sched_dep_time"),
+        F.when(~cancelled, F.col("_ddel")).alias("dep_delay"),
+        F.when(flown, minute_to_hhmm((F.col("_samin") + F.col("_adel") + 1440) % 1440)).alias("arr_time"),
+        F.when(~cancelled, minute_to_hhmm(F.col("_samin"))).alias("sched_arr_time"),
+        F.when(flown, F.col("_adel")).alias("arr_delay"),
         _s("C", c % 16).alias("carrier"),
         (F.lit(1000) + c % 4000).alias("flight"),
         F.when((k % 97) == 0, F.lit("  ")).otherwise(_s("N", c)).alias("tailnum"),
         _pick(STATIONS, k % 5).alias("origin"),
-        _s("S", dest_i).alias("dest"),
-        F.when(~cancelled & ~diverted, block + k % 11 - 5).alias("air_time"),
-        (F.lit(100) + dest_i * 17).alias("distance"),
-        idiv(sched_hhmm, 100).alias("hour"),
-        (sched_hhmm % 100).alias("minute"),
+        _s("S", F.col("_di")).alias("dest"),
+        F.when(flown, F.col("_blk") + k % 11 - 5).alias("air_time"),
+        (F.lit(100) + F.col("_di") * 17).alias("distance"),
+        idiv(F.col("_sched"), 100).alias("hour"),
+        (F.col("_sched") % 100).alias("minute"),
         F.timestamp_add("HOUR", k % HOURS_IN_TIMELINE,
                         F.lit(TIMELINE_START).cast("timestamp_ntz")).alias("time_hour"),
     )
