@@ -111,31 +111,83 @@ def violations(c: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown check kind: {c.kind}")
 
 
+def _stack_counts(counts: DataFrame, names: Sequence[str], table: str) -> DataFrame:
+    """One-row frame of ``_c{i}`` counts -> rows ``(check_name, table_name, violations)``."""
+    stacked = F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(f"_c{i}").alias("violations"))
+                        for i, n in enumerate(names)])
+    return (counts.select(F.explode(stacked).alias("r"))
+                  .select("r.check_name", F.lit(table).alias("table_name"), "r.violations"))
+
+
+def _tagged(c: Check, i: int, value: Column) -> Column:
+    """``struct(i, value)`` for rows in the check's scope, else NULL."""
+    entry = F.struct(F.lit(i).alias("i"), value.alias("v"))
+    return F.when(F.expr(c.where), entry) if c.where else entry
+
+
+def _row_level_part(df: DataFrame, table: str, group: Sequence[Check]) -> DataFrame:
+    counts = df.agg(*[
+        F.count_if(violation_predicate(c) & (F.expr(c.where) if c.where else F.lit(True)))
+         .cast("bigint").alias(f"_c{i}") for i, c in enumerate(group)])
+    return _stack_counts(counts, [c.name for c in group], table)
+
+
+def _unique_part(df: DataFrame, table: str, group: Sequence[Check]) -> DataFrame:
+    """All uniqueness checks of a table in one shuffle: explode (check, value)
+    pairs, count per pair, keep pairs seen twice, count them per check.
+    Values are compared by their string form, which is exact per type."""
+    pairs = (df.select(F.explode(F.array(*[_tagged(c, i, _value(c).cast("string"))
+                                           for i, c in enumerate(group)])).alias("p"))
+               .where(F.col("p").isNotNull() & F.col("p.v").isNotNull())
+               .select("p.i", "p.v"))
+    dups = pairs.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    counts = dups.agg(*[F.count_if(F.col("i") == i).cast("bigint").alias(f"_c{i}") for i in range(len(group))])
+    return _stack_counts(counts, [c.name for c in group], table)
+
+
+def _relationship_part(df: DataFrame, table: str, group: Sequence[Check],
+                       tables: Mapping[str, DataFrame]) -> DataFrame:
+    """All foreign-key checks of a child table in one anti join.  The child's
+    keys are first reduced to (check, key, rows) — partial aggregation, so the
+    join shuffles distinct keys, not fact rows, however hot a key is."""
+    child = (df.select(F.explode(F.array(*[_tagged(c, i, _value(c).cast("string"))
+                                           for i, c in enumerate(group)])).alias("p"))
+               .where(F.col("p").isNotNull() & F.col("p.v").isNotNull())
+               .groupBy(F.col("p.i").alias("i"), F.col("p.v").alias("v"))
+               .agg(F.count(F.lit(1)).alias("n")))
+    parents = None
+    for i, c in enumerate(group):
+        keys = tables[c.parent].select(F.lit(i).alias("i"), F.col(c.parent_field).cast("string").alias("v"))
+        parents = keys if parents is None else parents.unionByName(keys)
+    orphans = child.join(parents.distinct(), on=["i", "v"], how="left_anti")
+    counts = orphans.agg(*[F.coalesce(F.sum(F.when(F.col("i") == i, F.col("n"))), F.lit(0))
+                            .cast("bigint").alias(f"_c{i}") for i in range(len(group))])
+    return _stack_counts(counts, [c.name for c in group], table)
+
+
 def run_checks(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per check: ``check_name, table_name, violations, passed``.
 
-    Row-level checks of a table share one aggregate pass; the report is a
-    single DataFrame, so one action evaluates the whole catalogue.
+    Per table, at most three parts: one aggregate pass for every row-level
+    check, one shuffle for every uniqueness check, one anti join for every
+    foreign key.  The report is a single DataFrame, so one action evaluates
+    the whole catalogue.
     """
-    parts: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
+    grouped: dict[tuple[str, str], list[Check]] = {}
     for c in checks:
-        if c.kind in ROW_LEVEL:
-            by_table.setdefault(c.table, []).append(c)
-    for table, group in by_table.items():
+        kind = "row" if c.kind in ROW_LEVEL else c.kind
+        grouped.setdefault((c.table, kind), []).append(c)
+    parts: list[DataFrame] = []
+    for (table, kind), group in grouped.items():
         df = tables[table]
-        counts = df.agg(*[
-            F.count_if(violation_predicate(c) & (F.expr(c.where) if c.where else F.lit(True)))
-             .cast("bigint").alias(f"_c{i}") for i, c in enumerate(group)])
-        stacked = F.array(*[F.struct(F.lit(c.name).alias("check_name"), F.col(f"_c{i}").alias("violations"))
-                            for i, c in enumerate(group)])
-        parts.append(counts.select(F.explode(stacked).alias("r"))
-                           .select("r.check_name", F.lit(table).alias("table_name"), "r.violations"))
-    for c in checks:
-        if c.kind not in ROW_LEVEL:
-            parts.append(violations(c, tables).agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
-                         .select(F.lit(c.name).alias("check_name"), F.lit(c.table).alias("table_name"),
-                                 "violations"))
+        if kind == "row":
+            parts.append(_row_level_part(df, table, group))
+        elif kind == "unique":
+            parts.append(_unique_part(df, table, group))
+        elif kind == "relationships":
+            parts.append(_relationship_part(df, table, group, tables))
+        else:
+            raise ValueError(f"unknown check kind: {kind}")
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)

@@ -1,11 +1,12 @@
 """Production build: materialise the model graph table by table.
 
-Staging models that several models read (flights, weather, airports) and
-every dimension, fact and mart are written as Parquet tables under ``root``
-and read back by their consumers — each table is computed once, and the
-lineage of every downstream job starts at a stored table (this is also what
-lets a long build survive executor loss without recomputing from the raw
-files).  Single-use staging models stay lazy views.
+Every dimension, the fact and every mart are written as Parquet tables under
+``root`` and read back by their consumers — each table is computed once, and
+the lineage of every downstream job starts at a stored table (this is also
+what lets a long build survive executor loss without recomputing from the raw
+files).  Staging models stay lazy views: they are narrow projections (plus one
+small dedup) that fuse into their consumers' scans, and writing a copy of the
+fact-sized flight staging would cost a full rewrite of the largest input.
 
 The fact is incremental: on a rebuild only flights on or after the stored
 high-water mark are recomputed and merged by key into the touched
@@ -29,7 +30,7 @@ from contrail.plans import checks, warehouse
 from contrail.plans.models import Models
 from contrail.session import scratch_dir
 
-VIEWS = ("stg_plane", "stg_carrier", "stg_airport_reference")
+VIEWS = ("stg_flight", "stg_weather", "stg_plane", "stg_carrier", "stg_airport_reference", "stg_airport")
 FACT_PARTITIONS = ("flight_year", "flight_month")
 SNAPSHOT_COLS = ("ident", "airport_type", "airport_name", "municipality", "iso_country", "iso_region",
                  "has_scheduled_service")
@@ -97,7 +98,7 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], *,
     """Build every table, take the snapshot, and run the check catalogue over
     the stored tables (one report job)."""
     wh = Warehouse(spark, root, raw, full_refresh=full_refresh, holidays=holidays, hubs=hubs)
-    for name in ("stg_flight", "stg_weather", "stg_airport", "dim_date", "dim_airport", "dim_carrier",
+    for name in ("dim_date", "dim_airport", "dim_carrier",
                  "dim_aircraft", "fct_flight", "mart_carrier_performance", "mart_route_performance",
                  "mart_weather_impact", "mart_daily_operations", "mart_aircraft_utilization"):
         getattr(wh, name)

@@ -25,6 +25,13 @@ SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Static settings (only effective when this library starts the session).
+# Capturing the Python call site of every Column operation costs several JVM
+# round trips each, and the plans here are built from thousands of them.
+STATIC_CONF = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
                 app_name: str = "contrail", extra: dict | None = None) -> SparkSession:
@@ -42,7 +49,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
-    for key, value in {**SESSION_CONF, **(extra or {})}.items():
+    for key, value in {**STATIC_CONF, **SESSION_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
