@@ -48,5 +48,5 @@ def to_utc_wall(c: Column | str, data_type=None) -> Column:
     if isinstance(data_type, TimestampNTZType):
         return c
     if data_type is None or isinstance(data_type, TimestampType):
-        return F.convert_timezone(F.lit("UTC"), c)
+        return F.convert_timezone(None, F.lit("UTC"), c)
     return c.cast("timestamp_ntz")

@@ -136,7 +136,7 @@ def load_monthly(spark: SparkSession, df: DataFrame, path: str, months: Iterable
                    spark.read.parquet(path).select("year", "month").distinct().collect()]
         wanted = sorted(set(wanted) | set(present))
     df.where(_month_filter(wanted)).write.mode("overwrite").partitionBy("year", "month").parquet(stage)
-    staged = spark.read.parquet(stage)
+    staged = spark.read.schema(df.schema).parquet(stage)  # schema given: the stage may be empty
     counts = {(r["year"], r["month"]): r["n"] for r in
               staged.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n")).collect()}
     ordered = staged.select(*df.columns)
