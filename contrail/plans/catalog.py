@@ -87,6 +87,7 @@ JOB_QUERIES: dict[str, Query] = {
     "audit_recent": _job("audit_recent"),
     "csv_roundtrip": _job("csv_roundtrip"),
     "snap_airport_reference": _job("snapshot_history"),
+    "streamed_fact": _job("streamed_fact"),
 }
 
 

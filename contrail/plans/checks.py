@@ -121,8 +121,8 @@ def check_tables(m: Models) -> dict[str, DataFrame]:
     return tables
 
 
-def quality_report(m: Models) -> DataFrame:
-    return Q.run_checks(declared_checks(m.hubs), check_tables(m))
+def quality_report(m: Models, threads: int = 8) -> DataFrame:
+    return Q.run_checks_concurrently(declared_checks(m.hubs), check_tables(m), threads)
 
 
 def cancelled_with_times(m: Models) -> DataFrame:

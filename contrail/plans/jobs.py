@@ -153,3 +153,28 @@ def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = scd2_snapshot(version, history, "ident", CHECK_COLS, at)
         history = sinks.materialize(spark, out, f"{root}/v{i}")
     return history
+
+
+def streamed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact maintained by the streaming ingester: the flight feed lands
+    as files in two arrivals (orders before and after a cut-off), each
+    arrival is picked up by one ``availableNow`` run, and every micro-batch
+    is staged, joined to the weather and merged by key.  The stored table
+    must equal a full build."""
+    from contrail.plans import staging
+    from contrail.streaming import ingest_available
+    m = Models.from_driver_tables(spark, sf_dir)
+    root = scratch_dir(spark, "stream")
+    landing, target, ckpt = f"{root}/landing", f"{root}/fct_flight", f"{root}/_checkpoint"
+    raw = m.raw["flights"]
+    cut = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
+    weather = m.stg_weather
+
+    def to_fact(batch: DataFrame) -> DataFrame:
+        return with_fact_partitions(warehouse.fct_flight(staging.stg_flight(batch), weather))
+
+    raw.where(cut <= F.lit(INCREMENTAL_CUTOFF)).write.mode("append").parquet(landing)
+    ingest_available(spark, landing, raw.schema, target, ckpt, ["flight_key"], FACT_PARTITIONS, to_fact)
+    raw.where(cut > F.lit(INCREMENTAL_CUTOFF)).write.mode("append").parquet(landing)
+    ingest_available(spark, landing, raw.schema, target, ckpt, ["flight_key"], FACT_PARTITIONS, to_fact)
+    return read_fact(spark, target)

@@ -544,6 +544,7 @@ ORACLES.update({
     "dq_coverage": DQ_COVERAGE,
     "dq_fk_destination": DQ_FK_DESTINATION,
     "incremental_fact": with_model("SELECT * FROM fct"),
+    "streamed_fact": with_model("SELECT * FROM fct"),
     "monthly_reload": MONTHLY_RELOAD,
     "full_load_counts": FULL_LOAD_COUNTS,
     "audit_recent": AUDIT_RECENT,
