@@ -16,30 +16,43 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.operators.sinks import clear_partitions, table_exists
+from contrail.operators.sinks import clear_partitions, for_partitioned_write, table_exists
 from contrail.session import scratch_dir
 
 DEFAULT_FLOOR = dt.date(1900, 1, 1)
 
 
 def high_water_mark(existing: DataFrame | None, date_col: str,
-                    floor: dt.date = DEFAULT_FLOOR) -> dt.date:
+                    floor: dt.date = DEFAULT_FLOOR, partition_cols: Sequence[str] = ()) -> dt.date:
     """Largest stored ``date_col`` (``floor`` for an empty or missing table).
-    A single-row global aggregate; only that one column is scanned."""
+
+    With ``partition_cols`` (ordered like the date, e.g. year then month) the
+    newest partition is found from the partition values alone — Parquet
+    footers, no column data — and only that partition's dates are scanned,
+    instead of the date column of the whole table."""
     if existing is None:
         return floor
-    value = existing.agg(F.max(F.col(date_col)).alias("m")).first()["m"]
+    scoped = existing
+    if partition_cols:
+        newest = existing.select(*partition_cols).distinct() \
+            .orderBy(*[F.col(c).desc() for c in partition_cols]).first()
+        if newest is None:
+            return floor
+        for c in partition_cols:
+            scoped = scoped.where(F.col(c) == F.lit(newest[c]))
+    value = scoped.agg(F.max(F.col(date_col)).alias("m")).first()["m"]
     return value if value is not None else floor
 
 
 def incremental_filter(new: DataFrame, existing: DataFrame | None, date_col: str,
-                       lookback_days: int = 0, full_refresh: bool = False) -> DataFrame:
+                       lookback_days: int = 0, full_refresh: bool = False,
+                       partition_cols: Sequence[str] = ()) -> DataFrame:
     """Rows of ``new`` on or after the stored high-water mark (minus an
     optional look-back window).  The mark is a literal by the time the plan
     runs, so the filter reaches the Parquet scan as a pushed predicate."""
     if full_refresh or existing is None:
         return new
-    mark = high_water_mark(existing, date_col) - dt.timedelta(days=lookback_days)
+    mark = high_water_mark(existing, date_col, partition_cols=partition_cols) - dt.timedelta(days=lookback_days)
     return new.where(F.col(date_col) >= F.lit(mark))
 
 
@@ -59,7 +72,7 @@ def _partition_filter(cols: Sequence[str], values: Sequence[tuple]):
 
 
 def write_incremental(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
-                      partition_cols: Sequence[str]) -> list[tuple]:
+                      partition_cols: Sequence[str], sort_by: Sequence[str] = ()) -> list[tuple]:
     """Merge ``new`` into the table at ``path`` by ``keys``; returns the
     partitions rewritten.
 
@@ -70,8 +83,8 @@ def write_incremental(spark: SparkSession, new: DataFrame, path: str, keys: Sequ
     """
     new = new.select(*new.columns)
     if not table_exists(spark, path):
-        new.write.mode("overwrite").option("partitionOverwriteMode", "static") \
-            .partitionBy(*partition_cols).parquet(path)
+        for_partitioned_write(new, partition_cols, sort_by).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "static").partitionBy(*partition_cols).parquet(path)
         return [tuple(r) for r in new.select(*partition_cols).distinct().collect()]
     existing = spark.read.parquet(path)
     as_int = [F.col(c).cast("int").alias(c) for c in partition_cols]
@@ -82,7 +95,8 @@ def write_incremental(spark: SparkSession, new: DataFrame, path: str, keys: Sequ
     kept = existing.where(_partition_filter(partition_cols, touched))
     merged = upsert_by_key(kept.select(*new.columns), new, keys)
     stage = scratch_dir(spark, "merge") + "/merged"
-    merged.write.mode("overwrite").partitionBy(*partition_cols).parquet(stage)
+    for_partitioned_write(merged, partition_cols, sort_by).write.mode("overwrite") \
+        .partitionBy(*partition_cols).parquet(stage)
     staged = spark.read.parquet(stage).select(*new.columns)
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(*partition_cols).parquet(path)

@@ -135,7 +135,8 @@ def load_monthly(spark: SparkSession, df: DataFrame, path: str, months: Iterable
         present = [(r["year"], r["month"]) for r in
                    spark.read.parquet(path).select("year", "month").distinct().collect()]
         wanted = sorted(set(wanted) | set(present))
-    df.where(_month_filter(wanted)).write.mode("overwrite").partitionBy("year", "month").parquet(stage)
+    for_partitioned_write(df.where(_month_filter(wanted)), ("year", "month")) \
+        .write.mode("overwrite").partitionBy("year", "month").parquet(stage)
     staged = spark.read.schema(df.schema).parquet(stage)  # schema given: the stage may be empty
     counts = {(r["year"], r["month"]): r["n"] for r in
               staged.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -181,10 +182,27 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def for_partitioned_write(df: DataFrame, partition_by: Sequence[str],
+                          sort_by: Sequence[str] = ()) -> DataFrame:
+    """Lay rows out for a partitioned write.
+
+    The ``rebalance`` hint shuffles by the partition columns and lets AQE
+    split oversized (hot) partitions and merge small ones, so each table
+    partition gets a few right-sized files instead of one file per task per
+    partition, and a month holding a third of the rows is still written by
+    many tasks.  Sorting inside each file by ``sort_by`` keeps Parquet
+    min/max statistics tight, so date filters skip row groups.
+    """
+    if not partition_by:
+        return df
+    out = df.hint("rebalance", *partition_by)
+    return out.sortWithinPartitions(*partition_by, *sort_by) if sort_by else out
+
+
 def materialize(spark: SparkSession, df: DataFrame, path: str,
-                partition_by: Sequence[str] = ()) -> DataFrame:
+                partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
     """Write a model as a table (full replace) and return a scan of it, which
     cuts the lineage for everything downstream."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static") \
-        .partitionBy(*partition_by).parquet(path)
+    for_partitioned_write(df, partition_by, sort_by).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
     return spark.read.parquet(path)

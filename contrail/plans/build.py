@@ -33,6 +33,7 @@ from contrail.session import scratch_dir
 
 VIEWS = ("stg_flight", "stg_weather", "stg_plane", "stg_carrier", "stg_airport_reference", "stg_airport")
 FACT_PARTITIONS = ("flight_year", "flight_month")
+FACT_SORT = ("flight_date", "origin_code")
 SNAPSHOT_COLS = ("ident", "airport_type", "airport_name", "municipality", "iso_country", "iso_region",
                  "has_scheduled_service")
 SNAPSHOT_CHECK_COLS = ("airport_type", "airport_name", "municipality", "has_scheduled_service")
@@ -66,13 +67,14 @@ class Warehouse(Models):
         exists = table_exists(self.spark, path) and not self.full_refresh
         flights = self.stg_flight
         if exists:
-            flights = incremental_filter(flights, self.spark.read.parquet(path), "flight_date")
+            flights = incremental_filter(flights, self.spark.read.parquet(path), "flight_date",
+                                         partition_cols=FACT_PARTITIONS)
         new = warehouse.fct_flight(flights, self.stg_weather).withColumns(
             {"flight_year": F.year("flight_date"), "flight_month": F.month("flight_date")})
         if exists:
-            write_incremental(self.spark, new, path, ["flight_key"], FACT_PARTITIONS)
+            write_incremental(self.spark, new, path, ["flight_key"], FACT_PARTITIONS, FACT_SORT)
         else:
-            sinks.materialize(self.spark, new, path, FACT_PARTITIONS)
+            sinks.materialize(self.spark, new, path, FACT_PARTITIONS, FACT_SORT)
         self.written.append("fct_flight")
         return self.spark.read.parquet(path).select(*warehouse.FACT_COLUMNS)
 

@@ -55,8 +55,8 @@ def build_fact_incrementally(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("departure_delay_minutes")))
     write_incremental(spark, with_fact_partitions(warehouse.fct_flight(first, m.stg_weather)), path,
                       ["flight_key"], FACT_PARTITIONS)
-    stored = read_fact(spark, path)
-    replay = incremental_filter(m.stg_flight, stored, "flight_date")
+    replay = incremental_filter(m.stg_flight, spark.read.parquet(path), "flight_date",
+                                partition_cols=FACT_PARTITIONS)
     write_incremental(spark, with_fact_partitions(warehouse.fct_flight(replay, m.stg_weather)), path,
                       ["flight_key"], FACT_PARTITIONS)
     return read_fact(spark, path)
