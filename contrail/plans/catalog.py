@@ -91,8 +91,25 @@ JOB_QUERIES: dict[str, Query] = {
 }
 
 
+def _direct(fn_name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from contrail.plans import direct
+        return getattr(direct, fn_name)(spark, sf_dir)
+    run.__name__ = fn_name
+    return run
+
+
+DIRECT_QUERIES: dict[str, Query] = {
+    "lineitem_first_shipment": _direct("first_shipment"),
+    "lineitem_bands": _direct("lineitem_bands"),
+    "lineitem_best_part": _direct("best_part_per_brand"),
+    "lineitem_key_usage": _direct("key_usage"),
+}
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = dict(MODEL_QUERIES)
+    out.update(DIRECT_QUERIES)
     out.update(CHECK_QUERIES)
     out.update(JOB_QUERIES)
     return out

@@ -551,3 +551,60 @@ ORACLES.update({
     "csv_roundtrip": CSV_ROUNDTRIP,
     "snap_airport_reference": snapshot_sql(),
 })
+
+
+# --- operators straight on the generated tables ---------------------------
+
+LINEITEM_FIRST_SHIPMENT = """
+SELECT * EXCLUDE (rk) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+    ORDER BY l_shipdate NULLS LAST, l_partkey NULLS LAST, l_suppkey NULLS LAST, l_quantity NULLS LAST,
+             l_extendedprice NULLS LAST, l_discount NULLS LAST, l_tax NULLS LAST, l_returnflag NULLS LAST,
+             l_linestatus NULLS LAST, l_shipdate NULLS LAST) AS rk
+  FROM lineitem) WHERE rk = 1"""
+
+LINEITEM_BANDS = f"""
+WITH b AS (
+  SELECT *,
+    CASE WHEN l_quantity IS NULL THEN 'unknown' WHEN l_quantity < 10 THEN 'quantity under 10'
+         WHEN l_quantity < 25 THEN 'quantity 10 to 25' WHEN l_quantity < 40 THEN 'quantity 25 to 40'
+         ELSE 'quantity 40 or more' END AS qb,
+    CASE WHEN l_discount IS NULL THEN 'unknown' WHEN l_discount = 0 THEN 'no discount'
+         WHEN l_discount < 0.05::DOUBLE THEN 'small discount' WHEN l_discount < 0.08::DOUBLE THEN 'medium discount'
+         ELSE 'large discount' END AS db,
+    CASE WHEN l_tax IS NULL THEN 'unknown' WHEN l_tax = 0 THEN 'no tax'
+         WHEN l_tax < 0.04::DOUBLE THEN 'low tax' WHEN l_tax < 0.07::DOUBLE THEN 'medium tax'
+         ELSE 'high tax' END AS tb
+  FROM lineitem),
+s AS (
+  SELECT 'quantity' AS condition_type, qb AS condition_band, * FROM b
+  UNION ALL SELECT 'discount', db, * FROM b
+  UNION ALL SELECT 'tax', tb, * FROM b)
+SELECT condition_type, condition_band, count(*)::BIGINT AS line_count,
+  count(*) FILTER (WHERE l_returnflag = 'R')::BIGINT AS returned_count,
+  {pct("count(*) FILTER (WHERE l_returnflag = 'R')", 'count(*)')} AS returned_rate_pct,
+  {rhu('avg(l_quantity)', 2)} AS avg_quantity,
+  {rhu('quantile_cont(l_quantity, 0.5)', 2)} AS median_quantity,
+  {rhu('quantile_cont(l_quantity, 0.9)', 2)} AS p90_quantity
+FROM s WHERE condition_band <> 'unknown' GROUP BY condition_type, condition_band"""
+
+LINEITEM_BEST_PART = """
+WITH best AS (
+  SELECT p_brand, p_name AS best_name, p_partkey AS best_partkey FROM (
+    SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_name NULLS LAST, p_partkey NULLS LAST) AS rk
+    FROM part WHERE p_brand IS NOT NULL) WHERE rk = 1)
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_brand AS brand, b.best_name, b.best_partkey
+FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN best b ON p.p_brand = b.p_brand"""
+
+LINEITEM_KEY_USAGE = """
+SELECT key_value, sum(n)::BIGINT AS usage_count FROM (
+  SELECT l_partkey AS key_value, count(*) AS n FROM lineitem GROUP BY l_partkey
+  UNION ALL
+  SELECT l_suppkey, count(*) FROM lineitem GROUP BY l_suppkey) GROUP BY key_value"""
+
+ORACLES.update({
+    "lineitem_first_shipment": LINEITEM_FIRST_SHIPMENT,
+    "lineitem_bands": LINEITEM_BANDS,
+    "lineitem_best_part": LINEITEM_BEST_PART,
+    "lineitem_key_usage": LINEITEM_KEY_USAGE,
+})
