@@ -56,6 +56,7 @@ def main() -> None:
     result.report.count()
     build_sec = time.perf_counter() - t0
     timings["full_build"] = round(build_sec, 3)
+    timings.update({f"build_{k}": v for k, v in result.timings.items()})
 
     qs = queries()
     for name in HEADLINE:

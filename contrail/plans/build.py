@@ -92,6 +92,7 @@ class Warehouse(Models):
 class BuildResult:
     warehouse: Warehouse
     report: DataFrame
+    timings: dict
 
 
 # Models grouped by dependency level: every model of a level only reads
@@ -113,6 +114,9 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], *,
     Independent models of a level are submitted from ``threads`` driver
     threads; Spark runs their jobs side by side on the shared executors.
     """
+    import time
+    timings: dict[str, float] = {}
+    t0 = time.perf_counter()
     wh = Warehouse(spark, root, raw, full_refresh=full_refresh, holidays=holidays, hubs=hubs)
     for name in ("stg_flight", "stg_weather", "stg_airport", "holidays"):
         getattr(wh, name)  # lazy views, resolved once before the threads start
@@ -124,9 +128,12 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], *,
                 jobs.append(pool.submit(wh.snapshot, at))
             for job in jobs:
                 job.result()
+            timings[f"level{i + 1}"] = round(time.perf_counter() - t0, 3)
+            t0 = time.perf_counter()
     report = sinks.materialize(spark, quality.run_checks_concurrently(
         checks.declared_checks(wh.hubs), checks.check_tables(wh), threads=max(1, 2 * threads)),
         wh.path("quality_report"))
+    timings["checks"] = round(time.perf_counter() - t0, 3)
     if fail_on_violation:
         quality.gate(report)
-    return BuildResult(wh, report)
+    return BuildResult(wh, report, timings)
