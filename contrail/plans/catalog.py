@@ -63,7 +63,27 @@ def _dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.quality_report(wh)
 
 
+def _dq_rows(kind: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from contrail.plans import checks
+        from contrail.sources.feed import read_driver
+        if kind == "unique":
+            return checks.duplicate_order_lines(read_driver(spark, sf_dir, "lineitem"))
+        m = Models.from_driver_tables(spark, sf_dir)
+        if kind == "not_null":
+            return checks.flights_without_departure(m)
+        if kind == "accepted_values":
+            return checks.origins_outside(m, ("CLI", "ERR", "PUR"))
+        return checks.implausible_wind(m)
+    run.__name__ = f"dq_{kind}_rows"
+    return run
+
+
 CHECK_QUERIES: dict[str, Query] = {
+    "dq_unique_rows": _dq_rows("unique"),
+    "dq_not_null_rows": _dq_rows("not_null"),
+    "dq_accepted_values_rows": _dq_rows("accepted_values"),
+    "dq_range_rows": _dq_rows("within_range"),
     "dq_report": _dq_report,
     "dq_cancelled_times": _checks("cancelled_with_times"),
     "dq_reconcile": _checks("fact_count_mismatch"),

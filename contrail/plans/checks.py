@@ -136,3 +136,23 @@ def fact_count_mismatch(m: Models) -> DataFrame:
 
 def weather_coverage_gap(m: Models) -> DataFrame:
     return Q.assert_coverage(m.fct_flight, "origin_temperature_f", MIN_WEATHER_COVERAGE_PCT)
+
+
+# Checks returning the violating rows themselves, on inputs where violations
+# occur naturally (repeated line numbers, cancelled flights, outlying readings).
+
+def duplicate_order_lines(lineitem: DataFrame) -> DataFrame:
+    return Q.unique(lineitem, "concat(cast(l_orderkey as string), '-', cast(l_linenumber as string))")
+
+
+def flights_without_departure(m: Models) -> DataFrame:
+    return Q.not_null(m.stg_flight, "actual_departure_minute").select(
+        "flight_key", "flight_date", "origin_code", "is_cancelled")
+
+
+def origins_outside(m: Models, accepted: Sequence[str]) -> DataFrame:
+    return Q.accepted_values(m.raw["flights"], "origin", accepted).select("rownames", "origin")
+
+
+def implausible_wind(m: Models) -> DataFrame:
+    return Q.within_range(m.raw["weather"], "wind_speed", 0, 200).select("rownames", "origin", "wind_speed")

@@ -608,3 +608,18 @@ ORACLES.update({
     "lineitem_best_part": LINEITEM_BEST_PART,
     "lineitem_key_usage": LINEITEM_KEY_USAGE,
 })
+
+
+DQ_ROWS = {
+    "dq_unique_rows": """
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS unique_field,
+  count(*)::BIGINT AS n_records
+FROM lineitem GROUP BY 1 HAVING count(*) > 1""",
+    "dq_not_null_rows": with_model("""
+SELECT flight_key, flight_date, origin_code, is_cancelled FROM s_flight WHERE actual_departure_minute IS NULL"""),
+    "dq_accepted_values_rows": with_model("""
+SELECT rownames, origin FROM raw_flights WHERE origin IS NOT NULL AND origin NOT IN ('CLI', 'ERR', 'PUR')"""),
+    "dq_range_rows": with_model("""
+SELECT rownames, origin, wind_speed FROM raw_weather WHERE wind_speed < 0 OR wind_speed > 200"""),
+}
+ORACLES.update(DQ_ROWS)
