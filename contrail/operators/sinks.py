@@ -153,8 +153,12 @@ def load_monthly(spark: SparkSession, df: DataFrame, path: str, months: Iterable
 
 
 def audit_rows(spark: SparkSession, table: str, counts: Mapping[str | None, int], source_file: str,
-               loaded_at: dt.datetime) -> DataFrame:
-    """Audit records for one load (one row per month, or one with NULL month)."""
+               loaded_at: dt.datetime | None = None) -> DataFrame:
+    """Audit records for one load (one row per month, or one with NULL month).
+    ``loaded_at`` defaults to the current UTC wall time; pass a fixed value to
+    make reruns comparable."""
+    if loaded_at is None:
+        loaded_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     data = [(loaded_at, table, month, int(n), source_file) for month, n in counts.items()]
     return spark.createDataFrame(data, LOAD_AUDIT)
 

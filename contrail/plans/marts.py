@@ -36,19 +36,35 @@ WIND_BANDS = (
 WIND_OTHERWISE = "wind 30 mph or more"
 
 
-def mart_carrier_performance(fct: DataFrame, carriers: DataFrame) -> DataFrame:
+def _median_p90(col: str, exact: bool) -> list:
+    """Exact interpolated median and 0.9 quantile (a value->count map per
+    group, bounded by the distinct values — small for integer minutes), or,
+    with ``exact=False``, one mergeable sketch per group for high-cardinality
+    inputs."""
+    if exact:
+        return [F.median(col), F.percentile(col, 0.9)]
+    q = F.percentile_approx(col, [0.5, 0.9], 10000)
+    return [q[0].cast("double"), q[1].cast("double")]
+
+
+def _distinct(col: str, exact: bool):
+    return F.countDistinct(col) if exact else F.approx_count_distinct(col, 0.01)
+
+
+def mart_carrier_performance(fct: DataFrame, carriers: DataFrame, exact: bool = True) -> DataFrame:
+    median_arr, p90_arr = _median_p90("arrival_delay_minutes", exact)
     agg = fct.groupBy("carrier_key").agg(
         F.count(F.lit(1)).cast("bigint").alias("flight_count"),
         count_where(F.col("is_cancelled")).alias("cancelled_count"),
         count_where(F.col("is_diverted")).alias("diverted_count"),
         count_where(F.col("is_departure_delayed")).alias("departure_delayed_count"),
         count_where(F.col("is_arrival_delayed")).alias("arrival_delayed_count"),
-        F.countDistinct("destination_code").cast("bigint").alias("destination_count"),
-        F.countDistinct("tail_number").cast("bigint").alias("aircraft_count"),
+        _distinct("destination_code", exact).cast("bigint").alias("destination_count"),
+        _distinct("tail_number", exact).cast("bigint").alias("aircraft_count"),
         F.avg("departure_delay_minutes").alias("_avg_dep"),
         F.avg("arrival_delay_minutes").alias("_avg_arr"),
-        F.median("arrival_delay_minutes").alias("_median_arr"),
-        F.percentile("arrival_delay_minutes", 0.9).alias("_p90_arr"),
+        median_arr.alias("_median_arr"),
+        p90_arr.alias("_p90_arr"),
         F.avg("delay_change_in_air_minutes").alias("_avg_change"),
         F.sum("distance_miles").cast("bigint").alias("total_distance_miles"),
     )
@@ -107,9 +123,10 @@ def weather_bands() -> dict:
     }
 
 
-def mart_weather_impact(fct: DataFrame) -> DataFrame:
+def mart_weather_impact(fct: DataFrame, exact: bool = True) -> DataFrame:
     """Flights by weather band, three banding dimensions stacked; a flight
     with an unknown reading is left out of that condition only."""
+    median_dep, p90_dep = _median_p90("departure_delay_minutes", exact)
     summary = banded_summary(
         fct.select("origin_visibility_miles", "origin_precipitation_in", "origin_wind_speed_mph",
                    "is_cancelled", "is_departure_delayed", "departure_delay_minutes"),
@@ -118,8 +135,8 @@ def mart_weather_impact(fct: DataFrame) -> DataFrame:
          count_where(F.col("is_cancelled")).alias("cancelled_count"),
          count_where(F.col("is_departure_delayed")).alias("departure_delayed_count"),
          F.avg("departure_delay_minutes").alias("_avg_dep"),
-         F.median("departure_delay_minutes").alias("_median_dep"),
-         F.percentile("departure_delay_minutes", 0.9).alias("_p90_dep")],
+         median_dep.alias("_median_dep"),
+         p90_dep.alias("_p90_dep")],
         exclude_band=UNKNOWN_BAND)
     out = summary.select(
         "condition_type", "condition_band", "flight_count", "cancelled_count",

@@ -67,3 +67,13 @@ def test_calendar_sunday_zero_and_full_names(spark):
     assert (r.day_of_week, r.day_name, r.month_name, r.is_weekend) == (0, "Sunday", "January", True)
     assert r.week_of_year == 1 and r.calendar_quarter == 1
     assert dict(df.dtypes)["day_of_week"] == "bigint"
+
+
+def test_approximate_mart_switch(models):
+    from contrail.plans.marts import mart_carrier_performance, mart_weather_impact
+    exact = {r.carrier_code: r for r in models.mart_carrier_performance.collect()}
+    approx = {r.carrier_code: r for r in mart_carrier_performance(models.fct_flight, models.dim_carrier,
+                                                                   exact=False).collect()}
+    assert approx["UA"].aircraft_count == exact["UA"].aircraft_count == 2
+    assert approx["UA"].median_arrival_delay_minutes in (11.0, 20.0)   # a sample value, not interpolated
+    assert mart_weather_impact(models.fct_flight, exact=False).count() == 5
