@@ -81,26 +81,13 @@ def monthly_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_all_and_audit(spark: SparkSession, sf_dir: str) -> tuple[dict[str, str], str]:
-    """Full loads of the five reference sources, a monthly load of the flight
-    feed, and an audit row per load (one per month for the monthly one)."""
+    """Ingest all seven raw sources of the feed (monthly ones month by month,
+    every month present) with an audit row per load."""
+    from contrail.plans.ingest import ingest
     root = scratch_dir(spark, "load")
     raw = feed.raw_sources(spark, sf_dir)
-    audit_path = f"{root}/load_audit"
-    paths: dict[str, str] = {}
-    for i, name in enumerate(("planes", "airlines", "airports", "ourairports_airports",
-                              "openflights_airlines")):
-        paths[name] = f"{root}/{name}"
-        n = sinks.load_full(spark, raw[name], paths[name])
-        sinks.append_audit(sinks.audit_rows(spark, name, {None: n}, SOURCES_BY_NAME[name].file,
-                                            AUDIT_CLOCK + dt.timedelta(minutes=i)), audit_path)
-    for i, name in enumerate(("weather", "flights")):
-        paths[name] = f"{root}/{name}"
-        df = raw[name]
-        months = [sinks.month_label(r["year"], r["month"]) for r in df.select("year", "month").distinct().collect()]
-        counts = sinks.load_monthly(spark, df, paths[name], months, stage_root=f"{root}/stage_{name}")
-        sinks.append_audit(sinks.audit_rows(spark, name, counts, SOURCES_BY_NAME[name].file,
-                                            AUDIT_CLOCK + dt.timedelta(minutes=10 + i)), audit_path)
-    return paths, audit_path
+    ingest(spark, raw, root, loaded_at=AUDIT_CLOCK)
+    return {name: f"{root}/{name}" for name in raw}, f"{root}/load_audit"
 
 
 def full_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -506,9 +506,18 @@ UNION ALL SELECT 'planes', count(*) FROM raw_planes
 UNION ALL SELECT 'weather', count(*) FROM raw_weather""")
 
 AUDIT_RECENT = with_model("""
-SELECT TIMESTAMP '2024-02-01 06:11:00' AS loaded_at, 'flights' AS table_name,
-  printf('%04d-%02d', year, month) AS month, count(*)::BIGINT AS rows
-FROM raw_flights GROUP BY year, month ORDER BY month DESC LIMIT 10""")
+, audit AS (
+  SELECT TIMESTAMP '2024-02-01 06:00:00' AS loaded_at, 'flights' AS table_name,
+    printf('%04d-%02d', year, month) AS month, count(*)::BIGINT AS rows FROM raw_flights GROUP BY year, month
+  UNION ALL
+  SELECT TIMESTAMP '2024-02-01 06:00:01', 'weather', printf('%04d-%02d', year, month), count(*)
+  FROM raw_weather GROUP BY year, month
+  UNION ALL SELECT TIMESTAMP '2024-02-01 06:00:02', 'planes', '-', count(*) FROM raw_planes
+  UNION ALL SELECT TIMESTAMP '2024-02-01 06:00:03', 'airlines', '-', count(*) FROM raw_airlines
+  UNION ALL SELECT TIMESTAMP '2024-02-01 06:00:04', 'airports', '-', count(*) FROM raw_airports
+  UNION ALL SELECT TIMESTAMP '2024-02-01 06:00:05', 'ourairports_airports', '-', count(*) FROM raw_ourairports
+  UNION ALL SELECT TIMESTAMP '2024-02-01 06:00:06', 'openflights_airlines', '-', count(*) FROM raw_openflights)
+SELECT * FROM audit ORDER BY loaded_at DESC, table_name, month DESC LIMIT 10""")
 
 CSV_ROUNDTRIP = with_model("""
 SELECT carrier_code, carrier_name || ', "Intl"' AS carrier_name, icao_code, callsign, country,

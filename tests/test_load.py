@@ -125,3 +125,15 @@ def test_infer_variant_reads_integers(spark, raw_dir):
     df = read_source(spark, SOURCES_BY_NAME["planes"], raw_dir, infer=True)
     assert df.count() == 2 and "tailnum" in df.columns
     assert os.path.exists(os.path.join(raw_dir, "planes.csv"))
+
+
+def test_concurrent_ingest_with_single_audit_write(spark, raw, root):
+    from contrail.plans.ingest import ingest
+    out = ingest(spark, raw, root, loaded_at=CLOCK)
+    assert out["flights"] == {"2013-01": 2, "2013-02": 1}
+    assert out["planes"] == {None: 2}
+    audit = spark.read.parquet(f"{root}/load_audit")
+    assert audit.count() == 2 + 2 + 5          # two monthly sources x 2 months + 5 full loads
+    again = ingest(spark, raw, root, months=["2013-02"], loaded_at=CLOCK)
+    assert again["flights"] == {"2013-02": 1}
+    assert by_month(spark, f"{root}/flights") == {(2013, 1): 2, (2013, 2): 1}
