@@ -43,11 +43,12 @@ class Warehouse(Models):
     """The model graph, materialised under ``root``."""
 
     def __init__(self, spark: SparkSession, root: str, raw: Mapping[str, DataFrame],
-                 full_refresh: bool = False, **kwargs):
+                 full_refresh: bool = False, lookback_days: int = 0, **kwargs):
         super().__init__(raw, **kwargs)
         self.spark = spark
         self.root = root.rstrip("/")
         self.full_refresh = full_refresh
+        self.lookback_days = lookback_days
         self.written: list[str] = []
 
     def path(self, name: str) -> str:
@@ -68,7 +69,7 @@ class Warehouse(Models):
         flights = self.stg_flight
         if exists:
             flights = incremental_filter(flights, self.spark.read.parquet(path), "flight_date",
-                                         partition_cols=FACT_PARTITIONS)
+                                         lookback_days=self.lookback_days, partition_cols=FACT_PARTITIONS)
         new = warehouse.fct_flight(flights, self.stg_weather).withColumns(
             {"flight_year": F.year("flight_date"), "flight_month": F.month("flight_date")})
         if exists:
@@ -106,18 +107,21 @@ LEVELS = (
 
 def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], *,
           hubs: Sequence[str] = warehouse.DEFAULT_HUBS, holidays: DataFrame | None = None,
-          as_of: dt.datetime | None = None, full_refresh: bool = False,
+          as_of: dt.datetime | None = None, full_refresh: bool = False, lookback_days: int = 0,
           fail_on_violation: bool = False, threads: int = 4) -> BuildResult:
     """Build every table, take the snapshot, and run the check catalogue over
     the stored tables (one report job).
 
     Independent models of a level are submitted from ``threads`` driver
     threads; Spark runs their jobs side by side on the shared executors.
+    ``lookback_days`` re-reads that many days before the stored high-water
+    mark (to pick up late flights); ``full_refresh`` rebuilds the fact.
     """
     import time
     timings: dict[str, float] = {}
     t0 = time.perf_counter()
-    wh = Warehouse(spark, root, raw, full_refresh=full_refresh, holidays=holidays, hubs=hubs)
+    wh = Warehouse(spark, root, raw, full_refresh=full_refresh, lookback_days=lookback_days,
+                   holidays=holidays, hubs=hubs)
     for name in ("stg_flight", "stg_weather", "stg_airport", "holidays"):
         getattr(wh, name)  # lazy views, resolved once before the threads start
     at = as_of or dt.datetime(2024, 1, 1)
