@@ -137,3 +137,19 @@ def test_concurrent_ingest_with_single_audit_write(spark, raw, root):
     again = ingest(spark, raw, root, months=["2013-02"], loaded_at=CLOCK)
     assert again["flights"] == {"2013-02": 1}
     assert by_month(spark, f"{root}/flights") == {(2013, 1): 2, (2013, 2): 1}
+
+
+def test_driver_program_ingest_build_status(spark, raw_dir, capsys):
+    from contrail.__main__ import main
+    root = tempfile.mkdtemp(prefix="contrail-cli-")
+    assert main(["status", "--warehouse", root]) == 0
+    assert "not created" in capsys.readouterr().out
+    assert main(["ingest", "--raw-dir", raw_dir, "--warehouse", root, "--months", "2013-01,2013-02"]) == 0
+    assert "raw.flights: 3 rows" in capsys.readouterr().out
+    assert main(["build", "--warehouse", root]) == 0
+    assert "1 of 103 checks failed" in capsys.readouterr().out      # the seeded MIA destination
+    assert main(["status", "--warehouse", root]) == 0
+    out = capsys.readouterr().out
+    assert "raw.planes: 2 rows" in out and "flights 2013-02 1" in out
+    with pytest.raises(ValueError):
+        main(["ingest", "--raw-dir", raw_dir, "--warehouse", root, "--months", "2013-13"])
