@@ -108,25 +108,44 @@ LEVELS = (
 def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], *,
           hubs: Sequence[str] = warehouse.DEFAULT_HUBS, holidays: DataFrame | None = None,
           as_of: dt.datetime | None = None, full_refresh: bool = False, lookback_days: int = 0,
-          fail_on_violation: bool = False, threads: int = 4) -> BuildResult:
-    """Build every table, take the snapshot, and run the check catalogue over
-    the stored tables (one report job).
-
-    Independent models of a level are submitted from ``threads`` driver
-    threads; Spark runs their jobs side by side on the shared executors.
-    ``lookback_days`` re-reads that many days before the stored high-water
-    mark (to pick up late flights); ``full_refresh`` rebuilds the fact.
+          fail_on_violation: bool = False, gate: bool = False, threads: int = 4) -> BuildResult:
+    """Build every table, take the snapshot, and run the check catalogue.
+
+    Checks run level by level, as soon as the tables they read exist: raw and
+    staging checks first, dimension and fact checks after level 1, mart checks
+    after level 2.  With ``gate=True`` a failing check stops the build before
+    the next level (downstream models are not built); otherwise each level's
+    checks overlap with building the next level.  Independent models of a
+    level are submitted from ``threads`` driver threads; Spark runs their
+    jobs side by side on the shared executors.  ``lookback_days`` re-reads
+    that many days before the stored high-water mark (late flights);
+    ``full_refresh`` rebuilds the fact.  The report is written to
+    ``{root}/quality_report``; ``fail_on_violation`` raises after the build
+    when any check failed.
     """
     import time
     timings: dict[str, float] = {}
     t0 = time.perf_counter()
     wh = Warehouse(spark, root, raw, full_refresh=full_refresh, lookback_days=lookback_days,
                    holidays=holidays, hubs=hubs)
-    for name in ("stg_flight", "stg_weather", "stg_airport", "holidays"):
+    for name in ("stg_flight", "stg_weather", "stg_plane", "stg_carrier", "stg_airport_reference",
+                 "stg_airport", "holidays"):
         getattr(wh, name)  # lazy views, resolved once before the threads start
     at = as_of or dt.datetime(2024, 1, 1)
+    catalogue = checks.declared_checks(wh.hubs)
+    by_level = [[c for c in catalogue if checks.check_level(c.table) == lvl] for lvl in range(3)]
+
+    def run_level_checks(lvl: int) -> list:
+        cat = by_level[lvl]
+        return quality.run_checks_concurrently(cat, checks.tables_for(wh, cat), threads=threads).collect()
+
+    reports: list = []
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        pending = [pool.submit(run_level_checks, 0)]
         for i, level in enumerate(LEVELS):
+            if gate:
+                reports.extend(pending.pop().result())
+                _gate(reports)
             jobs = [pool.submit(getattr, wh, name) for name in level]
             if i == len(LEVELS) - 1:
                 jobs.append(pool.submit(wh.snapshot, at))
@@ -134,10 +153,22 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], *,
                 job.result()
             timings[f"level{i + 1}"] = round(time.perf_counter() - t0, 3)
             t0 = time.perf_counter()
-    report = sinks.materialize(spark, quality.run_checks_concurrently(
-        checks.declared_checks(wh.hubs), checks.check_tables(wh), threads=max(1, 2 * threads)),
-        wh.path("quality_report"))
+            pending.append(pool.submit(run_level_checks, i + 1))
+        for fut in pending:
+            reports.extend(fut.result())
+    if gate:
+        _gate(reports)
+    rows = [(r.check_name, r.table_name, r.violations) for r in reports]
+    report = spark.createDataFrame(rows, "check_name string, table_name string, violations bigint") \
+        .withColumn("passed", F.col("violations") == 0)
+    report = sinks.materialize(spark, report.coalesce(1), wh.path("quality_report"))
     timings["checks"] = round(time.perf_counter() - t0, 3)
     if fail_on_violation:
         quality.gate(report)
     return BuildResult(wh, report, timings)
+
+
+def _gate(rows: list) -> None:
+    failed = [f"{r.check_name}={r.violations}" for r in rows if r.violations]
+    if failed:
+        raise AssertionError("data checks failed, downstream models not built: " + ", ".join(failed))

@@ -111,6 +111,20 @@ def declared_checks(hubs: Sequence[str]) -> list[Check]:
     return c
 
 
+def check_level(table: str) -> int:
+    """Build level a checked table belongs to: 0 raw inputs and staging views,
+    1 dimensions and fact, 2 marts."""
+    if table.startswith("raw.") or table.startswith("stg_"):
+        return 0
+    return 2 if table.startswith("mart_") else 1
+
+
+def tables_for(m: Models, cat: Sequence[Check]) -> dict[str, DataFrame]:
+    """Only the tables (and foreign-key parents) the given checks read."""
+    names = {c.table for c in cat} | {c.parent for c in cat if c.parent}
+    return {n: (m.raw[n[4:]] if n.startswith("raw.") else getattr(m, n)) for n in names}
+
+
 def check_tables(m: Models) -> dict[str, DataFrame]:
     tables = {f"raw.{k}": v for k, v in m.raw.items()}
     for name in ("stg_flight", "stg_weather", "stg_plane", "stg_carrier", "stg_airport_reference",

@@ -31,3 +31,14 @@ def test_second_build_is_a_no_op(spark):
         assert snapshot_of(spark, f"{root}/{t}") == before[t], t
     fact = spark.read.parquet(f"{root}/fct_flight")
     assert fact.count() == fact.select("flight_key").distinct().count()
+
+
+def test_gate_stops_downstream_models(spark, raw):
+    import pytest
+    root = tempfile.mkdtemp(prefix="contrail-gate-")
+    # the fixture's flight to MIA breaks a dimension foreign key: level 2 must not be built
+    with pytest.raises(AssertionError, match="destination_airport_key"):
+        B.build(spark, root, raw, hubs=("EWR", "JFK", "LGA"), gate=True)
+    from contrail.operators.sinks import table_exists
+    assert table_exists(spark, f"{root}/fct_flight")
+    assert not table_exists(spark, f"{root}/mart_carrier_performance")
