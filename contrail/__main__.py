@@ -21,6 +21,8 @@ from contrail.sources.readers import SOURCES, read_source
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="contrail")
+    p.add_argument("--profile", choices=("local", "cluster"), default="local",
+                   help="session sizing (see contrail.session.CLUSTER_CONF)")
     sub = p.add_subparsers(dest="command", required=True)
     ing = sub.add_parser("ingest", help="load raw files into raw tables")
     ing.add_argument("--raw-dir", required=True, help="folder holding the delimited source files")
@@ -39,7 +41,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
-    spark = get_session()
+    spark = get_session(profile=args.profile)
     root = args.warehouse.rstrip("/")
     if args.command == "ingest":
         from contrail.operators.sinks import parse_months

@@ -33,12 +33,32 @@ STATIC_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of executors, ~100 TB inputs).  The
+# shuffle partition count is an upper bound that AQE coalesces down to the
+# advisory size, so small stages stay small and the fact-sized shuffles get
+# ~256 MB partitions; input splits are sized the same way.  Estimate-based
+# broadcasts are kept small (10 MB); AQE may still broadcast a side whose
+# *measured* size is under its own threshold.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "10m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxRecordsPerFile": "20000000",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app_name: str = "contrail", extra: dict | None = None) -> SparkSession:
+                app_name: str = "contrail", extra: dict | None = None,
+                profile: str = "local") -> SparkSession:
     """Build (or reuse) a session with the library's settings.
 
     ``master`` defaults to ``local[*]`` only when no master is configured, so
-    the same call works under ``spark-submit`` on a cluster.
+    the same call works under ``spark-submit`` on a cluster;
+    ``profile="cluster"`` applies the sizing in ``CLUSTER_CONF``.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -49,7 +69,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
-    for key, value in {**STATIC_CONF, **SESSION_CONF, **(extra or {})}.items():
+    sized = CLUSTER_CONF if profile == "cluster" else {}
+    for key, value in {**STATIC_CONF, **SESSION_CONF, **sized, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
