@@ -56,6 +56,15 @@ def incremental_filter(new: DataFrame, existing: DataFrame | None, date_col: str
     return new.where(F.col(date_col) >= F.lit(mark))
 
 
+def months_from(mark: dt.date, year_col: str = "year", month_col: str = "month"):
+    """``(year, month) >= (mark.year, mark.month)`` as a predicate on month
+    partition columns: on a ``(year, month)``-partitioned raw table it prunes
+    every older partition, so an incremental run reads only the newest months
+    of the history instead of all of it."""
+    y, m = F.col(year_col), F.col(month_col)
+    return (y > F.lit(mark.year)) | ((y == F.lit(mark.year)) & (m >= F.lit(mark.month)))
+
+
 def upsert_by_key(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Stored rows whose key is not in ``new``, plus all of ``new``."""
     return existing.join(new.select(*keys), on=list(keys), how="left_anti").unionByName(new)

@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from contrail.operators import quality, sinks
 from contrail.operators.history import scd2_snapshot
-from contrail.operators.incremental import incremental_filter, write_incremental
+from contrail.operators.incremental import high_water_mark, months_from, write_incremental
 from contrail.operators.sinks import table_exists
-from contrail.plans import checks, warehouse
+from contrail.plans import checks, staging, warehouse
 from contrail.plans.models import Models
 from contrail.session import scratch_dir
 
@@ -68,8 +68,11 @@ class Warehouse(Models):
         exists = table_exists(self.spark, path) and not self.full_refresh
         flights = self.stg_flight
         if exists:
-            flights = incremental_filter(flights, self.spark.read.parquet(path), "flight_date",
-                                         lookback_days=self.lookback_days, partition_cols=FACT_PARTITIONS)
+            mark = high_water_mark(self.spark.read.parquet(path), "flight_date",
+                                   partition_cols=FACT_PARTITIONS) - dt.timedelta(days=self.lookback_days)
+            # coarse month predicate on the raw table (partition pruning), then the exact date cut
+            recent = self.raw["flights"].where(months_from(mark))
+            flights = staging.stg_flight(recent).where(F.col("flight_date") >= F.lit(mark))
         new = warehouse.fct_flight(flights, self.stg_weather).withColumns(
             {"flight_year": F.year("flight_date"), "flight_month": F.month("flight_date")})
         if exists:
