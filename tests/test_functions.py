@@ -3,7 +3,6 @@ reference engine."""
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from contrail.functions import (band, calendar_columns, clean, flag_gt, flag_lt, hhmm_to_minute,
                                 null_if_above, rate_pct, round_half_up, safe_ratio, surrogate_key)
