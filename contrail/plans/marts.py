@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.functions import band, count_where, rate_pct, round_half_up, safe_ratio
+from contrail.functions import band, count_where, exact_avg, rate_pct, round_half_up, safe_ratio
 from contrail.operators.joins import attach_dim
 from contrail.operators.reshape import banded_summary
 
@@ -157,7 +157,7 @@ def mart_daily_operations(fct: DataFrame, dates: DataFrame) -> DataFrame:
         count_where(F.col("is_departure_delayed")).alias("departure_delayed_count"),
         F.avg("departure_delay_minutes").alias("_avg_dep"),
         F.max("departure_delay_minutes").cast("bigint").alias("max_departure_delay_minutes"),
-        F.avg("origin_precipitation_in").alias("_avg_precip"),
+        exact_avg("origin_precipitation_in", 4).alias("avg_precipitation_in"),
         F.min("origin_visibility_miles").alias("min_visibility_miles"),
         F.max("origin_wind_speed_mph").alias("max_wind_speed_mph"),
     )
@@ -170,7 +170,7 @@ def mart_daily_operations(fct: DataFrame, dates: DataFrame) -> DataFrame:
         rate_pct("departure_delayed_count", "flight_count").alias("departure_delay_rate_pct"),
         round_half_up("_avg_dep", 2).alias("avg_departure_delay_minutes"),
         "max_departure_delay_minutes",
-        round_half_up("_avg_precip", 4).alias("avg_precipitation_in"),
+        "avg_precipitation_in",
         "min_visibility_miles", "max_wind_speed_mph",
     )
     return out.orderBy("date_day", "origin_code")

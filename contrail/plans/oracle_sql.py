@@ -349,11 +349,15 @@ m_daily AS (
     a.ddel::BIGINT AS departure_delayed_count,
     {pct('a.canc', 'a.n')} AS cancellation_rate_pct, {pct('a.ddel', 'a.n')} AS departure_delay_rate_pct,
     {rhu('a.avg_dep', 2)} AS avg_departure_delay_minutes, a.max_dep::BIGINT AS max_departure_delay_minutes,
-    {rhu('a.avg_p', 4)} AS avg_precipitation_in, a.min_v AS min_visibility_miles, a.max_w AS max_wind_speed_mph
+    CASE WHEN a.np > 0 THEN (CASE WHEN a.s6 < 0 THEN -1 ELSE 1 END
+         * ((2 * abs(a.s6) + a.np * 100) // (2 * a.np * 100)))::DOUBLE / 10000.0::DOUBLE END AS avg_precipitation_in,
+    a.min_v AS min_visibility_miles, a.max_w AS max_wind_speed_mph
   FROM (
     SELECT date_key, origin_code, count(*) AS n, count(*) FILTER (WHERE is_cancelled) AS canc,
       count(*) FILTER (WHERE is_departure_delayed) AS ddel, avg(departure_delay_minutes) AS avg_dep,
-      max(departure_delay_minutes) AS max_dep, avg(origin_precipitation_in) AS avg_p,
+      max(departure_delay_minutes) AS max_dep,
+      sum(CAST(round(origin_precipitation_in * 1000000.0::DOUBLE) AS BIGINT)) AS s6,
+      count(origin_precipitation_in) AS np,
       min(origin_visibility_miles) AS min_v, max(origin_wind_speed_mph) AS max_w
     FROM fct GROUP BY date_key, origin_code) a
   JOIN d_date d ON a.date_key = d.date_key),

@@ -76,3 +76,14 @@ def test_approximate_mart_switch(models):
     assert approx["UA"].aircraft_count == exact["UA"].aircraft_count == 2
     assert approx["UA"].median_arrival_delay_minutes in (11.0, 20.0)   # a sample value, not interpolated
     assert mart_weather_impact(models.fct_flight, exact=False).count() == 5
+
+
+def test_exact_avg_is_order_free_and_rounds_ties_up(spark):
+    from contrail.functions import exact_avg
+    # 0.1, 0.15000000000000002, 0.0, 0.275 -> mean 0.13125: a tie at 4 digits
+    vals = [(1, 0.1), (1, 0.15000000000000002), (1, 0.0), (1, 0.275), (2, -0.00005), (2, -0.0001), (3, None)]
+    df = spark.createDataFrame(vals, "g int, x double")
+    out = {r.g: r.a for r in df.groupBy("g").agg(exact_avg("x", 4).alias("a")).collect()}
+    assert out == {1: 0.1313, 2: -0.0001, 3: None}
+    shuffled = df.repartition(7, "x").groupBy("g").agg(exact_avg("x", 4).alias("a"))
+    assert {r.g: r.a for r in shuffled.collect()} == out
