@@ -124,6 +124,11 @@ DIRECT_QUERIES: dict[str, Query] = {
     "lineitem_bands": _direct("lineitem_bands"),
     "lineitem_best_part": _direct("best_part_per_brand"),
     "lineitem_key_usage": _direct("key_usage"),
+    "customer_clean": _direct("customer_clean"),
+    "order_clock_minutes": _direct("order_clock_minutes"),
+    "order_keys": _direct("order_keys"),
+    "clamped_readings": _direct("clamped_readings"),
+    "part_size_classes": _direct("part_size_classes"),
 }
 
 

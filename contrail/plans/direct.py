@@ -1,13 +1,16 @@
-"""The generic operators applied straight to the generated star schema (no
-flight mapping): they exercise the same code paths on the largest table,
-``lineitem``, whose (order, line) pairs repeat — a real dedup input."""
+"""The generic operators and column functions applied straight to the
+generated star schema (no flight mapping).  They exercise the same code
+paths on the largest table, ``lineitem`` (whose (order, line) pairs repeat — a
+real dedup input), and the column functions on customers, orders, events
+and parts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.functions import band, count_where, rate_pct, round_half_up
+from contrail.functions import (band, clean, count_where, flag_gt, hhmm_to_minute, minute_to_hour,
+                                null_if_above, rate_pct, round_half_up, surrogate_key)
 from contrail.operators.dedup import dedup_first
 from contrail.operators.joins import join_best
 from contrail.operators.reshape import banded_summary, usage_totals
@@ -71,3 +74,57 @@ def key_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     line item (counts per role summed), two-level aggregate in one scan."""
     li = read_driver(spark, sf_dir, "lineitem")
     return usage_totals(li, ["l_partkey", "l_suppkey"], "key_value", "usage_count")
+
+
+# Part size classes (upper bound exclusive).
+SIZE_BANDS = (("<", 10, "small"), ("<", 30, "medium"))
+
+
+def customer_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blank-to-NULL cleaning and a coalesced display name.  Every seventh
+    customer's name arrives blank (spaces only); the others padded."""
+    c = read_driver(spark, sf_dir, "customer")
+    raw_name = F.when(F.col("c_custkey") % 7 == 0, F.lit("   ")) \
+        .otherwise(F.concat(F.lit(" "), F.col("c_name"), F.lit(" ")))
+    return c.select(
+        F.col("c_custkey").alias("customer_key"),
+        clean(raw_name).alias("customer_name"),
+        clean("c_mktsegment").alias("segment"),
+        F.coalesce(clean(raw_name), clean("c_mktsegment")).alias("display_name"),
+    )
+
+
+def order_clock_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An integer clock per order (``o_orderkey % 2401``, so 2400 and
+    out-of-range minutes occur) decoded to minutes past midnight and hour."""
+    o = read_driver(spark, sf_dir, "orders")
+    hhmm = (F.col("o_orderkey") % 2401).alias("clock_hhmm")
+    minute = hhmm_to_minute(hhmm)
+    return o.select(F.col("o_orderkey"), hhmm, minute.alias("minute_of_day"),
+                    minute_to_hour(minute).alias("hour_of_day"))
+
+
+def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multi-field surrogate keys, one field NULL on every fifth order."""
+    o = read_driver(spark, sf_dir, "orders")
+    priority = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority"))
+    return o.select(
+        F.col("o_orderkey"),
+        surrogate_key("o_orderkey").alias("order_key"),
+        surrogate_key(F.col("o_orderkey"), F.col("o_orderdate").cast("date"), priority).alias("order_version_key"),
+    )
+
+
+def clamped_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event readings above 200 nulled as implausible; a three-valued flag
+    defaulted to false."""
+    e = read_driver(spark, sf_dir, "events")
+    clamped = null_if_above("value", 200)
+    return e.select("event_id", clamped.alias("reading"), flag_gt(clamped, 100).alias("is_high"))
+
+
+def part_size_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordered threshold bands with a NULL class (every eleventh size unknown)."""
+    p = read_driver(spark, sf_dir, "part")
+    size = F.when(F.col("p_partkey") % 11 != 0, F.col("p_size"))
+    return p.select("p_partkey", size.alias("size"), band(size, SIZE_BANDS, "large", "unknown").alias("size_class"))

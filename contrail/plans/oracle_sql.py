@@ -636,3 +636,31 @@ SELECT rownames, origin FROM raw_flights WHERE origin IS NOT NULL AND origin NOT
 SELECT rownames, origin, wind_speed FROM raw_weather WHERE wind_speed < 0 OR wind_speed > 200"""),
 }
 ORACLES.update(DQ_ROWS)
+
+
+FUNCTION_QUERIES = {
+    "customer_clean": """
+SELECT c_custkey AS customer_key, nullif(trim(raw_name), '') AS customer_name,
+  nullif(trim(c_mktsegment), '') AS segment,
+  coalesce(nullif(trim(raw_name), ''), nullif(trim(c_mktsegment), '')) AS display_name
+FROM (SELECT *, CASE WHEN c_custkey % 7 = 0 THEN '   ' ELSE ' ' || c_name || ' ' END AS raw_name FROM customer)""",
+    "order_clock_minutes": """
+SELECT o_orderkey, clock_hhmm, (clock_hhmm // 100 * 60 + clock_hhmm % 100) % 1440 AS minute_of_day,
+  ((clock_hhmm // 100 * 60 + clock_hhmm % 100) % 1440) // 60 AS hour_of_day
+FROM (SELECT o_orderkey, o_orderkey % 2401 AS clock_hhmm FROM orders)""",
+    "order_keys": """
+SELECT o_orderkey, md5(coalesce(CAST(o_orderkey AS VARCHAR), '^missing^')) AS order_key,
+  md5(concat_ws('||', coalesce(CAST(o_orderkey AS VARCHAR), '^missing^'),
+                      coalesce(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), '^missing^'),
+                      coalesce(CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END, '^missing^'))) AS order_version_key
+FROM orders""",
+    "clamped_readings": """
+SELECT event_id, CASE WHEN value <= 200 THEN value END AS reading,
+  coalesce(CASE WHEN value <= 200 THEN value END > 100, false) AS is_high
+FROM events""",
+    "part_size_classes": """
+SELECT p_partkey, size, CASE WHEN size IS NULL THEN 'unknown' WHEN size < 10 THEN 'small'
+  WHEN size < 30 THEN 'medium' ELSE 'large' END AS size_class
+FROM (SELECT p_partkey, CASE WHEN p_partkey % 11 <> 0 THEN p_size END AS size FROM part)""",
+}
+ORACLES.update(FUNCTION_QUERIES)
