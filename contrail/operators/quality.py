@@ -1,11 +1,10 @@
 """Data-quality checks.  Each check is a query returning the violating rows
 (pass = empty); ``run_checks`` evaluates a whole catalogue in one job.
 
-At scale the catalogue must not become one scan per check: all row-level
-checks on a table (not null, accepted values, non-negative, range, implied
-nulls) are folded into a single aggregate of ``count_if`` columns, so a table
-is scanned once for all of them; only uniqueness (a group-by) and referential
-integrity (an anti join) need their own shuffle.
+At scale the catalogue must not become one scan per check: all uniqueness
+and row-level checks of a table (not null, accepted values, non-negative,
+range) share one scan and one partially aggregated group-by, and all its
+foreign keys share one anti join — at most two jobs per table.
 """
 
 from __future__ import annotations
@@ -145,6 +144,28 @@ def _unique_part(df: DataFrame, table: str, group: Sequence[Check]) -> DataFrame
     return _stack_counts(counts, [c.name for c in group], table)
 
 
+def _unique_and_row_part(df: DataFrame, table: str, uniq: Sequence[Check], rows: Sequence[Check]) -> DataFrame:
+    """Uniqueness and row-level checks of one table in a single shuffle.
+
+    Uniqueness checks emit ``(check, value)`` pairs; row-level checks emit
+    ``(check, NULL)`` only on violating rows.  One partially aggregated
+    group-by on (check, value) then gives both: the number of values seen
+    twice, and the number of violating rows."""
+    k = len(uniq)
+    entries = [_tagged(c, i, _value(c).cast("string")) for i, c in enumerate(uniq)]
+    for j, c in enumerate(rows):
+        hit = violation_predicate(c) & (F.expr(c.where) if c.where else F.lit(True))
+        entries.append(F.when(hit, F.struct(F.lit(k + j).alias("i"), F.lit(None).cast("string").alias("v"))))
+    pairs = (df.select(F.explode(F.array(*entries)).alias("p"))
+               .where(F.col("p").isNotNull() & (F.col("p.v").isNotNull() | (F.col("p.i") >= k)))
+               .select("p.i", "p.v"))
+    grouped = pairs.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+    aggs = [F.count_if((F.col("i") == i) & (F.col("n") > 1)).cast("bigint").alias(f"_c{i}") for i in range(k)]
+    aggs += [F.coalesce(F.sum(F.when(F.col("i") == k + j, F.col("n"))), F.lit(0)).cast("bigint").alias(f"_c{k + j}")
+             for j in range(len(rows))]
+    return _stack_counts(grouped.agg(*aggs), [c.name for c in [*uniq, *rows]], table)
+
+
 def _relationship_part(df: DataFrame, table: str, group: Sequence[Check],
                        tables: Mapping[str, DataFrame]) -> DataFrame:
     """All foreign-key checks of a child table in one anti join.  The child's
@@ -166,21 +187,24 @@ def _relationship_part(df: DataFrame, table: str, group: Sequence[Check],
 
 
 def _parts(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> list[DataFrame]:
-    grouped: dict[tuple[str, str], list[Check]] = {}
+    """At most two jobs per table: uniqueness and row-level checks together
+    (or row-level alone), and all foreign keys together."""
+    grouped: dict[str, dict[str, list[Check]]] = {}
     for c in checks:
         kind = "row" if c.kind in ROW_LEVEL else c.kind
-        grouped.setdefault((c.table, kind), []).append(c)
+        if kind not in ("row", "unique", "relationships"):
+            raise ValueError(f"unknown check kind: {c.kind}")
+        grouped.setdefault(c.table, {}).setdefault(kind, []).append(c)
     parts: list[DataFrame] = []
-    for (table, kind), group in grouped.items():
+    for table, kinds in grouped.items():
         df = tables[table]
-        if kind == "row":
-            parts.append(_row_level_part(df, table, group))
-        elif kind == "unique":
-            parts.append(_unique_part(df, table, group))
-        elif kind == "relationships":
-            parts.append(_relationship_part(df, table, group, tables))
-        else:
-            raise ValueError(f"unknown check kind: {kind}")
+        uniq, rows, rels = kinds.get("unique", []), kinds.get("row", []), kinds.get("relationships", [])
+        if uniq:
+            parts.append(_unique_and_row_part(df, table, uniq, rows))
+        elif rows:
+            parts.append(_row_level_part(df, table, rows))
+        if rels:
+            parts.append(_relationship_part(df, table, rels, tables))
     return parts
 
 
@@ -202,10 +226,9 @@ def run_checks_concurrently(checks: Sequence[Check], tables: Mapping[str, DataFr
 def run_checks(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per check: ``check_name, table_name, violations, passed``.
 
-    Per table, at most three parts: one aggregate pass for every row-level
-    check, one shuffle for every uniqueness check, one anti join for every
-    foreign key.  The report is a single DataFrame, so one action evaluates
-    the whole catalogue.
+    Per table, at most two parts: one group-by for its uniqueness and
+    row-level checks, one anti join for its foreign keys.  The report is a
+    single DataFrame, so one action evaluates the whole catalogue.
     """
     parts = _parts(checks, tables)
     report = parts[0]
