@@ -12,12 +12,9 @@ from collections.abc import Mapping, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from contrail.operators.reshape import date_spine
 from contrail.plans import analyses, marts, staging, warehouse
 from contrail.sources import feed
-from contrail.sources.readers import holidays_for_years
 
 
 _DRIVER_GRAPHS: dict = {}
@@ -83,12 +80,10 @@ class Models:
 
     # warehouse ---------------------------------------------------------
     @cached_property
-    def holidays(self) -> DataFrame:
-        if self._holidays is not None:
-            return self._holidays
-        years = (date_spine(self.stg_flight, "flight_date")
-                 .select(F.year("date_day").alias("year")).distinct())
-        return holidays_for_years(years)
+    def holidays(self) -> DataFrame | None:
+        """The holiday seed, or None: then ``dim_date`` generates the
+        fixed-date holidays of the years it spans."""
+        return self._holidays
 
     @cached_property
     def dim_date(self) -> DataFrame:

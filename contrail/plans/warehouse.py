@@ -12,6 +12,7 @@ from contrail.functions import (band, calendar_columns, flag_gt, flag_lt, minute
                                 surrogate_key)
 from contrail.operators.joins import lookup_hourly
 from contrail.operators.reshape import date_spine, usage_totals
+from contrail.sources.readers import holidays_for_years
 
 # The three origin airports of the source data and its year.
 DEFAULT_HUBS = ("EWR", "JFK", "LGA")
@@ -27,9 +28,15 @@ DELAY_THRESHOLD_MIN = 15
 LOW_VISIBILITY_MILES = 3
 
 
-def dim_date(flights: DataFrame, holidays: DataFrame) -> DataFrame:
-    """One row per calendar day between the first and last flight date."""
+def dim_date(flights: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
+    """One row per calendar day between the first and last flight date.
+
+    Without a holiday table, the fixed-date holidays of every year on the
+    spine are generated from the spine itself (one aggregate of the flight
+    dates feeds both)."""
     spine = date_spine(flights, "flight_date")
+    if holidays is None:
+        holidays = holidays_for_years(spine.select(F.year("date_day").alias("year")).distinct())
     hol = holidays.select(F.col("holiday_date").cast("date").alias("_hol_date"), "holiday_name")
     joined = spine.join(hol, on=F.col("date_day") == F.col("_hol_date"), how="left")
     return joined.select(
