@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
-from collections.abc import Iterable, Iterator
-
-import pyarrow as pa
+import zipfile
+from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,23 +17,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` stored in the shared checkpoint folder, its lineage cut.
-
-    The folder is ``spark.checkpoint.dir`` of the session.  Only a session with
-    a local master may go without one (tests); elsewhere that is an error.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, which all executors share: ``spark.checkpoint.dir``
+    of the session.  Only a session with a local master may go without one
+    (tests); elsewhere that is an error."""
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        shared = sc.getConf().get("spark.checkpoint.dir", None) or df.sparkSession.conf.get("spark.checkpoint.dir", "")
+        shared = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
         if not shared:
             if not sc.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             shared = tempfile.mkdtemp(prefix="contrail-ckpt-")
         sc.setCheckpointDir(shared)
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` stored in the shared checkpoint folder, its lineage cut."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+_shipped: set[str] = set()
+
+
+def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow``, with this package on the executors' Python path (once
+    for each application), so that they need no installation of it."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = os.path.join(tempfile.mkdtemp(), "contrail.zip")
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, names in os.walk(package):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.relpath(full, os.path.dirname(package)))
+        sc.addPyFile(archive)
+        _shipped.add(sc.applicationId)
+    return df.mapInArrow(function, schema)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
@@ -49,8 +74,3 @@ def fresh_name(df: DataFrame, wish: str) -> str:
     while wish.lower() in taken:
         wish += "_"
     return wish
-
-
-def rows_out(batches: Iterable[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    for columns in batches:
-        yield pa.RecordBatch.from_pydict(columns, schema=schema)
