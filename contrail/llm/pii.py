@@ -29,7 +29,7 @@ end exclusive.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -247,13 +247,16 @@ def find_spans(docs: DataFrame) -> DataFrame:
     return stored.select("doc_id", F.coalesce(plain.cast("array<struct<start:int,kind:int,end:int,base:boolean>>"), none).alias("found"))
 
 
+def _base_of(kind: int) -> Callable[[Column], Column]:
+    return lambda s: s["base"] & (s["kind"] == kind)
+
+
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, base counts, the digest of the base spans and all spans."""
     names = F.array(*map(F.lit, KINDS))
     told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
     base = F.filter("found", lambda s: s["base"])
-    counts = [F.size(F.filter("found", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{name}")
-              for k, name in enumerate(BASE_KINDS)]
+    counts = [F.size(F.filter("found", _base_of(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(BASE_KINDS)]
     return find_spans(docs).select("doc_id", *counts, F.sha2(told(base).cast("binary"), 256).alias("base_sha256"),
                                    told(F.col("found")).alias("spans"))
