@@ -16,13 +16,11 @@ import datetime as dt
 import sys
 
 from contrail.session import get_session
-from contrail.sources.readers import SOURCES, read_source
+from contrail.sources.readers import SOURCES, read_seed, read_source
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="contrail")
-    p.add_argument("--profile", choices=("local", "cluster"), default="local",
-                   help="session sizing (see contrail.session.CLUSTER_CONF)")
     sub = p.add_subparsers(dest="command", required=True)
     ing = sub.add_parser("ingest", help="load raw files into raw tables")
     ing.add_argument("--raw-dir", required=True, help="folder holding the delimited source files")
@@ -33,7 +31,9 @@ def _parser() -> argparse.ArgumentParser:
     bld.add_argument("--full-refresh", action="store_true")
     bld.add_argument("--lookback-days", type=int, default=0)
     bld.add_argument("--hubs", default="EWR,JFK,LGA", help="accepted origin codes")
+    bld.add_argument("--no-gate", action="store_true", help="build on when checks fail")
     bld.add_argument("--fail-on-violation", action="store_true")
+    bld.add_argument("--holidays", help="holiday seed file (default: the federal holidays by rule)")
     st = sub.add_parser("status", help="raw table counts and the latest loads")
     st.add_argument("--warehouse", required=True)
     return p
@@ -41,7 +41,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
-    spark = get_session(profile=args.profile)
+    spark = get_session()
     root = args.warehouse.rstrip("/")
     if args.command == "ingest":
         from contrail.operators.sinks import parse_months
@@ -52,28 +52,28 @@ def main(argv: list[str] | None = None) -> int:
         raw = {s.name: read_source(spark, s, args.raw_dir) for s in SOURCES}
         counts = ingest(spark, raw, f"{root}/raw", months=months)
         for name, per in counts.items():
-            print(f"raw.{name}: {sum(per.values())} rows")
+            print(f"loaded {sum(per.values())} rows into {name}")
         return 0
     if args.command == "build":
         from contrail.plans.build import build
-        raw = {s.name: spark.read.parquet(f"{root}/raw/{s.name}") for s in SOURCES}
+        from contrail.operators.sinks import read_raw
+        raw = {s.name: read_raw(spark, f"{root}/raw/{s.name}") for s in SOURCES}
         result = build(spark, f"{root}/warehouse", raw, hubs=tuple(args.hubs.split(",")),
                        as_of=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
                        full_refresh=args.full_refresh, lookback_days=args.lookback_days,
-                       fail_on_violation=args.fail_on_violation)
+                       fail_on_violation=args.fail_on_violation, gate=not args.no_gate,
+                       holidays=read_seed(spark, path=args.holidays) if args.holidays else None)
         failed = result.report.where("not passed").count()
-        print(f"built {len(result.warehouse.written)} tables; {failed} of 103 checks failed")
+        print(f"built {len(result.warehouse.written)} tables; {failed} of {result.report.count()} checks failed")
         return 1 if failed and args.fail_on_violation else 0
     if args.command == "status":
-        from contrail.operators.sinks import recent_loads, table_counts, table_exists
+        from contrail.operators.sinks import read_raw, recent_loads, table_counts, table_exists
         present = {s.name: f"{root}/raw/{s.name}" for s in SOURCES if table_exists(spark, f"{root}/raw/{s.name}")}
         if not present:
-            print("warehouse not created yet")
+            print(f"no raw tables under {root}")
             return 0
-        for r in table_counts({n: spark.read.parquet(p) for n, p in sorted(present.items())}).collect():
-            print(f"raw.{r.table_name}: {r.rows} rows")
-        for r in recent_loads(spark.read.parquet(f"{root}/raw/load_audit"), 10).collect():
-            print(f"{r.loaded_at} {r.table_name} {r.month} {r.rows}")
+        table_counts({n: read_raw(spark, p) for n, p in sorted(present.items())}).orderBy("table_name").show(truncate=False)
+        recent_loads(spark.read.parquet(f"{root}/raw/load_audit"), 10).show(truncate=False)
         return 0
     return 2
 

@@ -73,21 +73,12 @@ def count_where(predicate: Column) -> Column:
     return F.count_if(predicate).cast("bigint")
 
 
-def exact_avg(c: Column | str, digits: int, scale: int = 6) -> Column:
-    """Aggregate: average of a double column rounded half-up to ``digits``,
-    computed exactly.
+def exact_avg(c: Column | str, digits: int) -> Column:
+    """Aggregate: average of a double column rounded half-up to ``digits``.
 
     A sum of doubles depends on the order rows are added in, so a mean that
     sits on a rounding tie (e.g. 0.13125 at 4 digits) can round either way
-    from run to run and engine to engine.  Here each value is first fixed to
-    ``scale`` decimals (an integer number of 10^-scale units), the units are
-    summed as an exact integer, and the quotient is rounded with integer
-    arithmetic — the result no longer depends on partitioning or order.
-    NULL when there are no non-NULL values.
+    from run to run.  The values are therefore summed as decimals, wide enough for
+    all digits of a double of everyday size.  NULL when there are no values.
     """
-    units = F.round(_col(c).cast("double") * F.lit(float(10 ** scale))).cast("bigint")
-    total, n = F.sum(units), F.count(units)
-    d = n * F.lit(10 ** (scale - digits))
-    magnitude = F.call_function("div", F.lit(2) * F.abs(total) + d, F.lit(2) * d)
-    q = F.when(total < 0, -magnitude).otherwise(magnitude)
-    return F.when(n > 0, q.cast("double") / F.lit(float(10 ** digits)))
+    return F.round(F.avg(_col(c).cast("decimal(38,20)")), digits).cast("double")

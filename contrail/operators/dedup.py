@@ -17,6 +17,19 @@ def total_order(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     return [*order, *tail]
 
 
+def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """First row per ``keys``, all of ``order`` ascending with NULLs last, then
+    every other column likewise.
+
+    A grouped minimum over (is NULL, value) pairs: it combines on the map side,
+    and the optimiser knows that the keys are unique afterwards, so that a left join
+    whose columns nobody reads is dropped.
+    """
+    rest = [c for c in df.columns if c not in set(keys) | set(order)]
+    ranked = F.min(F.struct(*[F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v")).alias(c) for c in [*order, *rest]])).alias("_first")
+    return df.groupBy(*keys).agg(ranked).select(*[F.col(c) if c in keys else F.col(f"_first.{c}.v").alias(c) for c in df.columns])
+
+
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
                 rank_col: str = "_rank") -> DataFrame:
     """First row per ``keys`` by ``order`` (then all columns as tie-break).

@@ -11,7 +11,10 @@ History rows carry the source columns plus ``version_id``, ``valid_from``,
   ``invalidate_hard_deletes``;
 * a key that comes back after a delete opens a new version;
 * unchanged keys and closed history are kept as they are, so re-running the
-  same snapshot is a no-op.
+  same snapshot is a no-op;
+* a row without a key fails the job: it could never be matched again.
+
+A row without a key is refused: it could never be matched with its open version.
 
 One full outer join of the open versions against the input decides every
 key; each joined row then emits one or two output rows through a generator,
@@ -39,6 +42,8 @@ def scd2_snapshot(current: DataFrame, history: DataFrame | None, key: str,
                   check_cols: Sequence[str], as_of: dt.datetime,
                   invalidate_hard_deletes: bool = True) -> DataFrame:
     cols = current.columns
+    refused = F.raise_error(F.lit(f"snapshot row without {key}"))
+    current = current.withColumn(key, F.coalesce(F.col(key), refused.cast(current.schema[key].dataType)))
     ts = F.lit(as_of).cast("timestamp_ntz")
     if history is None:
         return current.select(*cols, _version_id(key, ts).alias("version_id"), ts.alias("valid_from"),

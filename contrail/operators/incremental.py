@@ -4,8 +4,9 @@ Strategy "delete + insert by key": rows of the new batch replace the stored
 rows with the same key; everything else stays.  Only the partitions the batch
 touches are rewritten — the partitions of the new rows *and* the partitions
 where the replaced keys used to live (a key may move, e.g. a corrected date),
-and partitions left empty by a move are removed, so a key is never stored
-twice.
+and partitions left empty by a move are removed.  A batch with several rows of
+one key is resolved by an explicit order (``latest_by``) or refused, so a key is
+never stored twice.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.operators.sinks import clear_partitions, for_partitioned_write, table_exists
-from contrail.session import scratch_dir
+from contrail.session import remove_path, scratch_dir
 
 DEFAULT_FLOOR = dt.date(1900, 1, 1)
 
@@ -67,7 +68,7 @@ def months_from(mark: dt.date, year_col: str = "year", month_col: str = "month")
 
 def upsert_by_key(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Stored rows whose key is not in ``new``, plus all of ``new``."""
-    return existing.join(new.select(*keys), on=list(keys), how="left_anti").unionByName(new)
+    return existing.join(new.select(*keys), on=list(keys), how="left_anti").select(*new.columns).unionByName(new)
 
 
 def _partition_filter(cols: Sequence[str], values: Sequence[tuple]):
@@ -75,41 +76,60 @@ def _partition_filter(cols: Sequence[str], values: Sequence[tuple]):
     for vals in values:
         one = F.lit(True)
         for c, v in zip(cols, vals):
-            one = one & (F.col(c) == F.lit(v))
+            one = one & F.col(c).eqNullSafe(F.lit(v))
         cond = cond | one
     return cond
 
 
 def write_incremental(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
-                      partition_cols: Sequence[str], sort_by: Sequence[str] = ()) -> list[tuple]:
+                      partition_cols: Sequence[str], sort_by: Sequence[str] = (),
+                      latest_by: Sequence[str] = (), fixed_partition: bool = False) -> list[tuple]:
     """Merge ``new`` into the table at ``path`` by ``keys``; returns the
     partitions rewritten.
 
-    The merged partitions are first written to a staging folder under the
-    shared checkpoint root (the target cannot be read while it is being
-    overwritten, and the staged copy survives executor loss), then swapped in
-    with one dynamic-partition-overwrite job.
+    ``new`` is computed once, into a scratch folder below the shared checkpoint
+    root, and everything else starts from that copy.  Several rows of one key in
+    the batch: the one that comes last by ``latest_by`` is taken; without an order
+    the batch is refused.  ``fixed_partition`` says that a key never moves to
+    another partition, which saves looking for its old place in the history; else
+    the stored keys are semi-joined with the (small, stored) batch.
+
+    The merged partitions are staged as well (the target cannot be read while it
+    is being overwritten) and swapped in with one dynamic-partition-overwrite job;
+    the scratch folder is removed after the commit.  Rows whose partition is NULL
+    live in the NULL partition.
     """
-    new = new.select(*new.columns)
-    if not table_exists(spark, path):
-        for_partitioned_write(new, partition_cols, sort_by).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "static").partitionBy(*partition_cols).parquet(path)
-        return [tuple(r) for r in new.select(*partition_cols).distinct().collect()]
-    existing = spark.read.parquet(path)
+    scratch = scratch_dir(spark, "merge")
+    schema = new.schema
+    if latest_by:
+        last = F.max(F.struct(*latest_by, F.struct(*new.columns).alias("row")))
+        new = new.groupBy(*keys).agg(last.alias("last")).select("last.row.*")
+    new.write.parquet(f"{scratch}/new")
+    batch = spark.read.schema(schema).parquet(f"{scratch}/new")
     as_int = [F.col(c).cast("int").alias(c) for c in partition_cols]
-    moved_from = (existing.join(new.select(*keys), on=list(keys), how="left_semi").select(*as_int))
-    touched = [tuple(r) for r in new.select(*as_int).union(moved_from).distinct().collect()]
-    if not touched:
-        return []
-    kept = existing.where(_partition_filter(partition_cols, touched))
-    merged = upsert_by_key(kept.select(*new.columns), new, keys)
-    stage = scratch_dir(spark, "merge") + "/merged"
-    for_partitioned_write(merged, partition_cols, sort_by).write.mode("overwrite") \
-        .partitionBy(*partition_cols).parquet(stage)
-    staged = spark.read.parquet(stage).select(*new.columns)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(*partition_cols).parquet(path)
-    present = {tuple(r) for r in spark.read.parquet(stage).select(*as_int).distinct().collect()}
-    emptied = [p for p in touched if p not in present]
-    clear_partitions(spark, path, staged.schema, partition_cols, emptied)
+    if not latest_by:
+        twice = batch.groupBy(*keys).count().where("count > 1").limit(3).collect()
+        if twice:
+            raise ValueError(f"the batch holds several rows of a key and no order to choose by: {[tuple(r)[:-1] for r in twice]}")
+    if not table_exists(spark, path):
+        for_partitioned_write(batch, partition_cols, sort_by).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path)
+        touched = [tuple(r) for r in batch.select(*as_int).distinct().collect()]
+        remove_path(spark, scratch)
+        return touched
+    existing = spark.read.schema(schema).parquet(path)
+    touched = batch.select(*as_int)
+    if not fixed_partition:
+        touched = touched.union(existing.join(batch.select(*keys), on=list(keys), how="left_semi").select(*as_int))
+    touched = [tuple(r) for r in touched.distinct().collect()]
+    if touched:
+        kept = existing.where(_partition_filter(partition_cols, touched))
+        for_partitioned_write(upsert_by_key(kept, batch, keys), partition_cols, sort_by) \
+            .write.partitionBy(*partition_cols).parquet(f"{scratch}/merged")
+        staged = spark.read.schema(schema).parquet(f"{scratch}/merged")
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy(*partition_cols).parquet(path)
+        present = {tuple(r) for r in staged.select(*as_int).distinct().collect()}
+        clear_partitions(spark, path, schema, partition_cols, [p for p in touched if p not in present])
+    remove_path(spark, scratch)
     return touched

@@ -21,11 +21,6 @@ from pyspark.sql import functions as F
 from contrail.operators.dedup import dedup_first
 
 
-def enrich(df: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
-    """Left equi-join to a dimension (or any lookup) on shared column names."""
-    return df.join(dim, on=on, how=how)
-
-
 def attach_dim(agg: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Inner join of an aggregate to its dimension on the surrogate key."""
     return agg.join(dim, on=key, how="inner")

@@ -3,9 +3,12 @@ detection, the load audit, table counts and materialisation.
 
 Tables are Parquet directories.  Monthly tables are partitioned by
 ``(year, month)``; a reload replaces exactly the selected months in one job
-(dynamic partition overwrite) and leaves every other month untouched.  Each
-write job commits atomically, so a lost executor only re-runs tasks, and a
-crashed job leaves the previous months in place.
+(dynamic partition overwrite, which swaps a month's files when the job commits)
+and leaves every other month untouched.  A lost executor only re-runs tasks.
+
+Tables that are replaced whole (``replace_table``) are written as a new version
+folder beside the old one; readers take the newest complete version, and older
+ones go after the commit.  A crash before it leaves the old version in place.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.session import scratch_dir
+from contrail.session import child_names, remove_path, scratch_dir
 from contrail.sources.schemas import LOAD_AUDIT
 
 _MONTH = re.compile(r"^(\d{4})-(\d{2})$")
@@ -51,35 +54,73 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def schema_drift(old: T.StructType, new: T.StructType,
                  partition_cols: Sequence[str] = ()) -> list[str]:
-    """Differences in column names, order and types between two schemas.
-
-    Partition columns are compared by name only (a Parquet read puts them last
-    and infers their type from the directory names)."""
-    def fields(s: T.StructType):
-        data = [(f.name, f.dataType.simpleString()) for f in s.fields if f.name not in partition_cols]
-        return data, [f.name for f in s.fields if f.name in partition_cols]
-    (old_data, old_parts), (new_data, new_parts) = fields(old), fields(new)
-    out = []
-    if old_data != new_data:
-        out.append(f"data columns {old_data} -> {new_data}")
-    if sorted(old_parts) != sorted(new_parts):
-        out.append(f"partition columns {old_parts} -> {new_parts}")
-    return out
+    """Differences in column names and types between two schemas, one line each.
+
+    Partition columns are compared by name only (a Parquet read infers their type
+    from the directory names)."""
+    before, after = ({f.name: "" if f.name in partition_cols else f.dataType.simpleString() for f in s.fields} for s in (old, new))
+    return [f"{name}: {before.get(name, 'absent')} -> {after.get(name, 'absent')}"
+            for name in {**before, **after} if before.get(name) != after.get(name)]
+
+
+def drifted(old: T.StructType, new: T.StructType, partition_cols: Sequence[str] = ()) -> bool:
+    """Whether ``new`` has a column that ``old`` lacks or holds otherwise."""
+    known = {f.name: f.dataType for f in old.fields}
+    return any(f.name not in partition_cols and known.get(f.name) != f.dataType for f in new.fields)
+
+
+_VERSION = re.compile(r"^v(\d{8})$")
+
+
+def versions(spark: SparkSession, path: str, complete: bool = True) -> list[str]:
+    """Version folders of a table, oldest first."""
+    found = [n for n in child_names(spark, path) if _VERSION.match(n)]
+    return [n for n in found if not complete or "_SUCCESS" in child_names(spark, f"{path}/{n}")]
+
+
+def read_versioned(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest complete version of a table; None when there is none."""
+    found = versions(spark, path)
+    return spark.read.parquet(f"{path}/{found[-1]}") if found else None
+
+
+def replace_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as the next version of the table and drop the older ones.
+    ``df`` may read the current version."""
+    last = versions(spark, path, complete=False)
+    new = f"v{int(_VERSION.match(last[-1])[1]) + 1 if last else 1:08d}"
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{new}")
+    for old in last:
+        remove_path(spark, f"{path}/{old}")
+    return spark.read.parquet(f"{path}/{new}")
 
 
 def load_full(spark: SparkSession, df: DataFrame, path: str) -> int:
     """Replace the whole table; return its row count (answered from Parquet
     footers, not by rescanning the data)."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-    return spark.read.parquet(path).count()
+    return replace_table(spark, df, path).count()
+
+
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """A loaded raw table, versioned or month-partitioned."""
+    found = read_versioned(spark, path)
+    return found if found is not None else spark.read.parquet(path)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
-                 partition_cols: Sequence[str] = ()) -> None:
-    """Create an empty table with ``schema`` unless one exists."""
+                 partition_cols: Sequence[str] = ()) -> DataFrame:
+    """The table at ``path``, created empty with ``schema`` when there is none.
+
+    An empty partitioned table has no partition folder, so it is created with one
+    empty file in the NULL partition, which carries the schema."""
     if not table_exists(spark, path):
-        empty = spark.createDataFrame([], schema)
-        empty.write.mode("ignore").partitionBy(*partition_cols).parquet(path)
+        data = T.StructType([f for f in schema.fields if f.name not in partition_cols])
+        folder = "".join(f"/{c}=__HIVE_DEFAULT_PARTITION__" for c in partition_cols)
+        spark.createDataFrame([], data).coalesce(1).write.mode("ignore").parquet(path + folder)
+    # The types of partition values are those asked for, not guessed from names.
+    stored = spark.read.parquet(path)
+    kinds = {f.name: f.dataType for f in schema.fields if f.name in partition_cols}
+    return spark.read.schema(T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in stored.schema.fields])).parquet(path)
 
 
 def clear_partitions(spark: SparkSession, path: str, schema: T.StructType,
@@ -99,7 +140,7 @@ def clear_partitions(spark: SparkSession, path: str, schema: T.StructType,
         empty = f"{name}_empty"
         spark.createDataFrame([], T.StructType(data_cols)).createOrReplaceTempView(empty)
         for vals in values:
-            spec = ", ".join(f"{c}={int(v)}" for c, v in zip(partition_cols, vals))
+            spec = ", ".join(f"{c}={'null' if v is None else int(v)}" for c, v in zip(partition_cols, vals))
             spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) "
                       f"SELECT {', '.join(f'`{f.name}`' for f in data_cols)} FROM {empty}")
         spark.catalog.dropTempView(empty)
@@ -108,48 +149,80 @@ def clear_partitions(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def _month_filter(months: Sequence[tuple[int, int]]):
-    return (F.col("year") * 100 + F.col("month")).isin([y * 100 + m for y, m in months])
+    """Plain predicates on the two partition columns, so that they prune."""
+    keep = F.lit(False)
+    for y, m in months:
+        keep = keep | ((F.col("year") == F.lit(y)) & (F.col("month") == F.lit(m)))
+    return keep
+
+
+def conformed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with the columns of ``schema``, by name; missing ones are NULL."""
+    have = set(df.columns)
+    return df.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def merged_schema(old: T.StructType, new: T.StructType) -> T.StructType:
+    """Columns of both, the new types where they differ, old order first."""
+    kinds = {f.name: f.dataType for f in old.fields} | {f.name: f.dataType for f in new.fields}
+    return T.StructType([T.StructField(n, k, True) for n, k in kinds.items()])
+
+
+def _months_of(df: DataFrame) -> list[tuple[int, int]]:
+    """The (year, month) pairs of a monthly table: bounded by its months."""
+    return sorted((int(r[0]), int(r[1])) for r in df.select("year", "month").distinct().collect() if r[0] is not None and r[1] is not None)
+
+
+def _month_files(spark: SparkSession, path: str, months: Iterable[tuple[int, int]]) -> dict[tuple[int, int], list[str]]:
+    return {(y, m): child_names(spark, f"{path}/year={y}/month={m}") for y, m in months}
 
 
-def load_monthly(spark: SparkSession, df: DataFrame, path: str, months: Iterable[str],
-                 stage_root: str | None = None) -> dict[str, int]:
+def load_monthly(spark: SparkSession, df: DataFrame, path: str, months: Iterable[str]) -> dict[str, int]:
     """Idempotent month replace.
 
-    * The selected months of ``df`` are parsed once into a staging copy
-      (partitioned like the target; it survives executor loss and is what
-      every later step reads).
-    * Schema drift against the existing table forces a rebuild of every month
-      the table held plus the selected ones, so a partial reload never loses
-      months.
-    * Otherwise one dynamic-overwrite job replaces the selected months that
-      have rows; selected months with no incoming rows are cleared.
+    * One job parses the selected months of ``df`` and writes them with dynamic
+      partition overwrite: each file is parsed once and each month written once.
+      Selected months without incoming rows are cleared.
+    * Schema drift against the existing table (a column that is new, or of
+      another type) rebuilds every stored month in the merged schema: months the
+      file holds come from the file, all others from the table, so no month is
+      lost.  A column that the file no longer has stays, NULL in the new rows.
 
-    Returns ``{"YYYY-MM": rows}`` for every selected month (0 when empty).
+    Returns ``{"YYYY-MM": rows}`` for every selected or rebuilt month (0 when
+    empty), counted from the footers of the written files.
     """
     selected = parse_months(months)
-    stage = (stage_root or scratch_dir(spark, "stage")) + "/staged"
-    exists = table_exists(spark, path)
-    drift = schema_drift(spark.read.parquet(path).schema, df.schema, ("year", "month")) if exists else []
-    wanted = list(selected)
-    if drift:
-        present = [(r["year"], r["month"]) for r in
-                   spark.read.parquet(path).select("year", "month").distinct().collect()]
-        wanted = sorted(set(wanted) | set(present))
-    for_partitioned_write(df.where(_month_filter(wanted)), ("year", "month")) \
-        .write.mode("overwrite").partitionBy("year", "month").parquet(stage)
-    staged = spark.read.schema(df.schema).parquet(stage)  # schema given: the stage may be empty
-    counts = {(r["year"], r["month"]): r["n"] for r in
-              staged.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ordered = staged.select(*df.columns)
-    if not exists or drift:
-        ordered.write.mode("overwrite").option("partitionOverwriteMode", "static") \
-            .partitionBy("year", "month").parquet(path)
-    else:
-        ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy("year", "month").parquet(path)
-        empty = [ym for ym in selected if ym not in counts]
-        clear_partitions(spark, path, df.schema, ("year", "month"), empty)
-    return {month_label(y, m): int(counts.get((y, m), 0)) for y, m in selected}
+    old = spark.read.parquet(path) if table_exists(spark, path) else None
+    incoming, wanted, scratch = df, list(selected), None
+    if old is not None:
+        schema = merged_schema(old.schema, df.schema)
+        if drifted(old.schema, df.schema, ("year", "month")):
+            stored = _months_of(old)
+            held = _months_of(df.select("year", "month"))
+            wanted = sorted({*selected, *stored})
+            keep = [ym for ym in stored if ym not in held and ym not in selected]
+            # The table can't be read while its months are replaced.
+            scratch = scratch_dir(spark, "drift")
+            both = conformed(df.where(_month_filter(wanted)), schema).unionByName(conformed(old.where(_month_filter(keep)), schema))
+            for_partitioned_write(both, ("year", "month")).write.partitionBy("year", "month").parquet(scratch)
+            incoming = spark.read.schema(schema).parquet(scratch)
+        else:
+            incoming = conformed(df, schema)
+    before = _month_files(spark, path, wanted)
+    rows = incoming.where(_month_filter(wanted))
+    (rows if scratch else for_partitioned_write(rows, ("year", "month"))).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
+    if scratch:
+        remove_path(spark, scratch)
+    # Replaced months have new files; the others had no incoming rows.
+    after = _month_files(spark, path, wanted)
+    written = [ym for ym in wanted if after[ym] and after[ym] != before[ym]]
+    clear_partitions(spark, path, incoming.schema, ("year", "month"), [ym for ym in wanted if ym not in written and before[ym]])
+    counts = {}
+    if written:
+        loaded = spark.read.schema(incoming.schema).parquet(path).where(_month_filter(written))
+        counts = {(int(r["year"]), int(r["month"])): r["count"] for r in loaded.groupBy("year", "month").count().collect()}
+    return {month_label(y, m): int(counts.get((y, m), 0)) for y, m in wanted}
 
 
 def audit_rows(spark: SparkSession, table: str, counts: Mapping[str | None, int], source_file: str,

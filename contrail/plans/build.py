@@ -4,9 +4,10 @@ Every dimension, the fact and every mart are written as Parquet tables under
 ``root`` and read back by their consumers — each table is computed once, and
 the lineage of every downstream job starts at a stored table (this is also
 what lets a long build survive executor loss without recomputing from the raw
-files).  Staging models stay lazy views: they are narrow projections (plus one
-small dedup) that fuse into their consumers' scans, and writing a copy of the
-fact-sized flight staging would cost a full rewrite of the largest input.
+files).  Staging models stay lazy views: they are narrow projections that fuse
+into their consumers' scans, and writing a copy of the fact-sized flight staging
+would cost a full rewrite of the largest input.  The hourly weather is stored: it
+is small once deduplicated, and Spark then knows so when it plans the fact.
 
 The fact is incremental: on a rebuild only flights on or after the stored
 high-water mark are recomputed and merged by key into the touched
@@ -29,9 +30,8 @@ from contrail.operators.incremental import high_water_mark, months_from, write_i
 from contrail.operators.sinks import table_exists
 from contrail.plans import checks, staging, warehouse
 from contrail.plans.models import Models
-from contrail.session import scratch_dir
 
-VIEWS = ("stg_flight", "stg_weather", "stg_plane", "stg_carrier", "stg_airport_reference", "stg_airport")
+VIEWS = ("stg_flight", "stg_plane", "stg_carrier", "stg_airport_reference", "stg_airport")
 FACT_PARTITIONS = ("flight_year", "flight_month")
 FACT_SORT = ("flight_date", "origin_code")
 SNAPSHOT_COLS = ("ident", "airport_type", "airport_name", "municipality", "iso_country", "iso_region",
@@ -85,11 +85,10 @@ class Warehouse(Models):
     def snapshot(self, as_of: dt.datetime) -> DataFrame:
         """Add a type-2 snapshot of the airport reference taken at ``as_of``."""
         path = self.path("snapshots/snap_airport_reference")
-        history = self.spark.read.parquet(path) if table_exists(self.spark, path) else None
+        history = sinks.read_versioned(self.spark, path)
         current = self.stg_airport_reference.select(*SNAPSHOT_COLS)
-        staged = scratch_dir(self.spark, "snap") + "/history"
-        sinks.materialize(self.spark, scd2_snapshot(current, history, "ident", SNAPSHOT_CHECK_COLS, as_of), staged)
-        return sinks.materialize(self.spark, self.spark.read.parquet(staged), path)
+        # The history can't be rebuilt from raw: the old version stays until the new one is complete.
+        return sinks.replace_table(self.spark, scd2_snapshot(current, history, "ident", SNAPSHOT_CHECK_COLS, as_of), path)
 
 
 @dataclass
@@ -111,14 +110,14 @@ LEVELS = (
 def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], *,
           hubs: Sequence[str] = warehouse.DEFAULT_HUBS, holidays: DataFrame | None = None,
           as_of: dt.datetime | None = None, full_refresh: bool = False, lookback_days: int = 0,
-          fail_on_violation: bool = False, gate: bool = False, threads: int = 4) -> BuildResult:
+          fail_on_violation: bool = False, gate: bool = True, threads: int = 4) -> BuildResult:
     """Build every table, take the snapshot, and run the check catalogue.
 
     Checks run level by level, as soon as the tables they read exist: raw and
     staging checks first, dimension and fact checks after level 1, mart checks
-    after level 2.  With ``gate=True`` a failing check stops the build before
-    the next level (downstream models are not built); otherwise each level's
-    checks overlap with building the next level.  Independent models of a
+    after level 2; the three singular checks belong to level 1.  A failing check
+    stops the build before the next level (downstream models are not built);
+    with ``gate=False`` each level's checks overlap with building the next level.  Independent models of a
     level are submitted from ``threads`` driver threads; Spark runs their
     jobs side by side on the shared executors.  ``lookback_days`` re-reads
     that many days before the stored high-water mark (late flights);
@@ -140,7 +139,11 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], *,
 
     def run_level_checks(lvl: int) -> list:
         cat = by_level[lvl]
-        return quality.run_checks_concurrently(cat, checks.tables_for(wh, cat), threads=threads).collect()
+        found = [(r.check_name, r.table_name, r.violations) for r in
+                 quality.run_checks_concurrently(cat, checks.tables_for(wh, cat), threads=threads).collect()]
+        if lvl == 1:
+            found += [(name, "fct_flight", df.count()) for name, df in checks.singular_checks(wh).items()]
+        return found
 
     reports: list = []
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
@@ -161,8 +164,7 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], *,
             reports.extend(fut.result())
     if gate:
         _gate(reports)
-    rows = [(r.check_name, r.table_name, r.violations) for r in reports]
-    report = spark.createDataFrame(rows, "check_name string, table_name string, violations bigint") \
+    report = spark.createDataFrame(reports, "check_name string, table_name string, violations bigint") \
         .withColumn("passed", F.col("violations") == 0)
     report = sinks.materialize(spark, report.coalesce(1), wh.path("quality_report"))
     timings["checks"] = round(time.perf_counter() - t0, 3)
@@ -172,6 +174,6 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], *,
 
 
 def _gate(rows: list) -> None:
-    failed = [f"{r.check_name}={r.violations}" for r in rows if r.violations]
+    failed = [f"{name}={violations}" for name, _, violations in rows if violations]
     if failed:
         raise AssertionError("data checks failed, downstream models not built: " + ", ".join(failed))

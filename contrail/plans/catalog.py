@@ -85,8 +85,8 @@ CHECK_QUERIES: dict[str, Query] = {
     "dq_accepted_values_rows": _dq_rows("accepted_values"),
     "dq_range_rows": _dq_rows("within_range"),
     "dq_report": _dq_report,
-    "dq_cancelled_times": _checks("cancelled_with_times"),
-    "dq_reconcile": _checks("fact_count_mismatch"),
+    "dq_cancelled_times": _checks("cancelled_with_planted_times"),
+    "dq_reconcile": _checks("planted_fact_gap"),
     "dq_coverage": _checks("weather_coverage_gap"),
     "dq_fk_destination": _fk_destination,
 }
@@ -108,6 +108,10 @@ JOB_QUERIES: dict[str, Query] = {
     "csv_roundtrip": _job("csv_roundtrip"),
     "snap_airport_reference": _job("snapshot_history"),
     "streamed_fact": _job("streamed_fact"),
+    "schema_drift_reload": _job("schema_drift_reload"),
+    "incremental_correction": _job("incremental_correction"),
+    "incremental_null_partition": _job("incremental_null_partition"),
+    "full_refresh_fact": _job("full_refresh_fact"),
 }
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from contrail.operators import quality as Q
 from contrail.operators.quality import Check
@@ -139,13 +140,32 @@ def quality_report(m: Models, threads: int = 8) -> DataFrame:
     return Q.run_checks_concurrently(declared_checks(m.hubs), check_tables(m), threads)
 
 
-def cancelled_with_times(m: Models) -> DataFrame:
-    return Q.assert_implies_null(m.fct_flight, "is_cancelled",
+def cancelled_with_times(m: Models, fact: DataFrame | None = None) -> DataFrame:
+    return Q.assert_implies_null(m.fct_flight if fact is None else fact, "is_cancelled",
                                  ["actual_departure_minute", "arrival_delay_minutes"], "flight_key")
 
 
-def fact_count_mismatch(m: Models) -> DataFrame:
-    return Q.reconcile_counts(m.raw["flights"], m.fct_flight)
+def fact_count_mismatch(m: Models, fact: DataFrame | None = None) -> DataFrame:
+    return Q.reconcile_counts(m.raw["flights"], m.fct_flight if fact is None else fact)
+
+
+def singular_checks(m: Models) -> dict[str, DataFrame]:
+    """The checks that need more than a rule on one column: name -> violating rows."""
+    return {"cancelled_flights_have_no_times": cancelled_with_times(m),
+            "every_flight_is_in_the_fact": fact_count_mismatch(m),
+            "weather_covers_the_flights": weather_coverage_gap(m)}
+
+
+# Facts with planted faults, so that the checks are seen finding them.
+
+def cancelled_with_planted_times(m: Models) -> DataFrame:
+    wrong = F.col("is_cancelled") & (F.col("flight_key") % 2 == 0)
+    return cancelled_with_times(m, m.fct_flight.withColumn(
+        "actual_departure_minute", F.when(wrong, F.lit(77)).otherwise(F.col("actual_departure_minute")).cast("bigint")))
+
+
+def planted_fact_gap(m: Models) -> DataFrame:
+    return fact_count_mismatch(m, m.fct_flight.where(F.col("flight_key") % 13 != 0))
 
 
 def weather_coverage_gap(m: Models) -> DataFrame:

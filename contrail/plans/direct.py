@@ -60,12 +60,13 @@ def best_part_per_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
     scale."""
     li = read_driver(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     part = read_driver(spark, sf_dir, "part")
-    with_brand = li.join(part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand")),
-                         "l_partkey", "left")
+    brands = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand"))
     ref = part.select(F.col("p_brand").alias("ref_brand"), F.col("p_name").alias("best_name"),
                       F.col("p_partkey").alias("best_partkey"))
-    out = join_best(with_brand, ref, "brand", "ref_brand",
-                    [F.col("best_name").asc_nulls_last(), F.col("best_partkey").asc_nulls_last()])
+    # The few brands are resolved among the parts; line items are joined once, on the part key.
+    best = join_best(brands, ref, "brand", "ref_brand",
+                     [F.col("best_name").asc_nulls_last(), F.col("best_partkey").asc_nulls_last()])
+    out = li.join(best.select("l_partkey", "brand", "best_name", "best_partkey"), "l_partkey", "left")
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "brand", "best_name", "best_partkey")
 
 

@@ -43,9 +43,7 @@ def ingest(spark: SparkSession, raw: Mapping[str, DataFrame], root: str,
         df = raw[src.name]
         if src.monthly:
             wanted = selected if selected is not None else months_present(df)
-            counts = sinks.load_monthly(spark, df, f"{root}/{src.name}", wanted,
-                                        stage_root=f"{root}/_stage/{src.name}")
-            return src.name, counts
+            return src.name, sinks.load_monthly(spark, df, f"{root}/{src.name}", wanted)
         return src.name, {None: sinks.load_full(spark, df, f"{root}/{src.name}")}
 
     todo = [s for s in sources if s.name in raw]

@@ -15,6 +15,7 @@ from contrail.operators import sinks
 from contrail.operators.history import scd2_snapshot
 from contrail.operators.incremental import incremental_filter, write_incremental
 from contrail.plans import warehouse
+from contrail.plans.build import FACT_PARTITIONS, SNAPSHOT_CHECK_COLS, SNAPSHOT_COLS
 from contrail.plans.models import Models
 from contrail.session import scratch_dir
 from contrail.sources import feed
@@ -27,11 +28,6 @@ INCREMENTAL_CUTOFF = dt.date(1998, 6, 30)
 RELOAD_MONTH = "1998-02"
 DROPPED_MONTH = "1999-03"
 
-FACT_PARTITIONS = ("flight_year", "flight_month")
-CHECK_COLS = ("airport_type", "airport_name", "municipality", "has_scheduled_service")
-SNAPSHOT_COLS = ("ident", "airport_type", "airport_name", "municipality", "iso_country", "iso_region",
-                 "has_scheduled_service")
-
 
 def with_fact_partitions(fct: DataFrame) -> DataFrame:
     return fct.withColumns({"flight_year": F.year("flight_date"), "flight_month": F.month("flight_date")})
@@ -54,7 +50,7 @@ def build_fact_incrementally(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("flight_date") == F.lit(INCREMENTAL_CUTOFF), F.col("departure_delay_minutes") + 1000)
          .otherwise(F.col("departure_delay_minutes")))
     write_incremental(spark, with_fact_partitions(warehouse.fct_flight(first, m.stg_weather)), path,
-                      ["flight_key"], FACT_PARTITIONS)
+                      ["flight_key"], FACT_PARTITIONS, fixed_partition=True)
     replay = incremental_filter(m.stg_flight, spark.read.parquet(path), "flight_date",
                                 partition_cols=FACT_PARTITIONS)
     write_incremental(spark, with_fact_partitions(warehouse.fct_flight(replay, m.stg_weather)), path,
@@ -71,13 +67,72 @@ def monthly_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = feed.flights(feed.read_driver(spark, sf_dir, "orders"))
     months = [sinks.month_label(r["year"], r["month"])
               for r in flights.select("year", "month").distinct().collect()]
-    sinks.load_monthly(spark, flights, path, months, stage_root=f"{root}/stage1")
+    sinks.load_monthly(spark, flights, path, months)
     dropped_y, dropped_m = (int(x) for x in DROPPED_MONTH.split("-"))
     newer = flights.where(~((F.col("year") == dropped_y) & (F.col("month") == dropped_m)))
-    sinks.load_monthly(spark, newer, path, [RELOAD_MONTH, DROPPED_MONTH], stage_root=f"{root}/stage2")
+    # Corrected distances in the newer file: only the reloaded month may show them.
+    newer = newer.withColumn("distance", F.col("distance") + 7)
+    sinks.load_monthly(spark, newer, path, [RELOAD_MONTH, DROPPED_MONTH])
     table = spark.read.parquet(path)
     return (table.groupBy(F.col("year").cast("bigint").alias("year"), F.col("month").cast("bigint").alias("month"))
-                 .agg(F.count(F.lit(1)).cast("bigint").alias("rows")))
+                 .agg(F.count(F.lit(1)).cast("bigint").alias("rows"), F.sum("distance").cast("bigint").alias("distance")))
+
+
+def schema_drift_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month is reloaded from a file that has one more column and holds no
+    other month: the stored months stay, without a value in the new column."""
+    root = scratch_dir(spark, "drift")
+    path = f"{root}/flights"
+    flights = feed.flights(feed.read_driver(spark, sf_dir, "orders"))
+    months = [sinks.month_label(r["year"], r["month"])
+              for r in flights.select("year", "month").distinct().collect()]
+    sinks.load_monthly(spark, flights, path, months)
+    y, m = (int(x) for x in RELOAD_MONTH.split("-"))
+    newer = flights.where((F.col("year") == y) & (F.col("month") == m)).withColumn("gate", F.col("rownames") % 10)
+    sinks.load_monthly(spark, newer, path, [RELOAD_MONTH])
+    return (spark.read.parquet(path).groupBy(F.col("year").cast("bigint").alias("year"), F.col("month").cast("bigint").alias("month"))
+            .agg(F.count(F.lit(1)).cast("bigint").alias("rows"), F.count("gate").cast("bigint").alias("gates"),
+                 F.sum("gate").cast("bigint").alias("gate_sum")))
+
+
+def _order_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feed.read_driver(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("bigint").alias("order_key"), F.col("o_totalprice").cast("double").alias("price"),
+        F.lit(1).cast("bigint").alias("revision"), (F.col("o_orderkey") % 7).cast("int").alias("bucket"))
+
+
+def incremental_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One batch holds rows and their corrections (a later revision, in another
+    partition): each key is stored once, as its latest revision has it."""
+    path = scratch_dir(spark, "fix") + "/orders"
+    orders = _order_table(spark, sf_dir)
+    write_incremental(spark, orders, path, ["order_key"], ["bucket"])
+    late = orders.where("order_key % 5 = 0")
+    fixed = late.withColumns({"revision": F.col("revision") + 1, "price": F.col("price") + 1000,
+                              "bucket": F.pmod(F.col("bucket") + 1, F.lit(7)).cast("int")})
+    write_incremental(spark, late.unionByName(fixed), path, ["order_key"], ["bucket"], latest_by=["revision"])
+    return spark.read.parquet(path).select("order_key", F.col("price").cast("double"), "revision", F.col("bucket").cast("bigint").alias("bucket"))
+
+
+def incremental_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a partition value: a batch that touches the NULL partition
+    keeps the rows it doesn't replace there."""
+    path = scratch_dir(spark, "nulls") + "/orders"
+    orders = _order_table(spark, sf_dir).withColumn("bucket", F.when(F.col("bucket") > 1, F.col("bucket")))
+    write_incremental(spark, orders, path, ["order_key"], ["bucket"])
+    late = orders.where("bucket is null and order_key % 3 = 0").withColumn("revision", F.col("revision") + 1)
+    write_incremental(spark, late, path, ["order_key"], ["bucket"])
+    return spark.read.parquet(path).select("order_key", F.col("price").cast("double"), "revision", F.col("bucket").cast("bigint").alias("bucket"))
+
+
+def full_refresh_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full refresh replaces a stored fact whose old rows are wrong."""
+    from contrail.plans.build import Warehouse
+    root = scratch_dir(spark, "refresh")
+    raw = feed.raw_sources(spark, sf_dir)
+    wrong = {**raw, "flights": raw["flights"].withColumn("dep_delay", F.col("dep_delay") + 500)}
+    Warehouse(spark, root, wrong, hubs=feed.STATIONS).fct_flight
+    return Warehouse(spark, root, raw, hubs=feed.STATIONS, full_refresh=True).fct_flight
 
 
 def load_all_and_audit(spark: SparkSession, sf_dir: str) -> tuple[dict[str, str], str]:
@@ -92,7 +147,7 @@ def load_all_and_audit(spark: SparkSession, sf_dir: str) -> tuple[dict[str, str]
 
 def full_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths, _ = load_all_and_audit(spark, sf_dir)
-    return sinks.table_counts({n: spark.read.parquet(p) for n, p in sorted(paths.items())})
+    return sinks.table_counts({n: sinks.read_raw(spark, p) for n, p in sorted(paths.items())})
 
 
 def audit_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,7 +192,7 @@ def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "snap")
     history = None
     for i, (version, at) in enumerate(zip(reference_versions(m), SNAPSHOT_TIMES)):
-        out = scd2_snapshot(version, history, "ident", CHECK_COLS, at)
+        out = scd2_snapshot(version, history, "ident", SNAPSHOT_CHECK_COLS, at)
         history = sinks.materialize(spark, out, f"{root}/v{i}")
     return history
 

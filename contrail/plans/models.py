@@ -17,9 +17,6 @@ from contrail.plans import analyses, marts, staging, warehouse
 from contrail.sources import feed
 
 
-_DRIVER_GRAPHS: dict = {}
-
-
 class Models:
     """Lazy model graph over a mapping of raw source DataFrames."""
 
@@ -34,20 +31,9 @@ class Models:
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str) -> "Models":
         """The graph over the generated tables (see ``contrail.sources.feed``):
-        hubs are the feed's stations; holidays are the fixed-date holidays of
-        every year the flights span.
-
-        The lazy graph is memoised per session and folder: the inputs are
-        read-only, the DataFrames are immutable plans, and rebuilding the same
-        plan objects for every query only costs driver round trips."""
-        key = (id(spark), sf_dir)
-        cached = _DRIVER_GRAPHS.get(key)
-        if cached is None or cached[0] is not spark:
-            if len(_DRIVER_GRAPHS) >= 4:
-                _DRIVER_GRAPHS.pop(next(iter(_DRIVER_GRAPHS)))
-            cached = (spark, cls(feed.raw_sources(spark, sf_dir), holidays=None, hubs=feed.STATIONS))
-            _DRIVER_GRAPHS[key] = cached
-        return cached[1]
+        hubs are the feed's stations; holidays are the federal holidays of every
+        year the flights span."""
+        return cls(feed.raw_sources(spark, sf_dir), holidays=None, hubs=feed.STATIONS)
 
     def _model(self, name: str, build) -> DataFrame:
         """Hook for materialisation; the lazy graph just returns the plan."""
@@ -82,7 +68,7 @@ class Models:
     @cached_property
     def holidays(self) -> DataFrame | None:
         """The holiday seed, or None: then ``dim_date`` generates the
-        fixed-date holidays of the years it spans."""
+        federal holidays of the years it spans."""
         return self._holidays
 
     @cached_property

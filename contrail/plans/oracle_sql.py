@@ -9,6 +9,8 @@ results are cast to BIGINT, so types agree as well as values.
 
 from __future__ import annotations
 
+from contrail.plans.oracle_checks import CHECKS
+
 
 def _hhmm(m: str) -> str:
     return f"(({m}) // 60 * 100 + ({m}) % 60)"
@@ -219,7 +221,15 @@ hol AS (
   SELECT make_date(y, h.m, h.dd) AS holiday_date, h.holiday_name
   FROM (SELECT DISTINCT year(date_day) AS y FROM spine) yrs,
        (VALUES (1, 1, 'New Years Day'), (7, 4, 'Independence Day'), (11, 11, 'Veterans Day'),
-               (12, 25, 'Christmas Day')) AS h(m, dd, holiday_name)),
+               (12, 25, 'Christmas Day')) AS h(m, dd, holiday_name)
+  UNION ALL
+  SELECT CAST(make_date(y, h.m, 1) + CAST((h.dow - dayofweek(make_date(y, h.m, 1)) + 7) % 7 + 7 * (h.nth - 1) AS INTEGER) AS DATE), h.holiday_name
+  FROM (SELECT DISTINCT year(date_day) AS y FROM spine) yrs,
+       (VALUES (1, 1, 3, 'Martin Luther King Jr Day'), (2, 1, 3, 'Washingtons Birthday'), (9, 1, 1, 'Labor Day'),
+               (10, 1, 2, 'Columbus Day'), (11, 4, 4, 'Thanksgiving Day')) AS h(m, dow, nth, holiday_name)
+  UNION ALL
+  SELECT CAST(make_date(y, 5, 31) - CAST((dayofweek(make_date(y, 5, 31)) + 6) % 7 AS INTEGER) AS DATE), 'Memorial Day'
+  FROM (SELECT DISTINCT year(date_day) AS y FROM spine) yrs),
 d_date AS (
   SELECT {key('s.date_day')} AS date_key, s.date_day,
     year(s.date_day)::BIGINT AS calendar_year, quarter(s.date_day)::BIGINT AS calendar_quarter,
@@ -349,14 +359,13 @@ m_daily AS (
     a.ddel::BIGINT AS departure_delayed_count,
     {pct('a.canc', 'a.n')} AS cancellation_rate_pct, {pct('a.ddel', 'a.n')} AS departure_delay_rate_pct,
     {rhu('a.avg_dep', 2)} AS avg_departure_delay_minutes, a.max_dep::BIGINT AS max_departure_delay_minutes,
-    CASE WHEN a.np > 0 THEN (CASE WHEN a.s6 < 0 THEN -1 ELSE 1 END
-         * ((2 * abs(a.s6) + a.np * 100) // (2 * a.np * 100)))::DOUBLE / 10000.0::DOUBLE END AS avg_precipitation_in,
+    round(CAST(a.sum_p / a.np AS DECIMAL(20, 10)), 4)::DOUBLE AS avg_precipitation_in,
     a.min_v AS min_visibility_miles, a.max_w AS max_wind_speed_mph
   FROM (
     SELECT date_key, origin_code, count(*) AS n, count(*) FILTER (WHERE is_cancelled) AS canc,
       count(*) FILTER (WHERE is_departure_delayed) AS ddel, avg(departure_delay_minutes) AS avg_dep,
       max(departure_delay_minutes) AS max_dep,
-      sum(CAST(round(origin_precipitation_in * 1000000.0::DOUBLE) AS BIGINT)) AS s6,
+      sum(CAST(origin_precipitation_in AS DECIMAL(18, 2)))::DOUBLE AS sum_p,
       count(origin_precipitation_in) AS np,
       min(origin_visibility_miles) AS min_v, max(origin_wind_speed_mph) AS max_w
     FROM fct GROUP BY date_key, origin_code) a
@@ -427,62 +436,19 @@ ORACLES: dict[str, str] = {
 
 # --- data-quality checks ---------------------------------------------------
 
-SQL_TABLE = {
-    "raw.flights": "raw_flights", "raw.weather": "raw_weather", "raw.planes": "raw_planes",
-    "raw.airlines": "raw_airlines", "raw.airports": "raw_airports",
-    "raw.ourairports_airports": "raw_ourairports", "raw.openflights_airlines": "raw_openflights",
-    "stg_flight": "s_flight", "stg_weather": "s_weather", "stg_plane": "s_plane", "stg_carrier": "s_carrier",
-    "stg_airport_reference": "s_ref", "stg_airport": "s_airport", "dim_date": "d_date",
-    "dim_airport": "d_airport", "dim_carrier": "d_carrier", "dim_aircraft": "d_aircraft",
-    "fct_flight": "fct", "mart_carrier_performance": "m_carrier", "mart_route_performance": "m_route",
-    "mart_weather_impact": "m_weather", "mart_daily_operations": "m_daily",
-    "mart_aircraft_utilization": "m_aircraft",
-}
-
-
-def _lit(v) -> str:
-    return "'" + str(v).replace("'", "''") + "'" if isinstance(v, str) else repr(v)
-
-
-def check_count_sql(c) -> str:
-    t = SQL_TABLE[c.table]
-    scope = f"({c.where})" if c.where else "TRUE"
-    v = c.column
-    if c.kind == "not_null":
-        return f"SELECT count(*) FROM {t} WHERE {scope} AND ({v}) IS NULL"
-    if c.kind == "accepted_values":
-        vals = ", ".join(_lit(x) for x in c.values)
-        return f"SELECT count(*) FROM {t} WHERE {scope} AND ({v}) IS NOT NULL AND ({v}) NOT IN ({vals})"
-    if c.kind == "non_negative":
-        return f"SELECT count(*) FROM {t} WHERE {scope} AND ({v}) < 0"
-    if c.kind == "within_range":
-        return f"SELECT count(*) FROM {t} WHERE {scope} AND (({v}) < {c.lo} OR ({v}) > {c.hi})"
-    if c.kind == "unique":
-        return (f"SELECT count(*) FROM (SELECT ({v}) AS x FROM {t} WHERE {scope} AND ({v}) IS NOT NULL "
-                f"GROUP BY x HAVING count(*) > 1)")
-    if c.kind == "relationships":
-        p = SQL_TABLE[c.parent]
-        return (f"SELECT count(*) FROM {t} c WHERE {scope} AND c.{v} IS NOT NULL AND NOT EXISTS "
-                f"(SELECT 1 FROM {p} WHERE {p}.{c.parent_field} = c.{v})")
-    raise ValueError(c.kind)
-
-
 def dq_report_sql() -> str:
-    from contrail.plans.checks import declared_checks
-    from contrail.sources.feed import STATIONS
-    arms = [f"SELECT {_lit(c.name)} AS check_name, {_lit(c.table)} AS table_name, "
-            f"({check_count_sql(c)})::BIGINT AS violations" for c in declared_checks(STATIONS)]
+    arms = [f"SELECT '{name}' AS check_name, '{table}' AS table_name, ({sql})::BIGINT AS violations" for name, table, sql in CHECKS]
     return with_model(", report AS (\n" + "\nUNION ALL\n".join(arms) +
                       ")\nSELECT check_name, table_name, violations, violations = 0 AS passed FROM report")
 
 
 DQ_CANCELLED = with_model("""
-SELECT flight_key, actual_departure_minute, arrival_delay_minutes FROM fct
-WHERE is_cancelled AND (actual_departure_minute IS NOT NULL OR arrival_delay_minutes IS NOT NULL)""")
+SELECT flight_key, 77::BIGINT AS actual_departure_minute, arrival_delay_minutes FROM fct
+WHERE is_cancelled AND flight_key % 2 = 0""")
 
 DQ_RECONCILE = with_model("""
 SELECT source_rows, fact_rows FROM (
-  SELECT (SELECT count(*) FROM raw_flights)::BIGINT AS source_rows, (SELECT count(*) FROM fct)::BIGINT AS fact_rows)
+  SELECT (SELECT count(*) FROM raw_flights)::BIGINT AS source_rows, (SELECT count(*) FROM fct WHERE flight_key % 13 <> 0)::BIGINT AS fact_rows)
 WHERE source_rows <> fact_rows""")
 
 DQ_COVERAGE = with_model(f"""
@@ -497,8 +463,28 @@ SELECT f.* FROM fct f WHERE f.destination_airport_key IS NOT NULL
 # --- write-path jobs ------------------------------------------------------
 
 MONTHLY_RELOAD = with_model("""
-SELECT year, month, count(*)::BIGINT AS rows FROM raw_flights
-WHERE NOT (year = 1999 AND month = 3) GROUP BY year, month""")
+SELECT year, month, count(*)::BIGINT AS rows,
+  sum(distance + CASE WHEN year = 1998 AND month = 2 THEN 7 ELSE 0 END)::BIGINT AS distance
+FROM raw_flights WHERE NOT (year = 1999 AND month = 3) GROUP BY year, month""")
+
+SCHEMA_DRIFT = with_model("""
+SELECT year, month, count(*)::BIGINT AS rows,
+  (CASE WHEN year = 1998 AND month = 2 THEN count(*) ELSE 0 END)::BIGINT AS gates,
+  CASE WHEN year = 1998 AND month = 2 THEN sum(rownames % 10)::BIGINT END AS gate_sum
+FROM raw_flights GROUP BY year, month""")
+
+CORRECTION = """
+SELECT o_orderkey::BIGINT AS order_key,
+  o_totalprice::DOUBLE + CASE WHEN o_orderkey % 5 = 0 THEN 1000.0::DOUBLE ELSE 0.0::DOUBLE END AS price,
+  CASE WHEN o_orderkey % 5 = 0 THEN 2 ELSE 1 END::BIGINT AS revision,
+  CASE WHEN o_orderkey % 5 = 0 THEN (o_orderkey % 7 + 1) % 7 ELSE o_orderkey % 7 END::BIGINT AS bucket
+FROM orders"""
+
+NULL_PARTITION = """
+SELECT o_orderkey::BIGINT AS order_key, o_totalprice::DOUBLE AS price,
+  CASE WHEN o_orderkey % 7 <= 1 AND o_orderkey % 3 = 0 THEN 2 ELSE 1 END::BIGINT AS revision,
+  CASE WHEN o_orderkey % 7 > 1 THEN o_orderkey % 7 END::BIGINT AS bucket
+FROM orders"""
 
 FULL_LOAD_COUNTS = with_model("""
 SELECT 'airlines' AS table_name, count(*)::BIGINT AS rows FROM raw_airlines
@@ -538,14 +524,12 @@ def _snap_row(name_expr: str, country_expr: str, frm: str, to: str | None, upd:
 
 def snapshot_sql() -> str:
     t1, t2, t3 = _SNAP_T
-    keep = "WHERE r IN (1, 3, 4)"
     arms = [
         _snap_row("airport_name", "iso_country", t1, None, t1) + " WHERE r IN (1, 3, 4)",
         _snap_row("airport_name", "iso_country", t1, t2, t2) + " WHERE r IN (0, 2)",
         _snap_row("airport_name || ' II'", "iso_country", t2, t3, t3) + " WHERE r = 0",
         _snap_row("airport_name", "iso_country", t3, None, t3) + " WHERE r IN (0, 2)",
     ]
-    del keep
     return with_model(", snap_src AS (SELECT *, CAST(substr(ident, 2) AS BIGINT) % 5 AS r FROM s_ref)\n"
                       + "\nUNION ALL\n".join(arms))
 
@@ -558,7 +542,11 @@ ORACLES.update({
     "dq_fk_destination": DQ_FK_DESTINATION,
     "incremental_fact": with_model("SELECT * FROM fct"),
     "streamed_fact": with_model("SELECT * FROM fct"),
+    "full_refresh_fact": with_model("SELECT * FROM fct"),
     "monthly_reload": MONTHLY_RELOAD,
+    "schema_drift_reload": SCHEMA_DRIFT,
+    "incremental_correction": CORRECTION,
+    "incremental_null_partition": NULL_PARTITION,
     "full_load_counts": FULL_LOAD_COUNTS,
     "audit_recent": AUDIT_RECENT,
     "csv_roundtrip": CSV_ROUNDTRIP,

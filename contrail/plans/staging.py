@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from contrail.functions import (clean, equals_literal, hhmm_to_minute, null_if_above, to_utc_wall,
                                 typed_null)
-from contrail.operators.dedup import dedup_first
+from contrail.operators.dedup import dedup_first, first_by
 from contrail.operators.joins import Tier, conform, gap_fill
 from contrail.operators.reshape import distinct_members
 
@@ -63,8 +63,7 @@ def stg_weather(weather: DataFrame) -> DataFrame:
         F.col("pressure").cast("double").alias("sea_level_pressure_mb"),
         F.col("visib").cast("double").alias("visibility_miles"),
     )
-    return dedup_first(renamed, ["origin_code", "observed_hour_utc"],
-                       [F.col("temperature_f").asc_nulls_last()])
+    return first_by(renamed, ["origin_code", "observed_hour_utc"], ["temperature_f"])
 
 
 def stg_plane(planes: DataFrame) -> DataFrame:

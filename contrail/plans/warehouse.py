@@ -31,7 +31,7 @@ LOW_VISIBILITY_MILES = 3
 def dim_date(flights: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
     """One row per calendar day between the first and last flight date.
 
-    Without a holiday table, the fixed-date holidays of every year on the
+    Without a holiday table, the federal holidays of every year on the
     spine are generated from the spine itself (one aggregate of the flight
     dates feeds both)."""
     spine = date_spine(flights, "flight_date")

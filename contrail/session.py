@@ -1,18 +1,20 @@
 """Session construction and the shared scratch area.
 
+A session that spark-submit (or the caller) has configured stays as it is: the
+master, the shuffle partitions and every setting given there win over the
+defaults below.
+
 On a cluster the scratch area lives under the shared folder named by
-``spark.checkpoint.dir``; we only pick our own folder when that setting is
-absent (unit tests, a laptop).  Nothing in the library writes to a
-machine-local temporary folder when the cluster names a shared one.
+``spark.checkpoint.dir``, and it is an error not to name one; only a local
+master (unit tests, a laptop) gets a temporary folder of its own.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings the library relies on.  Dynamic partition overwrite is the
 # session default so ``insertInto`` never wipes untouched months (see
@@ -32,15 +34,12 @@ STATIC_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-
-# Settings for a large cluster (hundreds of executors, ~100 TB inputs).  The
-# shuffle partition count is an upper bound that AQE coalesces down to the
-# advisory size, so small stages stay small and the fact-sized shuffles get
-# ~256 MB partitions; input splits are sized the same way.  Estimate-based
-# broadcasts are kept small (10 MB); AQE may still broadcast a side whose
-# *measured* size is under its own threshold.
+# Defaults for a cluster (any master that isn't local).  Input splits and
+# shuffle partitions aim at the same size; estimate-based broadcasts stay small
+# (10 MB), and AQE may still broadcast a side whose *measured* size is under its
+# own threshold.  AQE only merges shuffle partitions, so their number is an upper
+# bound: `shuffle_partitions_for` takes it from the input.
 CLUSTER_CONF = {
-    "spark.sql.shuffle.partitions": "8000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
     "spark.sql.files.maxPartitionBytes": "256m",
@@ -50,62 +49,100 @@ CLUSTER_CONF = {
     "spark.sql.files.maxRecordsPerFile": "20000000",
 }
 
+SHUFFLE_BYTES = 256 << 20
+
+
+def is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app_name: str = "contrail", extra: dict | None = None,
-                profile: str = "local") -> SparkSession:
-    """Build (or reuse) a session with the library's settings.
 
-    ``master`` defaults to ``local[*]`` only when no master is configured, so
-    the same call works under ``spark-submit`` on a cluster;
-    ``profile="cluster"`` applies the sizing in ``CLUSTER_CONF``.
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
+                app_name: str = "contrail", extra: dict | None = None) -> SparkSession:
+    """Build (or reuse) a session with the library's defaults.
+
+    ``master``, ``shuffle_partitions`` and ``extra`` are set only when given.
+    Otherwise the session takes what spark-submit or the environment says (Spark's own
+    default is ``local[*]``); see :func:`configure` for the rest.
     """
     builder = SparkSession.builder.appName(app_name)
+    given = dict(extra or {})
     if master:
-        builder = builder.master(master)
-    elif not os.environ.get("SPARK_MASTER") and "spark.master" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
-        builder = builder.master("local[*]")
-    builder = (builder
-               .config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
-    sized = CLUSTER_CONF if profile == "cluster" else {}
-    for key, value in {**STATIC_CONF, **SESSION_CONF, **sized, **(extra or {})}.items():
+        given["spark.master"] = master
+    if shuffle_partitions:
+        given["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if SparkSession.getActiveSession() is None:
+        builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+        for key, value in STATIC_CONF.items():
+            builder = builder.config(key, value)
+    for key, value in given.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    configure(spark)
-    return spark
+    return configure(spark)
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session and make sure a
-    checkpoint folder is known."""
-    for key, value in SESSION_CONF.items():
-        spark.conf.set(key, value)
-    _checkpoint_root(spark)
+    """Apply the defaults to whatever the session's configuration leaves open."""
+    told = spark.sparkContext.getConf()
+    defaults = dict(SESSION_CONF)
+    if is_local(spark):
+        # Spark's default of 200 is for clusters: one per core here.
+        defaults["spark.sql.shuffle.partitions"] = str(max(8, spark.sparkContext.defaultParallelism))
+    else:
+        defaults |= CLUSTER_CONF
+    for key, value in defaults.items():
+        if not told.contains(key):
+            spark.conf.set(key, value)
     return spark
 
 
+def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
+    """Shuffle partitions for an input of that size: 256 MB each, and at least
+    one for each core (400,000 for 100 TB)."""
+    return max(cores, -(-input_bytes // SHUFFLE_BYTES))
+
+
+def size_shuffles(spark: SparkSession, *tables: DataFrame) -> int:
+    """Set the shuffle partitions from the size of the tables a job will read,
+    unless the session's configuration names a number; returns the number."""
+    key = "spark.sql.shuffle.partitions"
+    if not spark.sparkContext.getConf().contains(key) and not is_local(spark):
+        size = sum(int(str(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for t in tables)
+        spark.conf.set(key, str(shuffle_partitions_for(size, spark.sparkContext.defaultParallelism)))
+    return int(spark.conf.get(key))
+
+
 def _checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key
-            configured = None
-    if not configured:
-        # Only reached when the cluster names no shared folder (tests, laptop).
-        configured = tempfile.mkdtemp(prefix="contrail-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if not sc.getCheckpointDir():
+        configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            if not is_local(spark):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            configured = tempfile.mkdtemp(prefix="contrail-ckpt-")
+        sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession, label: str = "work") -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     root = _checkpoint_root(spark).rstrip("/")
     return f"{root}/contrail-{label}-{uuid.uuid4().hex[:12]}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library made, once nothing reads it any more."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in ``path`` (none if it doesn't exist)."""
+    fs, p = _file_system(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []

@@ -25,8 +25,6 @@ from pyspark.sql import functions as F
 from contrail.functions.clock import idiv, minute_to_hhmm
 from contrail.sources import schemas
 
-DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-
 # The station code list (first three letters of each event type,
 # upper case, in alphabetical order) and the origin of the hourly timeline.
 STATIONS = ("CLI", "ERR", "PUR", "SIG", "VIE")

@@ -22,6 +22,7 @@ class Source:
     header: bool = True
     nullstr: str | None = None
     columns: tuple[str, ...] = ()
+    multiline: bool = False  # quoted fields may hold line breaks (one split for each file)
     schema: T.StructType | None = field(default=None, compare=False, hash=False)
 
     def declared_schema(self) -> T.StructType:
@@ -45,35 +46,51 @@ SOURCES: tuple[Source, ...] = (
 SOURCES_BY_NAME = {s.name: s for s in SOURCES}
 
 
-def read_source(spark: SparkSession, src: Source, raw_dir: str, infer: bool = False) -> DataFrame:
-    """Lazy scan of one delimited source.
+def _typed(name: str, kind: T.DataType, where: str):
+    """A text column as its declared type; a value that doesn't fit fails the job."""
+    raw = F.col(f"`{name}`")
+    if isinstance(kind, T.StringType):
+        return F.when(raw != "", raw).alias(name)
+    filled = F.when(F.trim(raw) != "", F.trim(raw))
+    value = filled.try_cast(kind)
+    bad = F.raise_error(F.concat(F.lit(f"{where}: column {name} holds "), filled, F.lit(f", which is no {kind.simpleString()}")))
+    return F.when(filled.isNotNull() & value.isNull(), bad.cast(kind)).otherwise(value).alias(name)
+
 
-    With a declared schema (the default) the file is read once, in parallel
-    splits.  ``infer=True`` samples every row (a full extra pass) and is only
-    meant for exploring a new file.
+def read_source(spark: SparkSession, src: Source, raw_dir: str, infer: bool = False) -> DataFrame:
+    """Lazy scan of one delimited source, in parallel splits.
+
+    Columns are found by the names in the header, whatever their order; a
+    declared column that the file lacks is an error, and columns that the file
+    has beyond the declared ones follow as text, so that a load sees the drift.
+    Empty fields are NULL; a value that doesn't fit its declared type fails the
+    job.  ``infer=True`` samples every row (a full extra pass) and is only meant
+    for exploring a new file.
     """
     path = f"{raw_dir.rstrip('/')}/{src.file}"
     reader = (spark.read
               .option("header", str(src.header).lower())
               .option("quote", '"')
               .option("escape", '"')
-              .option("mode", "PERMISSIVE"))
+              .option("multiLine", str(src.multiline).lower())
+              .option("mode", "PERMISSIVE" if infer else "FAILFAST"))
     if src.nullstr is not None:
         reader = reader.option("nullValue", src.nullstr)
     if infer:
         df = reader.option("inferSchema", "true").option("samplingRatio", 1.0).csv(path)
-        if src.columns:
-            df = df.toDF(*src.columns)
-        return df
-    schema = src.declared_schema()
+        return df.toDF(*src.columns) if src.columns else df
+    declared = src.declared_schema()
     if src.columns:
-        schema = T.StructType([T.StructField(c, schema[c].dataType, True) for c in src.columns])
-    return reader.schema(schema).csv(path)
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Scan a Parquet table (filters and projections reach the scan)."""
-    return spark.read.parquet(path)
+        text = T.StructType([T.StructField(c, T.StringType()) for c in src.columns])
+    else:
+        # One line of the file: its header.
+        text = T.StructType([T.StructField(c, T.StringType()) for c in reader.option("enforceSchema", "false").csv(path).columns])
+    missing = [f.name for f in declared.fields if f.name not in text.fieldNames()]
+    if missing:
+        raise ValueError(f"{src.file} lacks the columns {', '.join(missing)}")
+    extra = [c for c in text.fieldNames() if c not in declared.fieldNames()]
+    return reader.schema(text).csv(path).select(
+        *[_typed(f.name, f.dataType, src.file) for f in declared.fields], *[_typed(c, T.StringType(), src.file) for c in extra])
 
 
 # The 2013 US federal holiday seed (date, name), in calendar order.
@@ -99,19 +116,35 @@ def read_seed(spark: SparkSession, rows=US_HOLIDAYS_2013, path: str | None = Non
     return spark.createDataFrame(data, schemas.HOLIDAYS)
 
 
-# Fixed-date US federal holidays (month, day, name), used to build a holiday
-# table for any span of years by rule.
+# US federal holidays by date (month, day, name) and by weekday
+# (month, weekday, which one of the month, name; -1: the last one).
 FIXED_DATE_HOLIDAYS = (
     (1, 1, "New Years Day"),
     (7, 4, "Independence Day"),
     (11, 11, "Veterans Day"),
     (12, 25, "Christmas Day"),
 )
+WEEKDAY_HOLIDAYS = (
+    (1, "MON", 3, "Martin Luther King Jr Day"),
+    (2, "MON", 3, "Washingtons Birthday"),
+    (5, "MON", -1, "Memorial Day"),
+    (9, "MON", 1, "Labor Day"),
+    (10, "MON", 2, "Columbus Day"),
+    (11, "THU", 4, "Thanksgiving Day"),
+)
+
+
+def _nth_weekday(year, month: int, weekday: str, nth: int):
+    if nth < 0:  # the first one after the last week began
+        return F.next_day(F.date_sub(F.last_day(F.make_date(year, F.lit(month), F.lit(1))), 7), weekday)
+    first = F.next_day(F.date_sub(F.make_date(year, F.lit(month), F.lit(1)), 1), weekday)
+    return F.date_add(first, 7 * (nth - 1))
 
 
 def holidays_for_years(years: DataFrame, year_col: str = "year") -> DataFrame:
-    """Fixed-date holidays for every year in ``years`` (one generator, no join)."""
-    entries = F.array(*[F.struct(F.make_date(F.col(year_col), F.lit(m), F.lit(d)).alias("holiday_date"),
-                                 F.lit(name).alias("holiday_name"))
-                        for m, d, name in FIXED_DATE_HOLIDAYS])
-    return years.select(F.explode(entries).alias("h")).select("h.holiday_date", "h.holiday_name")
+    """The ten federal holidays of every year in ``years`` (one generator, no join)."""
+    year = F.col(year_col)
+    entries = [(F.make_date(year, F.lit(m), F.lit(d)), name) for m, d, name in FIXED_DATE_HOLIDAYS]
+    entries += [(_nth_weekday(year, m, weekday, nth), name) for m, weekday, nth, name in WEEKDAY_HOLIDAYS]
+    rows = F.array(*[F.struct(day.alias("holiday_date"), F.lit(name).alias("holiday_name")) for day, name in entries])
+    return years.select(F.explode(rows).alias("h")).select("h.holiday_date", "h.holiday_name")

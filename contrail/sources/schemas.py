@@ -77,8 +77,3 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
     "openflights_airlines": OPENFLIGHTS,
 }
 
-
-def conform_to(df, schema: T.StructType):
-    """Select and cast ``df``'s columns to ``schema`` (by name, in order)."""
-    from pyspark.sql import functions as F
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

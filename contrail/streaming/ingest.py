@@ -23,11 +23,14 @@ from contrail.operators.incremental import write_incremental
 def ingest_available(spark: SparkSession, landing_dir: str, schema: T.StructType, target_path: str,
                      checkpoint_dir: str, keys: Sequence[str], partition_cols: Sequence[str],
                      transform: Callable[[DataFrame], DataFrame] | None = None,
-                     max_files_per_trigger: int | None = None, file_format: str = "parquet") -> int:
+                     max_files_per_trigger: int | None = None, file_format: str = "parquet",
+                     latest_by: Sequence[str] = ()) -> int:
     """Process every file that has arrived in ``landing_dir`` and stop.
 
     ``transform`` maps a micro-batch of raw rows to target rows (e.g. staging
-    plus the fact's weather lookup).  Returns the number of micro-batches run.
+    plus the fact's weather lookup).  A micro-batch may hold a row and its
+    correction; ``latest_by`` names the columns whose highest values win (without
+    it such a batch is refused).  Returns the number of micro-batches run.
     """
     reader = spark.readStream.schema(schema).format(file_format)
     if max_files_per_trigger:
@@ -37,7 +40,7 @@ def ingest_available(spark: SparkSession, landing_dir: str, schema: T.StructType
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
         rows = transform(batch) if transform else batch
-        write_incremental(spark, rows, target_path, keys, partition_cols)
+        write_incremental(spark, rows, target_path, keys, partition_cols, latest_by=latest_by)
         batches.append(epoch_id)
 
     query = (stream.writeStream
