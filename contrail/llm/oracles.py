@@ -1,3 +1,100 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express, written from their contracts
+and the rules in the operators' docstrings."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from contrail.llm import line_dedup, quality
+
+_NOTICES = "|".join(quality.BOILERPLATE)
+
+QUALITY = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+words AS (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM docs),
+windows AS (
+  SELECT r, unnest(generate_series(1, len(w) - 4)) AS i, w FROM words WHERE len(w) >= 5),
+grams AS (SELECT r, i, w[i : i + 4] AS g FROM windows),
+twice AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM grams),
+repeats AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(generate_series(i, i + 4)) AS p FROM twice WHERE n > 1) GROUP BY r),
+lines AS (
+  SELECT r, unnest(string_split(t, chr(10))) AS line FROM docs),
+spoken AS (SELECT r, line FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+figures AS (
+  SELECT r, line,
+    length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS visible,
+    len(string_split_regex(trim(line), '[\x20\x09-\x0D]+')) AS n_words,
+    length(regexp_replace(line, '[^#*$%&|<>{{}}~^=]+', '', 'g'))
+      + coalesce(list_sum([length(x) for x in regexp_extract_all(line, '[!?]{{2,}}')]), 0) AS marks,
+    length(regexp_replace(line, '[^|>»›•·]+', '', 'g')) AS separators
+  FROM spoken),
+judged AS (
+  SELECT r, line, visible,
+    NOT (marks > {quality.MAX_SYMBOL_SHARE} * visible AND regexp_matches(line, '[#*$%&|<>{{}}~^=»›•·]|[!?]{{2}}')
+      OR separators >= 3 AND separators * 2 >= n_words - separators
+      OR n_words >= {quality.MIN_UNPUNCTUATED} AND NOT regexp_matches(line, '[.,;:!?…。！？،۔।]')
+      OR length(line) <= {quality.MAX_BOILERPLATE_CHARS} AND regexp_matches(lower(line), '{_NOTICES}')) AS good
+  FROM figures),
+by_line AS (
+  SELECT r, count(*) - count(DISTINCT line) AS dup, sum(CASE WHEN good THEN visible ELSE 0 END) AS left_chars FROM judged GROUP BY r),
+base AS (
+  SELECT d.doc_id, len(w.w)::BIGINT AS n_words, length(array_to_string(w.w, ''))::BIGINT AS word_chars,
+    length(regexp_replace(d.t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+    coalesce(l.dup, 0)::BIGINT AS n_dup_lines, coalesce(p.n, 0)::BIGINT AS n_repeat_words, coalesce(l.left_chars, 0) AS left_chars
+  FROM docs d JOIN words w USING (r) LEFT JOIN by_line l USING (r) LEFT JOIN repeats p USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed,
+  NOT (n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words)
+    AND left_chars >= word_chars * {quality.MIN_KEPT_SHARE} AS kept
+FROM base"""
+
+DECONTAMINATION = r"""
+WITH said AS (
+  SELECT doc_id, [x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') if x <> ''] AS w FROM documents),
+items AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item_id, [x for x in string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') if x <> ''] AS w FROM benchmark),
+grams AS (
+  SELECT DISTINCT item_id, w[i : i + n - 1] AS g, n FROM (
+    SELECT item_id, w, least(len(w), 10) AS n, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM grams),
+windows AS (
+  SELECT doc_id, i, n, w[i : i + n - 1] AS g FROM (
+    SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM said JOIN sizes ON len(w) >= n)),
+hits AS (SELECT doc_id, i, b.n, item_id FROM windows a JOIN grams b ON a.n = b.n AND a.g = b.g),
+places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY doc_id),
+met AS (SELECT doc_id, list_sort(list(DISTINCT item_id)) AS ids FROM hits GROUP BY doc_id)
+SELECT s.doc_id, len(s.w)::BIGINT AS n_words, coalesce(p.n_hit, 0)::BIGINT AS n_hit, coalesce(len(m.ids), 0)::BIGINT AS n_items,
+  sha256(coalesce(array_to_string(m.ids, ','), '')) AS items_sha256, coalesce(p.n_hit, 0) > 0 AS contaminated
+FROM said s LEFT JOIN places p USING (doc_id) LEFT JOIN met m USING (doc_id)"""
+
+LINE_DEDUP = rf"""
+WITH raw AS (
+  SELECT doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+spoken AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS no,
+    trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')) AS said
+  FROM raw WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+windows AS (
+  SELECT doc_id, no, [said, lead(said, 1) OVER d, lead(said, 2) OVER d] AS g, lead(no, {line_dedup.LINES - 1}) OVER d AS last
+  FROM spoken WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+ranked AS (
+  SELECT doc_id, no, row_number() OVER (PARTITION BY g ORDER BY doc_id, no) AS k FROM windows WHERE last IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, unnest([no, no + 1, no + 2]) AS no FROM ranked WHERE k > 1),
+told AS (SELECT doc_id, count(*) AS n_removed, string_agg(CAST(no AS VARCHAR), ',' ORDER BY no) AS removed FROM gone GROUP BY doc_id),
+counts AS (SELECT doc_id, count(*) AS n_lines FROM spoken GROUP BY doc_id),
+kept AS (
+  SELECT r.doc_id, string_agg(r.line, chr(10) ORDER BY r.pos) AS text, bool_or(s.no IS NOT NULL) AS any_left
+  FROM raw r LEFT JOIN spoken s USING (doc_id, pos) LEFT JOIN gone g ON g.doc_id = r.doc_id AND g.no = s.no
+  WHERE g.no IS NULL GROUP BY r.doc_id)
+SELECT d.doc_id, coalesce(c.n_lines, 0)::BIGINT AS n_lines, coalesce(t.n_removed, 0)::BIGINT AS n_removed,
+  coalesce(t.removed, '') AS removed,
+  CASE WHEN t.n_removed IS NULL THEN d.text WHEN k.any_left THEN k.text ELSE '' END AS text
+FROM documents d LEFT JOIN counts c USING (doc_id) LEFT JOIN told t USING (doc_id) LEFT JOIN kept k USING (doc_id)"""
+
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": QUALITY,
+    "op8_decontamination": DECONTAMINATION,
+    "op9_line_dedup": LINE_DEDUP,
+}
