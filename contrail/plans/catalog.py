@@ -108,6 +108,7 @@ JOB_QUERIES: dict[str, Query] = {
     "csv_roundtrip": _job("csv_roundtrip"),
     "snap_airport_reference": _job("snapshot_history"),
     "streamed_fact": _job("streamed_fact"),
+    "source_files": _job("source_files"),
     "schema_drift_reload": _job("schema_drift_reload"),
     "incremental_correction": _job("incremental_correction"),
     "incremental_null_partition": _job("incremental_null_partition"),

@@ -155,6 +155,44 @@ def audit_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.recent_loads(spark.read.parquet(audit_path), 10)
 
 
+def write_source_files(raw: dict[str, DataFrame], folder: str) -> None:
+    """The raw sources as the delimited files that their registry describes:
+    instants in UTC with a Z, NULLs empty or as the null token, columns of files
+    with a header in reverse order."""
+    for name, source in SOURCES_BY_NAME.items():
+        df = raw[name].select(*[
+            F.date_format(F.col(f.name).cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias(f.name)
+            if f.dataType.simpleString().startswith("timestamp") else F.col(f.name) for f in raw[name].schema.fields])
+        df = df.select(*source.columns) if source.columns else df.select(*reversed(df.columns))
+        writer = df.write.mode("overwrite").option("header", str(source.header).lower()).option("escape", '"')
+        if source.nullstr is not None:
+            writer = writer.option("nullValue", source.nullstr)
+        writer.csv(f"{folder}/{source.file}")
+
+
+def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All seven sources written as files and read back: a digest per source and
+    column type (rows, filled fields, sums of numbers, earliest and latest instant)."""
+    root = scratch_dir(spark, "files")
+    raw = feed.raw_sources(spark, sf_dir)
+    write_source_files(raw, root)
+    parts = []
+    for name, source in SOURCES_BY_NAME.items():
+        df = read_source(spark, source, root)
+        kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        filled = sum((F.col(c).isNotNull().cast("bigint") for c in kinds), F.lit(0).cast("bigint"))
+        whole = [F.coalesce(F.col(c), F.lit(0)) for c, k in kinds.items() if k == "bigint"]
+        instants = [F.col(c).cast("timestamp_ntz") for c, k in kinds.items() if k.startswith("timestamp")]
+        at = instants[0] if instants else F.lit(None).cast("timestamp_ntz")
+        parts.append(df.agg(F.count(F.lit(1)).cast("bigint").alias("rows"), F.sum(filled).cast("bigint").alias("filled"),
+                            F.sum(sum(whole, F.lit(0).cast("bigint"))).cast("bigint").alias("whole_sum"), F.min(at).alias("first_at"), F.max(at).alias("last_at"))
+                     .select(F.lit(name).alias("source"), "*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the two carrier sources as delimited text the way the source
     systems publish them — one with a header, one header-less with ``\\N`` for

@@ -10,6 +10,7 @@ results are cast to BIGINT, so types agree as well as values.
 from __future__ import annotations
 
 from contrail.plans.oracle_checks import CHECKS
+from contrail.sources.schemas import RAW_SCHEMAS
 
 
 def _hhmm(m: str) -> str:
@@ -467,6 +468,19 @@ SELECT year, month, count(*)::BIGINT AS rows,
   sum(distance + CASE WHEN year = 1998 AND month = 2 THEN 7 ELSE 0 END)::BIGINT AS distance
 FROM raw_flights WHERE NOT (year = 1999 AND month = 3) GROUP BY year, month""")
 
+def source_files_sql() -> str:
+    """Digest of each raw source; blank text is NULL in a delimited file."""
+    arms = []
+    for name, schema in RAW_SCHEMAS.items():
+        table = "raw_" + {"ourairports_airports": "ourairports", "openflights_airlines": "openflights"}.get(name, name)
+        filled = " + ".join(f"CASE WHEN nullif(trim(CAST({f.name} AS VARCHAR)), '') IS NULL THEN 0 ELSE 1 END" for f in schema.fields)
+        whole = " + ".join(f"coalesce({f.name}, 0)" for f in schema.fields if f.dataType.simpleString() == "bigint")
+        at = "time_hour" if "time_hour" in schema.fieldNames() else "CAST(NULL AS TIMESTAMP)"
+        arms.append(f"SELECT '{name}' AS source, count(*)::BIGINT AS rows, sum({filled})::BIGINT AS filled, "
+                    f"sum({whole})::BIGINT AS whole_sum, min({at}) AS first_at, max({at}) AS last_at FROM {table}")
+    return with_model("\nUNION ALL\n".join(arms))
+
+
 SCHEMA_DRIFT = with_model("""
 SELECT year, month, count(*)::BIGINT AS rows,
   (CASE WHEN year = 1998 AND month = 2 THEN count(*) ELSE 0 END)::BIGINT AS gates,
@@ -545,6 +559,7 @@ ORACLES.update({
     "full_refresh_fact": with_model("SELECT * FROM fct"),
     "monthly_reload": MONTHLY_RELOAD,
     "schema_drift_reload": SCHEMA_DRIFT,
+    "source_files": source_files_sql(),
     "incremental_correction": CORRECTION,
     "incremental_null_partition": NULL_PARTITION,
     "full_load_counts": FULL_LOAD_COUNTS,
