@@ -130,6 +130,6 @@ def write_incremental(spark: SparkSession, new: DataFrame, path: str, keys: Sequ
         staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy(*partition_cols).parquet(path)
         present = {tuple(r) for r in staged.select(*as_int).distinct().collect()}
-        clear_partitions(spark, path, schema, partition_cols, [p for p in touched if p not in present])
+        clear_partitions(spark, path, partition_cols, [p for p in touched if p not in present])
     remove_path(spark, scratch)
     return touched

@@ -156,9 +156,9 @@ def _unique_and_row_part(df: DataFrame, table: str, uniq: Sequence[Check], rows:
     for j, c in enumerate(rows):
         hit = violation_predicate(c) & (F.expr(c.where) if c.where else F.lit(True))
         entries.append(F.when(hit, F.struct(F.lit(k + j).alias("i"), F.lit(None).cast("string").alias("v"))))
-    pairs = (df.select(F.explode(F.array(*entries)).alias("p"))
-               .where(F.col("p").isNotNull() & (F.col("p.v").isNotNull() | (F.col("p.i") >= k)))
-               .select("p.i", "p.v"))
+    # Only pairs that say something leave the row.
+    told = F.filter(F.array(*entries), lambda p: p.isNotNull() & (p["v"].isNotNull() | (p["i"] >= k)))
+    pairs = df.select(F.explode(told).alias("p")).select("p.i", "p.v")
     grouped = pairs.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
     aggs = [F.count_if((F.col("i") == i) & (F.col("n") > 1)).cast("bigint").alias(f"_c{i}") for i in range(k)]
     aggs += [F.coalesce(F.sum(F.when(F.col("i") == k + j, F.col("n"))), F.lit(0)).cast("bigint").alias(f"_c{k + j}")

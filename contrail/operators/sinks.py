@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -123,29 +122,11 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
     return spark.read.schema(T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in stored.schema.fields])).parquet(path)
 
 
-def clear_partitions(spark: SparkSession, path: str, schema: T.StructType,
-                     partition_cols: Sequence[str], values: Iterable[Sequence]) -> None:
-    """Remove the given partitions of a path table (static partition
-    overwrite from an empty source, through a temporary external table)."""
-    values = list(values)
-    if not values:
-        return
-    name = f"contrail_clear_{uuid.uuid4().hex[:10]}"
-    data_cols = [f for f in schema.fields if f.name not in partition_cols]
-    cols_ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE {name} ({cols_ddl}) USING parquet "
-              f"PARTITIONED BY ({', '.join(partition_cols)}) LOCATION '{path}'")
-    try:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-        empty = f"{name}_empty"
-        spark.createDataFrame([], T.StructType(data_cols)).createOrReplaceTempView(empty)
-        for vals in values:
-            spec = ", ".join(f"{c}={'null' if v is None else int(v)}" for c, v in zip(partition_cols, vals))
-            spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) "
-                      f"SELECT {', '.join(f'`{f.name}`' for f in data_cols)} FROM {empty}")
-        spark.catalog.dropTempView(empty)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: data stays
+def clear_partitions(spark: SparkSession, path: str, partition_cols: Sequence[str], values: Iterable[Sequence]) -> None:
+    """Remove the folders of the given partitions (None: the NULL partition)."""
+    for vals in values:
+        named = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else int(v)}" for c, v in zip(partition_cols, vals))
+        remove_path(spark, f"{path}/{named}")
 
 
 def _month_filter(months: Sequence[tuple[int, int]]):
@@ -217,7 +198,7 @@ def load_monthly(spark: SparkSession, df: DataFrame, path: str, months: Iterable
     # Replaced months have new files; the others had no incoming rows.
     after = _month_files(spark, path, wanted)
     written = [ym for ym in wanted if after[ym] and after[ym] != before[ym]]
-    clear_partitions(spark, path, incoming.schema, ("year", "month"), [ym for ym in wanted if ym not in written and before[ym]])
+    clear_partitions(spark, path, ("year", "month"), [ym for ym in wanted if ym not in written and before[ym]])
     counts = {}
     if written:
         loaded = spark.read.schema(incoming.schema).parquet(path).where(_month_filter(written))

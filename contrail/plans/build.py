@@ -42,6 +42,8 @@ SNAPSHOT_CHECK_COLS = ("airport_type", "airport_name", "municipality", "has_sche
 class Warehouse(Models):
     """The model graph, materialised under ``root``."""
 
+    ordered = False
+
     def __init__(self, spark: SparkSession, root: str, raw: Mapping[str, DataFrame],
                  full_refresh: bool = False, lookback_days: int = 0, **kwargs):
         super().__init__(raw, **kwargs)

@@ -60,7 +60,7 @@ def _members(fct: DataFrame, key: str, columns: dict[str, str], exact: bool) ->
         *[F.count_if(F.col("kind") == out).alias(out) for out in columns])
 
 
-def mart_carrier_performance(fct: DataFrame, carriers: DataFrame, exact: bool = True) -> DataFrame:
+def mart_carrier_performance(fct: DataFrame, carriers: DataFrame, exact: bool = True, ordered: bool = True) -> DataFrame:
     # Distinct counts stand apart from the percentiles: in one aggregate they would
     # triple the fact and carry its delay maps through every copy.
     members = _members(fct, "carrier_key", {"destination_count": "destination_code", "aircraft_count": "tail_number"}, exact)
@@ -94,10 +94,10 @@ def mart_carrier_performance(fct: DataFrame, carriers: DataFrame, exact: bool =
         round_half_up("_avg_change", 2).alias("avg_delay_change_in_air_minutes"),
         "total_distance_miles",
     )
-    return out.orderBy(F.col("flight_count").desc(), F.col("carrier_code").asc_nulls_last())
+    return out.orderBy(F.col("flight_count").desc(), F.col("carrier_code").asc_nulls_last()) if ordered else out
 
 
-def mart_route_performance(fct: DataFrame, airports: DataFrame) -> DataFrame:
+def mart_route_performance(fct: DataFrame, airports: DataFrame, ordered: bool = True) -> DataFrame:
     agg = fct.groupBy("route_code", "origin_code", "destination_code", "origin_airport_key",
                       "destination_airport_key").agg(
         F.count(F.lit(1)).cast("bigint").alias("flight_count"),
@@ -124,7 +124,7 @@ def mart_route_performance(fct: DataFrame, airports: DataFrame) -> DataFrame:
         round_half_up("_avg_air", 2).alias("avg_air_time_minutes"),
         round_half_up(safe_ratio("distance_miles", "_avg_air") * F.lit(60.0), 1).alias("avg_ground_speed_mph"),
     )
-    return out.orderBy(F.col("flight_count").desc(), F.col("route_code").asc_nulls_last())
+    return out.orderBy(F.col("flight_count").desc(), F.col("route_code").asc_nulls_last()) if ordered else out
 
 
 def weather_bands() -> dict:
@@ -136,7 +136,7 @@ def weather_bands() -> dict:
     }
 
 
-def mart_weather_impact(fct: DataFrame, exact: bool = True) -> DataFrame:
+def mart_weather_impact(fct: DataFrame, exact: bool = True, ordered: bool = True) -> DataFrame:
     """Flights by weather band, three banding dimensions stacked; a flight
     with an unknown reading is left out of that condition only."""
     median_dep, p90_dep = _median_p90("departure_delay_minutes", exact)
@@ -160,10 +160,10 @@ def mart_weather_impact(fct: DataFrame, exact: bool = True) -> DataFrame:
         round_half_up("_median_dep", 2).alias("median_departure_delay_minutes"),
         round_half_up("_p90_dep", 2).alias("p90_departure_delay_minutes"),
     )
-    return out.orderBy("condition_type", "condition_band")
+    return out.orderBy("condition_type", "condition_band") if ordered else out
 
 
-def mart_daily_operations(fct: DataFrame, dates: DataFrame) -> DataFrame:
+def mart_daily_operations(fct: DataFrame, dates: DataFrame, ordered: bool = True) -> DataFrame:
     agg = fct.groupBy("date_key", "origin_code").agg(
         F.count(F.lit(1)).cast("bigint").alias("flight_count"),
         count_where(F.col("is_cancelled")).alias("cancelled_count"),
@@ -186,10 +186,10 @@ def mart_daily_operations(fct: DataFrame, dates: DataFrame) -> DataFrame:
         "avg_precipitation_in",
         "min_visibility_miles", "max_wind_speed_mph",
     )
-    return out.orderBy("date_day", "origin_code")
+    return out.orderBy("date_day", "origin_code") if ordered else out
 
 
-def mart_aircraft_utilization(fct: DataFrame, aircraft: DataFrame) -> DataFrame:
+def mart_aircraft_utilization(fct: DataFrame, aircraft: DataFrame, ordered: bool = True) -> DataFrame:
     agg = fct.where(F.col("tail_number").isNotNull()).groupBy("aircraft_key").agg(
         F.count(F.lit(1)).cast("bigint").alias("flight_count"),
         F.countDistinct("flight_date").cast("bigint").alias("active_day_count"),
@@ -206,4 +206,4 @@ def mart_aircraft_utilization(fct: DataFrame, aircraft: DataFrame) -> DataFrame:
         round_half_up(safe_ratio("flight_count", "active_day_count"), 2).alias("flights_per_active_day"),
         round_half_up("_avg_arr", 2).alias("avg_arrival_delay_minutes"),
     )
-    return out.orderBy(F.col("flight_count").desc(), F.col("tail_number").asc_nulls_last())
+    return out.orderBy(F.col("flight_count").desc(), F.col("tail_number").asc_nulls_last()) if ordered else out

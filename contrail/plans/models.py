@@ -20,6 +20,9 @@ from contrail.sources import feed
 class Models:
     """Lazy model graph over a mapping of raw source DataFrames."""
 
+    #: Whether marts come sorted; tables that are stored are not.
+    ordered = True
+
     def __init__(self, raw: Mapping[str, DataFrame], holidays: DataFrame | None = None,
                  hubs: Sequence[str] = warehouse.DEFAULT_HUBS,
                  as_of_year: int = warehouse.DEFAULT_AS_OF_YEAR):
@@ -94,23 +97,23 @@ class Models:
     # marts -------------------------------------------------------------
     @cached_property
     def mart_carrier_performance(self) -> DataFrame:
-        return self._model("mart_carrier_performance", lambda: marts.mart_carrier_performance(self.fct_flight, self.dim_carrier))
+        return self._model("mart_carrier_performance", lambda: marts.mart_carrier_performance(self.fct_flight, self.dim_carrier, ordered=self.ordered))
 
     @cached_property
     def mart_route_performance(self) -> DataFrame:
-        return self._model("mart_route_performance", lambda: marts.mart_route_performance(self.fct_flight, self.dim_airport))
+        return self._model("mart_route_performance", lambda: marts.mart_route_performance(self.fct_flight, self.dim_airport, ordered=self.ordered))
 
     @cached_property
     def mart_weather_impact(self) -> DataFrame:
-        return self._model("mart_weather_impact", lambda: marts.mart_weather_impact(self.fct_flight))
+        return self._model("mart_weather_impact", lambda: marts.mart_weather_impact(self.fct_flight, ordered=self.ordered))
 
     @cached_property
     def mart_daily_operations(self) -> DataFrame:
-        return self._model("mart_daily_operations", lambda: marts.mart_daily_operations(self.fct_flight, self.dim_date))
+        return self._model("mart_daily_operations", lambda: marts.mart_daily_operations(self.fct_flight, self.dim_date, ordered=self.ordered))
 
     @cached_property
     def mart_aircraft_utilization(self) -> DataFrame:
-        return self._model("mart_aircraft_utilization", lambda: marts.mart_aircraft_utilization(self.fct_flight, self.dim_aircraft))
+        return self._model("mart_aircraft_utilization", lambda: marts.mart_aircraft_utilization(self.fct_flight, self.dim_aircraft, ordered=self.ordered))
 
     # analyses ----------------------------------------------------------
     @cached_property

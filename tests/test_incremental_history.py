@@ -81,3 +81,39 @@ def test_scd2_versions(spark):
     assert c_rows == [(T1, T2), (T3, None)]
     assert h3.where(F.col("valid_to").isNull()).count() == 4
     assert h3.select("version_id").distinct().count() == h3.count()
+
+
+def _stored(spark, path):
+    return sorted((r.k, r.v, r.p) for r in spark.read.parquet(path).collect())
+
+
+def test_a_batch_with_a_row_and_its_correction(spark):
+    import pytest
+    path = tempfile.mkdtemp(prefix="contrail-dup-") + "/t"
+    rows_of = lambda data: spark.createDataFrame(data, "k bigint, v bigint, p int")
+    write_incremental(spark, rows_of([(1, 1, 1), (2, 1, 1)]), path, ["k"], ["p"])
+    batch = rows_of([(2, 2, 1), (2, 3, 2), (3, 1, 2)])
+    with pytest.raises(ValueError, match="several rows of a key"):
+        write_incremental(spark, batch, path, ["k"], ["p"])
+    assert _stored(spark, path) == [(1, 1, 1), (2, 1, 1)]
+    write_incremental(spark, batch, path, ["k"], ["p"], latest_by=["v"])
+    assert _stored(spark, path) == [(1, 1, 1), (2, 3, 2), (3, 1, 2)]
+
+
+def test_rows_without_a_partition_value(spark):
+    path = tempfile.mkdtemp(prefix="contrail-null-") + "/t"
+    rows_of = lambda data: spark.createDataFrame(data, "k bigint, v bigint, p int")
+    write_incremental(spark, rows_of([(1, 1, None), (2, 1, None)]), path, ["k"], ["p"])
+    write_incremental(spark, rows_of([(2, 2, None), (3, 1, 5)]), path, ["k"], ["p"])
+    got = {r.k: (r.v, r.p) for r in spark.read.parquet(path).collect()}
+    assert got == {1: (1, None), 2: (2, None), 3: (1, 5)}
+    write_incremental(spark, rows_of([(1, 2, 5), (2, 3, 5)]), path, ["k"], ["p"])
+    assert _stored(spark, path) == [(1, 2, 5), (2, 3, 5), (3, 1, 5)]
+
+
+def test_a_snapshot_row_without_a_key_is_refused(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    rows_of = spark.createDataFrame([("a", "x"), (None, "y")], "id string, c string")
+    with pytest.raises(PySparkException, match="without id"):
+        scd2_snapshot(rows_of, None, "id", ["c"], dt.datetime(2024, 1, 1)).collect()
