@@ -10,9 +10,10 @@ its words; words are runs of anything but ASCII white space, A to Z lowered).
    by the node's own hash (1 / threshold of them on average), and sets with the
    same token there go on together.  A node of at most ``BUCKET`` sets is brute
    forced with 128-bit sketches; larger ones are split again, down to ``DEPTH``.
-   Buckets still larger there hold near copies: their sets are compared with a few
-   pivots, and only those no pivot matches go on to the next pivots, so that work
-   stays in proportion to the bucket and no bucket is ever gathered in one task.
+   Buckets still larger there mostly hold near copies: their sets are compared
+   with a few pivots, and only those no pivot matches are split again, so that
+   work stays in proportion to the bucket, no bucket is ever gathered in one task,
+   and the recursion ends by itself.
    The whole recursion is repeated ``runs`` times; :func:`runs_for` takes the
    number from the target recall.
 4. Candidate links are joined into groups.  Inside a group every pair of sets is
@@ -58,7 +59,7 @@ BLOCK = 256
 #: A sketch passes when it agrees as often as one of a pair four deviations
 #: below the threshold would.
 DEVIATIONS = 4.0
-MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_ROWS = 30_000
 SEGMENT = 1 << 20
 WIDTH = 8192
 
@@ -280,16 +281,16 @@ def candidate_links(reps: DataFrame, threshold: float = THRESHOLD, recall: float
     rows, found = _roots(reps, runs_for(recall, threshold), threshold), []
     depth = 1
     while True:
+        # Every level is stored: plans stay small however deep the recursion gets.
         sized = cut(_sizes(rows))
+        found.append(cut(_brute_force(sized.filter(F.col("size") <= BUCKET), threshold)))
         large = sized.filter(F.col("size") > BUCKET)
-        found.append(_brute_force(sized.filter(F.col("size") <= BUCKET), threshold))
         if large.isEmpty():
             break
-        if depth < DEPTH:
-            rows = _split(large, reps, threshold)
-        else:
-            links, rows = _pivot_links(large, threshold)
-            found.append(links)
+        if depth >= DEPTH:
+            links, large = _pivot_links(large, threshold)
+            found.append(cut(links))
+        rows = _split(large, reps, threshold)
         depth += 1
     every = found[0]
     for more in found[1:]:
@@ -442,7 +443,7 @@ def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD, recall: floa
     marks = link(docs, threshold, recall).filter("doc_id is not null").groupBy("doc_id").agg(
         F.min("class_id").alias("class_id"), F.count("*").alias("n"))
     marks = cut(marks.filter("class_id != doc_id or n > 1").select(F.col("doc_id").alias("marked"), (F.col("class_id") != F.col("doc_id")).alias("goes")))
-    side = F.broadcast(marks) if marks.count() <= 5 * MAX_BROADCAST_ROWS else marks
+    side = F.broadcast(marks) if marks.count() <= 10 * MAX_BROADCAST_ROWS else marks
     given = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("own_id"))
     told = given.join(side, F.col("own_id") == F.col("marked"), "left").filter("goes is null or not goes")
     # Repeated rows of the one that stays are the only ones marked to stay.
