@@ -38,6 +38,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def where_computed(df: DataFrame, condition: Column) -> DataFrame:
+    """``df.filter(condition)`` after its columns are computed.
+
+    The optimiser pushes a plain filter below the projections it reads from, and
+    writes their expressions into it again, once for each mention; for long chains
+    over whole texts that costs far more than the rows it saves.  A condition
+    that needs a row number can't be pushed there."""
+    number = fresh_name(df, "row_number")
+    return df.withColumn(number, F.monotonically_increasing_id()).filter(condition & (F.col(number) >= 0)).drop(number)
+
+
 _shipped: set[str] = set()
 
 

@@ -6,13 +6,13 @@ hashes on the spot, which probe the set; a hit is verified against the words of
 the window, and spans or documents are removed.
 
 The set is broadcast while it has at most ``MAX_BROADCAST_WINDOWS`` windows,
-counted first; a larger one is joined by shuffling.  Only hits are stored between
-the two passes over the texts, and they go back to their documents by broadcast
-under the same kind of bound.  DataFrame expressions only.
+counted first; a larger one is joined by shuffling.  Only counts and hits are
+stored between the pass over all texts and the one over those with hits, and hits
+go back to their documents by broadcast under the same kind of bound.  DataFrame expressions only.
 
 Defined cases: a null text has no words; an item without words has no windows;
-repeated items count once; repeated document rows are judged one by one, each on
-its own words; an empty benchmark hits nothing, an empty table gives an empty
+repeated items count once; repeated document rows each get their row, on their
+own words; an empty benchmark hits nothing, an empty table gives an empty
 result; other columns are kept by :func:`remove_documents` and
 :func:`remove_spans`, whatever their names.
 """
@@ -79,31 +79,50 @@ def _hashed(grams: DataFrame, sizes: list[int]) -> DataFrame:
     return hashed.select("size", own.alias("hash"), F.array_join("gram", " ").alias("gram"), "items")
 
 
+_HITS = "array<struct<at:int,size:int,gram:string,items:array<string>>>"
+
+
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` (any columns, with doc_id and text) as one struct ``row``, with
-    its ``words`` and verified ``hits``: (at, size, gram, items), at from 0."""
-    given = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), text_or_empty().alias("t"))
+    """id, copy (hash of the text), n_words, n_rows (how many rows have that id
+    and text) and verified ``hits``: (at, size, gram, items), at from 0."""
+    t = text_or_empty()
+    given = docs.select(F.col("doc_id").alias("id"), F.xxhash64(t).alias("copy"), t.alias("t"))
+    said = given.select("id", "copy", normalised_words(F.col("t")).alias("words"))
+    none = F.array().cast(_HITS)
     grams = cut(benchmark_windows(benchmark, window))
     sizes = sorted(r["size"] for r in grams.select("size").distinct().collect())  # at most `window` numbers
-    said = given.select("row", "id", normalised_words(F.col("t")).alias("words"))
-    none = F.array().cast("array<struct<at:int,size:int,gram:string,items:array<string>>>")
     if not sizes:
-        return said.select("row", "words", none.alias("hits"))
-    table = _hashed(grams, sizes)
+        return said.groupBy("id", "copy").agg(F.max(F.size("words")).cast("long").alias("n_words"), F.count("*").alias("n_rows")).withColumn("hits", none)
+    table = _hashed(grams, sizes).withColumnsRenamed({"size": "its_size", "hash": "its_hash"})
     if grams.count() <= MAX_BROADCAST_WINDOWS:
         table = F.broadcast(table)
-    hashed = with_window_hashes(given.select("id", normalised_words(F.col("t")).alias("words")), "words", sizes)
+    hashed = with_window_hashes(said, "words", sizes)
     found = None
     for s in sizes:
-        probe = hashed.select("id", F.posexplode(f"h{s}").alias("at", "hash")).withColumn("size", F.lit(s))
+        # The outer form: a text without windows keeps a row, and the optimiser doesn't filter by the
+        # size of the array first, for which it would compute it many times.
+        probe = hashed.select("id", "copy", F.size("words").alias("n"), F.posexplode_outer(f"h{s}").alias("at", "hash")).withColumns(
+            {"size": F.lit(s), "first": (F.lit(s == sizes[0]) & (F.coalesce("at", F.lit(0)) == 0)).cast("int")})
         found = probe if found is None else found.unionByName(probe)
-    hits = cut(found.join(table, ["size", "hash"]).groupBy("id").agg(
-        F.collect_set(F.struct("at", "size", "gram", "items")).alias("hits")))
-    n = hits.agg(F.sum(F.size("hits"))).first()[0] or 0
-    hits = hits.withColumnRenamed("id", "hit_id")
-    back = said.join(F.broadcast(hits) if n <= MAX_BROADCAST_HITS else hits, F.col("id").eqNullSafe(F.col("hit_id")), "left")
-    verified = F.filter("hits", lambda x: F.array_join(F.slice(F.col("words"), x["at"] + 1, x["size"]), " ") == x["gram"])
-    return back.select("row", "words", F.when(F.col("hits").isNull(), none).otherwise(verified).alias("hits"))
+    met = found.join(table, (F.col("size") == F.col("its_size")) & (F.col("hash") == F.col("its_hash")), "left").filter("gram is not null or first = 1")
+    rows = cut(met.groupBy("id", "copy").agg(
+        F.max("n").cast("long").alias("n_words"), F.sum("first").alias("n_rows"),
+        F.collect_set(F.when(F.col("gram").isNotNull(), F.struct("at", "size", "gram", "items"))).alias("maybe")))
+    # The texts with such hits are read again and their words compared.
+    suspects = _small(rows.filter(F.size("maybe") > 0).select(F.col("id").alias("its_id"), F.col("copy").alias("its_copy"), "maybe"), "maybe")
+    again = given.join(suspects, F.col("id").eqNullSafe(F.col("its_id")) & (F.col("copy") == F.col("its_copy")))
+    again = again.select("id", "copy", "maybe", normalised_words(F.col("t")).alias("words"))
+    verified = F.filter("maybe", lambda x: F.array_join(F.slice(F.col("words"), x["at"] + 1, x["size"]), " ") == x["gram"])
+    hits = cut(again.select("id", "copy", verified.alias("hits")).groupBy("id", "copy").agg(F.first("hits").alias("hits"))).select(
+        F.col("id").alias("its_id"), F.col("copy").alias("its_copy"), "hits")
+    return rows.drop("maybe").join(_small(hits, "hits"), F.col("id").eqNullSafe(F.col("its_id")) & (F.col("copy") == F.col("its_copy")), "left").select(
+        "id", "copy", "n_words", "n_rows", F.coalesce("hits", none).alias("hits"))
+
+
+def _small(hits: DataFrame, column: str) -> DataFrame:
+    """``hits``, to be broadcast while they are few."""
+    n = hits.agg(F.sum(F.size(column))).first()[0] or 0
+    return F.broadcast(hits) if n <= MAX_BROADCAST_HITS else hits
 
 
 def covered(hits: Column) -> Column:
@@ -113,29 +132,36 @@ def covered(hits: Column) -> Column:
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of each row."""
-    found = find_hits(docs.select("doc_id", "text"), benchmark, window)
+    found = find_hits(docs, benchmark, window)
     items = F.sort_array(F.array_distinct(F.flatten(F.transform("hits", lambda x: x["items"]))))
-    n_hit = F.size(covered(F.col("hits"))).cast("long")
-    return found.select(
-        F.col("row.doc_id").alias("doc_id"), F.size("words").cast("long").alias("n_words"), n_hit.alias("n_hit"), items.alias("items"),
-    ).select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-             F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    told = found.select(F.col("id").alias("doc_id"), "n_words", F.size(covered(F.col("hits"))).cast("long").alias("n_hit"), items.alias("items"), "n_rows")
+    told = told.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                       F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+                       F.explode(F.sequence(F.lit(1).cast("long"), "n_rows")).alias("row"))
+    return told.drop("row")
+
+
+def _with_hits(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
+    """``docs`` as one struct ``row``, with ``hits`` (null where there are none)."""
+    hits = _small(find_hits(docs, benchmark, window).filter(F.size("hits") > 0).select("id", "copy", "hits"), "hits")
+    given = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64(text_or_empty()).alias("own_copy"))
+    return given.join(hits, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_copy") == F.col("copy")), "left").select("row", "hits")
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without a hit; same columns."""
-    return find_hits(docs, benchmark, window).filter(F.size("hits") == 0).select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    return _with_hits(docs, benchmark, window).filter("hits is null").select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """All documents, the hit words and what follows each of them cut out of
     their texts; same columns."""
-    found = find_hits(docs, benchmark, window)
+    found = _with_hits(docs, benchmark, window)
     between, word = BETWEEN[:-1], "[^" + BETWEEN[1:-2] + "]+"
     text = F.col("row")["text"]
     lead = F.regexp_extract(text, f"^{between}*", 0)
     tokens = F.regexp_extract_all(text, F.lit(f"{word}{between}*"), F.lit(0))
     left = F.filter(F.col("tokens"), lambda _, i: ~F.array_contains(F.col("places"), i))
-    cleaned = F.when(F.size("hits") == 0, text).otherwise(F.concat(lead, F.array_join(left, "")))
-    out = found.withColumn("tokens", F.when(F.size("hits") > 0, tokens)).withColumn("places", covered(F.col("hits"))).withColumn("cleaned", cleaned)
+    cleaned = F.when(F.col("hits").isNull(), text).otherwise(F.concat(lead, F.array_join(left, "")))
+    out = found.withColumn("tokens", F.when(F.col("hits").isNotNull(), tokens)).withColumn("places", covered(F.col("hits"))).withColumn("cleaned", cleaned)
     return out.select(*[(F.col("cleaned") if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns])

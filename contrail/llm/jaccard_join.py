@@ -9,11 +9,11 @@ its words; words are runs of anything but ASCII white space, A to Z lowered).
 3. Chosen paths: at every node of a recursion, one or two coordinates are drawn
    by the node's own hash (1 / threshold of them on average), and sets with the
    same token there go on together.  A node of at most ``BUCKET`` sets is brute
-   forced with 128-bit sketches; larger ones are split again, down to ``DEPTH``.
-   Buckets still larger there mostly hold near copies: their sets are compared
-   with a few pivots, and only those no pivot matches are split again, so that
-   work stays in proportion to the bucket, no bucket is ever gathered in one task,
-   and the recursion ends by itself.
+   forced with 128-bit sketches.  The sets of a larger one are first compared with
+   a few pivots, drawn from it: those near a pivot are linked to it (their other
+   links come from step 4), and the rest is split again.  So work stays in
+   proportion to the bucket even if all its sets are near copies, no bucket is
+   ever gathered in one task, and the recursion ends by itself.
    The whole recursion is repeated ``runs`` times; :func:`runs_for` takes the
    number from the target recall.
 4. Candidate links are joined into groups.  Inside a group every pair of sets is
@@ -251,7 +251,7 @@ def _brute_force(small: DataFrame, threshold: float) -> DataFrame:
                         right.append(pair[1])
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
-    return map_batches(buckets, run, "a long, b long").distinct()
+    return map_batches(buckets, run, "a long, b long")
 
 
 def _sizes(rows: DataFrame) -> DataFrame:
@@ -272,14 +272,13 @@ def _pivot_links(large: DataFrame, threshold: float) -> tuple[DataFrame, DataFra
     agrees = lambda p: (F.bit_count(p["s0"].bitwiseXOR(F.col("s0"))) + F.bit_count(p["s1"].bitwiseXOR(F.col("s1")))) <= COORDINATES - least
     met = cut(large.join(pivots, "node").withColumn("met", F.filter("pivots", agrees)).drop("pivots"))
     links = met.select("rep", F.explode("met").alias("p")).filter(F.col("rep") != F.col("p.rep")).select(
-        F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")).distinct()
+        F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b"))
     return links, met.filter(F.size("met") == 0).select("node", "rep", "s0", "s1")
 
 
 def candidate_links(reps: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """Links (a, b) whose sketches agree, found by chosen paths."""
     rows, found = _roots(reps, runs_for(recall, threshold), threshold), []
-    depth = 1
     while True:
         # Every level is stored: plans stay small however deep the recursion gets.
         sized = cut(_sizes(rows))
@@ -287,11 +286,10 @@ def candidate_links(reps: DataFrame, threshold: float = THRESHOLD, recall: float
         large = sized.filter(F.col("size") > BUCKET)
         if large.isEmpty():
             break
-        if depth >= DEPTH:
-            links, large = _pivot_links(large, threshold)
-            found.append(cut(links))
+        # Members near a pivot are linked to it; the others go down.
+        links, large = _pivot_links(large, threshold)
+        found.append(links)
         rows = _split(large, reps, threshold)
-        depth += 1
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
@@ -302,18 +300,18 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node in ``links`` (a, b), root the lowest connected
     one; alternating large and small stars until nothing moves."""
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
-    last = None
     while True:
+        # Stars: every node points to one root, and no root points anywhere.
+        out = edges.groupBy("u").agg(F.count("*").alias("n"))
+        moving = out.filter("n > 1").select("u").union(edges.select("v").distinct().join(out.select(F.col("u").alias("v")), "v").select("v"))
+        if moving.isEmpty():
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
         edges = cut(small.select(F.col("e.u").alias("u"), F.col("e.m").alias("v")).filter("u != v").distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == last:
-            break
-        last = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import SPACE, text_or_empty
+from contrail.llm.common import SPACE, text_or_empty, where_computed
 
 LINES = 3
 _HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -40,10 +40,12 @@ def spoken_lines(text: Column) -> Column:
 def windows_of(docs: DataFrame, lines: int = LINES) -> DataFrame:
     """id, copy (hash of the text), at, h1 and h2 of every window."""
     said = docs.select(F.col("doc_id").alias("id"), F.xxhash64(text_or_empty()).alias("copy"), spoken_lines(text_or_empty()).alias("said"))
-    at = F.explode(F.transform(F.sequence(F.lit(1), F.size("said") - (lines - 1)), lambda i: F.struct(
+    each = F.transform(F.sequence(F.lit(1), F.size("said") - (lines - 1)), lambda i: F.struct(
         (i - 1).alias("at"), F.xxhash64(F.slice(F.col("said"), i, F.lit(lines))).alias("h1"),
-        F.xxhash64(F.lit("second"), F.slice(F.col("said"), i, F.lit(lines))).alias("h2"))))
-    return said.filter(F.size("said") >= lines).select("id", "copy", at.alias("w")).select("id", "copy", "w.*")
+        F.xxhash64(F.lit("second"), F.slice(F.col("said"), i, F.lit(lines))).alias("h2")))
+    # The outer form, as the optimiser would filter by the size of the array first and so compute it twice.
+    windows = said.select("id", "copy", F.explode_outer(F.when(F.size("said") >= lines, each)).alias("w"))
+    return windows.filter("w.at is not null").select("id", "copy", "w.*")
 
 
 def later_windows(docs: DataFrame, lines: int = LINES) -> DataFrame:
@@ -66,14 +68,14 @@ def dedup_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
     gone = F.sort_array(F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (lines - 1))))))
     split = F.split(F.coalesce(text, F.lit("")), "\n")
     found = found.withColumn("removed", F.coalesce(gone, F.array().cast("array<int>"))).withColumn("all_lines", split)
-    # Each line with the number of lines with a word up to it.
-    numbered = F.aggregate("all_lines", F.struct(F.lit(0).alias("n"), F.array().cast("array<struct<line:string,no:int>>").alias("out")), lambda s, x: F.struct(
-        (s["n"] + x.rlike(_HAS_WORD).cast("int")).alias("n"),
-        F.concat(s["out"], F.array(F.struct(x.alias("line"), F.when(x.rlike(_HAS_WORD), s["n"]).otherwise(-1).alias("no")))).alias("out")))["out"]
-    left = F.filter("numbered", lambda x: ~F.array_contains(F.col("removed"), x["no"]))
-    found = found.withColumn("numbered", F.when(F.size("removed") > 0, numbered)).withColumn("left", F.when(F.size("removed") > 0, left))
-    any_left = F.exists("left", lambda x: x["no"] >= 0)
-    cleaned = F.when(F.size("removed") == 0, text).when(any_left, F.array_join(F.transform("left", lambda x: x["line"]), "\n")).otherwise("")
+    # The places of the lines with a word among all lines, then those that stay.
+    every = F.sequence(F.lit(0), F.size("all_lines") - 1)
+    spoken = F.filter(every, lambda i: F.get("all_lines", i).rlike(_HAS_WORD))
+    found = found.withColumn("places", F.when(F.size("removed") > 0, spoken))
+    going = F.transform("removed", lambda r: F.get("places", r))
+    found = found.withColumn("left", F.when(F.size("removed") > 0, F.array_except(every, going)))
+    kept = F.array_join(F.transform("left", lambda i: F.get("all_lines", i)), "\n")
+    cleaned = F.when(F.size("removed") == 0, text).when(F.size("removed") < F.size("places"), kept).otherwise("")
     return found.select("row", cleaned.alias("cleaned"), F.size(F.filter("all_lines", lambda x: x.rlike(_HAS_WORD))).cast("long").alias("n_lines"), "removed")
 
 
@@ -88,7 +90,7 @@ def report(docs: DataFrame, lines: int = LINES) -> DataFrame:
 def dedup_documents(docs: DataFrame, lines: int = LINES) -> DataFrame:
     """The documents with their remaining lines; those of which nothing is left
     go.  Same columns; ``n_chars``, where there is one, follows the text."""
-    found = dedup_lines(docs, lines).filter((F.size("removed") == 0) | (F.col("cleaned") != ""))
+    found = where_computed(dedup_lines(docs, lines), (F.size("removed") == 0) | (F.col("cleaned") != ""))
     out = {c: F.col("row")[c] for c in docs.columns} | {"text": F.col("cleaned")}
     if "n_chars" in docs.columns:
         out["n_chars"] = F.when(F.size("removed") == 0, F.col("row")["n_chars"]).otherwise(F.length("cleaned")).cast(docs.schema["n_chars"].dataType)

@@ -75,15 +75,27 @@ class Encoder:
         self._split = merger(path).split
         self._known: dict[str, bytes] = {}
 
+    def _learn(self, new: list[str]) -> None:
+        """Encode words in one call; the library tells which word a token is of."""
+        told = self._library.encode(" ".join(new), add_special_tokens=False)
+        tokens: list[list[int]] = [[] for _ in new]
+        if told.word_ids and told.word_ids[-1] == len(new) - 1:
+            for n, i in zip(told.word_ids, told.ids, strict=True):
+                tokens[n].append(i)
+        if not all(tokens):  # some word is split further when it stands alone
+            tokens = [e.ids for e in self._library.encode_batch(new, add_special_tokens=False)]
+        for w, t in zip(new, tokens, strict=True):
+            self._known[w] = struct.pack(f"<{len(t)}I", *t)
+
     def ids(self, text: str) -> bytes:
         out = []
         for special, words in self._split.parts(text):
-            new = list({w for w in words if w not in self._known})
+            new = list(set(words).difference(self._known))
             if len(self._known) + len(new) > KEEP_WORDS:
                 self._known.clear()
                 new = list(set(words))
-            for w, e in zip(new, self._library.encode_batch(new, add_special_tokens=False), strict=True):
-                self._known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+            if new:
+                self._learn(new)
             out += map(self._known.__getitem__, words)
             for w in new:
                 if len(w) > KEEP_CHARS:

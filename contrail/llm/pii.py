@@ -72,23 +72,39 @@ ANNOUNCES = {
 MISLEADS = r"version|invoice|order|isbn|serial|sku|part no|build|chapter"
 CONTEXT_CHARS = 30
 LABELERS = 4
+RUN = 256
+_PLACES = "array<struct<start:int,s:string>>"
 FEATURES = 1 + 2 * LABELERS + len(KINDS) + 2
 
 
-def matches(text: Column, kind: str) -> Column:
-    """(start, s) of every match, leftmost and without overlap: the pieces
-    between the matches tell where they are."""
+def pieces(text: Column, kind: str) -> Column:
+    """(gap, s): every match with the text before it, leftmost and without
+    overlap; the last gap has no match."""
     pattern = PATTERNS[kind]
     found = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("s"))
-    none = "array<struct<start:int,s:string>>"
-    placed = F.aggregate(
-        found, F.struct(F.lit(0).alias("at"), F.array().cast(none).alias("out")),
+    return F.when(text.rlike(FIRST_LOOK[kind]), found).otherwise(F.array().cast("array<struct<gap:string,s:string>>"))
+
+
+def _placed(found: Column) -> Column:
+    """The length of some pieces, and their matches with places relative to it."""
+    return F.aggregate(
+        found, F.struct(F.lit(0).alias("at"), F.array().cast(_PLACES).alias("out")),
         lambda acc, x: F.struct(
             (acc["at"] + F.length(x["gap"]) + F.coalesce(F.length(x["s"]), F.lit(0))).alias("at"),
             F.when(x["s"].isNull(), acc["out"]).otherwise(
-                F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(x["gap"])).alias("start"), x["s"].alias("s"))))).alias("out")),
-        lambda acc: acc["out"])
-    return F.when(text.rlike(FIRST_LOOK[kind]), placed).otherwise(F.array().cast(none))
+                F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(x["gap"])).alias("start"), x["s"].alias("s"))))).alias("out")))
+
+
+def matches(found: Column) -> Column:
+    """(start, s) of every match.  Pieces are placed in runs of ``RUN`` and the
+    runs one after another, as an array that grows is copied at every step."""
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / RUN).cast("int")), lambda i: _placed(F.slice(found, i * RUN + 1, F.lit(RUN))))
+    joined = F.aggregate(
+        runs, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_PLACES}>").alias("out")),
+        lambda acc, x: F.struct((acc["at"] + x["at"]).alias("at"), F.concat(acc["out"], F.array(F.transform(
+            x["out"], lambda m: F.struct((m["start"] + acc["at"]).alias("start"), m["s"].alias("s"))))).alias("out")),
+        lambda acc: F.flatten(acc["out"]))
+    return F.when(F.size(found) > 0, joined).otherwise(F.array().cast(_PLACES))
 
 
 def luhn(digits: Column) -> Column:
@@ -155,7 +171,8 @@ def candidates(docs: DataFrame) -> DataFrame:
     # One column after another: an expression that is used in a lambda must be
     # a column of the step before, or it is worked out for each element.
     step = docs.select("doc_id", text_or_empty().alias("t"))
-    step = step.select("doc_id", "t", *[matches(F.col("t"), k).alias(f"m_{k}") for k in KINDS])
+    step = step.select("doc_id", "t", *[pieces(F.col("t"), k).alias(f"p_{k}") for k in KINDS])
+    step = step.select("doc_id", "t", *[matches(F.col(f"p_{k}")).alias(f"m_{k}") for k in KINDS])
     spans = F.concat(*[judged(F.col("t"), F.col(f"m_{k}"), k) for k in KINDS])
     return cut(step.select("doc_id", F.when(sum((F.size(f"m_{k}") for k in KINDS), F.lit(0)) > 0, spans).alias("spans")))
 

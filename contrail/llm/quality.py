@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import SPACE, fresh_name, text_or_empty, words
+from contrail.llm.common import SPACE, fresh_name, text_or_empty, where_computed, words
 
 #: Fixed value: the characters that count as symbols in ``n_symbols``.
 SYMBOLS = r"[^#*$%&|<>]+"
@@ -135,7 +135,7 @@ def clean_documents(docs: DataFrame, **rules: float) -> DataFrame:
     ``n_chars``, where there is one, follows the text."""
     columns = docs.columns
     given = docs.select(F.col("text"), F.struct(*columns).alias("row"))
-    kept = judge(given, **rules).filter("kept")
+    kept = where_computed(judge(given, **rules), F.col("kept"))
     out = {c: F.col("row")[c] for c in columns} | {"text": F.col("cleaned")}
     if "n_chars" in columns:
         out["n_chars"] = F.length("cleaned").cast(docs.schema["n_chars"].dataType)

@@ -23,6 +23,7 @@ from __future__ import annotations
 import functools
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -38,6 +39,9 @@ from contrail.llm.common import map_batches
 _WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and not 0x1C <= ord(c) <= 0x1F)
 #: Fixed value: the library's word pattern.
 WORD = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_WHITE}\p{{L}}\p{{N}}]+"
+#: The same for texts of Latin-1 characters in lower case, without Unicode tables.
+_LATIN_LETTERS, _LATIN_NUMBERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+LATIN_WORD = rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN_LETTERS}]+|[{_LATIN_NUMBERS}]|[^\t-\r \x85\xa0{_LATIN_LETTERS}{_LATIN_NUMBERS}]+"
 KEEP_WORDS = 400_000
 KEEP_CHARS = 40
 MAX_TOKENS = 2048
@@ -58,12 +62,15 @@ class Splitter:
         self.specials = {t["content"]: t["id"] for t in vocabulary["added_tokens"]}
         self._special = regex.compile("|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True)))) if self.specials else None
         self._words = regex.compile(WORD).findall
+        self._latin_words = re.compile(LATIN_WORD).findall
 
     def words(self, text: str) -> list[str]:
-        if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
             # The library lowers one character at a time: no final sigma.
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return self._words(text.lower())
+            return self._words(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        return self._latin_words(text.lower())  # always in normal form
 
     def parts(self, text: str) -> Iterator[tuple[str, list[str]]]:
         """(special string that follows, words before it); "" at the end."""
