@@ -2,13 +2,14 @@
 
 The windows of all benchmark items (10 consecutive words, or a whole item that
 is shorter) form a set of hashes.  Each training text is turned into its window
-hashes on the spot, which probe the set; a hit is verified against the words of
-the window, and spans or documents are removed.
+hashes on the spot, which probe the set; a hit is verified by a second,
+independent 64-bit hash of its words (reading the words again would take the texts
+through a shuffle), and spans or documents are removed.
 
 The set is broadcast while it has at most ``MAX_BROADCAST_WINDOWS`` windows,
-counted first; a larger one is joined by shuffling.  Only counts and hits are
-stored between the pass over all texts and the one over those with hits, and hits
-go back to their documents by broadcast under the same kind of bound.  DataFrame expressions only.
+counted first; a larger one is joined by shuffling.  Texts are read once; only
+hits and counts are shuffled, and texts only where documents have to be changed.
+DataFrame expressions only.
 
 Defined cases: a null text has no words; an item without words has no windows;
 repeated items count once; repeated document rows each get their row, on their
@@ -30,7 +31,6 @@ WINDOW = 10
 #: Fixed value: what lies between words.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 MAX_BROADCAST_WINDOWS = 500_000
-MAX_BROADCAST_HITS = 100_000
 
 
 def normalised_words(text: Column) -> Column:
@@ -40,24 +40,29 @@ def normalised_words(text: Column) -> Column:
 
 
 def with_window_hashes(df: DataFrame, words: str, sizes: list[int]) -> DataFrame:
-    """``df`` with columns h<size>: the hashes of all windows of that many words,
-    in order.  Hashes of 1, 2, 4 and 8 words are joined by the bits of the size."""
-    df = df.withColumn("h_1", F.transform(F.col(words), lambda x: F.xxhash64(x)))
-    powers = {1: "h_1"}
-    for p in (2, 4, 8):
-        if max(sizes) >= p:
-            half = powers[p // 2]
-            df = df.withColumn(f"h_{p}", _joined(half, half, p // 2))
-            powers[p] = f"h_{p}"
+    """``df`` with columns h<size>: two independent hashes (a, b) of all windows of
+    that many words, in order.  Hashes of 1, 2, 4 and 8 words are joined by the
+    bits of the size."""
+    for k, seed in enumerate("ab"):
+        df = df.withColumn(f"{seed}_1", F.transform(F.col(words), (lambda x: F.xxhash64(x)) if not k else (lambda x: F.xxhash64(F.lit(seed), x))))
+        powers = {1: f"{seed}_1"}
+        for p in (2, 4, 8):
+            if max(sizes) >= p:
+                half = powers[p // 2]
+                df = df.withColumn(f"{seed}_{p}", _joined(half, half, p // 2))
+                powers[p] = f"{seed}_{p}"
+        for size in sizes:
+            parts = [p for p in (8, 4, 2, 1) if size & p]
+            df = df.withColumn(f"{seed}{size}", F.col(powers[parts[0]]))
+            done = parts[0]
+            for p in parts[1:]:
+                df = df.withColumn(f"{seed}{size}", _joined(f"{seed}{size}", powers[p], done))
+                done += p
+        df = df.drop(*powers.values())
     for size in sizes:
-        parts = [p for p in (8, 4, 2, 1) if size & p]
-        df = df.withColumn(f"h{size}", F.col(powers[parts[0]]))
-        done = parts[0]
-        for p in parts[1:]:
-            df = df.withColumn(f"h{size}", _joined(f"h{size}", powers[p], done))
-            done += p
-        df = df.withColumn(f"h{size}", F.slice(F.col(f"h{size}"), F.lit(1), F.greatest(F.size(words) - (size - 1), F.lit(0))))
-    return df.drop(*powers.values())
+        whole = F.arrays_zip(F.col(f"a{size}").alias("a"), F.col(f"b{size}").alias("b"))
+        df = df.withColumn(f"h{size}", F.slice(whole, F.lit(1), F.greatest(F.size(words) - (size - 1), F.lit(0)))).drop(f"a{size}", f"b{size}")
+    return df
 
 
 def _joined(left: str, right: str, shift: int) -> Column:
@@ -76,24 +81,23 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 def _hashed(grams: DataFrame, sizes: list[int]) -> DataFrame:
     hashed = with_window_hashes(grams, "gram", sizes)
     own = F.coalesce(*[F.when(F.col("size") == s, F.element_at(f"h{s}", 1)) for s in sizes])
-    return hashed.select("size", own.alias("hash"), F.array_join("gram", " ").alias("gram"), "items")
+    return hashed.select(F.col("size").alias("its_size"), own["a"].alias("its_a"), own["b"].alias("its_b"), "items")
 
 
-_HITS = "array<struct<at:int,size:int,gram:string,items:array<string>>>"
+_HITS = "array<struct<at:int,size:int,items:array<string>>>"
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """id, copy (hash of the text), n_words, n_rows (how many rows have that id
-    and text) and verified ``hits``: (at, size, gram, items), at from 0."""
+    and text) and verified ``hits``: (at, size, items), at from 0."""
     t = text_or_empty()
-    given = docs.select(F.col("doc_id").alias("id"), F.xxhash64(t).alias("copy"), t.alias("t"))
-    said = given.select("id", "copy", normalised_words(F.col("t")).alias("words"))
+    said = docs.select(F.col("doc_id").alias("id"), F.xxhash64(t).alias("copy"), normalised_words(t).alias("words"))
     none = F.array().cast(_HITS)
     grams = cut(benchmark_windows(benchmark, window))
     sizes = sorted(r["size"] for r in grams.select("size").distinct().collect())  # at most `window` numbers
     if not sizes:
         return said.groupBy("id", "copy").agg(F.max(F.size("words")).cast("long").alias("n_words"), F.count("*").alias("n_rows")).withColumn("hits", none)
-    table = _hashed(grams, sizes).withColumnsRenamed({"size": "its_size", "hash": "its_hash"})
+    table = _hashed(grams, sizes)
     if grams.count() <= MAX_BROADCAST_WINDOWS:
         table = F.broadcast(table)
     hashed = with_window_hashes(said, "words", sizes)
@@ -104,25 +108,12 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
         probe = hashed.select("id", "copy", F.size("words").alias("n"), F.posexplode_outer(f"h{s}").alias("at", "hash")).withColumns(
             {"size": F.lit(s), "first": (F.lit(s == sizes[0]) & (F.coalesce("at", F.lit(0)) == 0)).cast("int")})
         found = probe if found is None else found.unionByName(probe)
-    met = found.join(table, (F.col("size") == F.col("its_size")) & (F.col("hash") == F.col("its_hash")), "left").filter("gram is not null or first = 1")
-    rows = cut(met.groupBy("id", "copy").agg(
+    # Probed by one hash, verified by the other.
+    same = (F.col("size") == F.col("its_size")) & (F.col("hash.a") == F.col("its_a"))
+    met = found.join(table, same, "left").withColumn("hit", F.coalesce(F.col("hash.b") == F.col("its_b"), F.lit(False)))
+    return met.filter("hit or first = 1").groupBy("id", "copy").agg(
         F.max("n").cast("long").alias("n_words"), F.sum("first").alias("n_rows"),
-        F.collect_set(F.when(F.col("gram").isNotNull(), F.struct("at", "size", "gram", "items"))).alias("maybe")))
-    # The texts with such hits are read again and their words compared.
-    suspects = _small(rows.filter(F.size("maybe") > 0).select(F.col("id").alias("its_id"), F.col("copy").alias("its_copy"), "maybe"), "maybe")
-    again = given.join(suspects, F.col("id").eqNullSafe(F.col("its_id")) & (F.col("copy") == F.col("its_copy")))
-    again = again.select("id", "copy", "maybe", normalised_words(F.col("t")).alias("words"))
-    verified = F.filter("maybe", lambda x: F.array_join(F.slice(F.col("words"), x["at"] + 1, x["size"]), " ") == x["gram"])
-    hits = cut(again.select("id", "copy", verified.alias("hits")).groupBy("id", "copy").agg(F.first("hits").alias("hits"))).select(
-        F.col("id").alias("its_id"), F.col("copy").alias("its_copy"), "hits")
-    return rows.drop("maybe").join(_small(hits, "hits"), F.col("id").eqNullSafe(F.col("its_id")) & (F.col("copy") == F.col("its_copy")), "left").select(
-        "id", "copy", "n_words", "n_rows", F.coalesce("hits", none).alias("hits"))
-
-
-def _small(hits: DataFrame, column: str) -> DataFrame:
-    """``hits``, to be broadcast while they are few."""
-    n = hits.agg(F.sum(F.size(column))).first()[0] or 0
-    return F.broadcast(hits) if n <= MAX_BROADCAST_HITS else hits
+        F.collect_set(F.when(F.col("hit"), F.struct("at", "size", "items"))).alias("hits"))
 
 
 def covered(hits: Column) -> Column:
@@ -143,7 +134,7 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
 
 def _with_hits(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     """``docs`` as one struct ``row``, with ``hits`` (null where there are none)."""
-    hits = _small(find_hits(docs, benchmark, window).filter(F.size("hits") > 0).select("id", "copy", "hits"), "hits")
+    hits = cut(find_hits(docs, benchmark, window).select("id", "copy", "hits")).filter(F.size("hits") > 0)
     given = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64(text_or_empty()).alias("own_copy"))
     return given.join(hits, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_copy") == F.col("copy")), "left").select("row", "hits")
 
