@@ -52,7 +52,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.999
 COORDINATES = 128
-BUCKET = 48
+BUCKET = 128
 DEPTH = 4
 PIVOTS = 8
 BLOCK = 256
@@ -230,26 +230,32 @@ def least_agreement(threshold: float) -> int:
 
 
 def _brute_force(small: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between sets of one bucket whose sketches agree."""
+    """Links (a, b) from each set of a bucket to the lowest one that it is
+    connected to by sketches that agree: as many as sets, not as pairs."""
     least = least_agreement(threshold)
     buckets = small.groupBy("node").agg(F.collect_list(F.struct("rep", "s0", "s1")).alias("sets")).select("sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right, known = [], [], set()
+            left, right = [], []
             lists = batch.column(0)
             flat = lists.flatten()
             rep, s0, s1 = (flat.field(i).to_numpy() for i in range(3))
             cuts = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                own = rep[lo:hi]
                 apart = np.bitwise_count(s0[lo:hi, None] ^ s0[None, lo:hi]) + np.bitwise_count(s1[lo:hi, None] ^ s1[None, lo:hi]).astype(np.int64)
-                for x, y in np.argwhere(np.triu(apart <= COORDINATES - least, 1)):
-                    pair = tuple(sorted((int(rep[lo + x]), int(rep[lo + y]))))
-                    if pair[0] != pair[1] and pair not in known:
-                        known.add(pair)
-                        left.append(pair[0])
-                        right.append(pair[1])
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+                near = apart <= COORDINATES - least
+                root = own
+                while True:  # the lowest root among the neighbours, until none moves
+                    low = np.where(near, root[None, :], np.iinfo(np.int64).max).min(axis=1)
+                    if (low == root).all():
+                        break
+                    root = low
+                moved = own != root
+                left.append(root[moved])
+                right.append(own[moved])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (left, right)], ["a", "b"])
 
     return map_batches(buckets, run, "a long, b long")
 
@@ -308,10 +314,10 @@ def components(links: DataFrame) -> DataFrame:
             break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
-        edges = cut(small.select(F.col("e.u").alias("u"), F.col("e.m").alias("v")).filter("u != v").distinct())
+        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low)
+        edges = cut(small.filter("u != v").distinct())
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
