@@ -16,10 +16,12 @@ Training, on rows that the caller names as trainable:
 * the content of the ordinary dictionary is the words and beginnings that most
   ordinary documents hold; the toxic one begins with the same, as toxic documents
   are mostly ordinary text too;
-* the logistic function is fitted to the labelled documents themselves.
+* the logistic function is fitted to the labelled documents themselves, each class
+  with the weight that it has among all trainable labels.
 
 At most ``SAMPLE`` labelled documents of each class are used (those whose hashed
-id comes first), so what reaches the driver is bounded: ``DICTIONARY_ENTRIES``
+id comes first); the weights undo what that does to the mix of the classes, so
+a threshold means the same however large the table is.  So what reaches the driver is bounded: ``DICTIONARY_ENTRIES``
 strings, and four numbers for each sampled document.  Scoring reads every whole
 text, row by row, without a shuffle.
 
@@ -128,15 +130,19 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Mean, scale and weights, by Newton steps."""
-    mean, scale = x.mean(0), x.std(0) + 1e-9
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50,
+                 stands_for: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Mean, scale and weights, by Newton steps.  ``stands_for``: how many rows
+    each one stands for, in proportion."""
+    n = np.ones(len(x)) if stands_for is None else stands_for * len(x) / stands_for.sum()
+    mean = np.average(x, 0, n)
+    scale = np.sqrt(np.average((x - mean) ** 2, 0, n)) + 1e-9
     a = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
     penalty = np.diag([ridge] * x.shape[1] + [1e-6])
     w = np.zeros(a.shape[1])
     for _ in range(rounds):
         p = 1.0 / (1.0 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a.T * np.maximum(p * (1 - p), 1e-9)) @ a + penalty, a.T @ (y - p) - penalty @ w)
+        step = np.linalg.solve((a.T * (n * np.maximum(p * (1 - p), 1e-9))) @ a + penalty, a.T @ (n * (y - p)) - penalty @ w)
         w = w + step
         if np.abs(step).max() < 1e-9:
             break
@@ -167,6 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     """A model from the labelled rows of ``docs`` (doc_id, text) that are not held out."""
     marked = labels.filter(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id")
+    trainable = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     # The first ids of each class, before any text is read.
     chosen = marked.filter("toxic = 1").orderBy(order).limit(sample).unionByName(marked.filter("toxic = 0").orderBy(order).limit(sample))
     rows = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(chosen), "doc_id")
@@ -201,7 +208,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     x = np.array(found["figures"].to_pylist(), dtype=float).reshape(-1, FEATURES)
     y = np.array(found["toxic"].to_pylist(), dtype=float)
     rate = float((x[y == 0, 0].sum() + 1) / (x[y == 0, 3].sum() + 1000))
-    mean, scale, weights = fit_logistic(features(x, rate), y)
+    # A class whose sample is capped counts as much as all its labels do.
+    ordinary_each, toxic_each = (max(1.0, trainable[c] / sample) for c in (0, 1))
+    mean, scale, weights = fit_logistic(features(x, rate), y, stands_for=np.where(y == 1, toxic_each, ordinary_each))
     return Model(toxic_bytes, ordinary_bytes, rate, mean, scale, weights)
 
 

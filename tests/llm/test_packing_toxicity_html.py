@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import struct
 import zlib
 from collections import defaultdict
@@ -100,6 +101,27 @@ def test_toxicity_edge_cases(spark):
     assert toxicity.score(none_of(docs), model).count() == 0
 
 
+def test_toxicity_threshold_does_not_move_with_the_sample(spark):
+    # The word is in three of five toxic texts and in few others; one label in ten is toxic.
+    draw = random.Random(7)
+    words = [f"w{n:03d}" for n in range(300)]
+    texts, marks = [], []
+    for i in range(3000):
+        toxic = int(i % 10 == 0)
+        said = draw.choices(words, k=30)
+        if draw.random() < (0.6 if toxic else 0.06):
+            said[draw.randrange(30)] = "vilest"
+        texts.append((i, " ".join(said)))
+        marks.append((i, toxic))
+    docs, labels = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, toxic int")
+    marked = {}
+    for sample in (4000, 200):
+        rows = toxicity.score(docs, toxicity.train(docs, labels, sample)).collect()
+        assert abs(sum(r.score for r in rows) / len(rows) - 0.1) < 0.04
+        marked[sample] = sum(r.predicted for r in rows)
+    assert abs(marked[200] - marked[4000]) <= 0.02 * len(texts)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a = "<p>no</p>";</script></head><body class="home page">
 <header><h2>Site</h2></header><nav><ul><li><a href="/">Home</a></li></ul></nav><div class="cookie-notice">We use cookies &amp; more here.</div>
 <main><article class="post with-sidebar"><h1>A   title</h1><p>First &lt;para&gt; of the text, long enough to count as a sentence of prose.
