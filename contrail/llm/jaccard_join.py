@@ -10,10 +10,13 @@ its words; words are runs of anything but ASCII white space, A to Z lowered).
    by the node's own hash (1 / threshold of them on average), and sets with the
    same token there go on together.  A node of at most ``BUCKET`` sets is brute
    forced with 128-bit sketches.  The sets of a larger one are first compared with
-   a few pivots, drawn from it: those near a pivot are linked to it (their other
-   links come from step 4), and the rest is split again.  So work stays in
-   proportion to the bucket even if all its sets are near copies, no bucket is
-   ever gathered in one task, and the recursion ends by itself.
+   a few pivots, drawn from it: those near a pivot are linked to it and take its
+   tag, a set that all with that tag are connected to.  The bucket is split again
+   with all its sets as long as two of them have different tags; in one with a
+   single tag every set is connected already (their other links come from step
+   4).  So a group of near copies is left as soon as it is alone, a set at its
+   edge goes on together with partners that are no part of it, no bucket is ever
+   gathered in one task, and the recursion ends by itself.
    The whole recursion is repeated ``runs`` times; :func:`runs_for` takes the
    number from the target recall.
 4. Candidate links are joined into groups.  Inside a group every pair of sets is
@@ -43,7 +46,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm.common import cut, map_batches
@@ -186,13 +189,13 @@ def _sketches(embedded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return bits[:, 0].copy(), bits[:, 1].copy()
 
 
-_NODES = "node long, rep long, s0 long, s1 long"
+_NODES = "node long, rep long, s0 long, s1 long, tag long"
 
 
-def _node_batch(nodes: np.ndarray, rep: pa.Array, row: np.ndarray, embedded: np.ndarray) -> pa.RecordBatch:
+def _node_batch(nodes: np.ndarray, rep: pa.Array, row: np.ndarray, embedded: np.ndarray, tags: pa.Array) -> pa.RecordBatch:
     s0, s1 = _sketches(embedded)
     return pa.RecordBatch.from_arrays(
-        [pa.array(nodes.view(np.int64)), rep.take(pa.array(row)), pa.array(s0[row]), pa.array(s1[row])], ["node", "rep", "s0", "s1"])
+        [pa.array(nodes.view(np.int64)), rep.take(pa.array(row)), pa.array(s0[row]), pa.array(s1[row]), tags], ["node", "rep", "s0", "s1", "tag"])
 
 
 def _roots(reps: DataFrame, runs: int, threshold: float) -> DataFrame:
@@ -203,14 +206,14 @@ def _roots(reps: DataFrame, runs: int, threshold: float) -> DataFrame:
                 embedded = _embedded(batch.column("embedded"))
                 for seed in seeds:
                     row, nodes = _children(np.full(batch.num_rows, seed, dtype=U64), embedded, threshold)
-                    yield _node_batch(nodes, batch.column("rep"), row, embedded)
+                    yield _node_batch(nodes, batch.column("rep"), row, embedded, batch.column("rep").take(pa.array(row)))
 
     return map_batches(reps.select("rep", "embedded"), run, _NODES)
 
 
 def _split(large: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     """The nodes below the large ones."""
-    wanted = cut(large.groupBy("rep").agg(F.collect_list("node").alias("nodes")))
+    wanted = cut(large.groupBy("rep").agg(F.collect_list(F.struct("node", "tag")).alias("nodes")))
     wanted = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_ROWS else wanted
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,8 +221,9 @@ def _split(large: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
             if batch.num_rows:
                 embedded, nodes = _embedded(batch.column("embedded")), batch.column("nodes")
                 own = np.repeat(np.arange(batch.num_rows), pc.list_value_length(nodes).to_numpy())
-                row, below = _children(nodes.flatten().to_numpy().view(U64), embedded[own], threshold)
-                yield _node_batch(below, batch.column("rep"), own[row], embedded)
+                node, tag = (nodes.flatten().field(i) for i in range(2))
+                row, below = _children(node.to_numpy().view(U64), embedded[own], threshold)
+                yield _node_batch(below, batch.column("rep"), own[row], embedded, tag.take(pa.array(row)))
 
     return map_batches(reps.select("rep", "embedded").join(wanted, "rep"), run, _NODES)
 
@@ -261,25 +265,39 @@ def _brute_force(small: DataFrame, threshold: float) -> DataFrame:
 
 
 def _sizes(rows: DataFrame) -> DataFrame:
-    """``rows`` of nodes with two sets or more, with ``size``."""
-    counts = rows.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
-    return rows.join(counts, "node")
+    """``rows`` of nodes with sets that aren't connected yet, with ``size``."""
+    counts = rows.groupBy("node").agg(F.count("*").alias("size"), F.min("tag").alias("lo"), F.max("tag").alias("hi")).filter("lo != hi")
+    return rows.join(counts.select("node", "size"), "node")
 
 
-def _pivot_links(large: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Links to the pivots of each bucket, and the rows no pivot matched."""
+def _pivot_links(large: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame | None]:
+    """Links to the pivots of each bucket, and the rows of the buckets that
+    these don't connect as a whole (None: there is none)."""
     least = least_agreement(threshold)
+
+    def agree(p: Column, s0: Column, s1: Column) -> Column:
+        return (F.bit_count(p["s0"].bitwiseXOR(s0)) + F.bit_count(p["s1"].bitwiseXOR(s1))) <= COORDINATES - least
+
+    def lowest_tag(some: Column) -> Column:
+        return F.array_min(F.transform(some, lambda p: p["tag"]))
+
     # The share of hash values that gives PIVOTS on average; the lowest set is always one.
     drawn = F.pmod(F.xxhash64("rep", "node"), F.lit(1 << 31)) < F.lit(float(PIVOTS << 31)) / F.col("size")
-    one = F.struct("rep", "s0", "s1")
+    one = F.struct("rep", "s0", "s1", "tag")
     pivots = large.groupBy("node").agg(F.collect_set(F.when(drawn, one)).alias("some"), F.min(one).alias("lowest"))
-    pivots = cut(pivots.select("node", F.array_union("some", F.array("lowest")).alias("pivots")))
+    pivots = pivots.select("node", F.array_union("some", F.array("lowest")).alias("pivots"))
+    # A pivot's tag is the lowest among the pivots that it agrees with.
+    pivots = cut(pivots.withColumn("pivots", F.transform("pivots", lambda p: F.struct(
+        p["rep"].alias("rep"), p["s0"].alias("s0"), p["s1"].alias("s1"),
+        lowest_tag(F.filter("pivots", lambda q: agree(q, p["s0"], p["s1"]))).alias("tag")))))
     pivots = F.broadcast(pivots) if pivots.count() <= MAX_BROADCAST_ROWS // (4 * PIVOTS) else pivots
-    agrees = lambda p: (F.bit_count(p["s0"].bitwiseXOR(F.col("s0"))) + F.bit_count(p["s1"].bitwiseXOR(F.col("s1")))) <= COORDINATES - least
-    met = cut(large.join(pivots, "node").withColumn("met", F.filter("pivots", agrees)).drop("pivots"))
+    met = cut(large.join(pivots, "node").withColumn("met", F.filter("pivots", lambda p: agree(p, F.col("s0"), F.col("s1")))).drop("pivots"))
     links = met.select("rep", F.explode("met").alias("p")).filter(F.col("rep") != F.col("p.rep")).select(
         F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b"))
-    return links, met.filter(F.size("met") == 0).select("node", "rep", "s0", "s1")
+    told = met.select("node", "rep", "s0", "s1", F.least("tag", lowest_tag(F.col("met"))).alias("tag"))
+    apart = cut(told.groupBy("node").agg(F.min("tag").alias("lo"), F.max("tag").alias("hi")).filter("lo != hi").select("node"))
+    n = apart.count()
+    return links, told.join(F.broadcast(apart) if n <= MAX_BROADCAST_ROWS else apart, "node", "left_semi") if n else None
 
 
 def candidate_links(reps: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -292,9 +310,11 @@ def candidate_links(reps: DataFrame, threshold: float = THRESHOLD, recall: float
         large = sized.filter(F.col("size") > BUCKET)
         if large.isEmpty():
             break
-        # Members near a pivot are linked to it; the others go down.
+        # Members near a pivot are linked to it; buckets that this doesn't connect go down.
         links, large = _pivot_links(large, threshold)
         found.append(links)
+        if large is None:
+            break
         rows = _split(large, reps, threshold)
     every = found[0]
     for more in found[1:]:

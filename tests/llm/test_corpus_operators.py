@@ -237,6 +237,34 @@ def test_join_of_a_large_group_of_near_copies(spark, block, monkeypatch):
     same_rows(jaccard_join.link(spark.createDataFrame(texts, "doc_id long, text string")), brute_links(texts))
 
 
+def test_join_of_pairs_at_the_edge_of_a_large_group(spark):
+    # Of each pair, one is near the group (0.76, no link) and its partner is not (0.61).
+    base = [f"w{i}" for i in range(300)]
+    group = [(i, " ".join(base[:40 + i % 200] + [f"new{i}"] + base[41 + i % 200:])) for i in range(600)]
+    pairs = []
+    for i in range(500):
+        near = base[:264] + [f"n{i}x{k}" for k in range(36)]
+        pairs += [(1000 + 2 * i, " ".join(near)), (1001 + 2 * i, " ".join([f"f{i}x{k}" for k in range(31)] + near[31:]))]
+    similar = lambda a, b: len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
+    assert similar(pairs[0][1], pairs[1][1]) >= 0.8 > max(similar(pairs[0][1], t) for _, t in group + pairs[2:4])
+    rows = jaccard_join.link(spark.createDataFrame(group + pairs, "doc_id long, text string")).collect()
+    got = {r.doc_id: (r.class_id, r.n_links) for r in rows}
+    assert [i for i, _ in pairs if got[i] != (i - i % 2, 1)] == []
+
+
+def test_a_set_near_a_pivot_goes_down_with_a_partner_that_is_not(spark):
+    # 20 of 128 bits apart from the group, and 12 more; 27 are allowed.
+    near, far = (1 << 20) - 1, (1 << 32) - 1
+    rows = [(node, 1000 * node + i, 0, 0, 1000 * node + i, 202) for node in range(1, 7) for i in range(200)]
+    for node in range(1, 6):
+        rows += [(node, 1000 * node + 500, near, 0, 1000 * node + 500, 202), (node, 1000 * node + 501, far, 0, 1000 * node + 501, 202)]
+    large = spark.createDataFrame(rows, "node long, rep long, s0 long, s1 long, tag long, size long")
+    down = {(r.node, r.rep % 1000) for r in jaccard_join._pivot_links(large, 0.8)[1].collect()}
+    apart = {node for node, i in down if i == 501}
+    assert apart and all((node, 500) in down for node in apart)
+    assert not any(node == 6 for node, _ in down)
+
+
 def test_join_edge_cases(spark):
     assert jaccard_join.link(none_of(odd_documents(spark))).count() == 0
     kept = jaccard_join.drop_near_copies(odd_documents(spark))
