@@ -93,8 +93,43 @@ SELECT d.doc_id, coalesce(c.n_lines, 0)::BIGINT AS n_lines, coalesce(t.n_removed
   CASE WHEN t.n_removed IS NULL THEN d.text WHEN k.any_left THEN k.text ELSE '' END AS text
 FROM documents d LEFT JOIN counts c USING (doc_id) LEFT JOIN told t USING (doc_id) LEFT JOIN kept k USING (doc_id)"""
 
+#: crc32 by its usual table of bytes, over the UTF-8 bytes of `<doc_id>:<run>`.
+SPELLING_VARIANTS = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_prepend(b::BIGINT, [1, 2, 3, 4, 5, 6, 7, 8]), lambda c, k:
+      CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(b))),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, [('0x' || x)::BIGINT FOR x IN regexp_extract_all(hex(encode(doc_id || ':' || run)), '..')]),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM counted, crc_table),
+said AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n
+  FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM said WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+places AS (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM words),
+cuts AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS short FROM places),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM cuts a JOIN cuts b ON a.short = b.short AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.short = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.short = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other COLLATE C) AS other, max(n) AS best_n FROM near GROUP BY word),
+told AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * w.n THEN other END AS form, CASE WHEN best_n >= 10 * w.n THEN best_n END AS form_n
+  FROM words w LEFT JOIN best b USING (word)),
+paths AS (
+  SELECT word, word AS at FROM told
+  UNION ALL SELECT p.word, t.form FROM paths p JOIN told t ON t.word = p.at WHERE t.form IS NOT NULL),
+roots AS (SELECT p.word, p.at AS root FROM paths p JOIN told t ON t.word = p.at WHERE t.form IS NULL)
+SELECT t.word, t.form, r.root, t.n, t.n_near, t.form_n FROM told t JOIN roots r USING (word)"""
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": QUALITY,
     "op8_decontamination": DECONTAMINATION,
     "op9_line_dedup": LINE_DEDUP,
+    "op13_spelling_variants": SPELLING_VARIANTS,
 }

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from contrail.llm import (
-    decontaminate, html_extract, jaccard_join, line_dedup, packing, pii, quality, secret_scan, token_counts, toxicity,
+    decontaminate, html_extract, jaccard_join, line_dedup, packing, pii, quality, secret_scan,
+    spelling_variants, token_counts, toxicity,
 )
 from contrail.llm.common import table
 
@@ -67,6 +68,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
