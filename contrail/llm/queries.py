@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from contrail.llm import (
-    decontaminate, html_extract, jaccard_join, line_dedup, packing, pii, quality, secret_scan,
-    spelling_variants, token_counts, toxicity,
+    decontaminate, html_extract, jaccard_join, line_dedup, packing, passage_quality, periodic_runs, pii, quality,
+    secret_scan, spelling_variants, token_counts, toxicity,
 )
 from contrail.llm.common import table
 
@@ -68,6 +68,15 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.detect(_documents(spark, sf_dir))
+
+
+def op12_passage_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return passage_quality.score(docs, passage_quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.variants(_documents(spark, sf_dir))
 
