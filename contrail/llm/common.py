@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from contrail.session import is_local
 
 #: Fixed value: the white space that separates words.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -25,7 +29,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         shared = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
         if not shared:
-            if not sc.master.startswith("local"):
+            if not is_local(spark):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             shared = tempfile.mkdtemp(prefix="contrail-ckpt-")
         sc.setCheckpointDir(shared)
@@ -38,6 +42,43 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Scratch:
+    """Tables in the shared checkpoint folder that cut lineage, each with a life
+    of its own: what a later table no longer needs is removed at once."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._folder = f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+        self._paths: dict[int, tuple[str, DataFrame]] = {}
+        self._made = 0
+
+    def store(self, df: DataFrame, instead_of: Iterable[DataFrame] = ()) -> DataFrame:
+        """``df`` as a stored table; then ``instead_of``, tables of this scratch, go."""
+        path = f"{self._folder}/{self._made}"
+        self._made += 1
+        df.write.parquet(path)
+        out = self._spark.read.schema(df.schema).parquet(path)
+        self._paths[id(out)] = path, out
+        self.remove(*instead_of)
+        return out
+
+    def remove(self, *tables: DataFrame) -> None:
+        for table in tables:
+            path, _ = self._paths.pop(id(table), (None, None))
+            if path:
+                remove_folder(self._spark, path)
+
+    def keep_only(self, *tables: DataFrame) -> None:
+        kept = {id(t) for t in tables}
+        self.remove(*(t for k, (_, t) in list(self._paths.items()) if k not in kept))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def where_computed(df: DataFrame, condition: Column) -> DataFrame:
     """``df.filter(condition)`` after its columns are computed.
 
@@ -52,7 +93,7 @@ def where_computed(df: DataFrame, condition: Column) -> DataFrame:
 _shipped: set[str] = set()
 
 
-def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def map_batches(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """``df.mapInArrow``, with this package on the executors' Python path (once
     for each application), so that they need no installation of it."""
     sc = df.sparkSession.sparkContext

@@ -8,17 +8,21 @@ its words; words are runs of anything but ASCII white space, A to Z lowered).
    share of equal coordinates is the Jaccard similarity.
 3. Chosen paths: at every node of a recursion, one or two coordinates are drawn
    by the node's own hash (1 / threshold of them on average), and sets with the
-   same token there go on together.  A node of at most ``BUCKET`` sets is brute
-   forced with 128-bit sketches.  The sets of a larger one are first compared with
-   a few pivots, drawn from it: those near a pivot are linked to it and take its
-   tag, a set that all with that tag are connected to.  The bucket is split again
-   with all its sets as long as two of them have different tags; in one with a
-   single tag every set is connected already (their other links come from step
-   4).  So a group of near copies is left as soon as it is alone, a set at its
-   edge goes on together with partners that are no part of it, no bucket is ever
-   gathered in one task, and the recursion ends by itself.
-   The whole recursion is repeated ``runs`` times; :func:`runs_for` takes the
-   number from the target recall.
+   same token there go on together.  A bucket of at most ``BUCKET`` sets is brute
+   forced with 128-bit sketches.  In a larger one, sets near one of a few pivots
+   drawn from it are linked to it, and what the pivots connect takes one tag.
+   The sets outside the bucket's largest tag are the ones left to compare:
+
+   - none: every set is connected already (the other links come from step 4);
+   - at most ``BUCKET``: each of them is compared with every set of the bucket, block
+     by block, so that no link of theirs is missed, and the bucket is done;
+   - more: the bucket goes down, with all its sets.
+
+   So a group of near copies, with the sets at its edge, leaves the recursion where
+   it is met, whatever its size; no bucket is ever gathered in one task.
+   The whole recursion is repeated until the target recall is met for pairs that
+   part from the crowd at the deepest level reached (:func:`runs_for`): a deeper
+   recursion is repeated more often.
 4. Candidate links are joined into groups.  Inside a group every pair of sets is
    compared exactly (shingle by shingle, in blocks of ``BLOCK`` sets, one task for
    each pair of blocks), so links that the recursion missed inside a group are
@@ -31,8 +35,11 @@ have a similarity at or above the threshold with it, copies included) and
 ``n_shingles``.
 
 Defined cases: a null or empty text has no shingles, no links, and is its own
-class; rows without a doc_id are kept with class_id null and n_links 0; repeated
-rows are copies of each other; an empty table gives an empty result; other columns are
+class; very long texts are read whole, segment by segment; rows without a doc_id
+are kept with class_id null and n_links 0; repeated rows are copies of each other;
+rows that share a doc_id but not the text are different documents; doc_ids may be
+of any type that can be ordered; a similarity of exactly the threshold is a link;
+an empty table gives an empty result; other columns are
 ignored by :func:`link` and kept by :func:`drop_near_copies`.
 """
 
@@ -48,21 +55,24 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from contrail.llm.common import cut, map_batches
+from contrail.llm.common import Scratch, map_batches
 
 SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.999
 COORDINATES = 128
-BUCKET = 128
-DEPTH = 4
+BUCKET = 4096
 PIVOTS = 8
-BLOCK = 256
+BLOCK = 512
 #: A sketch passes when it agrees as often as one of a pair four deviations
 #: below the threshold would.
 DEVIATIONS = 4.0
+#: Rows of a side that may be broadcast (a few hundred bytes each at most).
 MAX_BROADCAST_ROWS = 30_000
+#: Parts of a hot node where its side is too large for that.
+SALTS = 64
 SEGMENT = 1 << 20
 WIDTH = 8192
 
@@ -155,9 +165,9 @@ def embed(shingles: np.ndarray) -> np.ndarray:
     return (out >> U64(32)).astype(np.uint32)
 
 
-def runs_for(recall: float = RECALL, threshold: float = THRESHOLD, depth: int = DEPTH) -> int:
+def runs_for(recall: float = RECALL, threshold: float = THRESHOLD, depth: int = 1) -> int:
     """Repetitions after which a pair at the threshold has shared a bucket of
-    the deepest level with the given probability.  A node draws one coordinate, and a second one with
+    level ``depth`` with the given probability.  A node draws one coordinate, and a second one with
     probability 1 / threshold - 1; the pair goes on together through each with
     probability ``threshold``."""
     lost = 0.0
@@ -198,9 +208,11 @@ def _node_batch(nodes: np.ndarray, rep: pa.Array, row: np.ndarray, embedded: np.
         [pa.array(nodes.view(np.int64)), rep.take(pa.array(row)), pa.array(s0[row]), pa.array(s1[row]), tags], ["node", "rep", "s0", "s1", "tag"])
 
 
-def _roots(reps: DataFrame, runs: int, threshold: float) -> DataFrame:
+def _roots(reps: DataFrame, runs: range, threshold: float) -> DataFrame:
+    """The first nodes of every set, in each of the ``runs``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = mix(np.arange(1, runs + 1, dtype=U64) * U64(_BASE))
+        seeds = mix(np.arange(runs.start + 1, runs.stop + 1, dtype=U64) * U64(_BASE))
         for batch in batches:
             if batch.num_rows:
                 embedded = _embedded(batch.column("embedded"))
@@ -211,10 +223,11 @@ def _roots(reps: DataFrame, runs: int, threshold: float) -> DataFrame:
     return map_batches(reps.select("rep", "embedded"), run, _NODES)
 
 
-def _split(large: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """The nodes below the large ones."""
-    wanted = cut(large.groupBy("rep").agg(F.collect_list(F.struct("node", "tag")).alias("nodes")))
-    wanted = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_ROWS else wanted
+def _below(large: DataFrame, reps: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+    """The nodes below those of ``large`` (rep, node, tag)."""
+    wanted = scratch.store(large.groupBy("rep").agg(F.collect_list(F.struct("node", "tag")).alias("nodes")))
+    n = wanted.agg(F.sum(F.size("nodes"))).first()[0] or 0
+    side = F.broadcast(wanted) if n <= MAX_BROADCAST_ROWS else wanted
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,7 +238,7 @@ def _split(large: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
                 row, below = _children(node.to_numpy().view(U64), embedded[own], threshold)
                 yield _node_batch(below, batch.column("rep"), own[row], embedded, tag.take(pa.array(row)))
 
-    return map_batches(reps.select("rep", "embedded").join(wanted, "rep"), run, _NODES)
+    return scratch.store(map_batches(reps.select("rep", "embedded").join(side, "rep"), run, _NODES), [wanted])
 
 
 def least_agreement(threshold: float) -> int:
@@ -233,99 +246,217 @@ def least_agreement(threshold: float) -> int:
     return math.floor(COORDINATES * same - DEVIATIONS * math.sqrt(COORDINATES * same * (1 - same)))
 
 
+_TOP = np.iinfo(np.int64).max
+#: Rows of a matrix of comparisons held at once.
+ROWS = 256
+
+
+def _near(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+    """Which sketches (n, 2) of ``a`` and ``b`` differ in at most ``most`` bits."""
+    out = np.empty((len(a), len(b)), dtype=bool)
+    for lo in range(0, len(a), ROWS):
+        some = a[lo:lo + ROWS]
+        apart = np.bitwise_count(some[:, None, 0] ^ b[None, :, 0])
+        apart += np.bitwise_count(some[:, None, 1] ^ b[None, :, 1])
+        out[lo:lo + ROWS] = apart <= most
+    return out
+
+
+def _lowest(near: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """The lowest of ``of`` among each row's near ones."""
+    out = np.empty(len(near), dtype=np.int64)
+    for lo in range(0, len(near), ROWS):
+        out[lo:lo + ROWS] = np.where(near[lo:lo + ROWS], of[None, :], _TOP).min(axis=1, initial=_TOP)
+    return out
+
+
+def _connected(rep: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """The lowest of ``rep`` that each one is connected to by ``near``, a set's
+    likeness to itself included."""
+    root = rep
+    while True:  # the lowest root among the neighbours, until none moves
+        low = _lowest(near, root)
+        if (low == root).all():
+            return root
+        root = low
+
+
+def _lists(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """rep and sketches of each list of (rep, s0, s1)."""
+    flat = column.flatten()
+    rep, s0, s1 = (flat.field(i).to_numpy() for i in range(3))
+    cuts = np.concatenate([[0], np.cumsum(pc.list_value_length(column).to_numpy())])
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+        # Unsigned, as numpy counts the bits of a negative number's absolute value.
+        yield rep[lo:hi], np.column_stack([s0[lo:hi], s1[lo:hi]]).view(U64)
+
+
+_LINKS = "a long, b long"
+
+
+def _link_batch(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (left, right)], ["a", "b"])
+
+
 def _brute_force(small: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) from each set of a bucket to the lowest one that it is
     connected to by sketches that agree: as many as sets, not as pairs."""
-    least = least_agreement(threshold)
-    buckets = small.groupBy("node").agg(F.collect_list(F.struct("rep", "s0", "s1")).alias("sets")).select("sets")
+    most = COORDINATES - least_agreement(threshold)
+    buckets = small.groupBy("node").agg(F.collect_list(F.struct("rep", "s0", "s1")).alias("sets"), F.min("tag").alias("lo"), F.max("tag").alias("hi"))
+    buckets = buckets.filter("lo != hi").select("sets")  # one tag: connected already
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = [], []
-            lists = batch.column(0)
-            flat = lists.flatten()
-            rep, s0, s1 = (flat.field(i).to_numpy() for i in range(3))
-            cuts = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
-            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                own = rep[lo:hi]
-                apart = np.bitwise_count(s0[lo:hi, None] ^ s0[None, lo:hi]) + np.bitwise_count(s1[lo:hi, None] ^ s1[None, lo:hi]).astype(np.int64)
-                near = apart <= COORDINATES - least
-                root = own
-                while True:  # the lowest root among the neighbours, until none moves
-                    low = np.where(near, root[None, :], np.iinfo(np.int64).max).min(axis=1)
-                    if (low == root).all():
-                        break
-                    root = low
-                moved = own != root
+            for rep, sketch in _lists(batch.column(0)):
+                root = _connected(rep, _near(sketch, sketch, most))
+                moved = rep != root
                 left.append(root[moved])
-                right.append(own[moved])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (left, right)], ["a", "b"])
+                right.append(rep[moved])
+            yield _link_batch(left, right)
+
+    return map_batches(buckets, run, _LINKS)
 
-    return map_batches(buckets, run, "a long, b long")
 
+def _beside(rows: DataFrame, side: DataFrame, n: int) -> DataFrame:
+    """``rows`` joined with ``side``, ``n`` rows with one of each node; a hot node
+    is in one task only of a broadcast side."""
+    if n <= MAX_BROADCAST_ROWS:
+        return rows.join(F.broadcast(side), "node")
+    salted = side.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).join(salted, ["node", "salt"]).drop("salt")
 
-def _sizes(rows: DataFrame) -> DataFrame:
-    """``rows`` of nodes with sets that aren't connected yet, with ``size``."""
-    counts = rows.groupBy("node").agg(F.count("*").alias("size"), F.min("tag").alias("lo"), F.max("tag").alias("hi")).filter("lo != hi")
-    return rows.join(counts.select("node", "size"), "node")
 
+def _group_tags(links: np.ndarray, tags: list[int | None]) -> list[int | None]:
+    """The lowest tag of the pivots connected to each one; bit ``PIVOTS * i + j``
+    of ``links``: a set is near both pivots i and j."""
+    out, moving = list(tags), True
+    while moving:
+        moving = False
+        for i in range(PIVOTS):
+            for j in range(PIVOTS):
+                if links >> (PIVOTS * i + j) & 1 and out[j] is not None and (out[i] is None or out[j] < out[i]):
+                    out[i], moving = out[j], True
+    return out
 
-def _pivot_links(large: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame | None]:
-    """Links to the pivots of each bucket, and the rows of the buckets that
-    these don't connect as a whole (None: there is none)."""
-    least = least_agreement(threshold)
 
-    def agree(p: Column, s0: Column, s1: Column) -> Column:
-        return (F.bit_count(p["s0"].bitwiseXOR(s0)) + F.bit_count(p["s1"].bitwiseXOR(s1))) <= COORDINATES - least
+def _by_pivots(large: DataFrame, n: int, threshold: float, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Links of the sets of large nodes (with ``size``) to the pivots that they are near, and
+    the sets with the tag of what these connect."""
+    most = COORDINATES - least_agreement(threshold)
 
-    def lowest_tag(some: Column) -> Column:
-        return F.array_min(F.transform(some, lambda p: p["tag"]))
+    def agree(p: Column) -> Column:
+        return (F.bit_count(p["s0"].bitwiseXOR(F.col("s0"))) + F.bit_count(p["s1"].bitwiseXOR(F.col("s1")))) <= most
 
     # The share of hash values that gives PIVOTS on average; the lowest set is always one.
     drawn = F.pmod(F.xxhash64("rep", "node"), F.lit(1 << 31)) < F.lit(float(PIVOTS << 31)) / F.col("size")
-    one = F.struct("rep", "s0", "s1", "tag")
+    one = F.struct("rep", "s0", "s1")
     pivots = large.groupBy("node").agg(F.collect_set(F.when(drawn, one)).alias("some"), F.min(one).alias("lowest"))
-    pivots = pivots.select("node", F.array_union("some", F.array("lowest")).alias("pivots"))
-    # A pivot's tag is the lowest among the pivots that it agrees with.
-    pivots = cut(pivots.withColumn("pivots", F.transform("pivots", lambda p: F.struct(
-        p["rep"].alias("rep"), p["s0"].alias("s0"), p["s1"].alias("s1"),
-        lowest_tag(F.filter("pivots", lambda q: agree(q, p["s0"], p["s1"]))).alias("tag")))))
-    pivots = F.broadcast(pivots) if pivots.count() <= MAX_BROADCAST_ROWS // (4 * PIVOTS) else pivots
-    met = cut(large.join(pivots, "node").withColumn("met", F.filter("pivots", lambda p: agree(p, F.col("s0"), F.col("s1")))).drop("pivots"))
-    links = met.select("rep", F.explode("met").alias("p")).filter(F.col("rep") != F.col("p.rep")).select(
-        F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b"))
-    told = met.select("node", "rep", "s0", "s1", F.least("tag", lowest_tag(F.col("met"))).alias("tag"))
-    apart = cut(told.groupBy("node").agg(F.min("tag").alias("lo"), F.max("tag").alias("hi")).filter("lo != hi").select("node"))
-    n = apart.count()
-    return links, told.join(F.broadcast(apart) if n <= MAX_BROADCAST_ROWS else apart, "node", "left_semi") if n else None
-
-
-def candidate_links(reps: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """Links (a, b) whose sketches agree, found by chosen paths."""
-    rows, found = _roots(reps, runs_for(recall, threshold), threshold), []
+    pivots = scratch.store(pivots.select("node", F.slice(F.array_union(F.array("lowest"), "some"), 1, PIVOTS).alias("pivots")))
+    numbers = F.sequence(F.lit(0), F.size("pivots") - 1)
+    met = F.filter(numbers, lambda i: agree(F.get("pivots", i)))
+    met = _beside(large, pivots, n).withColumn("met", met)
+    met = scratch.store(met.select("node", "rep", "s0", "s1", "tag", "met", F.transform("met", lambda i: F.get("pivots", i)["rep"]).alias("near")), [pivots])
+    links = scratch.store(met.select("rep", F.explode("near").alias("p")).filter("rep != p").select(
+        F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")))
+
+    def bits(numbers: Column, place: Column | int = 0) -> Column:
+        return F.aggregate(numbers, F.lit(0).cast("long"), lambda all_, i: all_.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), i + place)))
+
+    pairs = F.aggregate("met", F.lit(0).cast("long"), lambda all_, i: all_.bitwiseOR(bits(F.col("met"), i * PIVOTS)))
+    lows = [F.min(F.when(F.array_contains("met", i), F.col("tag"))) for i in range(PIVOTS)]
+    told = met.withColumn("pairs", pairs).groupBy("node").agg(F.bit_or("pairs").alias("pairs"), F.array(*lows).alias("tags"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tags = [_group_tags(p % (1 << 64), t) for p, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tags, pa.list_(pa.int64()))], ["node", "tags"])
+
+    told = scratch.store(map_batches(told, run, "node long, tags array<long>"))
+    tag = F.when(F.size("met") > 0, F.get("tags", F.get("met", F.lit(0)))).otherwise(F.col("tag"))
+    return links, scratch.store(_beside(met, told, n).select("node", "rep", "s0", "s1", tag.alias("tag")), [met, told])
+
+
+def _with_all(rows: DataFrame, done: DataFrame, n: int, threshold: float) -> DataFrame:
+    """Links between the sets outside the largest tag of each node in ``done`` (node,
+    tag, size) and all sets of it; in each block from what is connected to the lowest one."""
+    most = COORDINATES - least_agreement(threshold)
+    rows = _beside(rows, done.withColumnRenamed("tag", "largest"), n)
+    one = F.struct("rep", "s0", "s1")
+    others = rows.filter("tag != largest").groupBy("node").agg(F.collect_list(one).alias("others"))
+    block = F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / BUCKET)).alias("block")
+    blocks = rows.groupBy("node", block).agg(F.collect_list(one).alias("sets"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = [], []
+            for (rep, sketch), (other, outer) in zip(_lists(batch.column(0)), _lists(batch.column(1)), strict=True):
+                near = _near(sketch, outer, most)
+                mine, others = rep, other
+                while True:
+                    before = mine, others
+                    others = np.minimum(others, _lowest(near.T, mine))
+                    mine = np.minimum(mine, _lowest(near, others))
+                    if (mine == before[0]).all() and (others == before[1]).all():
+                        break
+                for own, low in ((rep, mine), (other, others)):
+                    left.append(low[own != low])
+                    right.append(own[own != low])
+            yield _link_batch(left, right)
+
+    return map_batches(blocks.join(others, "node").select("sets", "others"), run, _LINKS)
+
+
+def _search(reps: DataFrame, runs: range, threshold: float, scratch: Scratch) -> tuple[list[DataFrame], int]:
+    """Links found by ``runs`` of the recursion, and the levels it took."""
+    found, level = [], 1
+    rows = scratch.store(_roots(reps, runs, threshold))
     while True:
-        # Every level is stored: plans stay small however deep the recursion gets.
-        sized = cut(_sizes(rows))
-        found.append(cut(_brute_force(sized.filter(F.col("size") <= BUCKET), threshold)))
-        large = sized.filter(F.col("size") > BUCKET)
-        if large.isEmpty():
-            break
-        # Members near a pivot are linked to it; buckets that this doesn't connect go down.
-        links, large = _pivot_links(large, threshold)
+        counts = rows.groupBy("node").agg(F.count("*").alias("size"), F.min("tag").alias("lo"), F.max("tag").alias("hi"))
+        large = scratch.store(counts.filter(F.col("size") > BUCKET))
+        n = large.count()
+        side = F.broadcast(large.select("node")) if n <= MAX_BROADCAST_ROWS else large.select("node")
+        small = rows.join(side, "node", "left_anti") if n else rows
+        found.append(scratch.store(_brute_force(small, threshold)))
+        open_ = large.filter("lo != hi")
+        n = open_.count() if n else 0
+        if not n:
+            scratch.remove(rows, large)
+            return found, level
+        links, tagged = _by_pivots(_beside(rows, open_.select("node", "size"), n), n, threshold, scratch)
         found.append(links)
-        if large is None:
-            break
-        rows = _split(large, reps, threshold)
+        by_tag = tagged.groupBy("node", "tag").agg(F.count("*").alias("size"))
+        state = by_tag.groupBy("node").agg(F.max(F.struct("size", "tag")).alias("top"), F.sum("size").alias("size"))
+        state = scratch.store(state.select("node", F.col("top.tag").alias("tag"), "size", (F.col("size") - F.col("top.size")).alias("others")), [rows, large])
+        done = state.filter(f"others > 0 and others <= {BUCKET}").select("node", "tag", "size")
+        found.append(scratch.store(_with_all(tagged, done, n, threshold)))
+        down = state.filter(f"others > {BUCKET}").select("node")
+        n = down.count()
+        if not n:
+            scratch.remove(tagged, state)
+            return found, level
+        rows = _below(_beside(tagged, down, n), reps, threshold, scratch)
+        scratch.remove(tagged, state)
+        level += 1
+
+
+def candidate_links(reps: DataFrame, scratch: Scratch, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """Links (a, b) between ``reps`` (rep, embedded) whose sketches agree, found by chosen paths."""
+    found, done, depth = [], 0, 1
+    while done < (runs := runs_for(recall, threshold, depth)):
+        links, reached = _search(reps, range(done, runs), threshold, scratch)
+        found += links
+        done, depth = runs, max(depth, reached)
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
-    return every.distinct()
+    return scratch.store(every.distinct(), found)
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root) of every node in ``links`` (a, b), root the lowest connected
     one; alternating large and small stars until nothing moves."""
-    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
+    edges = scratch.store(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
     while True:
         # Stars: every node points to one root, and no root points anywhere.
         out = edges.groupBy("u").agg(F.count("*").alias("n"))
@@ -337,9 +468,10 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low)
-        edges = cut(small.filter("u != v").distinct())
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+        edges = scratch.store(small.filter("u != v").distinct(), [edges])
+    told = edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    return scratch.store(told, [edges])
 
 
 def _linked(a: list[np.ndarray], b: list[np.ndarray] | None, threshold: float) -> np.ndarray:
@@ -366,21 +498,25 @@ def _linked(a: list[np.ndarray], b: list[np.ndarray] | None, threshold: float) -
 
 def _exact(members: DataFrame, threshold: float) -> DataFrame:
     """(rep, links, root) from each pair of blocks of each group: the documents
-    linked there, and the lowest set connected there."""
-
-    def solve(rows: list[tuple]) -> tuple[list, list, list]:
-        chosen = {}
-        for rep, block, copies, text in rows:
-            chosen.setdefault(rep, (block, copies, text))
+    linked there, and the lowest set connected there.  ``members``: rep, key, copies, text
+    and the group's root, the member's block and the number of blocks."""
+
+    def solve(rows: list[tuple], two: bool) -> tuple[list, list, list]:
+        # A doc_id may have several texts: the one whose set is the member's.
+        sets, chosen = {}, {}
+        for (rep, key, block, copies, _), own in zip(rows, shingle_sets(pa.array([r[-1] for r in rows], pa.large_string())), strict=True):
+            if rep not in chosen and key == set_key(own):
+                chosen[rep], sets[rep] = (block, copies), own
         reps = sorted(chosen)
-        sets = list(shingle_sets(pa.array([chosen[r][2] for r in reps], pa.large_string())))
         blocks = sorted({chosen[r][0] for r in reps})
+        if len(blocks) != 1 + two:
+            return [], [], []
         copies = np.array([chosen[r][1] for r in reps])
         side = [[i for i, r in enumerate(reps) if chosen[r][0] == x] for x in blocks]
         root = np.arange(len(reps))
         links = np.zeros(len(reps), dtype=np.int64)
-        x, y = (side[0], side[1]) if len(side) > 1 else (side[0], None)
-        hit = _linked([sets[i] for i in x], [sets[i] for i in y] if y is not None else None, threshold)
+        x, y = (side[0], side[1]) if two else (side[0], None)
+        hit = _linked([sets[reps[i]] for i in x], [sets[reps[i]] for i in y] if two else None, threshold)
         if y is None:
             np.fill_diagonal(hit, False)
             links[x] = hit @ copies[x]
@@ -403,74 +539,113 @@ def _exact(members: DataFrame, threshold: float) -> DataFrame:
         schema = pa.schema([("rep", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
         key, rows = None, []
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(7)]
+            columns = [batch.column(i).to_pylist() for i in range(8)]
             out = ([], [], [])
             for group, lo, hi, *row in zip(*columns, strict=True):
                 if (group, lo, hi) != key:
-                    if rows and (key[1] == key[2] or len({r[1] for r in rows}) > 1):
-                        for o, v in zip(out, solve(rows), strict=True):
+                    if rows:
+                        for o, v in zip(out, solve(rows, key[1] != key[2]), strict=True):
                             o += v
                     key, rows = (group, lo, hi), []
                 rows.append(tuple(row))
             yield pa.RecordBatch.from_arrays([pa.array(o, pa.int64()) for o in out], schema=schema)
-        if rows and (key[1] == key[2] or len({r[1] for r in rows}) > 1):
-            yield pa.RecordBatch.from_arrays([pa.array(o, pa.int64()) for o in solve(rows)], schema=schema)
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(o, pa.int64()) for o in solve(rows, key[1] != key[2])], schema=schema)
 
     # The set goes to every pair of blocks that its own block is in.
     spread = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "root", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "rep", "block", "copies", "text")
+        "root", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "rep", "key", "block", "copies", "text")
     return map_batches(spread.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi"), run, "rep long, links long, root long")
 
 
-def link(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """doc_id, class_id, n_links and n_shingles of each row."""
+def set_key(shingles: np.ndarray) -> bytes | None:
+    return xxhash.xxh128(shingles.tobytes()).digest() if len(shingles) else None
+
+
+def link_sets(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, key of the set, n_shingles) and what is known of each
+    set: key, doc (its lowest doc_id), class_id, class_key (the lowest key of
+    that doc_id in the class) and n_links."""
+    scratch = Scratch(docs.sparkSession)
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, sizes, embedded = [], [], []
             for s in shingle_sets(batch.column(1)):
-                keys.append(xxhash.xxh128(s.tobytes()).digest() if len(s) else None)
+                keys.append(set_key(s))
                 sizes.append(len(s))
                 embedded.append(embed(s).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(embedded, pa.binary())],
                 ["doc_id", "key", "n_shingles", "embedded"])
 
-    given = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = cut(map_batches(given, described, "doc_id long, key binary, n_shingles long, embedded binary"))
-    known = rows.filter("key is not null and doc_id is not null")
-    reps = cut(known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("embedded").alias("embedded")))
-    groups = components(candidate_links(reps, threshold, recall))
+    given = docs.select("doc_id", F.col("text").cast("string"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    whole = scratch.store(map_batches(given, described, f"doc_id {kind}, key binary, n_shingles long, embedded binary"))
+    known = whole.filter("key is not null and doc_id is not null")
+    reps = known.groupBy("key").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"), F.first("embedded").alias("embedded"))
+    reps = scratch.store(reps.withColumn("rep", F.monotonically_increasing_id()))
+    rows = scratch.store(whole.select("doc_id", "key", "n_shingles"), [whole])
+    groups = components(candidate_links(reps, scratch, threshold, recall), scratch)
+    sets = scratch.store(reps.drop("embedded"))
+    scratch.keep_only(rows, sets, groups)
     sizes = groups.groupBy("root").agg(F.count("*").alias("size"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     members = groups.join(sizes, "root").select(F.col("node").alias("rep"), "root", blocks.alias("blocks"))
-    members = members.join(reps.groupBy("rep").agg(F.sum("copies").alias("copies")), "rep").withColumn(
-        "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    members = cut(members)
+    members = members.join(sets, "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    members = scratch.store(members, [groups])
     side = F.broadcast(members) if members.count() <= MAX_BROADCAST_ROWS else members
-    texts = given.filter("text is not null").join(side, given["doc_id"] == side["rep"]).drop("doc_id")
-    exact = cut(_exact(texts, threshold))
+    texts = given.filter("text is not null").join(side, given["doc_id"] == side["doc"]).drop("doc_id", "doc")
+    exact = scratch.store(_exact(texts, threshold), [members])
     links = exact.groupBy("rep").agg(F.sum("links").alias("links"))
-    roots = components(exact.filter("rep != root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    known = reps.select("key", "rep", "copies").join(links, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
-        F.col("key").alias("set_key"), F.coalesce("root", "rep").alias("class_id"),
+    roots = components(exact.filter("rep != root").select(F.col("rep").alias("a"), F.col("root").alias("b")), scratch)
+    linked = roots.join(sets.select(F.col("rep").alias("node"), "doc", "key"), "node")
+    lowest = linked.groupBy("root").agg(F.min(F.struct("doc", "key")).alias("low"))
+    classes = linked.join(lowest, "root").select(F.col("node").alias("rep"), F.col("low.doc").alias("class_id"), F.col("low.key").alias("class_key"))
+    told = sets.join(links, "rep", "left").join(classes, "rep", "left").select(
+        "key", "doc", F.coalesce("class_id", "doc").alias("class_id"), F.coalesce("class_key", "key").alias("class_key"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    # Representatives are one row for each key; the side of the documents may be skewed and is split then.
+    told = scratch.store(told)
+    scratch.keep_only(rows, told)
+    return rows, told
+
+
+def link(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """doc_id, class_id, n_links and n_shingles of each row."""
+    rows, told = link_sets(docs, threshold, recall)
+    # One row for each key; the side of the documents may be skewed and is split then.
+    known = told.select(F.col("key").alias("set_key"), "class_id", "n_links")
     return rows.join(known, F.col("key") == F.col("set_key"), "left").select(
         "doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
         F.when(F.col("doc_id").isNull(), 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"), "n_shingles")
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """One document of each class, the one with the lowest doc_id; same columns.
-    Rows without a doc_id stay."""
-    marks = link(docs, threshold, recall).filter("doc_id is not null").groupBy("doc_id").agg(
-        F.min("class_id").alias("class_id"), F.count("*").alias("n"))
-    marks = cut(marks.filter("class_id != doc_id or n > 1").select(F.col("doc_id").alias("marked"), (F.col("class_id") != F.col("doc_id")).alias("goes")))
-    side = F.broadcast(marks) if marks.count() <= 10 * MAX_BROADCAST_ROWS else marks
-    given = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("own_id"))
-    told = given.join(side, F.col("own_id") == F.col("marked"), "left").filter("goes is null or not goes")
-    # Repeated rows of the one that stays are the only ones marked to stay.
-    once = told.filter("goes is not null").groupBy("own_id").agg(F.min("row").alias("row"))
-    left = told.filter("goes is null").select("row").unionByName(once.select("row"))
+    """One document of each class, the one with the lowest doc_id (and key of its
+    set); same columns.  Rows without a doc_id or without shingles stay."""
+    rows, told = link_sets(docs, threshold, recall)
+    known = told.select(F.col("key").alias("set_key"), "doc", ((F.col("class_id") == F.col("doc")) & (F.col("class_key") == F.col("key"))).alias("first"))
+    marks = rows.filter("doc_id is not null").join(known, F.col("key") == F.col("set_key"), "left").select(
+        "doc_id", "key", F.coalesce(F.col("first") & (F.col("doc") == F.col("doc_id")), F.col("key").isNull()).alias("stays"))
+    # Most ids have one row, which stays or goes; the others are told apart by their keys.
+    by_id = marks.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("stays").alias("stays"))
+    by_id = by_id.filter("not stays or n > 1").select(F.col("doc_id").alias("marked"), F.when(F.col("stays"), "some").otherwise("none").alias("left"))
+    by_id = Scratch(docs.sparkSession).store(by_id)
+    side = F.broadcast(by_id) if by_id.count() <= 10 * MAX_BROADCAST_ROWS else by_id
+    given = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own_id"), F.col("text").cast("string").alias("own_text"))
+    given = given.join(side, F.col("own_id") == F.col("marked"), "left")
+    alone = given.filter("left is null").select("row")
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("own_key", pa.array([set_key(s) for s in shingle_sets(batch.column("own_text"))], pa.binary()))
+
+    shared = given.filter("left = 'some'").select("row", "own_id", "own_text")
+    shared = map_batches(shared, keyed, T.StructType([*shared.schema.fields, T.StructField("own_key", T.BinaryType())])).drop("own_text")
+    ids = by_id.filter("left = 'some'").select(F.col("marked").alias("doc_id"))
+    first = marks.filter("stays and key is not null").join(ids, "doc_id", "left_semi").distinct()
+    kept = shared.join(first, (F.col("own_id") == F.col("doc_id")) & (F.col("own_key") == F.col("key")))
+    # Repeated rows are one document.
+    kept = kept.groupBy("own_id", "own_key").agg(F.min("row").alias("row")).select("row")
+    left = alone.unionByName(kept).unionByName(shared.filter("own_key is null").select("row"))
     return left.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import defaultdict
 
@@ -237,8 +238,10 @@ def test_join_of_a_large_group_of_near_copies(spark, block, monkeypatch):
     same_rows(jaccard_join.link(spark.createDataFrame(texts, "doc_id long, text string")), brute_links(texts))
 
 
-def test_join_of_pairs_at_the_edge_of_a_large_group(spark):
+@pytest.mark.parametrize("bucket", [4096, 64])
+def test_join_of_pairs_at_the_edge_of_a_large_group(spark, bucket, monkeypatch):
     # Of each pair, one is near the group (0.76, no link) and its partner is not (0.61).
+    monkeypatch.setattr(jaccard_join, "BUCKET", bucket)
     base = [f"w{i}" for i in range(300)]
     group = [(i, " ".join(base[:40 + i % 200] + [f"new{i}"] + base[41 + i % 200:])) for i in range(600)]
     pairs = []
@@ -252,17 +255,89 @@ def test_join_of_pairs_at_the_edge_of_a_large_group(spark):
     assert [i for i, _ in pairs if got[i] != (i - i % 2, 1)] == []
 
 
-def test_a_set_near_a_pivot_goes_down_with_a_partner_that_is_not(spark):
-    # 20 of 128 bits apart from the group, and 12 more; 27 are allowed.
+def table_links(texts, threshold=0.8):
+    """doc_id: (class_id, n_links) from one matrix of all sets."""
+    import numpy as np
+    sets = [shingles(t) for _, t in texts]
+    number: dict = {}
+    has = np.zeros((len(sets), len({x for s in sets for x in s})), dtype=np.float32)
+    for n, own in enumerate(sets):
+        has[n, [number.setdefault(x, len(number)) for x in own]] = 1
+    common, size = has @ has.T, has.sum(axis=1)
+    hit = common >= threshold * (size[:, None] + size[None, :] - common) - 1e-3
+    np.fill_diagonal(hit, False)
+    root = np.arange(len(sets))
+    while True:
+        low = np.minimum(root, np.where(hit, root[None, :], len(sets)).min(axis=1))
+        if (low == root).all():
+            break
+        root = low
+    return {i: (texts[r][0], int(k)) for (i, _), r, k in zip(texts, root.tolist(), hit.sum(axis=1).tolist(), strict=True)}
+
+
+def test_join_of_a_group_of_thousands(spark):
+    # Near copies in a chain: neighbours are close, the ends are not, so much of the group is ring.
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(5000):
+        own = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            own[rng.randrange(60)] = f"v{rng.randrange(40)}"
+        texts.append((i, " ".join(own)))
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.link(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == table_links(texts)
+
+
+def test_join_of_families_that_share_half_of_their_text(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BUCKET", 32)
+    shared = [f"s{i}" for i in range(60)]
+    texts = []
+    for f in range(6):
+        for i in range(60):
+            own = shared + [f"f{f}x{k}" for k in range(60)]
+            own[61 + i % 50] = f"new{i}"
+            texts.append((100 * f + i, " ".join(own)))
+    texts += [(1000 + i, " ".join(shared + [f"alone{i}x{k}" for k in range(60)])) for i in range(200)]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.link(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == table_links(texts)
+
+
+def test_large_buckets_lose_no_link(spark):
+    # Bits of the sketch: a group of 150, 30 sets 20 bits away from it and 12 more bits away from those 30 others.
+    from contrail.llm.common import Scratch
     near, far = (1 << 20) - 1, (1 << 32) - 1
-    rows = [(node, 1000 * node + i, 0, 0, 1000 * node + i, 202) for node in range(1, 7) for i in range(200)]
-    for node in range(1, 6):
-        rows += [(node, 1000 * node + 500, near, 0, 1000 * node + 500, 202), (node, 1000 * node + 501, far, 0, 1000 * node + 501, 202)]
-    large = spark.createDataFrame(rows, "node long, rep long, s0 long, s1 long, tag long, size long")
-    down = {(r.node, r.rep % 1000) for r in jaccard_join._pivot_links(large, 0.8)[1].collect()}
-    apart = {node for node, i in down if i == 501}
-    assert apart and all((node, 500) in down for node in apart)
-    assert not any(node == 6 for node, _ in down)
+    sets = {i: 0 for i in range(150)} | {200 + i: near for i in range(30)} | {300 + i: far for i in range(30)} | {400 + i: -1 for i in range(5)}
+    scratch = Scratch(spark)
+    rows = scratch.store(spark.createDataFrame([(7, r, s, s if s == -1 else 0, r, len(sets)) for r, s in sets.items()],
+                                               "node long, rep long, s0 long, s1 long, tag long, size long"))
+    links, tagged = jaccard_join._by_pivots(rows, 1, 0.8, scratch)
+    tags = {r.rep: r.tag for r in tagged.collect()}
+    done = spark.createDataFrame([(7, tags[0], len(sets))], "node long, tag long, size long")
+    root = {r: r for r in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links.unionByName(jaccard_join._with_all(tagged, done, 1, 0.8)).collect():
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    assert {find(r) for r in sets if r < 400} == {0} and {find(r) for r in sets if r >= 400} == {400}
+    # A tag only ever names what links connect.
+    assert all(find(r) == find(t) for r, t in tags.items())
+
+
+def test_rows_that_share_a_doc_id_and_string_ids(spark):
+    words = [f"w{i}" for i in range(100)]
+    a, b = " ".join(words), " ".join(words[:97] + ["x", "y", "z"])
+    c = "quite another text of one two three four words"
+    docs = spark.createDataFrame([("d1", a, 1), ("d1", c, 2), ("d2", b, 3), ("d1", c, 4), ("d0", "", 5), ("d0", "", 6)], "doc_id string, text string, n int")
+    same_rows(jaccard_join.link(docs).select("doc_id", "class_id", "n_links"),
+              [("d1", "d1", 1), ("d1", "d1", 1), ("d2", "d1", 1), ("d1", "d1", 1), ("d0", "d0", 0), ("d0", "d0", 0)])
+    # Both texts of d1 stay once; the near copy d2 goes; rows without words stay.
+    same_rows(jaccard_join.drop_near_copies(docs), [("d1", a, 1), ("d1", c, 2), ("d0", "", 5), ("d0", "", 6)])
 
 
 def test_join_edge_cases(spark):
@@ -271,6 +346,8 @@ def test_join_edge_cases(spark):
     assert kept.columns == odd_documents(spark).columns
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(ids, key=str) == sorted([1, 2, 3, 4, 5, None, 7, 8, 9, 10], key=str)
+    long = spark.createDataFrame([(1, "long text of words " * 80000), (2, "Long text of  words " * 80000)], "doc_id long, text string")
+    same_rows(jaccard_join.link(long), [(1, 1, 1, 4), (2, 1, 1, 4)])
 
 
 def test_sets_are_the_same_however_texts_are_batched():
@@ -288,3 +365,4 @@ def test_sets_are_the_same_however_texts_are_batched():
 
 def test_runs_follow_the_recall():
     assert jaccard_join.runs_for(0.9) < jaccard_join.runs_for(0.999) < 20
+    assert jaccard_join.runs_for(0.999, 0.8, 1) < jaccard_join.runs_for(0.999, 0.8, 4) < jaccard_join.runs_for(0.999, 0.8, 12)
