@@ -7,9 +7,10 @@ Runs on ``local[$BENCH_CPUS]`` over ``$BENCH_SF_DIR`` (default
 
 ``full_build_sec`` is the reference's headline figure re-measured here: every
 staging, dimension, fact and mart table written, the history snapshot taken,
-and the 106-check quality report computed over the stored tables.
-``ingest_7_sources`` is its other published figure: all raw sources loaded
-parsed from delimited files (monthly sources month by month) with their audit rows.  Each
+the 106 checks run on what was written, and all of it published once they have passed
+(three checks that the generated flights fail by themselves only warn).
+``ingest_7_sources`` is its other published figure: all raw sources parsed from
+delimited files and loaded (monthly sources month by month) with their audit rows.  Each
 query in ``queries`` is executed in full (``noop`` sink, nothing collected)
 from the raw tables.
 """
@@ -27,6 +28,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from contrail.plans import build as B  # noqa: E402
 from contrail.plans.catalog import queries  # noqa: E402
+from contrail.plans.jobs import KNOWN_FAILURES  # noqa: E402
 from contrail.session import get_session, scratch_dir  # noqa: E402
 from contrail.sources import feed  # noqa: E402
 
@@ -50,17 +52,17 @@ def main() -> None:
     # the timings below are steady-state JVM numbers rather than JIT start-up.
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     B.build(spark, scratch_dir(spark, "bench-warm"), feed.raw_sources(spark, warm_dir),
-            hubs=feed.STATIONS, as_of=dt.datetime(2024, 1, 1), gate=False).report.count()
+            hubs=feed.STATIONS, as_of=dt.datetime(2024, 1, 1), warn_only=KNOWN_FAILURES).report.count()
     # The same build on the smallest tables, timed: the fixed (per-job)
     # floor.  full_build minus this is what the extra rows cost.
     t = time.perf_counter()
     B.build(spark, scratch_dir(spark, "bench-floor"), feed.raw_sources(spark, warm_dir),
-            hubs=feed.STATIONS, as_of=dt.datetime(2024, 1, 1), gate=False).report.count()
+            hubs=feed.STATIONS, as_of=dt.datetime(2024, 1, 1), warn_only=KNOWN_FAILURES).report.count()
     floor_sec = time.perf_counter() - t
 
     t0 = time.perf_counter()
     result = B.build(spark, scratch_dir(spark, "bench-wh"), feed.raw_sources(spark, sf_dir),
-                     hubs=feed.STATIONS, as_of=dt.datetime(2024, 1, 1), gate=False)
+                     hubs=feed.STATIONS, as_of=dt.datetime(2024, 1, 1), warn_only=KNOWN_FAILURES)
     result.report.count()
     build_sec = time.perf_counter() - t0
     timings["full_build"] = round(build_sec, 3)

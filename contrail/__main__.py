@@ -26,12 +26,15 @@ def _parser() -> argparse.ArgumentParser:
     ing.add_argument("--raw-dir", required=True, help="folder holding the delimited source files")
     ing.add_argument("--warehouse", required=True, help="warehouse root (shared storage)")
     ing.add_argument("--months", default="all", help="comma-separated YYYY-MM list, or 'all'")
+    ing.add_argument("--reject-limit", type=int, help="bad rows allowed in each source; they go to raw/rejects (default: the first one fails the load)")
     bld = sub.add_parser("build", help="build every model from the raw tables")
     bld.add_argument("--warehouse", required=True)
     bld.add_argument("--full-refresh", action="store_true")
     bld.add_argument("--lookback-days", type=int, default=0)
+    bld.add_argument("--fixed-dates", action="store_true", help="flights never change their date: merges needn't look for old places of keys")
     bld.add_argument("--hubs", default="EWR,JFK,LGA", help="accepted origin codes")
     bld.add_argument("--no-gate", action="store_true", help="build on when checks fail")
+    bld.add_argument("--warn-only", default="", help="comma-separated checks that are reported and gate nothing")
     bld.add_argument("--fail-on-violation", action="store_true")
     bld.add_argument("--holidays", help="holiday seed file (default: the federal holidays by rule)")
     st = sub.add_parser("status", help="raw table counts and the latest loads")
@@ -49,8 +52,9 @@ def main(argv: list[str] | None = None) -> int:
         months = None if args.months == "all" else [m.strip() for m in args.months.split(",") if m.strip()]
         if months is not None:
             parse_months(months)  # reject malformed months before any job runs
-        raw = {s.name: read_source(spark, s, args.raw_dir) for s in SOURCES}
-        counts = ingest(spark, raw, f"{root}/raw", months=months)
+        on_bad = "fail" if args.reject_limit is None else "keep"
+        raw = {s.name: read_source(spark, s, args.raw_dir, on_bad=on_bad) for s in SOURCES}
+        counts = ingest(spark, raw, f"{root}/raw", months=months, reject_limit=args.reject_limit or 0)
         for name, per in counts.items():
             print(f"loaded {sum(per.values())} rows into {name}")
         return 0
@@ -60,8 +64,9 @@ def main(argv: list[str] | None = None) -> int:
         raw = {s.name: read_raw(spark, f"{root}/raw/{s.name}") for s in SOURCES}
         result = build(spark, f"{root}/warehouse", raw, hubs=tuple(args.hubs.split(",")),
                        as_of=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-                       full_refresh=args.full_refresh, lookback_days=args.lookback_days,
+                       full_refresh=args.full_refresh, lookback_days=args.lookback_days, fixed_partition=args.fixed_dates,
                        fail_on_violation=args.fail_on_violation, gate=not args.no_gate,
+                       warn_only=tuple(filter(None, args.warn_only.split(","))),
                        holidays=read_seed(spark, path=args.holidays) if args.holidays else None)
         failed = result.report.where("not passed").count()
         print(f"built {len(result.warehouse.written)} tables; {failed} of {result.report.count()} checks failed")

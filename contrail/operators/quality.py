@@ -1,10 +1,15 @@
 """Data-quality checks.  Each check is a query returning the violating rows
 (pass = empty); ``run_checks`` evaluates a whole catalogue in one job.
 
-At scale the catalogue must not become one scan per check: all uniqueness
-and row-level checks of a table (not null, accepted values, non-negative,
-range) share one scan and one partially aggregated group-by, and all its
-foreign keys share one anti join — at most two jobs per table.
+At scale the catalogue must not become one scan per check:
+
+* row-level checks (not null, accepted values, non-negative, range) of a table that
+  is being written are counted by the job that writes it (:class:`Observed`); those
+  of a view share one scan;
+* uniqueness goes in two phases: all checks of a table count 64-bit hashes in one
+  shuffle of eight bytes a row and check; whole values are compared only where a
+  hash repeats;
+* all foreign keys of a table share one anti join of distinct keys.
 """
 
 from __future__ import annotations
@@ -12,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 ROW_LEVEL = ("not_null", "accepted_values", "non_negative", "within_range")
@@ -53,20 +58,58 @@ def _scoped(df: DataFrame, c: Check) -> DataFrame:
     return df.where(F.expr(c.where)) if c.where else df
 
 
-def violation_predicate(c: Check) -> Column:
-    """Row-level checks as a predicate that is true on a violating row."""
-    v = _value(c)
+def _literal(v) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(v, str) else repr(v)
+
+
+def violation_sql(c: Check) -> str:
+    """A row-level check as SQL text that is true on a violating row.  One parse
+    for each check: a catalogue of Column objects takes thousands of calls to the JVM."""
+    v = f"({c.column})"
     if c.kind == "not_null":
-        return v.isNull()
+        return f"{v} IS NULL"
     if c.kind == "accepted_values":
-        return v.isNotNull() & ~v.isin(*c.values)
+        return f"{v} IS NOT NULL AND {v} NOT IN ({', '.join(map(_literal, c.values))})"
     if c.kind == "non_negative":
-        return v < F.lit(0)
+        return f"{v} < 0"
     if c.kind == "within_range":
-        return (v < F.lit(c.lo)) | (v > F.lit(c.hi))
+        return f"({v} < {_literal(c.lo)} OR {v} > {_literal(c.hi)})"
     raise ValueError(f"not a row-level check: {c.kind}")
 
 
+def violation_predicate(c: Check) -> Column:
+    return F.expr(violation_sql(c))
+
+
+def _count_sql(c: Check) -> str:
+    scope = f" AND ({c.where})" if c.where else ""
+    return f"CAST(count_if({violation_sql(c)}{scope}) AS BIGINT)"
+
+
+class Observed:
+    """Row-level checks of a table, counted by the job that computes it.
+
+    A task that runs again after a loss may count its violations again, so a
+    count can be too high, but never 0 where there is a violation, nor
+    more than 0 where there is none."""
+
+    def __init__(self, group: Sequence[Check]):
+        self.checks = [c for c in group if c.kind in ROW_LEVEL]
+        self._observation = Observation() if self.checks else None
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        if not self.checks:
+            return df
+        return df.observe(self._observation, *[F.expr(f"{_count_sql(c)} AS _c{i}") for i, c in enumerate(self.checks)])
+
+    def rows(self) -> list[tuple[str, str, int]]:
+        """(check, table, violations), once the job has run."""
+        if not self.checks:
+            return []
+        found = self._observation.get
+        return [(c.name, c.table, int(found[f"_c{i}"])) for i, c in enumerate(self.checks)]
+
+
 def not_null(df: DataFrame, column: str, where: str | None = None) -> DataFrame:
     return violations(Check("t", "not_null", column, where=where), {"t": df})
 
@@ -104,9 +147,11 @@ def violations(c: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
                   .agg(F.count(F.lit(1)).cast("bigint").alias("n_records"))
                   .where(F.col("n_records") > 1))
     if c.kind == "relationships":
+        # Distinct keys meet the parent; only the few orphans meet the whole rows again.
         parent = tables[c.parent].select(F.col(c.parent_field).alias("_parent_key"))
-        return (df.where(v.isNotNull())
-                  .join(parent, on=v == F.col("_parent_key"), how="left_anti"))
+        keys = df.select(v.alias("_child_key")).where(F.col("_child_key").isNotNull()).distinct()
+        orphans = keys.join(parent, on=F.col("_child_key") == F.col("_parent_key"), how="left_anti")
+        return df.join(orphans, on=v == F.col("_child_key"), how="left_semi")
     raise ValueError(f"unknown check kind: {c.kind}")
 
 
@@ -118,52 +163,56 @@ def _stack_counts(counts: DataFrame, names: Sequence[str], table: str) -> DataFr
                   .select("r.check_name", F.lit(table).alias("table_name"), "r.violations"))
 
 
-def _tagged(c: Check, i: int, value: Column) -> Column:
-    """``struct(i, value)`` for rows in the check's scope, else NULL."""
-    entry = F.struct(F.lit(i).alias("i"), value.alias("v"))
-    return F.when(F.expr(c.where), entry) if c.where else entry
+def _tagged(c: Check, i: int, value: str) -> str:
+    """SQL for ``struct(i, v)`` of rows in the check's scope, else NULL."""
+    entry = f"named_struct('i', {i}, 'v', {value})"
+    return f"CASE WHEN {c.where} THEN {entry} END" if c.where else entry
+
+
+def _pairs(df: DataFrame, group: Sequence[Check], value: str) -> DataFrame:
+    """(i, v): each check's value on each row, where there is one; ``value`` is SQL
+    in which {v} is the check's column."""
+    told = ", ".join(_tagged(c, i, value.format(v=f"({c.column})")) for i, c in enumerate(group))
+    return df.selectExpr(f"explode(filter(array({told}), p -> p IS NOT NULL AND p.v IS NOT NULL)) AS p").select("p.i", "p.v")
 
 
 def _row_level_part(df: DataFrame, table: str, group: Sequence[Check]) -> DataFrame:
-    counts = df.agg(*[
-        F.count_if(violation_predicate(c) & (F.expr(c.where) if c.where else F.lit(True)))
-         .cast("bigint").alias(f"_c{i}") for i, c in enumerate(group)])
+    counts = df.selectExpr(*[f"{_count_sql(c)} AS _c{i}" for i, c in enumerate(group)])
     return _stack_counts(counts, [c.name for c in group], table)
 
 
+# The string form of a value is exact for its type.
+_TEXT, _HASH = "CAST({v} AS STRING)", "CASE WHEN {v} IS NOT NULL THEN xxhash64(CAST({v} AS STRING)) END"
+
+
+def _repeated_hashes(df: DataFrame, group: Sequence[Check]) -> DataFrame:
+    """(i, h) of hashes that occur more than once: all uniqueness checks of a
+    table in one shuffle of hashes."""
+    return _pairs(df, group, _HASH).withColumnRenamed("v", "h").groupBy("i", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("i", "h")
+
+
+def _repeated_values(df: DataFrame, group: Sequence[Check], hashes: DataFrame) -> DataFrame:
+    """(i, v) of values that occur more than once; only those with one of ``hashes`` are looked at."""
+    pairs = _pairs(df, group, _TEXT).withColumn("h", F.xxhash64("v"))
+    some = pairs.join(hashes, ["i", "h"], "left_semi")
+    return some.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("i", "v")
+
+
 def _unique_part(df: DataFrame, table: str, group: Sequence[Check]) -> DataFrame:
-    """All uniqueness checks of a table in one shuffle: explode (check, value)
-    pairs, count per pair, keep pairs seen twice, count them per check.
-    Values are compared by their string form, which is exact per type."""
-    pairs = (df.select(F.explode(F.array(*[_tagged(c, i, _value(c).cast("string"))
-                                           for i, c in enumerate(group)])).alias("p"))
-               .where(F.col("p").isNotNull() & F.col("p.v").isNotNull())
-               .select("p.i", "p.v"))
-    dups = pairs.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    counts = dups.agg(*[F.count_if(F.col("i") == i).cast("bigint").alias(f"_c{i}") for i in range(len(group))])
+    found = _repeated_values(df, group, _repeated_hashes(df, group))
+    counts = found.selectExpr(*[f"CAST(count_if(i = {i}) AS BIGINT) AS _c{i}" for i in range(len(group))])
     return _stack_counts(counts, [c.name for c in group], table)
 
 
-def _unique_and_row_part(df: DataFrame, table: str, uniq: Sequence[Check], rows: Sequence[Check]) -> DataFrame:
-    """Uniqueness and row-level checks of one table in a single shuffle.
-
-    Uniqueness checks emit ``(check, value)`` pairs; row-level checks emit
-    ``(check, NULL)`` only on violating rows.  One partially aggregated
-    group-by on (check, value) then gives both: the number of values seen
-    twice, and the number of violating rows."""
-    k = len(uniq)
-    entries = [_tagged(c, i, _value(c).cast("string")) for i, c in enumerate(uniq)]
-    for j, c in enumerate(rows):
-        hit = violation_predicate(c) & (F.expr(c.where) if c.where else F.lit(True))
-        entries.append(F.when(hit, F.struct(F.lit(k + j).alias("i"), F.lit(None).cast("string").alias("v"))))
-    # Only pairs that say something leave the row.
-    told = F.filter(F.array(*entries), lambda p: p.isNotNull() & (p["v"].isNotNull() | (p["i"] >= k)))
-    pairs = df.select(F.explode(told).alias("p")).select("p.i", "p.v")
-    grouped = pairs.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
-    aggs = [F.count_if((F.col("i") == i) & (F.col("n") > 1)).cast("bigint").alias(f"_c{i}") for i in range(k)]
-    aggs += [F.coalesce(F.sum(F.when(F.col("i") == k + j, F.col("n"))), F.lit(0)).cast("bigint").alias(f"_c{k + j}")
-             for j in range(len(rows))]
-    return _stack_counts(grouped.agg(*aggs), [c.name for c in [*uniq, *rows]], table)
+def count_duplicates(df: DataFrame, group: Sequence[Check]) -> list[tuple[str, str, int]]:
+    """(check, table, violations) of uniqueness checks on one table.  Whole
+    values are read only for the checks that have a repeated hash."""
+    hit = {r["i"] for r in _repeated_hashes(df, group).select("i").distinct().collect()}
+    some = [c for i, c in enumerate(group) if i in hit]
+    found = {}
+    if some:
+        found = {r["i"]: r["count"] for r in _repeated_values(df, some, _repeated_hashes(df, some)).groupBy("i").count().collect()}
+    return [(c.name, c.table, int(found.get(some.index(c), 0)) if c in some else 0) for c in group]
 
 
 def _relationship_part(df: DataFrame, table: str, group: Sequence[Check],
@@ -171,54 +220,48 @@ def _relationship_part(df: DataFrame, table: str, group: Sequence[Check],
     """All foreign-key checks of a child table in one anti join.  The child's
     keys are first reduced to (check, key, rows) — partial aggregation, so the
     join shuffles distinct keys, not fact rows, however hot a key is."""
-    child = (df.select(F.explode(F.array(*[_tagged(c, i, _value(c).cast("string"))
-                                           for i, c in enumerate(group)])).alias("p"))
-               .where(F.col("p").isNotNull() & F.col("p.v").isNotNull())
-               .groupBy(F.col("p.i").alias("i"), F.col("p.v").alias("v"))
-               .agg(F.count(F.lit(1)).alias("n")))
+    child = _pairs(df, group, _TEXT).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
     parents = None
     for i, c in enumerate(group):
         keys = tables[c.parent].select(F.lit(i).alias("i"), F.col(c.parent_field).cast("string").alias("v"))
         parents = keys if parents is None else parents.unionByName(keys)
     orphans = child.join(parents.distinct(), on=["i", "v"], how="left_anti")
-    counts = orphans.agg(*[F.coalesce(F.sum(F.when(F.col("i") == i, F.col("n"))), F.lit(0))
-                            .cast("bigint").alias(f"_c{i}") for i in range(len(group))])
+    counts = orphans.selectExpr(*[f"CAST(coalesce(sum(CASE WHEN i = {i} THEN n END), 0) AS BIGINT) AS _c{i}" for i in range(len(group))])
     return _stack_counts(counts, [c.name for c in group], table)
 
 
-def _parts(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> list[DataFrame]:
-    """At most two jobs per table: uniqueness and row-level checks together
-    (or row-level alone), and all foreign keys together."""
+def _by_table(checks: Sequence[Check]) -> dict[str, dict[str, list[Check]]]:
     grouped: dict[str, dict[str, list[Check]]] = {}
     for c in checks:
         kind = "row" if c.kind in ROW_LEVEL else c.kind
         if kind not in ("row", "unique", "relationships"):
             raise ValueError(f"unknown check kind: {c.kind}")
         grouped.setdefault(c.table, {}).setdefault(kind, []).append(c)
-    parts: list[DataFrame] = []
-    for table, kinds in grouped.items():
-        df = tables[table]
-        uniq, rows, rels = kinds.get("unique", []), kinds.get("row", []), kinds.get("relationships", [])
-        if uniq:
-            parts.append(_unique_and_row_part(df, table, uniq, rows))
-        elif rows:
-            parts.append(_row_level_part(df, table, rows))
-        if rels:
-            parts.append(_relationship_part(df, table, rels, tables))
-    return parts
+    return grouped
 
 
 def run_checks_concurrently(checks: Sequence[Check], tables: Mapping[str, DataFrame],
                             threads: int = 8) -> DataFrame:
-    """Same report as ``run_checks``, but each table's part is its own job,
-    submitted from ``threads`` driver threads so small jobs overlap.  Only
+    """Same report as ``run_checks``, but each table's kinds of checks are jobs of
+    their own, submitted from ``threads`` driver threads so small jobs overlap.  Only
     the per-check counts come back to the driver (one row per check)."""
     from concurrent.futures import ThreadPoolExecutor
-    parts = _parts(checks, tables)
+
+    def counted(part: DataFrame) -> list[tuple[str, str, int]]:
+        return [(r.check_name, r.table_name, int(r.violations)) for r in part.collect()]
+
+    jobs = []
+    for table, kinds in _by_table(checks).items():
+        df = tables[table]
+        if "unique" in kinds:
+            jobs.append(lambda df=df, group=kinds["unique"]: count_duplicates(df, group))
+        if "row" in kinds:
+            jobs.append(lambda df=df, t=table, group=kinds["row"]: counted(_row_level_part(df, t, group)))
+        if "relationships" in kinds:
+            jobs.append(lambda df=df, t=table, group=kinds["relationships"]: counted(_relationship_part(df, t, group, tables)))
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        results = list(pool.map(lambda p: p.collect(), parts))
-    spark = parts[0].sparkSession
-    rows = [(r.check_name, r.table_name, int(r.violations)) for res in results for r in res]
+        rows = [row for found in pool.map(lambda job: job(), jobs) for row in found]
+    spark = next(iter(tables.values())).sparkSession
     report = spark.createDataFrame(rows, "check_name string, table_name string, violations bigint")
     return report.withColumn("passed", F.col("violations") == 0)
 
@@ -226,11 +269,18 @@ def run_checks_concurrently(checks: Sequence[Check], tables: Mapping[str, DataFr
 def run_checks(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per check: ``check_name, table_name, violations, passed``.
 
-    Per table, at most two parts: one group-by for its uniqueness and
-    row-level checks, one anti join for its foreign keys.  The report is a
-    single DataFrame, so one action evaluates the whole catalogue.
+    Per table, at most three parts: uniqueness, row-level checks, foreign keys.
+    The report is a single DataFrame, so one action evaluates the whole catalogue.
     """
-    parts = _parts(checks, tables)
+    parts: list[DataFrame] = []
+    for table, kinds in _by_table(checks).items():
+        df = tables[table]
+        if "unique" in kinds:
+            parts.append(_unique_part(df, table, kinds["unique"]))
+        if "row" in kinds:
+            parts.append(_row_level_part(df, table, kinds["row"]))
+        if "relationships" in kinds:
+            parts.append(_relationship_part(df, table, kinds["relationships"], tables))
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)

@@ -2,27 +2,27 @@
 detection, the load audit, table counts and materialisation.
 
 Tables are Parquet directories.  Monthly tables are partitioned by
-``(year, month)``; a reload replaces exactly the selected months in one job
-(dynamic partition overwrite, which swaps a month's files when the job commits)
-and leaves every other month untouched.  A lost executor only re-runs tasks.
+``(year, month)``; a reload writes exactly the selected months, into a staging
+folder, and swaps them in together (``contrail.operators.publish``); every other
+month is untouched.  A lost executor only re-runs tasks.
 
-Tables that are replaced whole (``replace_table``) are written as a new version
-folder beside the old one; readers take the newest complete version, and older
-ones go after the commit.  A crash before it leaves the old version in place.
+Tables that are replaced whole are written as a new version folder beside the old
+one, staged likewise; readers take the newest version, and older ones go when it is
+published.  A crash before that leaves the old version in place.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.session import child_names, remove_path, scratch_dir
+from contrail.operators.publish import Publication, partition_folders, recover
+from contrail.session import child_names
 from contrail.sources.schemas import LOAD_AUDIT
 
 _MONTH = re.compile(r"^(\d{4})-(\d{2})$")
@@ -44,11 +44,8 @@ def month_label(year: int, month: int) -> str:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - lists files, reads one footer
-        return True
-    except AnalysisException:
-        return False
+    """Whether the folder holds more than staging folders and journals."""
+    return any(n[0] not in "._" for n in child_names(spark, path))
 
 
 def schema_drift(old: T.StructType, new: T.StructType,
@@ -71,33 +68,53 @@ def drifted(old: T.StructType, new: T.StructType, partition_cols: Sequence[str]
 _VERSION = re.compile(r"^v(\d{8})$")
 
 
-def versions(spark: SparkSession, path: str, complete: bool = True) -> list[str]:
-    """Version folders of a table, oldest first."""
-    found = [n for n in child_names(spark, path) if _VERSION.match(n)]
-    return [n for n in found if not complete or "_SUCCESS" in child_names(spark, f"{path}/{n}")]
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Version folders of a table, oldest first; a folder takes its name when it is published."""
+    return [n for n in child_names(spark, path) if _VERSION.match(n)]
 
 
 def read_versioned(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest complete version of a table; None when there is none."""
+    """The newest version of a table; None when there is none."""
     found = versions(spark, path)
     return spark.read.parquet(f"{path}/{found[-1]}") if found else None
 
 
-def replace_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as the next version of the table and drop the older ones.
-    ``df`` may read the current version."""
-    last = versions(spark, path, complete=False)
+def stage_table(publication: Publication, df: DataFrame, path: str, partition_by: Sequence[str] = (),
+                sort_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as the next version of the table, unpublished, and return a
+    scan of it, which cuts the lineage for everything downstream.  ``df`` may
+    read the current version."""
+    spark, path = publication.spark, path.rstrip("/")
+    last = versions(spark, path)
     new = f"v{int(_VERSION.match(last[-1])[1]) + 1 if last else 1:08d}"
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{new}")
+    staged = publication.stage(path)
+    for_partitioned_write(df, partition_by, sort_by).write.partitionBy(*partition_by).parquet(staged)
+    publication.put(staged, f"{path}/{new}")
     for old in last:
-        remove_path(spark, f"{path}/{old}")
-    return spark.read.parquet(f"{path}/{new}")
+        publication.drop(f"{path}/{old}")
+    return spark.read.schema(df.schema).parquet(staged) if partition_by else spark.read.parquet(staged)
+
+
+def replace_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as the next version of the table and drop the older ones."""
+    recover(spark, path)
+    with Publication(spark, path) as publication:
+        stage_table(publication, df, path)
+        publication.commit()
+    return read_versioned(spark, path)
 
 
-def load_full(spark: SparkSession, df: DataFrame, path: str) -> int:
+def load_full(spark: SparkSession, df: DataFrame, path: str, check: Callable[[], None] | None = None) -> int:
     """Replace the whole table; return its row count (answered from Parquet
-    footers, not by rescanning the data)."""
-    return replace_table(spark, df, path).count()
+    footers, not by rescanning the data).  ``check`` runs between the write and
+    its publication and may raise."""
+    recover(spark, path)
+    with Publication(spark, path) as publication:
+        rows = stage_table(publication, df, path).count()
+        if check:
+            check()
+        publication.commit()
+    return rows
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -122,19 +139,11 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
     return spark.read.schema(T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in stored.schema.fields])).parquet(path)
 
 
-def clear_partitions(spark: SparkSession, path: str, partition_cols: Sequence[str], values: Iterable[Sequence]) -> None:
-    """Remove the folders of the given partitions (None: the NULL partition)."""
-    for vals in values:
-        named = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else int(v)}" for c, v in zip(partition_cols, vals))
-        remove_path(spark, f"{path}/{named}")
-
-
 def _month_filter(months: Sequence[tuple[int, int]]):
-    """Plain predicates on the two partition columns, so that they prune."""
-    keep = F.lit(False)
-    for y, m in months:
-        keep = keep | ((F.col("year") == F.lit(y)) & (F.col("month") == F.lit(m)))
-    return keep
+    """One predicate on the month's number, however many months there are: each of
+    the two columns (or what they are parsed from) is read once.  On stored
+    tables it prunes, as it reads partition columns only."""
+    return (F.col("year") * 12 + F.col("month")).isin([12 * y + m for y, m in months]) if months else F.lit(False)
 
 
 def conformed(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -154,55 +163,62 @@ def _months_of(df: DataFrame) -> list[tuple[int, int]]:
     return sorted((int(r[0]), int(r[1])) for r in df.select("year", "month").distinct().collect() if r[0] is not None and r[1] is not None)
 
 
-def _month_files(spark: SparkSession, path: str, months: Iterable[tuple[int, int]]) -> dict[tuple[int, int], list[str]]:
-    return {(y, m): child_names(spark, f"{path}/year={y}/month={m}") for y, m in months}
-
-
-def load_monthly(spark: SparkSession, df: DataFrame, path: str, months: Iterable[str]) -> dict[str, int]:
-    """Idempotent month replace.
+def load_monthly(spark: SparkSession, df: DataFrame, path: str, months: Iterable[str] | None = None,
+                 check: Callable[[], None] | None = None) -> dict[str, int]:
+    """Idempotent month replace; without ``months``, of every month that ``df`` holds.
 
-    * One job parses the selected months of ``df`` and writes them with dynamic
-      partition overwrite: each file is parsed once and each month written once.
-      Selected months without incoming rows are cleared.
+    * One job parses ``df`` and writes the selected months into a staging folder;
+      they are swapped in together.  Selected months without incoming rows are
+      cleared.  Each file is parsed once and each month written once.
     * Schema drift against the existing table (a column that is new, or of
       another type) rebuilds every stored month in the merged schema: months the
       file holds come from the file, all others from the table, so no month is
       lost.  A column that the file no longer has stays, NULL in the new rows.
+    * ``check`` runs between the write and its publication and may raise: then
+      the table stays as it was.
+    * A first load that selects nothing leaves an empty table with the schema.
 
     Returns ``{"YYYY-MM": rows}`` for every selected or rebuilt month (0 when
     empty), counted from the footers of the written files.
     """
-    selected = parse_months(months)
+    path = path.rstrip("/")
+    recover(spark, path)
+    selected = parse_months(months) if months is not None else None
     old = spark.read.parquet(path) if table_exists(spark, path) else None
-    incoming, wanted, scratch = df, list(selected), None
+    incoming, wanted = df, selected
     if old is not None:
         schema = merged_schema(old.schema, df.schema)
+        incoming = conformed(df, schema)
         if drifted(old.schema, df.schema, ("year", "month")):
-            stored = _months_of(old)
-            held = _months_of(df.select("year", "month"))
-            wanted = sorted({*selected, *stored})
-            keep = [ym for ym in stored if ym not in held and ym not in selected]
-            # The table can't be read while its months are replaced.
-            scratch = scratch_dir(spark, "drift")
-            both = conformed(df.where(_month_filter(wanted)), schema).unionByName(conformed(old.where(_month_filter(keep)), schema))
-            for_partitioned_write(both, ("year", "month")).write.partitionBy("year", "month").parquet(scratch)
-            incoming = spark.read.schema(schema).parquet(scratch)
-        else:
-            incoming = conformed(df, schema)
-    before = _month_files(spark, path, wanted)
-    rows = incoming.where(_month_filter(wanted))
-    (rows if scratch else for_partitioned_write(rows, ("year", "month"))).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
-    if scratch:
-        remove_path(spark, scratch)
-    # Replaced months have new files; the others had no incoming rows.
-    after = _month_files(spark, path, wanted)
-    written = [ym for ym in wanted if after[ym] and after[ym] != before[ym]]
-    clear_partitions(spark, path, ("year", "month"), [ym for ym in wanted if ym not in written and before[ym]])
-    counts = {}
-    if written:
-        loaded = spark.read.schema(incoming.schema).parquet(path).where(_month_filter(written))
-        counts = {(int(r["year"]), int(r["month"])): r["count"] for r in loaded.groupBy("year", "month").count().collect()}
+            stored, held = _months_of(old), _months_of(df.select("year", "month"))
+            wanted = sorted({*(selected if selected is not None else held), *stored})
+            keep = [ym for ym in stored if ym not in held and ym not in (selected or ())]
+            incoming = incoming.where(_month_filter(wanted)).unionByName(conformed(old.where(_month_filter(keep)), schema))
+    with Publication(spark, path) as publication:
+        staged = publication.stage(path)
+        rows = incoming if wanted is None else incoming.where(_month_filter(wanted))
+        for_partitioned_write(rows, ("year", "month")).write.partitionBy("year", "month").parquet(staged)
+        if check:
+            check()
+        written = {}
+        for folder in partition_folders(spark, staged, 2):
+            if "__HIVE_DEFAULT_PARTITION__" in folder:
+                raise ValueError("the source holds rows without a year or month")
+            written[tuple(int(part.split("=")[1]) for part in folder.split("/"))] = folder
+        counts = {}
+        if written:
+            loaded = spark.read.schema(incoming.schema).parquet(staged)
+            counts = {(int(r["year"]), int(r["month"])): r["count"] for r in loaded.groupBy("year", "month").count().collect()}
+        wanted = sorted(written) if wanted is None else wanted
+        for ym in wanted:
+            name = f"year={ym[0]}/month={ym[1]}"
+            if ym in written:
+                publication.put(f"{staged}/{written[ym]}", f"{path}/{name}")
+            else:
+                publication.drop(f"{path}/{name}")
+        publication.commit()
+    if not written and old is None:
+        ensure_table(spark, path, df.schema, ("year", "month"))
     return {month_label(y, m): int(counts.get((y, m), 0)) for y, m in wanted}
 
 
@@ -257,10 +273,15 @@ def for_partitioned_write(df: DataFrame, partition_by: Sequence[str],
     return out.sortWithinPartitions(*partition_by, *sort_by) if sort_by else out
 
 
-def materialize(spark: SparkSession, df: DataFrame, path: str,
-                partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
-    """Write a model as a table (full replace) and return a scan of it, which
-    cuts the lineage for everything downstream."""
-    for_partitioned_write(df, partition_by, sort_by).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
-    return spark.read.parquet(path)
+def stage_partitions(publication: Publication, df: DataFrame, path: str, partition_by: Sequence[str],
+                     sort_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as all partitions of the table, unpublished, and return a scan of it."""
+    spark, path = publication.spark, path.rstrip("/")
+    staged = publication.stage(path)
+    for_partitioned_write(df, partition_by, sort_by).write.partitionBy(*partition_by).parquet(staged)
+    present = partition_folders(spark, staged, len(partition_by))
+    for folder in present:
+        publication.put(f"{staged}/{folder}", f"{path}/{folder}")
+    for folder in set(partition_folders(spark, path, len(partition_by))) - set(present):
+        publication.drop(f"{path}/{folder}")
+    return spark.read.schema(df.schema).parquet(staged)

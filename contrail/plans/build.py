@@ -7,31 +7,41 @@ what lets a long build survive executor loss without recomputing from the raw
 files).  Staging models stay lazy views: they are narrow projections that fuse
 into their consumers' scans, and writing a copy of the fact-sized flight staging
 would cost a full rewrite of the largest input.  The hourly weather is stored: it
-is small once deduplicated, and Spark then knows so when it plans the fact.
+is small once deduplicated, and Spark then knows so when it plans the fact.  So are the
+conformed airports, which take several joins and are read three times.
+
+Write, check, publish: a build stages all of its tables, checks what it staged, and
+switches them together at the end (``contrail.operators.publish``).  A build that fails a
+check, or dies, leaves the tables of the last one as they were.
 
 The fact is incremental: on a rebuild only flights on or after the stored
 high-water mark are recomputed and merged by key into the touched
-``(flight_year, flight_month)`` partitions.
+``(flight_year, flight_month)`` partitions.  Marts, and what dimensions take from the
+flights, come from stored aggregates of each month (``contrail.plans.partials``),
+of which only those of touched months are computed again: no table but the fact's
+touched partitions and the newest raw months is read by flight.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.operators import quality, sinks
-from contrail.operators.history import scd2_snapshot
-from contrail.operators.incremental import high_water_mark, months_from, write_incremental
+from contrail.operators.history import stage_snapshot
+from contrail.operators.incremental import high_water_mark, in_partitions, index_path, months_from, stage_incremental
+from contrail.operators.publish import Publication, recover
 from contrail.operators.sinks import table_exists
-from contrail.plans import checks, staging, warehouse
+from contrail.plans import checks, marts, partials, staging, warehouse
 from contrail.plans.models import Models
 
-VIEWS = ("stg_flight", "stg_plane", "stg_carrier", "stg_airport_reference", "stg_airport")
+VIEWS = ("stg_flight", "stg_plane", "stg_carrier", "stg_airport_reference")
 FACT_PARTITIONS = ("flight_year", "flight_month")
 FACT_SORT = ("flight_date", "origin_code")
 SNAPSHOT_COLS = ("ident", "airport_type", "airport_name", "municipality", "iso_country", "iso_region",
@@ -40,33 +50,74 @@ SNAPSHOT_CHECK_COLS = ("airport_type", "airport_name", "municipality", "has_sche
 
 
 class Warehouse(Models):
-    """The model graph, materialised under ``root``."""
+    """The model graph, materialised under ``root``.
+
+    With a ``publication`` the tables are staged and left to it; else each one is
+    published as soon as it is written."""
 
     ordered = False
 
     def __init__(self, spark: SparkSession, root: str, raw: Mapping[str, DataFrame],
-                 full_refresh: bool = False, lookback_days: int = 0, **kwargs):
+                 full_refresh: bool = False, lookback_days: int = 0, fixed_partition: bool = False,
+                 publication: Publication | None = None, watched: Mapping[str, Sequence[quality.Check]] | None = None, **kwargs):
         super().__init__(raw, **kwargs)
         self.spark = spark
         self.root = root.rstrip("/")
         self.full_refresh = full_refresh
         self.lookback_days = lookback_days
+        self.fixed_partition = fixed_partition
+        self.publication = publication
+        #: Checks by table, whose row-level ones are counted by the job that writes it.
+        self.watched = dict(watched or {})
+        self.observed: dict[str, quality.Observed] = {}
         self.written: list[str] = []
+        #: Rows of the fact's months that this build changed, and the months (None: all).
+        self._changed: Callable[[], DataFrame] | None = None
+        self._months: list[str] | None = None
+        self._partials: dict[str, DataFrame] = {}
+        self._published = False
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def table(self, name: str) -> DataFrame:
+        """A published table."""
+        if name == "fct_flight":
+            return self.spark.read.parquet(self.path(name)).select(*warehouse.FACT_COLUMNS)
+        return sinks.read_versioned(self.spark, self.path(name))
+
+    def reread(self) -> None:
+        """After a publication: tables, and views over them, are taken from their places when
+        they are asked for again."""
+        self._published = True
+        self._partials = {}
+        for name in (*self.written, "endpoints", "airport_usage", "flight_days", "tails"):
+            self.__dict__.pop(name, None)
+
     def _model(self, name: str, build) -> DataFrame:
         if name in VIEWS:
             return build()
+        if self._published:
+            return self.table(name)
         if name == "fct_flight":
             return self._fact()
-        out = sinks.materialize(self.spark, build(), self.path(name))
+        publication = self.publication or Publication(self.spark, self.path(name))
+        out = sinks.stage_table(publication, self._watch(name, build()), self.path(name))
         self.written.append(name)
+        if self.publication is None:
+            publication.commit()
+            return self.table(name)
         return out
 
+    def _watch(self, name: str, df: DataFrame) -> DataFrame:
+        if name in self.watched:
+            self.observed[name] = quality.Observed(self.watched[name])
+            return self.observed[name].watch(df)
+        return df
+
     def _fact(self) -> DataFrame:
         path = self.path("fct_flight")
+        publication = self.publication or Publication(self.spark, path)
         exists = table_exists(self.spark, path) and not self.full_refresh
         flights = self.stg_flight
         if exists:
@@ -77,20 +128,93 @@ class Warehouse(Models):
             flights = staging.stg_flight(recent).where(F.col("flight_date") >= F.lit(mark))
         new = warehouse.fct_flight(flights, self.stg_weather).withColumns(
             {"flight_year": F.year("flight_date"), "flight_month": F.month("flight_date")})
+        read = self.spark.read.schema(new.schema)
         if exists:
-            write_incremental(self.spark, new, path, ["flight_key"], FACT_PARTITIONS, FACT_SORT)
+            merge = stage_incremental(publication, new, path, ["flight_key"], FACT_PARTITIONS, FACT_SORT, fixed_partition=self.fixed_partition)
+            merge.put()
+            out, self._months = merge.preview(), merge.touched
+            self._changed = lambda: read.parquet(merge.staged)
         else:
-            sinks.materialize(self.spark, new, path, FACT_PARTITIONS, FACT_SORT)
+            out = sinks.stage_partitions(publication, self._watch("fct_flight", new), path, FACT_PARTITIONS, FACT_SORT)
+            publication.drop(index_path(path))  # of the rows that were there
+            self._changed = lambda: out
         self.written.append("fct_flight")
-        return self.spark.read.parquet(path).select(*warehouse.FACT_COLUMNS)
+        if self.publication is None:
+            publication.commit()
+            out = read.parquet(path)
+            self._changed = lambda: out if self._months is None else out.where(in_partitions(FACT_PARTITIONS, self._months))
+        return out.select(*warehouse.FACT_COLUMNS)
+
+    def partial(self, name: str) -> DataFrame:
+        """Stored monthly aggregates of the fact; those of changed months are made anew."""
+        if self._published:
+            return sinks.read_versioned(self.spark, self.path(f"partials/{name}"))
+        if name not in self._partials:
+            self.fct_flight  # noqa: B018 - says which months changed
+            path, make = self.path(f"partials/{name}"), partials.STORED[name]
+            old = sinks.read_versioned(self.spark, path)
+            if old is None and self._months is not None:  # a warehouse from before they were stored
+                rows = make(partials.with_months(self.fct_flight))
+            elif self._months is None:
+                rows = make(self._changed())
+            elif not self._months:
+                self._partials[name] = old
+                return old
+            else:
+                rows = old.where(~in_partitions(partials.MONTH, self._months)).unionByName(make(self._changed()))
+            publication = self.publication or Publication(self.spark, path)
+            out = sinks.stage_table(publication, rows, path)
+            if self.publication is None:
+                publication.commit()
+                out = sinks.read_versioned(self.spark, path)
+            self._partials[name] = out
+        return self._partials[name]
+
+    @cached_property
+    def flight_days(self) -> DataFrame:
+        return self.partial("daily").select("flight_date")
+
+    @cached_property
+    def tails(self) -> DataFrame:
+        return self.partial("aircraft").select("tail_number")
+
+    @cached_property
+    def endpoints(self) -> DataFrame:
+        return self.partial("airport_usage").select("airport_code").distinct()
+
+    @cached_property
+    def airport_usage(self) -> DataFrame:
+        return self.partial("airport_usage").groupBy("airport_code").agg(F.expr("sum(n) AS flight_count"))
+
+    @cached_property
+    def mart_carrier_performance(self) -> DataFrame:
+        return self._model("mart_carrier_performance", lambda: marts.carrier_performance(
+            self.partial("carrier_delays"), self.partial("carrier_members"), self.dim_carrier, ordered=False))
+
+    @cached_property
+    def mart_route_performance(self) -> DataFrame:
+        return self._model("mart_route_performance", lambda: marts.route_performance(self.partial("routes"), self.dim_airport, ordered=False))
+
+    @cached_property
+    def mart_weather_impact(self) -> DataFrame:
+        return self._model("mart_weather_impact", lambda: marts.weather_impact(self.partial("weather_delays"), ordered=False))
+
+    @cached_property
+    def mart_daily_operations(self) -> DataFrame:
+        return self._model("mart_daily_operations", lambda: marts.daily_operations(self.partial("daily"), self.dim_date, ordered=False))
+
+    @cached_property
+    def mart_aircraft_utilization(self) -> DataFrame:
+        return self._model("mart_aircraft_utilization", lambda: marts.aircraft_utilization(self.partial("aircraft"), self.dim_aircraft, ordered=False))
 
     def snapshot(self, as_of: dt.datetime) -> DataFrame:
         """Add a type-2 snapshot of the airport reference taken at ``as_of``."""
         path = self.path("snapshots/snap_airport_reference")
-        history = sinks.read_versioned(self.spark, path)
-        current = self.stg_airport_reference.select(*SNAPSHOT_COLS)
-        # The history can't be rebuilt from raw: the old version stays until the new one is complete.
-        return sinks.replace_table(self.spark, scd2_snapshot(current, history, "ident", SNAPSHOT_CHECK_COLS, as_of), path)
+        publication = self.publication or Publication(self.spark, path)
+        out = stage_snapshot(publication, path, self.stg_airport_reference.select(*SNAPSHOT_COLS), "ident", SNAPSHOT_CHECK_COLS, as_of)
+        if self.publication is None:
+            publication.commit()
+        return out
 
 
 @dataclass
@@ -100,82 +224,110 @@ class BuildResult:
     timings: dict
 
 
-# Models grouped by dependency level: every model of a level only reads
-# staging views or tables of earlier levels, so a level's jobs can run at once.
+# Steps grouped by dependency level: every one of a level only reads staging
+# views or tables of earlier levels, so a level's jobs can run at once.
 LEVELS = (
-    ("dim_date", "dim_airport", "dim_carrier", "dim_aircraft", "fct_flight"),
-    ("mart_carrier_performance", "mart_route_performance", "mart_weather_impact",
-     "mart_daily_operations", "mart_aircraft_utilization"),
+    ("fct_flight", "dim_carrier"),
+    tuple(f"partials/{name}" for name in partials.STORED),
+    ("dim_date", "dim_airport", "dim_aircraft", "mart_carrier_performance", "mart_weather_impact"),
+    ("mart_route_performance", "mart_daily_operations", "mart_aircraft_utilization"),
 )
+#: The checks that can run when a level is there.
+CHECKED_AFTER = {2: 1, 3: 2}
 
 
 def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], *,
           hubs: Sequence[str] = warehouse.DEFAULT_HUBS, holidays: DataFrame | None = None,
           as_of: dt.datetime | None = None, full_refresh: bool = False, lookback_days: int = 0,
-          fail_on_violation: bool = False, gate: bool = True, threads: int = 4) -> BuildResult:
-    """Build every table, take the snapshot, and run the check catalogue.
-
-    Checks run level by level, as soon as the tables they read exist: raw and
-    staging checks first, dimension and fact checks after level 1, mart checks
-    after level 2; the three singular checks belong to level 1.  A failing check
-    stops the build before the next level (downstream models are not built);
-    with ``gate=False`` each level's checks overlap with building the next level.  Independent models of a
-    level are submitted from ``threads`` driver threads; Spark runs their
+          fixed_partition: bool = False, fail_on_violation: bool = False, gate: bool = True,
+          warn_only: Sequence[str] = (), threads: int = 6) -> BuildResult:
+    """Build every table, take the snapshot, run the check catalogue, publish.
+
+    Checks run as soon as the staged tables they read exist: raw and staging checks
+    first, then those of dimensions and fact (with the three singular checks), then
+    those of marts.  Row-level checks of a
+    table that is written whole are counted by the job that writes it.  A level is built
+    while the checks of the one before still run; a failing check ends the build
+    and nothing of it is published (with ``gate=False`` all of it is).  Checks named in
+    ``warn_only`` are reported, and gate nothing.  Independent models
+    of a level are submitted from ``threads`` driver threads; Spark runs their
     jobs side by side on the shared executors.  ``lookback_days`` re-reads
     that many days before the stored high-water mark (late flights);
-    ``full_refresh`` rebuilds the fact.  The report is written to
-    ``{root}/quality_report``; ``fail_on_violation`` raises after the build
+    ``full_refresh`` rebuilds the fact; ``fixed_partition`` says that flights never
+    change their date.  The report is written to
+    ``{root}/quality_report`` in any case; ``fail_on_violation`` raises after the build
     when any check failed.
     """
     import time
     timings: dict[str, float] = {}
     t0 = time.perf_counter()
-    wh = Warehouse(spark, root, raw, full_refresh=full_refresh, lookback_days=lookback_days,
-                   holidays=holidays, hubs=hubs)
-    for name in ("stg_flight", "stg_weather", "stg_plane", "stg_carrier", "stg_airport_reference",
-                 "stg_airport", "holidays"):
-        getattr(wh, name)  # lazy views, resolved once before the threads start
-    at = as_of or dt.datetime(2024, 1, 1)
-    catalogue = checks.declared_checks(wh.hubs)
+    recover(spark, root)
+    catalogue = checks.declared_checks(tuple(hubs))
     by_level = [[c for c in catalogue if checks.check_level(c.table) == lvl] for lvl in range(3)]
+    watched: dict[str, list] = {}
+    for c in catalogue:
+        if checks.check_level(c.table) > 0 or c.table == "stg_weather":  # those that are stored
+            watched.setdefault(c.table, []).append(c)
+    with Publication(spark, root) as publication:
+        wh = Warehouse(spark, root, raw, full_refresh=full_refresh, lookback_days=lookback_days, fixed_partition=fixed_partition,
+                       publication=publication, watched=watched, holidays=holidays, hubs=hubs)
+        for name in ("stg_flight", "stg_weather", "stg_plane", "stg_carrier", "stg_airport_reference", "holidays"):
+            getattr(wh, name)  # lazy views, resolved once before the threads start
+        at = as_of or dt.datetime(2024, 1, 1)
+
+        def run_level_checks(lvl: int) -> list:
+            left = [c for c in by_level[lvl] if c.kind not in quality.ROW_LEVEL or c.table not in wh.observed]
+            found = [row for c in {c.table for c in by_level[lvl]} if c in wh.observed for row in wh.observed[c].rows()]
+            found += [(r.check_name, r.table_name, r.violations) for r in
+                      quality.run_checks_concurrently(left, checks.tables_for(wh, left), threads=threads).collect()]
+            if lvl == 1:
+                found += [(name, "fct_flight", df.count()) for name, df in checks.singular_checks(wh).items()]
+            return found
 
-    def run_level_checks(lvl: int) -> list:
-        cat = by_level[lvl]
-        found = [(r.check_name, r.table_name, r.violations) for r in
-                 quality.run_checks_concurrently(cat, checks.tables_for(wh, cat), threads=threads).collect()]
-        if lvl == 1:
-            found += [(name, "fct_flight", df.count()) for name, df in checks.singular_checks(wh).items()]
-        return found
-
-    reports: list = []
-    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        pending = [pool.submit(run_level_checks, 0)]
-        for i, level in enumerate(LEVELS):
-            if gate:
-                reports.extend(pending.pop().result())
-                _gate(reports)
-            jobs = [pool.submit(getattr, wh, name) for name in level]
-            if i == len(LEVELS) - 1:
-                jobs.append(pool.submit(wh.snapshot, at))
+        with ThreadPoolExecutor(max_workers=max(2, threads)) as pool:
+            pending = [pool.submit(run_level_checks, 0)]
+            jobs = [pool.submit(wh.snapshot, at)]
+            for i, level in enumerate(LEVELS):
+                steps = [n.removeprefix("partials/") for n in level]
+                built = [pool.submit(wh.partial if n in partials.STORED else lambda n: getattr(wh, n), n) for n in steps]
+                for job in built:
+                    job.result()
+                timings[f"level{i + 1}"] = round(time.perf_counter() - t0, 3)
+                t0 = time.perf_counter()
+                if i in CHECKED_AFTER:
+                    pending.append(pool.submit(run_level_checks, CHECKED_AFTER[i]))
+                if gate and pending[0].done():
+                    _gate(spark, root, pending[0].result(), warn_only)
+            reports = [row for future in pending for row in future.result()]
             for job in jobs:
                 job.result()
-            timings[f"level{i + 1}"] = round(time.perf_counter() - t0, 3)
-            t0 = time.perf_counter()
-            pending.append(pool.submit(run_level_checks, i + 1))
-        for fut in pending:
-            reports.extend(fut.result())
-    if gate:
-        _gate(reports)
-    report = spark.createDataFrame(reports, "check_name string, table_name string, violations bigint") \
-        .withColumn("passed", F.col("violations") == 0)
-    report = sinks.materialize(spark, report.coalesce(1), wh.path("quality_report"))
+        if gate:
+            _gate(spark, root, reports, warn_only)
+        publication.commit()
+    wh.reread()
+    report = _store_report(spark, root, reports)
     timings["checks"] = round(time.perf_counter() - t0, 3)
     if fail_on_violation:
         quality.gate(report)
     return BuildResult(wh, report, timings)
 
 
-def _gate(rows: list) -> None:
-    failed = [f"{name}={violations}" for name, _, violations in rows if violations]
+def _store_report(spark: SparkSession, root: str, rows: list) -> DataFrame:
+    report = spark.createDataFrame(rows, "check_name string, table_name string, violations bigint") \
+        .withColumn("passed", F.col("violations") == 0)
+    return sinks.replace_table(spark, report.coalesce(1), f"{root.rstrip('/')}/quality_report")
+
+
+class GateFailed(AssertionError):
+    """A build was refused; ``checks`` are the names of those that failed."""
+
+    def __init__(self, failed: Mapping[str, int]):
+        super().__init__("data checks failed, nothing published: " + ", ".join(f"{k}={v}" for k, v in failed.items()))
+        self.checks = sorted(failed)
+
+
+def _gate(spark: SparkSession, root: str, rows: list, warn_only: Sequence[str]) -> None:
+    failed = {name: violations for name, _, violations in rows if violations and name not in warn_only}
     if failed:
-        raise AssertionError("data checks failed, downstream models not built: " + ", ".join(failed))
+        _store_report(spark, root, rows)
+        raise GateFailed(failed)

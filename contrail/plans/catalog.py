@@ -113,6 +113,11 @@ JOB_QUERIES: dict[str, Query] = {
     "incremental_correction": _job("incremental_correction"),
     "incremental_null_partition": _job("incremental_null_partition"),
     "full_refresh_fact": _job("full_refresh_fact"),
+    "gated_build": _job("gated_build"),
+    "rejected_rows": _job("rejected_rows"),
+    "seeded_calendar": _job("seeded_calendar"),
+    "empty_targets": _job("empty_targets"),
+    "audit_now": _job("audit_now"),
 }
 
 

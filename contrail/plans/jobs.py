@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.operators import sinks
-from contrail.operators.history import scd2_snapshot
+from contrail.operators.history import write_snapshot
 from contrail.operators.incremental import incremental_filter, write_incremental
 from contrail.plans import warehouse
 from contrail.plans.build import FACT_PARTITIONS, SNAPSHOT_CHECK_COLS, SNAPSHOT_COLS
@@ -65,9 +65,7 @@ def monthly_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "raw")
     path = f"{root}/flights"
     flights = feed.flights(feed.read_driver(spark, sf_dir, "orders"))
-    months = [sinks.month_label(r["year"], r["month"])
-              for r in flights.select("year", "month").distinct().collect()]
-    sinks.load_monthly(spark, flights, path, months)
+    sinks.load_monthly(spark, flights, path)
     dropped_y, dropped_m = (int(x) for x in DROPPED_MONTH.split("-"))
     newer = flights.where(~((F.col("year") == dropped_y) & (F.col("month") == dropped_m)))
     # Corrected distances in the newer file: only the reloaded month may show them.
@@ -84,9 +82,7 @@ def schema_drift_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "drift")
     path = f"{root}/flights"
     flights = feed.flights(feed.read_driver(spark, sf_dir, "orders"))
-    months = [sinks.month_label(r["year"], r["month"])
-              for r in flights.select("year", "month").distinct().collect()]
-    sinks.load_monthly(spark, flights, path, months)
+    sinks.load_monthly(spark, flights, path)
     y, m = (int(x) for x in RELOAD_MONTH.split("-"))
     newer = flights.where((F.col("year") == y) & (F.col("month") == m)).withColumn("gate", F.col("rownames") % 10)
     sinks.load_monthly(spark, newer, path, [RELOAD_MONTH])
@@ -224,14 +220,12 @@ def reference_versions(m: Models) -> list[DataFrame]:
 
 
 def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Type-2 history after three snapshots; each step is written as a table
-    and read back, so the lineage never grows with the number of runs."""
+    """Type-2 history after three snapshots; each one rewrites the open versions
+    and adds the closed ones, so the lineage never grows with the number of runs."""
     m = Models.from_driver_tables(spark, sf_dir)
-    root = scratch_dir(spark, "snap")
-    history = None
-    for i, (version, at) in enumerate(zip(reference_versions(m), SNAPSHOT_TIMES)):
-        out = scd2_snapshot(version, history, "ident", SNAPSHOT_CHECK_COLS, at)
-        history = sinks.materialize(spark, out, f"{root}/v{i}")
+    path = scratch_dir(spark, "snap") + "/airport_reference"
+    for version, at in zip(reference_versions(m), SNAPSHOT_TIMES):
+        history = write_snapshot(spark, path, version, "ident", SNAPSHOT_CHECK_COLS, at)
     return history
 
 
@@ -258,3 +252,97 @@ def streamed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw.where(cut > F.lit(INCREMENTAL_CUTOFF)).write.mode("append").parquet(landing)
     ingest_available(spark, landing, raw.schema, target, ckpt, ["flight_key"], FACT_PARTITIONS, to_fact)
     return read_fact(spark, target)
+
+
+#: Checks that the generated flights fail by themselves (unknown airports, hours without a
+#: reading, invented air times).
+KNOWN_FAILURES = ("relationships__fct_flight__destination_airport_key", "weather_covers_the_flights",
+                  "within_range__mart_route_performance__avg_ground_speed_mph")
+
+
+def gated_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A build that passes the gate is published; a second one, over flights of
+    which some have a negative distance and all another delay, is refused.  The carrier
+    mart as it then stands, with the checks that refused the second build."""
+    from contrail.plans import build as B
+    root = scratch_dir(spark, "gated")
+    raw = feed.raw_sources(spark, sf_dir)
+    first = B.build(spark, root, raw, hubs=feed.STATIONS, warn_only=KNOWN_FAILURES)
+    wrong = raw["flights"].withColumns({"distance": F.when(F.col("rownames") % 10 == 0, F.lit(-5)).otherwise(F.col("distance")).cast("bigint"),
+                                        "dep_delay": F.col("dep_delay") + 30})
+    try:
+        B.build(spark, root, {**raw, "flights": wrong}, hubs=feed.STATIONS, full_refresh=True, warn_only=KNOWN_FAILURES)
+        refused = []
+    except B.GateFailed as failure:
+        # Those of the staging views; whether others had run by then is a matter of time.
+        refused = [c for c in failure.checks if "__stg_" in c]
+    return first.warehouse.table("mart_carrier_performance").withColumn("refused_by", F.lit(",".join(refused)))
+
+
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with planted faults, loaded with a limit: what was rejected, by field and
+    value, beside the rows that were loaded and their key sums."""
+    from contrail.plans.ingest import ingest
+    root = scratch_dir(spark, "rejects")
+    raw = dict(feed.raw_sources(spark, sf_dir))
+    raw["flights"] = raw["flights"].withColumn(
+        "distance", F.when(F.col("rownames") % 101 == 3, F.lit("n/a")).otherwise(F.col("distance").cast("string")))
+    raw["planes"] = raw["planes"].withColumns({
+        "seats": F.when(F.col("rownames") % 7 == 2, F.lit("12x")).otherwise(F.col("seats").cast("string")),
+        "year": F.when(F.col("rownames") % 14 == 2, F.lit("MCM")).otherwise(F.col("year").cast("string"))})
+    write_source_files(raw, f"{root}/files")
+    names = ("flights", "planes", "airlines")
+    files = {n: read_source(spark, SOURCES_BY_NAME[n], f"{root}/files", on_bad="keep") for n in names}
+    ingest(spark, files, f"{root}/raw", reject_limit=10 ** 9)
+    rejects = sinks.read_versioned(spark, f"{root}/raw/rejects").groupBy("source", "column", "value").agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows"), F.lit(None).cast("bigint").alias("key_sum"))
+    for n in names:
+        loaded = sinks.read_raw(spark, f"{root}/raw/{n}").agg(F.count(F.lit(1)).cast("bigint").alias("rows"), F.sum("rownames").cast("bigint").alias("key_sum"))
+        rejects = rejects.unionByName(loaded.select(F.lit(n).alias("source"), F.lit(None).cast("string").alias("column"),
+                                                    F.lit(None).cast("string").alias("value"), "rows", "key_sum"))
+    return rejects
+
+
+SEED_YEAR = 1995
+
+
+def seeded_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar with a holiday seed file, which covers one year of it only."""
+    from contrail.sources.readers import holidays_for_years, read_seed
+    path = scratch_dir(spark, "seed") + "/holidays.csv"
+    holidays_for_years(spark.range(SEED_YEAR, SEED_YEAR + 1).withColumnRenamed("id", "year")).coalesce(1).write.option("header", "true").csv(path)
+    m = Models(feed.raw_sources(spark, sf_dir), holidays=read_seed(spark, path=path), hubs=feed.STATIONS)
+    return m.dim_date
+
+
+def empty_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly tables first loaded with a month that no file holds, which makes them empty
+    with their schema, then with all months: columns and rows before and after."""
+    root = scratch_dir(spark, "empty")
+    raw = feed.raw_sources(spark, sf_dir)
+    out = None
+    for name in ("flights", "weather"):
+        path = f"{root}/{name}"
+        sinks.load_monthly(spark, raw[name], path, ["1901-01"])
+        empty = spark.read.parquet(path)
+        before, columns = empty.count(), len(empty.columns)
+        sinks.load_monthly(spark, raw[name], path)
+        after = spark.read.parquet(path).where("year is not null").agg(F.count(F.lit(1)).cast("bigint").alias("rows_after"))
+        one = after.select(F.lit(name).alias("table_name"), F.lit(columns).cast("bigint").alias("columns"),
+                           F.lit(before).cast("bigint").alias("rows_before"), "rows_after")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def audit_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An ingest that isn't given a time audits the time it ran at: per table the
+    rows loaded, and whether every entry lies within the run (a second is added for
+    each source, to keep the order of loads)."""
+    from contrail.plans.ingest import ingest
+    root = scratch_dir(spark, "now")
+    started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    ingest(spark, feed.raw_sources(spark, sf_dir), root)
+    ended = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(seconds=len(SOURCES_BY_NAME))
+    inside = (F.col("loaded_at") >= F.lit(started).cast("timestamp_ntz")) & (F.col("loaded_at") <= F.lit(ended).cast("timestamp_ntz"))
+    return spark.read.parquet(f"{root}/load_audit").groupBy("table_name").agg(
+        F.sum("rows").cast("bigint").alias("rows"), F.every(inside).alias("is_current"))

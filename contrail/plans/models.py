@@ -13,6 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from contrail.operators import reshape
 from contrail.plans import analyses, marts, staging, warehouse
 from contrail.sources import feed
 
@@ -26,7 +27,7 @@ class Models:
     def __init__(self, raw: Mapping[str, DataFrame], holidays: DataFrame | None = None,
                  hubs: Sequence[str] = warehouse.DEFAULT_HUBS,
                  as_of_year: int = warehouse.DEFAULT_AS_OF_YEAR):
-        self.raw = dict(raw)
+        self.raw = raw
         self._holidays = holidays
         self.hubs = tuple(hubs)
         self.as_of_year = as_of_year
@@ -65,7 +66,24 @@ class Models:
 
     @cached_property
     def stg_airport(self) -> DataFrame:
-        return self._model("stg_airport", lambda: staging.stg_airport(self.raw["airports"], self.stg_airport_reference, self.stg_flight))
+        return self._model("stg_airport", lambda: staging.stg_airport(self.raw["airports"], self.stg_airport_reference, self.endpoints))
+
+    # what the dimensions take from the flights (a build has it stored) ------
+    @cached_property
+    def flight_days(self) -> DataFrame:
+        return self.stg_flight.select("flight_date")
+
+    @cached_property
+    def tails(self) -> DataFrame:
+        return self.stg_flight.select("tail_number")
+
+    @cached_property
+    def endpoints(self) -> DataFrame:
+        return reshape.distinct_members(self.stg_flight, ["origin_code", "destination_code"], "airport_code")
+
+    @cached_property
+    def airport_usage(self) -> DataFrame:
+        return reshape.usage_totals(self.stg_flight, ["destination_code", "origin_code"], "airport_code")
 
     # warehouse ---------------------------------------------------------
     @cached_property
@@ -76,11 +94,11 @@ class Models:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return self._model("dim_date", lambda: warehouse.dim_date(self.stg_flight, self.holidays))
+        return self._model("dim_date", lambda: warehouse.dim_date(self.flight_days, self.holidays))
 
     @cached_property
     def dim_airport(self) -> DataFrame:
-        return self._model("dim_airport", lambda: warehouse.dim_airport(self.stg_airport, self.stg_flight, self.hubs))
+        return self._model("dim_airport", lambda: warehouse.dim_airport(self.stg_airport, self.airport_usage, self.hubs))
 
     @cached_property
     def dim_carrier(self) -> DataFrame:
@@ -88,7 +106,7 @@ class Models:
 
     @cached_property
     def dim_aircraft(self) -> DataFrame:
-        return self._model("dim_aircraft", lambda: warehouse.dim_aircraft(self.stg_flight, self.stg_plane, self.as_of_year))
+        return self._model("dim_aircraft", lambda: warehouse.dim_aircraft(self.tails, self.stg_plane, self.as_of_year))
 
     @cached_property
     def fct_flight(self) -> DataFrame:

@@ -667,3 +667,34 @@ SELECT p_partkey, size, CASE WHEN size IS NULL THEN 'unknown' WHEN size < 10 THE
 FROM (SELECT p_partkey, CASE WHEN p_partkey % 11 <> 0 THEN p_size END AS size FROM part)""",
 }
 ORACLES.update(FUNCTION_QUERIES)
+
+
+# --- loading, publishing -----------------------------------------------------
+
+ORACLES.update({
+    "gated_build": with_model("""
+SELECT *, 'non_negative__stg_flight__distance_miles' AS refused_by FROM m_carrier"""),
+    "rejected_rows": with_model("""
+SELECT 'flights' AS source, 'distance' AS "column", 'n/a' AS value, count(*)::BIGINT AS rows, NULL::BIGINT AS key_sum
+FROM raw_flights WHERE rownames % 101 = 3 HAVING count(*) > 0
+UNION ALL SELECT 'planes', 'seats', '12x', count(*), NULL FROM raw_planes WHERE rownames % 7 = 2 HAVING count(*) > 0
+UNION ALL SELECT 'planes', 'year', 'MCM', count(*), NULL FROM raw_planes WHERE rownames % 14 = 2 HAVING count(*) > 0
+UNION ALL SELECT 'flights', NULL, NULL, count(*), sum(rownames)::BIGINT FROM raw_flights WHERE rownames % 101 <> 3
+UNION ALL SELECT 'planes', NULL, NULL, count(*), sum(rownames)::BIGINT FROM raw_planes WHERE rownames % 7 <> 2
+UNION ALL SELECT 'airlines', NULL, NULL, count(*), sum(rownames)::BIGINT FROM raw_airlines"""),
+    "seeded_calendar": with_model("""
+SELECT * EXCLUDE (is_holiday, holiday_name), is_holiday AND calendar_year = 1995 AS is_holiday,
+  CASE WHEN calendar_year = 1995 THEN holiday_name END AS holiday_name FROM d_date"""),
+    "empty_targets": with_model("""
+SELECT 'flights' AS table_name, 20::BIGINT AS columns, 0::BIGINT AS rows_before, count(*)::BIGINT AS rows_after FROM raw_flights
+UNION ALL SELECT 'weather', 16, 0, count(*) FROM raw_weather"""),
+    "audit_now": with_model("""
+SELECT table_name, rows, true AS is_current FROM (
+  SELECT 'airlines' AS table_name, count(*)::BIGINT AS rows FROM raw_airlines
+  UNION ALL SELECT 'airports', count(*) FROM raw_airports
+  UNION ALL SELECT 'flights', count(*) FROM raw_flights
+  UNION ALL SELECT 'openflights_airlines', count(*) FROM raw_openflights
+  UNION ALL SELECT 'ourairports_airports', count(*) FROM raw_ourairports
+  UNION ALL SELECT 'planes', count(*) FROM raw_planes
+  UNION ALL SELECT 'weather', count(*) FROM raw_weather)"""),
+})

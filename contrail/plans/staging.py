@@ -13,7 +13,6 @@ from contrail.functions import (clean, equals_literal, hhmm_to_minute, null_if_a
                                 typed_null)
 from contrail.operators.dedup import dedup_first, first_by
 from contrail.operators.joins import Tier, conform, gap_fill
-from contrail.operators.reshape import distinct_members
 
 # Readings above this many mph are instrument errors and become NULL.
 MAX_PLAUSIBLE_WIND_MPH = 200
@@ -136,9 +135,10 @@ def reference_tiers(reference: DataFrame) -> tuple[DataFrame, DataFrame]:
     return by_iata, by_local
 
 
-def stg_airport(airports: DataFrame, reference: DataFrame, flights: DataFrame) -> DataFrame:
+def stg_airport(airports: DataFrame, reference: DataFrame, endpoints: DataFrame) -> DataFrame:
     """Airports of the source conformed to the global reference, plus flight
-    endpoints the source lacks but the reference knows (``reference_only``)."""
+    endpoints (distinct ``airport_code``) that the source lacks but the reference
+    knows (``reference_only``)."""
     base = airports.select(
         F.col("faa").alias("airport_code"),
         clean("name").alias("airport_name"),
@@ -152,7 +152,6 @@ def stg_airport(airports: DataFrame, reference: DataFrame, flights: DataFrame) -
     matched = conform(base, "airport_code",
                       [Tier(MATCHED_IATA, by_iata, "iata_code"), Tier(MATCHED_LOCAL, by_local, "local_code")],
                       _REFERENCE_ATTRS, UNMATCHED)
-    endpoints = distinct_members(flights, ["origin_code", "destination_code"], "airport_code")
     filled = gap_fill(endpoints, "airport_code", matched, "airport_code", by_iata, "iata_code").select(
         "airport_code", "airport_name", "latitude", "longitude", "elevation_ft",
         typed_null("bigint").alias("utc_offset_hours"),

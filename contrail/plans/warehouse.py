@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from contrail.functions import (band, calendar_columns, flag_gt, flag_lt, minute_to_hour,
                                 surrogate_key)
 from contrail.operators.joins import lookup_hourly
-from contrail.operators.reshape import date_spine, usage_totals
+from contrail.operators.reshape import date_spine
 from contrail.sources.readers import holidays_for_years
 
 # The three origin airports of the source data and its year.
@@ -48,9 +48,10 @@ def dim_date(flights: DataFrame, holidays: DataFrame | None = None) -> DataFrame
     )
 
 
-def dim_airport(airports: DataFrame, flights: DataFrame, hubs: Sequence[str] = DEFAULT_HUBS) -> DataFrame:
-    """Conformed airports with their total flight count (arrivals + departures)."""
-    totals = usage_totals(flights, ["destination_code", "origin_code"], "_usage_code", "_usage_count")
+def dim_airport(airports: DataFrame, usage: DataFrame, hubs: Sequence[str] = DEFAULT_HUBS) -> DataFrame:
+    """Conformed airports with their total flight count (arrivals + departures);
+    ``usage``: ``airport_code`` and ``flight_count``, one row each."""
+    totals = usage.select(F.col("airport_code").alias("_usage_code"), F.col("flight_count").alias("_usage_count"))
     joined = airports.join(totals, on=F.col("airport_code") == F.col("_usage_code"), how="left")
     return joined.select(
         surrogate_key("airport_code").alias("airport_key"),

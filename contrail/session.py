@@ -146,3 +146,37 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the files and folders in ``path`` (none if it doesn't exist)."""
     fs, p = _file_system(spark, path)
     return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder or file; the target must not exist, its parent may."""
+    fs, to = _file_system(spark, target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source), to):
+        raise OSError(f"can't move {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, complete or not there: written beside its place, then renamed."""
+    fs, p = _file_system(spark, path)
+    part = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rsplit('/', 1)[0]}/.{path.rsplit('/', 1)[1]}.part")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(part, p):
+        raise OSError(f"can't write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    fs, p = _file_system(spark, path)
+    stream = fs.open(p)
+    try:
+        return str(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()

@@ -19,10 +19,10 @@ shuffle — except the station list (one distinct over ``events``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Iterator, Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 
-from contrail.functions.clock import idiv, minute_to_hhmm
 from contrail.sources import schemas
 
 # The station code list (first three letters of each event type,
@@ -38,189 +38,161 @@ def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _s(prefix: str, c: Column) -> Column:
-    return F.concat(F.lit(prefix), c.cast("string"))
+# Expressions are SQL text: a whole projection is parsed in one call, where
+# Column objects take a call to the JVM for every operator.
+
+def _s(prefix: str, c: str) -> str:
+    return f"concat('{prefix}', CAST({c} AS STRING))"
+
 
+def _pick(values: tuple[str, ...], index: str) -> str:
+    told = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({told}), CAST({index} + 1 AS INT))"
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
+def _hhmm(minute: str) -> str:
+    return f"({minute}) div 60 * 100 + ({minute}) % 60"
 
-def station_code(event_type: Column) -> Column:
-    return F.upper(F.substring(event_type, 1, 3))
+
+STATION_CODE = "upper(substring(event_type, 1, 3))"
+
+
+def _typed(df: DataFrame, schema, columns: dict[str, str]) -> DataFrame:
+    """Columns of the declared raw schema, except that ``time_hour`` keeps the
+    zone-less type of the driver tables (already UTC wall time)."""
+    kinds = {f.name: "timestamp_ntz" if f.name == "time_hour" else f.dataType.simpleString() for f in schema.fields}
+    return df.selectExpr(*[f"CAST({columns[name]} AS {kind}) AS {name}" for name, kind in kinds.items()])
 
 
 def flights(orders: DataFrame) -> DataFrame:
     # Step 1: the per-order integers every column is derived from, computed
     # once (kept as separate columns so the optimiser does not inline them
     # into every use and blow up the generated code).
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    base = orders.select(
-        k.alias("_k"), c.alias("_c"), F.col("o_orderdate").alias("_d"),
-        ((k % 41) == 0).alias("_canc"),
-        (((k % 41) != 0) & ((k % 53) == 7)).alias("_dive"),
-        (F.lit(300) + (k * 7) % 1200).alias("_smin"),
-        ((k * 37) % 200 - 20).alias("_ddel"),
-        (F.lit(30) + (c * 11 + k) % 300).alias("_blk"),
-        ((k * 7 + c) % 150).alias("_di"),
-    )
-    base = base.select("*", ((F.col("_smin") + F.col("_blk") + 20) % 1440).alias("_samin"),
-                       (F.col("_ddel") + (F.col("_k") * 13) % 41 - 20).alias("_adel"),
-                       minute_to_hhmm(F.col("_smin")).alias("_sched"))
-    k, c, d = F.col("_k"), F.col("_c"), F.col("_d")
-    cancelled, diverted = F.col("_canc"), F.col("_dive")
-    flown = ~cancelled & ~diverted
-    out = base.select(
-        k.alias("rownames"),
-        F.year(d).alias("year"), F.month(d).alias("month"), F.dayofmonth(d).alias("day"),
-        F.when(~cancelled, minute_to_hhmm((F.col("_smin") + F.col("_ddel")) % 1440)).alias("dep_time"),
-        F.col("_sched").alias("sched_dep_time"),
-        F.when(~cancelled, F.col("_ddel")).alias("dep_delay"),
-        F.when(flown, minute_to_hhmm((F.col("_samin") + F.col("_adel") + 1440) % 1440)).alias("arr_time"),
-        F.when(~cancelled, minute_to_hhmm(F.col("_samin"))).alias("sched_arr_time"),
-        F.when(flown, F.col("_adel")).alias("arr_delay"),
-        _s("C", c % 16).alias("carrier"),
-        (F.lit(1000) + c % 4000).alias("flight"),
-        F.when((k % 97) == 0, F.lit("  ")).otherwise(_s("N", c)).alias("tailnum"),
-        _pick(STATIONS, k % 5).alias("origin"),
-        _s("S", F.col("_di")).alias("dest"),
-        F.when(flown, F.col("_blk") + k % 11 - 5).alias("air_time"),
-        (F.lit(100) + F.col("_di") * 17).alias("distance"),
-        idiv(F.col("_sched"), 100).alias("hour"),
-        (F.col("_sched") % 100).alias("minute"),
-        F.timestamp_add("HOUR", k % HOURS_IN_TIMELINE,
-                        F.lit(TIMELINE_START).cast("timestamp_ntz")).alias("time_hour"),
-    )
-    return _typed(out, schemas.FLIGHTS)
+    base = orders.selectExpr(
+        "o_orderkey AS k", "o_custkey AS c", "o_orderdate AS d",
+        "o_orderkey % 41 = 0 AS cancelled",
+        "o_orderkey % 41 != 0 AND o_orderkey % 53 = 7 AS diverted",
+        "300 + (o_orderkey * 7) % 1200 AS smin",
+        "(o_orderkey * 37) % 200 - 20 AS ddel",
+        "30 + (o_custkey * 11 + o_orderkey) % 300 AS blk",
+        "(o_orderkey * 7 + o_custkey) % 150 AS di")
+    base = base.selectExpr("*", "(smin + blk + 20) % 1440 AS samin", "ddel + (k * 13) % 41 - 20 AS adel", f"{_hhmm('smin')} AS sched")
+    flown = "NOT cancelled AND NOT diverted"
+    return _typed(base, schemas.FLIGHTS, {
+        "rownames": "k", "year": "year(d)", "month": "month(d)", "day": "dayofmonth(d)",
+        "dep_time": f"CASE WHEN NOT cancelled THEN {_hhmm('(smin + ddel) % 1440')} END",
+        "sched_dep_time": "sched",
+        "dep_delay": "CASE WHEN NOT cancelled THEN ddel END",
+        "arr_time": f"CASE WHEN {flown} THEN {_hhmm('(samin + adel + 1440) % 1440')} END",
+        "sched_arr_time": f"CASE WHEN NOT cancelled THEN {_hhmm('samin')} END",
+        "arr_delay": f"CASE WHEN {flown} THEN adel END",
+        "carrier": _s("C", "c % 16"),
+        "flight": "1000 + c % 4000",
+        "tailnum": f"CASE WHEN k % 97 = 0 THEN '  ' ELSE {_s('N', 'c')} END",
+        "origin": _pick(STATIONS, "k % 5"),
+        "dest": _s("S", "di"),
+        "air_time": f"CASE WHEN {flown} THEN blk + k % 11 - 5 END",
+        "distance": "100 + di * 17",
+        "hour": "sched div 100", "minute": "sched % 100",
+        "time_hour": f"timestampadd(HOUR, k % {HOURS_IN_TIMELINE}, TIMESTAMP_NTZ '{TIMELINE_START}')",
+    })
 
 
 def weather(events: DataFrame) -> DataFrame:
-    e, v, ts = F.col("event_id"), F.col("value").cast("double"), F.col("ts")
-    out = events.select(
-        e.alias("rownames"),
-        station_code(F.col("event_type")).alias("origin"),
-        F.year(ts).alias("year"), F.month(ts).alias("month"), F.dayofmonth(ts).alias("day"),
-        F.hour(ts).alias("hour"),
-        F.when((e % 29) != 0, v).alias("temp"),
-        (v - F.lit(5.0)).alias("dewp"),
-        (e % 100).cast("double").alias("humid"),
-        ((e * 10) % 360).alias("wind_dir"),
-        F.when((e % 101) == 0, v + F.lit(1000.0)).otherwise(v / F.lit(4.0)).alias("wind_speed"),
-        F.when((e % 3) != 0, v / F.lit(2.0)).alias("wind_gust"),
-        ((e % 8).cast("double") / F.lit(20.0)).alias("precip"),
-        (F.lit(990.0) + (e % 40).cast("double")).alias("pressure"),
-        ((e * 7) % 12).cast("double").alias("visib"),
-        F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
-                             F.lit(0), F.lit(0)).alias("time_hour"),
-    )
-    return _typed(out, schemas.WEATHER)
+    base = events.selectExpr("event_id AS e", "CAST(value AS DOUBLE) AS v", "ts", "event_type")
+    return _typed(base, schemas.WEATHER, {
+        "rownames": "e", "origin": STATION_CODE,
+        "year": "year(ts)", "month": "month(ts)", "day": "dayofmonth(ts)", "hour": "hour(ts)",
+        "temp": "CASE WHEN e % 29 != 0 THEN v END",
+        "dewp": "v - 5.0D", "humid": "CAST(e % 100 AS DOUBLE)", "wind_dir": "(e * 10) % 360",
+        "wind_speed": "CASE WHEN e % 101 = 0 THEN v + 1000.0D ELSE v / 4.0D END",
+        "wind_gust": "CASE WHEN e % 3 != 0 THEN v / 2.0D END",
+        "precip": "CAST(e % 8 AS DOUBLE) / 20.0D",
+        "pressure": "990.0D + CAST(e % 40 AS DOUBLE)",
+        "visib": "CAST((e * 7) % 12 AS DOUBLE)",
+        "time_hour": "make_timestamp_ntz(year(ts), month(ts), dayofmonth(ts), hour(ts), 0, 0)",
+    })
 
 
 def planes(part: DataFrame) -> DataFrame:
-    p = F.col("p_partkey")
-    out = part.select(
-        p.alias("rownames"),
-        _s("N", p * 2).alias("tailnum"),
-        (F.lit(1960) + p % 54).alias("year"),
-        F.col("p_type").alias("type"),
-        F.col("p_brand").alias("manufacturer"),
-        F.when((p % 50) == 0, F.lit(" ")).otherwise(F.col("p_name")).alias("model"),
-        (F.lit(1) + p % 4).alias("engines"),
-        (F.col("p_size") * 8).alias("seats"),
-        F.lit(None).cast("bigint").alias("speed"),
-        _pick(ENGINE_TYPES, p % 3).alias("engine"),
-    )
-    return _typed(out, schemas.PLANES)
+    return _typed(part.selectExpr("*", "p_partkey AS p"), schemas.PLANES, {
+        "rownames": "p", "tailnum": _s("N", "p * 2"), "year": "1960 + p % 54", "type": "p_type", "manufacturer": "p_brand",
+        "model": "CASE WHEN p % 50 = 0 THEN ' ' ELSE p_name END",
+        "engines": "1 + p % 4", "seats": "p_size * 8", "speed": "NULL", "engine": _pick(ENGINE_TYPES, "p % 3"),
+    })
 
 
 def airlines(nation: DataFrame) -> DataFrame:
-    n = F.col("n_nationkey")
-    out = nation.select((n + 1).alias("rownames"), _s("C", n).alias("carrier"),
-                        F.concat(F.lit("  "), F.col("n_name")).alias("name"))
-    return _typed(out, schemas.AIRLINES)
+    return _typed(nation, schemas.AIRLINES, {"rownames": "n_nationkey + 1", "carrier": _s("C", "n_nationkey"), "name": "concat('  ', n_name)"})
 
 
 def airports(supplier: DataFrame, events: DataFrame) -> DataFrame:
-    s = F.col("s_suppkey")
-    served = supplier.select(
-        (s + 1).alias("rownames"),
-        _s("S", s).alias("faa"),
-        F.col("s_name").alias("name"),
-        ((s % 180).cast("double") - F.lit(90.0)).alias("lat"),
-        (((s * 7) % 360).cast("double") - F.lit(180.0)).alias("lon"),
-        (s % 3000).alias("alt"),
-        (F.lit(-5) - F.col("s_nationkey") % 4).alias("tz"),
-        F.lit("A").alias("dst"),
-        _s("Zone/", F.col("s_nationkey")).alias("tzone"),
-    )
-    hubs = (events.select(station_code(F.col("event_type")).alias("faa")).distinct()
-                  .select(F.lit(0).alias("rownames"), "faa",
-                          F.concat(F.lit("Hub "), F.col("faa")).alias("name"),
-                          F.lit(40.0).alias("lat"), F.lit(-74.0).alias("lon"), F.lit(10).alias("alt"),
-                          F.lit(-5).alias("tz"), F.lit("A").alias("dst"),
-                          F.lit("America/New_York").alias("tzone")))
-    return _typed(served.unionByName(_typed(hubs, schemas.AIRPORTS)), schemas.AIRPORTS)
+    served = _typed(supplier.selectExpr("*", "s_suppkey AS s"), schemas.AIRPORTS, {
+        "rownames": "s + 1", "faa": _s("S", "s"), "name": "s_name",
+        "lat": "CAST(s % 180 AS DOUBLE) - 90.0D", "lon": "CAST((s * 7) % 360 AS DOUBLE) - 180.0D", "alt": "s % 3000",
+        "tz": "-5 - s_nationkey % 4", "dst": "'A'", "tzone": _s("Zone/", "s_nationkey"),
+    })
+    hubs = _typed(events.selectExpr(f"{STATION_CODE} AS code").distinct(), schemas.AIRPORTS, {
+        "rownames": "0", "faa": "code", "name": "concat('Hub ', code)", "lat": "40.0D", "lon": "-74.0D", "alt": "10", "tz": "-5",
+        "dst": "'A'", "tzone": "'America/New_York'",
+    })
+    return served.unionByName(hubs)
 
 
 def ourairports(part: DataFrame) -> DataFrame:
-    p = F.col("p_partkey")
-    q = p % 4
-    out = part.select(
-        p.alias("id"),
-        _s("P", p).alias("ident"),
-        _pick(AIRPORT_TYPES, p % 3).alias("type"),
-        F.col("p_name").alias("name"),
-        ((p % 180).cast("double") - F.lit(90.0)).alias("latitude_deg"),
-        ((p % 360).cast("double") - F.lit(180.0)).alias("longitude_deg"),
-        (p % 5000).alias("elevation_ft"),
-        F.lit("NA").alias("continent"),
-        _s("N", p % 25).alias("iso_country"),
-        _s("R", p % 50).alias("iso_region"),
-        F.when((p % 10) == 0, F.lit("")).otherwise(_s("City", p % 97)).alias("municipality"),
-        F.when((p % 2) == 0, F.lit("yes")).otherwise(F.lit("no")).alias("scheduled_service"),
-        _s("I", p).alias("icao_code"),
-        F.when(q == 0, _s("S", idiv(p, 4) * 3)).alias("iata_code"),
-        F.lit(None).cast("string").alias("gps_code"),
-        F.when(q == 1, _s("S", idiv(p, 8) * 3 + 1))
-         .when(q == 3, _s("S", idiv(p, 4) * 3)).alias("local_code"),
-        F.lit(None).cast("string").alias("home_link"),
-        F.lit(None).cast("string").alias("wikipedia_link"),
-        F.lit(None).cast("string").alias("keywords"),
-    )
-    return _typed(out, schemas.OURAIRPORTS)
+    return _typed(part.selectExpr("*", "p_partkey AS p"), schemas.OURAIRPORTS, {
+        "id": "p", "ident": _s("P", "p"), "type": _pick(AIRPORT_TYPES, "p % 3"), "name": "p_name",
+        "latitude_deg": "CAST(p % 180 AS DOUBLE) - 90.0D", "longitude_deg": "CAST(p % 360 AS DOUBLE) - 180.0D", "elevation_ft": "p % 5000",
+        "continent": "'NA'", "iso_country": _s("N", "p % 25"), "iso_region": _s("R", "p % 50"),
+        "municipality": f"CASE WHEN p % 10 = 0 THEN '' ELSE {_s('City', 'p % 97')} END",
+        "scheduled_service": "CASE WHEN p % 2 = 0 THEN 'yes' ELSE 'no' END",
+        "icao_code": _s("I", "p"),
+        "iata_code": f"CASE WHEN p % 4 = 0 THEN {_s('S', 'p div 4 * 3')} END",
+        "gps_code": "NULL",
+        "local_code": f"CASE WHEN p % 4 = 1 THEN {_s('S', 'p div 8 * 3 + 1')} WHEN p % 4 = 3 THEN {_s('S', 'p div 4 * 3')} END",
+        "home_link": "NULL", "wikipedia_link": "NULL", "keywords": "NULL",
+    })
 
 
 def openflights(supplier: DataFrame) -> DataFrame:
-    s, n = F.col("s_suppkey"), F.col("s_nationkey")
-    out = supplier.select(
-        s.alias("airline_id"),
-        F.col("s_name").alias("name"),
-        F.lit(None).cast("string").alias("alias"),
-        F.when((s % 7) != 0, _s("C", s % 25)).alias("iata"),
-        _s("X", s).alias("icao"),
-        _s("CALL", n).alias("callsign"),
-        _s("NATION_", n).alias("country"),
-        F.when((s % 3) == 0, F.lit("N")).otherwise(F.lit("Y")).alias("active"),
-    )
-    return _typed(out, schemas.OPENFLIGHTS)
-
-
-def _typed(df: DataFrame, schema) -> DataFrame:
-    """Columns of the declared raw schema, except that ``time_hour`` keeps the
-    zone-less type of the driver tables (already UTC wall time)."""
-    return df.select([F.col(f.name).cast("timestamp_ntz" if f.name == "time_hour" else f.dataType).alias(f.name)
-                      for f in schema.fields])
+    return _typed(supplier.selectExpr("*", "s_suppkey AS s", "s_nationkey AS n"), schemas.OPENFLIGHTS, {
+        "airline_id": "s", "name": "s_name", "alias": "NULL",
+        "iata": f"CASE WHEN s % 7 != 0 THEN {_s('C', 's % 25')} END",
+        "icao": _s("X", "s"), "callsign": _s("CALL", "n"), "country": _s("NATION_", "n"),
+        "active": "CASE WHEN s % 3 = 0 THEN 'N' ELSE 'Y' END",
+    })
+
+
+class RawSources(Mapping):
+    """The seven raw sources over ``sf_dir``, each made when it is asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        def t(name: str) -> DataFrame:
+            return read_driver(spark, sf_dir, name)
+
+        self._makers = {
+            "flights": lambda: flights(t("orders")),
+            "weather": lambda: weather(t("events")),
+            "planes": lambda: planes(t("part")),
+            "airlines": lambda: airlines(t("nation")),
+            "airports": lambda: airports(t("supplier"), t("events")),
+            "ourairports_airports": lambda: ourairports(t("part")),
+            "openflights_airlines": lambda: openflights(t("supplier")),
+        }
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
 
 
-def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_sources(spark: SparkSession, sf_dir: str) -> RawSources:
     """All seven raw sources as lazy DataFrames over ``sf_dir``."""
-    t = {n: read_driver(spark, sf_dir, n) for n in ("orders", "events", "part", "nation", "supplier")}
-    return {
-        "flights": flights(t["orders"]),
-        "weather": weather(t["events"]),
-        "planes": planes(t["part"]),
-        "airlines": airlines(t["nation"]),
-        "airports": airports(t["supplier"], t["events"]),
-        "ourairports_airports": ourairports(t["part"]),
-        "openflights_airlines": openflights(t["supplier"]),
-    }
+    return RawSources(spark, sf_dir)

@@ -46,34 +46,60 @@ SOURCES: tuple[Source, ...] = (
 SOURCES_BY_NAME = {s.name: s for s in SOURCES}
 
 
-def _typed(name: str, kind: T.DataType, where: str):
+#: Columns that a read with ``on_bad="keep"`` adds.
+BAD, FILE, RECORD = "_bad", "_file", "_record"
+REJECT_COLUMNS = (BAD, FILE, RECORD)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _typed_sql(f: T.StructField) -> str:
+    """A text column as its declared type, NULL where it is empty or doesn't fit."""
+    name = _quoted(f.name)
+    if isinstance(f.dataType, T.StringType):
+        return f"nullif({name}, '') AS {name}"
+    return f"try_cast(nullif(trim({name}), '') AS {f.dataType.simpleString()}) AS {name}"
+
+
+def _strict_sql(f: T.StructField, file: str) -> str:
     """A text column as its declared type; a value that doesn't fit fails the job."""
-    raw = F.col(f"`{name}`")
-    if isinstance(kind, T.StringType):
-        return F.when(raw != "", raw).alias(name)
-    filled = F.when(F.trim(raw) != "", F.trim(raw))
-    value = filled.try_cast(kind)
-    bad = F.raise_error(F.concat(F.lit(f"{where}: column {name} holds "), filled, F.lit(f", which is no {kind.simpleString()}")))
-    return F.when(filled.isNotNull() & value.isNull(), bad.cast(kind)).otherwise(value).alias(name)
+    if isinstance(f.dataType, T.StringType):
+        return _typed_sql(f)
+    name, kind = _quoted(f.name), f.dataType.simpleString()
+    says = f"{file}: column {f.name} holds ".replace("'", "\\'")
+    bad = f"CAST(raise_error(concat('{says}', trim({name}), ', which is no {kind}')) AS {kind})"
+    return f"CASE WHEN trim({name}) != '' AND try_cast(trim({name}) AS {kind}) IS NULL THEN {bad} ELSE try_cast(nullif(trim({name}), '') AS {kind}) END AS {name}"
+
+
+def _bad_sql(f: T.StructField) -> str:
+    name, label = _quoted(f.name), f.name.replace("'", "\\'")
+    return (f"CASE WHEN trim({name}) != '' AND try_cast(trim({name}) AS {f.dataType.simpleString()}) IS NULL "
+            f"THEN named_struct('column', '{label}', 'value', {name}, 'kind', '{f.dataType.simpleString()}') END")
 
 
-def read_source(spark: SparkSession, src: Source, raw_dir: str, infer: bool = False) -> DataFrame:
+def read_source(spark: SparkSession, src: Source, raw_dir: str, infer: bool = False, on_bad: str = "fail") -> DataFrame:
     """Lazy scan of one delimited source, in parallel splits.
 
     Columns are found by the names in the header, whatever their order; a
     declared column that the file lacks is an error, and columns that the file
     has beyond the declared ones follow as text, so that a load sees the drift.
-    Empty fields are NULL; a value that doesn't fit its declared type fails the
-    job.  ``infer=True`` samples every row (a full extra pass) and is only meant
-    for exploring a new file.
+    Empty fields are NULL.  A value that doesn't fit its declared type, or a record
+    with another number of fields, fails the job; with ``on_bad="keep"`` the row stays
+    and three columns say what is wrong (``_bad``: column, value and kind of each bad
+    field; ``_file``; ``_record``: the fields as text), for the loader to take out
+    (see ``contrail.operators.rejects``).  ``infer=True`` samples every row (a full extra
+    pass) and is only meant for exploring a new file.
     """
     path = f"{raw_dir.rstrip('/')}/{src.file}"
+    keep = on_bad == "keep"
     reader = (spark.read
               .option("header", str(src.header).lower())
               .option("quote", '"')
               .option("escape", '"')
               .option("multiLine", str(src.multiline).lower())
-              .option("mode", "PERMISSIVE" if infer else "FAILFAST"))
+              .option("mode", "PERMISSIVE" if infer or keep else "FAILFAST"))
     if src.nullstr is not None:
         reader = reader.option("nullValue", src.nullstr)
     if infer:
@@ -81,16 +107,25 @@ def read_source(spark: SparkSession, src: Source, raw_dir: str, infer: bool = Fa
         return df.toDF(*src.columns) if src.columns else df
     declared = src.declared_schema()
     if src.columns:
-        text = T.StructType([T.StructField(c, T.StringType()) for c in src.columns])
+        names = list(src.columns)
     else:
         # One line of the file: its header.
-        text = T.StructType([T.StructField(c, T.StringType()) for c in reader.option("enforceSchema", "false").csv(path).columns])
-    missing = [f.name for f in declared.fields if f.name not in text.fieldNames()]
+        names = reader.option("enforceSchema", "false").csv(path).columns
+    missing = [f.name for f in declared.fields if f.name not in names]
     if missing:
         raise ValueError(f"{src.file} lacks the columns {', '.join(missing)}")
-    extra = [c for c in text.fieldNames() if c not in declared.fieldNames()]
-    return reader.schema(text).csv(path).select(
-        *[_typed(f.name, f.dataType, src.file) for f in declared.fields], *[_typed(c, T.StringType(), src.file) for c in extra])
+    extra = [T.StructField(c, T.StringType()) for c in names if c not in declared.fieldNames()]
+    fields = [*declared.fields, *extra]
+    text = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    bad = f"filter(array({', '.join(_bad_sql(f) for f in fields if not isinstance(f.dataType, T.StringType))}), x -> x IS NOT NULL)"
+    typed = [_typed_sql(f) for f in fields]
+    if keep:
+        text = text.add("_corrupt", T.StringType())
+        broken = "named_struct('column', CAST(NULL AS STRING), 'value', _corrupt, 'kind', 'record')"
+        rows = reader.option("columnNameOfCorruptRecord", "_corrupt").schema(text).csv(path)
+        return rows.selectExpr(*typed, f"CASE WHEN _corrupt IS NOT NULL THEN array({broken}) ELSE {bad} END AS {BAD}", f"_metadata.file_name AS {FILE}",
+                               f"coalesce(_corrupt, concat_ws(',', {', '.join(_quoted(c) for c in names)})) AS {RECORD}")
+    return reader.schema(text).csv(path).selectExpr(*[_strict_sql(f, src.file) for f in fields])
 
 
 # The 2013 US federal holiday seed (date, name), in calendar order.
@@ -116,13 +151,14 @@ def read_seed(spark: SparkSession, rows=US_HOLIDAYS_2013, path: str | None = Non
     return spark.createDataFrame(data, schemas.HOLIDAYS)
 
 
-# US federal holidays by date (month, day, name) and by weekday
-# (month, weekday, which one of the month, name; -1: the last one).
+# US federal holidays by date (month, day, name, first year) and by
+# weekday (month, weekday, which one of the month, name; -1: the last one).
 FIXED_DATE_HOLIDAYS = (
-    (1, 1, "New Years Day"),
-    (7, 4, "Independence Day"),
-    (11, 11, "Veterans Day"),
-    (12, 25, "Christmas Day"),
+    (1, 1, "New Years Day", None),
+    (6, 19, "Juneteenth National Independence Day", 2021),
+    (7, 4, "Independence Day", None),
+    (11, 11, "Veterans Day", None),
+    (12, 25, "Christmas Day", None),
 )
 WEEKDAY_HOLIDAYS = (
     (1, "MON", 3, "Martin Luther King Jr Day"),
@@ -142,9 +178,13 @@ def _nth_weekday(year, month: int, weekday: str, nth: int):
 
 
 def holidays_for_years(years: DataFrame, year_col: str = "year") -> DataFrame:
-    """The ten federal holidays of every year in ``years`` (one generator, no join)."""
+    """The federal holidays of every year in ``years`` (one generator, no join):
+    ten, and an eleventh from 2021 on."""
     year = F.col(year_col)
-    entries = [(F.make_date(year, F.lit(m), F.lit(d)), name) for m, d, name in FIXED_DATE_HOLIDAYS]
+    entries = []
+    for m, d, name, since in FIXED_DATE_HOLIDAYS:
+        day = F.make_date(year, F.lit(m), F.lit(d))
+        entries.append((day if since is None else F.when(year >= since, day), name))
     entries += [(_nth_weekday(year, m, weekday, nth), name) for m, weekday, nth, name in WEEKDAY_HOLIDAYS]
     rows = F.array(*[F.struct(day.alias("holiday_date"), F.lit(name).alias("holiday_name")) for day, name in entries])
-    return years.select(F.explode(rows).alias("h")).select("h.holiday_date", "h.holiday_name")
+    return years.select(F.explode(rows).alias("h")).select("h.holiday_date", "h.holiday_name").where("holiday_date is not null")

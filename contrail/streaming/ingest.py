@@ -24,13 +24,15 @@ def ingest_available(spark: SparkSession, landing_dir: str, schema: T.StructType
                      checkpoint_dir: str, keys: Sequence[str], partition_cols: Sequence[str],
                      transform: Callable[[DataFrame], DataFrame] | None = None,
                      max_files_per_trigger: int | None = None, file_format: str = "parquet",
-                     latest_by: Sequence[str] = ()) -> int:
+                     latest_by: Sequence[str] = (), fixed_partition: bool = False) -> int:
     """Process every file that has arrived in ``landing_dir`` and stop.
 
     ``transform`` maps a micro-batch of raw rows to target rows (e.g. staging
     plus the fact's weather lookup).  A micro-batch may hold a row and its
     correction; ``latest_by`` names the columns whose highest values win (without
-    it such a batch is refused).  Returns the number of micro-batches run.
+    it such a batch is refused).  ``fixed_partition`` says that a key never changes its
+    partition; else the table's key index finds the old places of keys, so that a
+    micro-batch never reads the history.  Returns the number of micro-batches run.
     """
     reader = spark.readStream.schema(schema).format(file_format)
     if max_files_per_trigger:
@@ -40,7 +42,7 @@ def ingest_available(spark: SparkSession, landing_dir: str, schema: T.StructType
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
         rows = transform(batch) if transform else batch
-        write_incremental(spark, rows, target_path, keys, partition_cols, latest_by=latest_by)
+        write_incremental(spark, rows, target_path, keys, partition_cols, latest_by=latest_by, fixed_partition=fixed_partition)
         batches.append(epoch_id)
 
     query = (stream.writeStream

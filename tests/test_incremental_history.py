@@ -117,3 +117,79 @@ def test_a_snapshot_row_without_a_key_is_refused(spark):
     rows_of = spark.createDataFrame([("a", "x"), (None, "y")], "id string, c string")
     with pytest.raises(PySparkException, match="without id"):
         scd2_snapshot(rows_of, None, "id", ["c"], dt.datetime(2024, 1, 1)).collect()
+
+
+
+def test_a_merge_reads_no_partition_that_it_does_not_change(spark):
+    """Files of untouched partitions are taken away: the merge never misses them."""
+    import glob
+    import os
+    import shutil
+    path = tempfile.mkdtemp(prefix="contrail-index-") + "/t"
+    rows_of = lambda data: spark.createDataFrame(data, "k bigint, v bigint, p int")
+    write_incremental(spark, rows_of([(i, 0, i % 12) for i in range(6000)]), path, ["k"], ["p"])
+    # The first merge makes the index.
+    write_incremental(spark, rows_of([(5, 1, 5)]), path, ["k"], ["p"])
+    index = sorted(os.listdir(f"{path}/_keys"))
+    assert sum(n.startswith("p=") for n in index) == 12
+    batch = rows_of([(7, 2, 8), (9000, 2, 8), (20, 2, 8)])  # moves from 7 to 8, is new, stays in 8
+    away = tempfile.mkdtemp()
+    for p in range(12):
+        if p not in (7, 8):
+            # A file of the name is there, but no reader could open it.
+            for name in glob.glob(f"{path}/p={p}/*.parquet"):
+                shutil.copy(name, f"{away}/{p}-{os.path.basename(name)}")
+                with open(name, "wb") as fh:
+                    fh.write(b"nothing")
+                crc = os.path.join(os.path.dirname(name), "." + os.path.basename(name) + ".crc")
+                if os.path.exists(crc):
+                    os.remove(crc)
+    assert set(write_incremental(spark, batch, path, ["k"], ["p"])) == {(7,), (8,)}
+    for name in os.listdir(away):
+        p, file = name.split("-", 1)
+        shutil.copy(f"{away}/{name}", f"{path}/p={p}/{file}")
+    got = {r.k: (r.v, r.p) for r in spark.read.parquet(path).collect()}
+    assert len(got) == 6001 and got[7] == (2, 8) and got[20] == (2, 8) and got[9000] == (2, 8) and got[5] == (1, 5)
+    # The index follows: 7 is found in its new place.
+    assert set(write_incremental(spark, rows_of([(7, 3, 1)]), path, ["k"], ["p"])) == {(1,), (8,)}
+
+
+def test_the_key_index_names_every_place_and_few_others(spark):
+    from contrail.operators.key_index import index_rows, partitions_of
+    rows = spark.range(200_000).selectExpr("CAST(id AS STRING) AS k", "CASE WHEN id % 50 < 49 THEN id % 50 END AS p", "id % 3 AS q")
+    index = index_rows(rows, ["k"], ["p", "q"])
+    asked = spark.createDataFrame([("17",), ("49",), ("100000",)], "k string")
+    found = {tuple(r) for r in partitions_of(index, asked, ["k"], ["p", "q"]).collect()}
+    own = {(17, 17 % 3), (None, 49 % 3), (0, 100000 % 3)}
+    assert own <= found and len(found) <= len(own) + 3
+    none = spark.createDataFrame([("x",), (None,)], "k string")
+    assert partitions_of(index, none, ["k"], ["p", "q"]).count() <= 3
+    pairs = index_rows(rows, ["k", "q"], ["p"])
+    two = spark.createDataFrame([("17", 2), ("18", 1)], "k string, q bigint")
+    assert {17} <= {r.p for r in partitions_of(pairs, two, ["k", "q"], ["p"]).collect()} <= {17, 18, None} | set(range(50))
+
+
+def test_closed_versions_are_written_once(spark):
+    import os
+    from contrail.operators.history import read_snapshots, write_snapshot
+    path = tempfile.mkdtemp(prefix="contrail-snap-") + "/s"
+    take = lambda names, at: write_snapshot(spark, path, spark.createDataFrame(names, SNAP), "ident", ["name"], at)
+    files = lambda: {f"{d}/{n}" for d, _, names in os.walk(f"{path}/closed") for n in names if n.endswith(".parquet")}
+    take([("A", "a", "X"), ("B", "b", "X")], T1)
+    assert not files()
+    take([("A", "a2", "X"), ("B", "b", "X")], T2)
+    first = files()
+    assert first
+    again = take([("A", "a2", "X"), ("B", "b", "X")], T2)  # nothing changes
+    assert files() == first
+    expected = None
+    for names, at in (([("A", "a", "X"), ("B", "b", "X")], T1), ([("A", "a2", "X"), ("B", "b", "X")], T2), ([("A", "a3", "X")], T3)):
+        expected = scd2_snapshot(spark.createDataFrame(names, SNAP), expected, "ident", ["name"], at)
+    third = take([("A", "a3", "X")], T3)
+    assert first < files() and again is not third
+    assert sorted(map(str, read_snapshots(spark, path).collect())) == sorted(map(str, expected.select(*third.columns).collect()))
+    # Everything deleted: no open version is left, and the history stays.
+    gone = write_snapshot(spark, path, spark.createDataFrame([], SNAP), "ident", ["name"], dt.datetime(2024, 4, 1))
+    assert gone.where("valid_to is null").count() == 0 and gone.count() == 4
+    back = take([("A", "a3", "X")], dt.datetime(2024, 5, 1))
+    assert back.count() == 5 and back.where("valid_to is null").count() == 1

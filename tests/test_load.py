@@ -120,7 +120,7 @@ def test_a_crash_before_the_commit_keeps_the_old_table(spark, raw, root):
         sinks.load_full(spark, broken, path)
     assert sinks.read_raw(spark, path).count() == ROWS["planes"]
     assert sinks.load_full(spark, raw["planes"].limit(1), path) == 1
-    assert len(sinks.versions(spark, path, complete=False)) == 1
+    assert len(sinks.versions(spark, path)) == 1
 
 
 def test_no_scratch_is_left(spark, raw, root):
@@ -199,3 +199,36 @@ def test_driver_program(spark, raw_dir, capsys):
     assert code == 0 and "planes" in said and MONTHS[1] in said
     with pytest.raises(ValueError):
         run("ingest", "--raw-dir", raw_dir, "--months", "2013-13")
+
+
+# --- rejects, code generation ---------------------------------------------------
+
+def test_rejects_are_stored_and_limited(spark, root):
+    from contrail.operators.rejects import TooManyRejects
+    lines = FILES["flights.csv"].splitlines()
+    lines[2] = lines[2].replace(",600,", ",far,")
+    lines[4] = lines[4].replace(",300,", ",3o0,").replace("-5,1255", "x,1255")
+    lines.append("17,2013,7")
+    folder = write_raw(tempfile.mkdtemp(), {**FILES, "flights.csv": "\n".join(lines) + "\n"})
+    files = {"flights": read_source(spark, SOURCES_BY_NAME["flights"], folder, on_bad="keep")}
+    with pytest.raises(TooManyRejects, match="3 rows"):
+        ingest(spark, files, root, loaded_at=CLOCK, reject_limit=2)
+    assert not sinks.table_exists(spark, f"{root}/flights")
+    assert ingest(spark, files, root, loaded_at=CLOCK, reject_limit=3)["flights"] == {"2013-07": 2, "2013-11": 2}
+    found = sinks.read_versioned(spark, f"{root}/rejects").collect()
+    assert sorted((r.column or "", r.value) for r in found) == [("", "17,2013,7"), ("dep_delay", "x"), ("distance", "3o0"), ("distance", "far")]
+    assert {r.file for r in found} == {"flights.csv"} and all(r.record for r in found)
+    with pytest.raises(PySparkException):
+        read_source(spark, SOURCES_BY_NAME["flights"], folder).collect()
+
+
+def test_a_load_of_many_months_is_compiled(spark, raw, root, capfd):
+    """The filter on months doesn't outgrow what Spark compiles to bytecode."""
+    spark.sparkContext.setLogLevel("WARN")
+    try:
+        months = [f"{y}-{m:02d}" for y in range(2005, 2020) for m in range(1, 13)]
+        sinks.load_monthly(spark, raw["flights"], f"{root}/flights", months)
+    finally:
+        spark.sparkContext.setLogLevel("ERROR")
+    said = "".join(capfd.readouterr())
+    assert "64 KB" not in said and "Whole-stage codegen disabled" not in said and "Failed to compile" not in said

@@ -68,3 +68,22 @@ def test_catalogue_on_fixture_reports_seeded_destination_gap(models):
     singular = {name: df.collect() for name, df in C.singular_checks(models).items()}
     assert [len(x) for x in singular.values()] == [0, 0, 1]
     assert singular["weather_covers_the_flights"][0].coverage_pct == 50.0
+
+
+def test_row_level_checks_are_counted_by_the_job_that_writes(spark, t, tmp_path):
+    cat = [Check("t", "not_null", "code"), Check("t", "accepted_values", "p", values=("x", "y'z")),
+           Check("t", "non_negative", "n"), Check("t", "within_range", "n", lo=0, hi=100, where="id < 4"), Check("t", "unique", "id")]
+    seen = Q.Observed(cat)
+    seen.watch(t).write.parquet(str(tmp_path / "t"))
+    assert {name: n for name, _, n in seen.rows()} == {c.name: Q.violations(c, {"t": t}).count() for c in cat if c.kind != "unique"}
+    assert Q.Observed(cat[-1:]).rows() == []
+
+
+def test_uniqueness_shuffles_hashes_and_compares_values_only_where_they_repeat(spark):
+    wide = spark.range(1000).selectExpr("concat(repeat('x', 500), id) AS a", "CASE WHEN id % 100 = 0 THEN 'same' ELSE concat('y', id) END AS b",
+                                        "CASE WHEN id > 5 THEN id END AS c")
+    cat = [Check("w", "unique", "a"), Check("w", "unique", "b"), Check("w", "unique", "c"), Check("w", "unique", "b", where="c < 90", label="scoped")]
+    assert [n for _, _, n in Q.count_duplicates(wide, cat)] == [0, 1, 0, 0] == [Q.violations(c, {"w": wide}).count() for c in cat]
+    plan = Q._repeated_hashes(wide, cat)._jdf.queryExecution().executedPlan().toString()
+    exchange = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchange and all("h#" in line and "a#" not in line for line in exchange)
