@@ -8,20 +8,23 @@ documents there are:
 
 * best-fit decreasing gives the first incumbent;
 * bin completion always fills a sequence around the longest piece left: it
-  enumerates the undominated fillings of the room beside it (longest pieces
-  first; none is kept while another piece would still fit) until one leaves no
-  waste or the enumeration budget is spent, and takes the best as often as the
-  histogram allows, so that the number of steps follows the number of lengths;
-* branch and bound: other branches take the second-best filling at one of the
-  wide steps; a branch is cut as soon as its waste exceeds what the incumbent
-  allows, and the search ends when the lower bound is met.
+  enumerates the undominated fillings of the room beside it (none is kept where a piece
+  that is left would fit beside it, or in place of one or two of its shorter
+  pieces) until one leaves no waste or ``FILLINGS`` are seen, and takes the best as
+  often as the histogram allows, so that the number of steps follows the number of lengths;
+* branch and bound: other branches take another filling at any of the steps, those
+  with the fewest such choices first; a branch is cut as soon as its waste exceeds
+  what the incumbent allows.  The search ends at the lower bound, when all branches
+  are done, or after ``NODES`` steps (so a plan may stay above the optimum, never
+  above best-fit decreasing; the README gives distances from the bound).
 
 Pieces are then numbered within their length, and piece number i of a length
-goes to slot i of that length.  Numbering is salted, so that a length which a
-third of all documents share is spread over many tasks; the token ids
-themselves are never shuffled.
+goes to slot i of that length.  A length is numbered in as many parts as its count
+asks for (``ROWS_A_TASK`` rows each), so one that a third of all documents share
+is spread over many tasks; the token ids themselves are never shuffled.
 
 Defined cases: a null or empty text is a piece of one token (the end mark);
+very long texts are encoded whole and cut into pieces of the capacity, the last one shorter;
 repeated rows are pieces of their own; an empty table gives an empty result;
 other columns are ignored; equal lengths are told apart by doc_id, piece and
 ids_crc32, so the result doesn't depend on the order of rows.
@@ -34,7 +37,7 @@ import os
 import struct
 import zlib
 from bisect import bisect_left, bisect_right
-from collections import defaultdict
+from collections import defaultdict, deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,12 +51,19 @@ from contrail.llm.token_counts import merger
 
 CAPACITY = 4096
 END_ID = 1
-SALTS = 32
+#: Rows that are numbered in one task.
+ROWS_A_TASK = 1_000_000
 KEEP_WORDS = 400_000
 KEEP_CHARS = 40
-#: Fillings looked at for each sequence, and branches beside the first.
+#: Fillings looked at at each step, multiplicities of a length and shorter pieces
+#: in the tests for dominance; steps of the whole search.
 FILLINGS = 400
-BRANCHES = 6
+MULTIPLICITIES = 8
+PAIRS = 12
+NODES = 10_000
+#: Up to so many pieces, so many fillings of each step are branched on.
+FEW_PIECES = 200
+KEEP_FEW = 16
 
 Plan = list[tuple[tuple[int, ...], int]]
 
@@ -183,32 +193,58 @@ class Stock:
         return min(self.counts[x] // filling.count(x) for x in set(filling))
 
 
-def completions(stock: Stock, capacity: int, budget: int = FILLINGS) -> list[tuple[int, tuple[int, ...]]]:
+def _dominated(stock: Stock, filling: tuple[int, ...], room: int) -> bool:
+    """Whether a piece that is left would fit beside the filling, or in place of one
+    or two of its shorter pieces (never of the longest, around which it is built)."""
+    left = {x: stock.counts[x] - filling.count(x) for x in set(filling)}
+
+    def fits(low: int, high: int) -> bool:
+        at = bisect_left(stock.lengths, low)
+        while at < len(stock.lengths) and stock.lengths[at] <= high:
+            if left.get(stock.lengths[at], 1) > 0:
+                return True
+            at += 1
+        return False
+
+    if fits(1, room):
+        return True
+    if not room:
+        return False
+    others = sorted(set(filling[1:]))
+    if any(fits(x + 1, x + room) for x in others):
+        return True
+    pairs = {x + y for i, x in enumerate(others[:PAIRS]) for y in others[i:PAIRS] if x != y or filling[1:].count(x) > 1}
+    return any(fits(x, x + room) for x in pairs)
+
+
+def completions(stock: Stock, capacity: int, budget: int = FILLINGS, keep: int = 2) -> list[tuple[int, tuple[int, ...]]]:
     """Undominated fillings around the longest piece as (waste, filling), best
-    first: at most two, the second for another branch."""
+    first: at most ``keep``.  Lengths are chosen from the longest on, each with all
+    its multiplicities, the largest first; the enumeration ends at a filling without
+    waste or after ``budget`` of them."""
     first = stock.lengths[-1]
-    best: list[tuple[int, tuple[int, ...]]] = []
+    best: list[tuple[int, int, tuple[int, ...]]] = []
     seen = 0
-
-    def fill(room: int, longest: int, chosen: tuple[int, ...]) -> None:
-        nonlocal seen
-        at = bisect_right(stock.lengths, min(room, longest)) - 1
-        grew = False
-        while at >= 0 and seen < budget and not (best and best[0][0] == 0):
-            length = stock.lengths[at]
-            if chosen.count(length) < stock.counts[length]:
-                grew = True
-                fill(room - length, length, chosen + (length,))
-            at -= 1
-        # A filling that a longer piece could still join is dominated.
-        if not grew and (at < 0 or not chosen):
+    # (room, index of the next length to choose, pieces chosen)
+    open_: list[tuple[int, int, tuple[int, ...]]] = [(capacity - first, len(stock.lengths) - 1, (first,))]
+    while open_ and seen < budget and not (best and best[0][0] == 0 and keep <= 2):
+        room, at, chosen = open_.pop()
+        at = min(at, bisect_right(stock.lengths, room) - 1)
+        if at < 0:
             seen += 1
-            best.append((room, chosen))
-            best.sort(key=lambda x: (x[0], len(x[1])))
-            del best[2:]
-
-    fill(capacity - first, first, (first,))
-    return best
+            if not _dominated(stock, chosen, room):
+                best.append((room, len(chosen), chosen))
+                best.sort()
+                del best[keep:]
+            continue
+        length = stock.lengths[at]
+        most = min(room // length, stock.counts[length] - (length == first))
+        # Later ones are looked at first: the largest multiplicity.  A small one that only
+        # leaves room for the same length again is dominated and shows as such.
+        few = range(most + 1) if most <= MULTIPLICITIES else (0, *range(most - MULTIPLICITIES + 1, most + 1))
+        for m in few:
+            open_.append((room - m * length, at - 1, chosen + (length,) * m))
+    return [(room, chosen) for room, _, chosen in best]
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
@@ -217,37 +253,57 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return max(total, sum(n for k, n in counts.items() if 2 * k > capacity))
 
 
-def dive(counts: dict[int, int], capacity: int, bound: int, second_at: int = -1) -> Plan | None:
-    """One branch; None as soon as its waste shows that it can't use fewer
-    sequences than ``bound``."""
+Choices = tuple[tuple[int, int], ...]  # (step, which alternative) beside the first ones
+
+
+def dive(counts: dict[int, int], capacity: int, bound: int, choices: Choices = (), keep: int = 2,
+         budget: int = NODES) -> tuple[Plan | None, list[tuple[int, int]], int]:
+    """One branch: its plan (None as soon as its waste shows that it can't use fewer
+    than ``bound`` sequences), the other branches met after the last choice, as
+    (step, alternative), and the number of steps."""
     stock, plan = Stock(counts), []
     spare = (bound - 1) * capacity - sum(k * n for k, n in counts.items())
-    step = 0
+    wanted, wide, step = dict(choices), [], 0
+    last_choice = choices[-1][0] if choices else -1
     while stock.lengths:
-        found = completions(stock, capacity)
-        waste, filling = found[-1 if step == second_at else 0]
-        times = stock.times(filling)
+        if step >= budget:
+            return None, wide, step
+        found = completions(stock, capacity, keep=keep)
+        # Each filling as often as it can be, then the repeated ones once.
+        options = [(waste, filling, stock.times(filling)) for waste, filling in found]
+        options += [(waste, filling, 1) for waste, filling, times in options if times > 1 and keep > 2]
+        if step > last_choice:
+            wide += [(step, k) for k in range(1, len(options))]
+        waste, filling, times = options[min(wanted.get(step, 0), len(options) - 1)]
         last = sum(stock.counts.values()) == times * len(filling)
         if waste * (times - last) > spare:
-            return None
+            return None, wide, step + 1
         spare -= waste * times
         stock.take(filling, times)
         plan.append((filling, times))
         step += 1
-    return plan
+    return plan, wide, step
+
 
+def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> Plan:
+    """(lengths of the pieces of a sequence, number of such sequences).
 
-def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY, branches: int = BRANCHES) -> Plan:
-    """(lengths of the pieces of a sequence, number of such sequences)."""
+    Branches are tried in the order of how many choices part them from the first
+    dive, until the lower bound is met, all are done, or ``nodes`` steps are spent."""
     incumbent = best_fit_decreasing(counts, capacity)
     size = sum(times for _, times in incumbent)
     least = lower_bound(counts, capacity)
-    for branch in range(-1, branches):
-        if size <= least:
-            break
-        found = dive(counts, capacity, size, branch)
+    # Small instances are searched through; of large ones, two fillings at each step.
+    keep = KEEP_FEW if sum(counts.values()) <= FEW_PIECES else 2
+    open_: deque[Choices] = deque([()])
+    while size > least and open_ and nodes > 0:
+        choices = open_.popleft()
+        found, wide, steps = dive(counts, capacity, size, choices, keep, nodes)
+        nodes -= steps
         if found is not None and (n := sum(times for _, times in found)) < size:
             incumbent, size = found, n
+        if len(open_) < nodes:
+            open_.extend((*choices, w) for w in wide)
     return incumbent
 
 
@@ -276,23 +332,32 @@ def slots(plan: Plan) -> dict[str, np.ndarray]:
 
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` with sequence_id and offset."""
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)).cast("int"))
-    # At most capacity * SALTS rows.
-    groups = salted.groupBy("length", "salt").count().toPandas()
-    counts = {int(k): int(n) for k, n in groups.groupby("length")["count"].sum().items()}
+    spark = pieces.sparkSession
+    found = pieces.groupBy("length").count().toPandas()  # at most ``capacity`` rows
+    counts = {int(k): int(n) for k, n in zip(found["length"], found["count"], strict=True)}
     runs = slots(plan_sequences(counts, capacity))
-    by = np.zeros((capacity + 1) * SALTS, dtype=np.int64)
-    by[groups["length"].to_numpy() * SALTS + groups["salt"].to_numpy()] = groups["count"].to_numpy()
-    base = pieces.sparkSession.sparkContext.broadcast(np.concatenate([[0], np.cumsum(by)[:-1]]))
-    shared = pieces.sparkSession.sparkContext.broadcast(runs)
+    # As many parts of a length as its count asks for, each numbered by itself.
+    salts = {k: -(-n // ROWS_A_TASK) for k, n in counts.items()}
+    parts = spark.createDataFrame(list(salts.items()), "salted_length long, salts long")
+    salted = pieces.join(F.broadcast(parts), F.col("length") == F.col("salted_length")).withColumn(
+        "salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("salts"))).drop("salted_length", "salts")
+    first = np.zeros(capacity + 2, dtype=np.int64)
+    first[[k + 1 for k in salts]] = list(salts.values())
+    first = np.cumsum(first)  # parts before each length
+    sizes = np.zeros(int(first[-1]), dtype=np.int64)
+    # One row for each part: as many as lengths, and one more for each ROWS_A_TASK pieces.
+    for length, salt, n in salted.groupBy("length", "salt").count().collect():
+        sizes[first[length] + salt] = n
+    base = spark.sparkContext.broadcast((first, np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else sizes))
+    shared = spark.sparkContext.broadcast(runs)
     numbered = salted.withColumn("number", F.row_number().over(
         W.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")).cast("long") - 1)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = shared.value
+        runs, (first, begin) = shared.value, base.value
         for batch in batches:
             at = {n: batch.column(n).to_numpy() for n in ("length", "salt", "number")}
-            slot = base.value[at["length"] * SALTS + at["salt"]] + at["number"]
+            slot = begin[first[at["length"]] + at["salt"]] + at["number"]
             run = np.searchsorted(runs["begin"], slot, side="right") - 1
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in names), pa.array(runs["sequence"][run] + slot - runs["begin"][run]), pa.array(runs["offset"][run])],
