@@ -26,8 +26,10 @@ strings, and four numbers for each sampled document.  Scoring reads every whole
 text, row by row, without a shuffle.
 
 Defined cases: a null or empty text has no windows and gets the score of a text
-without evidence; repeated rows are scored one by one (training takes
-one of several copies or near copies); without labels of both classes every score
+without evidence; very long texts are scored whole; words of more than ``KEEP_CHARS``
+characters are scored by their beginnings and never become dictionary entries; entries of equal
+evidence (ties) go by length, then alphabetically; repeated rows are scored one by one (training takes
+one of several copies or near copies, the smallest text); without labels of both classes every score
 is 0; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -47,6 +49,8 @@ from contrail.llm.common import map_batches
 
 SAMPLE = 4000
 DICTIONARY_ENTRIES = 256
+#: Windows that compete for them, the strongest first.
+CANDIDATES = 8192
 ORDINARY_ENTRIES = 2000
 MIN_EVIDENCE = 25.0
 MIN_DOCUMENTS = 3
@@ -181,7 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     # windows is what they most likely share.
     rows = rows.withColumn("said", F.split(F.lower("text"), r"\s+"))
     lowest = F.array_min(F.transform("said", lambda _, i: F.xxhash64(F.slice(F.col("said"), i + 1, F.lit(5)))))
-    rows = rows.withColumn("copy", lowest).groupBy("copy").agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")).persist()
+    rows = rows.withColumn("copy", lowest).groupBy("copy").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).persist()
     try:
         sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
         if len(sizes) < 2:
@@ -193,9 +197,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
         strength = evidence(F.col("t"), sizes[1], F.col("o"), sizes[0])
         more = counts.filter((F.col("t") >= MIN_DOCUMENTS) & (F.col("t") * sizes[0] > F.col("o") * sizes[1])).withColumn("g", strength)
         strongest = more.filter(F.col("g") > MIN_EVIDENCE).orderBy(F.desc("g"), F.desc(F.length("window")), "window")
+        # A word and its beginnings are one entry, so that each place goes to a stem of its own.
         toxic: list[str] = []
-        for r in strongest.limit(DICTIONARY_ENTRIES).collect():
-            if not any(r["window"].startswith(w) or w.startswith(r["window"]) for w in toxic):
+        for r in strongest.limit(CANDIDATES).collect():
+            if len(toxic) < DICTIONARY_ENTRIES and not any(r["window"].startswith(w) or w.startswith(r["window"]) for w in toxic):
                 toxic.append(r["window"])
         ordinary = [r["window"] for r in counts.orderBy(F.desc("o"), "window").limit(ORDINARY_ENTRIES).collect()]
         ordinary_bytes = _dictionary(ordinary)
