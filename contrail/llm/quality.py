@@ -20,8 +20,10 @@ fifth of the words lie in five-word windows that occur twice or more in it.
 Everything is a DataFrame expression on one row: no shuffle and no Python.
 
 Defined cases: a null text counts as empty; an empty text has no lines and is
-rejected by the base rules; repeated rows are judged one by one; an empty table
-gives an empty result; other columns of the input are kept by
+rejected by the base rules; very long texts are judged whole, within one row; white
+space around a line counts for nothing; a share of exactly its limit passes (ties);
+repeated rows are judged one by one; an empty table
+gives an empty result; other columns of the input, whatever their names, are kept by
 :func:`clean_documents` and never looked at.
 """
 
@@ -57,7 +59,7 @@ def line_passes(line: Column, max_symbol_share: float = MAX_SYMBOL_SHARE, min_un
     One cheap scan tells whether a line holds any mark that the first two rules
     count; most lines don't, and are not counted.
     """
-    n_words = F.size(F.split(F.trim(line), SPACE))
+    n_words = F.size(words(line))
     visible = F.length(F.regexp_replace(line, SPACE, ""))
     marks = F.length(F.regexp_replace(line, r"[^#*$%&|<>{}~^=!?]+|(?<![!?])[!?](?![!?])", ""))
     separators = F.length(F.regexp_replace(line, r"[^|>»›•·]+", ""))
