@@ -11,7 +11,9 @@ counted first; a larger one is joined by shuffling.  Texts are read once; only
 hits and counts are shuffled, and texts only where documents have to be changed.
 DataFrame expressions only.
 
-Defined cases: a null text has no words; an item without words has no windows;
+Defined cases: a null text has no words; very long texts are scanned whole; a word
+inside windows of several items is one hit word and each of the items is named (ties);
+an item without words has no windows;
 repeated items count once; repeated document rows each get their row, on their
 own words; an empty benchmark hits nothing, an empty table gives an empty
 result; other columns are kept by :func:`remove_documents` and

@@ -12,7 +12,9 @@ join brings them back to the other places; windows travel as 128-bit hashes,
 texts only once, to be rewritten.  The join's large side can be split wherever
 one window is hot.
 
-Defined cases: a null text is kept as it is and has no lines; texts of fewer
+Defined cases: a null text is kept as it is and has no lines; very long texts are
+read whole; of equal windows at the same doc_id the smaller text hash, then place, is first
+(ties); texts of fewer
 than three lines with a word never change; blank lines are kept while a line
 with a word is left after them; repeated rows (same doc_id, same text) count
 as one occurrence and are treated alike; rows that share a doc_id but not the

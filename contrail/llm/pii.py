@@ -20,7 +20,8 @@ shared checkpoint folder.  What reaches the driver are counts by vote pattern,
 kind and length class: fewer than 6 * 3^4 * 3 rows however large the table.
 DataFrame expressions only on the data; the driver fits a few weights.
 
-Defined cases: a null text counts as empty and has no spans; repeated rows are
+Defined cases: a null text counts as empty and has no spans; very long texts are
+searched whole; spans with the same start are listed in the order of kinds (ties); repeated rows are
 searched one by one; without any candidate nothing is fitted; an empty table
 gives an empty result; other columns are ignored.  Positions are code points,
 end exclusive.

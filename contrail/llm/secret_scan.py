@@ -10,7 +10,8 @@ decode to JSON that names an algorithm) and ``pem`` (private key blocks).
 
 Each row is scanned whole and on its own: no shuffle, memory of one batch.
 
-Defined cases: a null text counts as empty and has no spans; repeated rows are
+Defined cases: a null text counts as empty and has no spans; very long texts are
+scanned whole; spans with the same start are listed in the order of kinds (ties); repeated rows are
 scanned one by one; an empty table gives an empty result; other columns are
 ignored.  Positions are code points, end exclusive.
 """

@@ -13,7 +13,10 @@ The work is per row and needs no shuffle.  Counts of short words are kept in a
 bounded table per Python worker; very long words are merged in
 O(n log n) and not kept.
 
-Defined cases: a null text counts as empty and has no tokens; repeated rows are
+Defined cases: a null text counts as empty and has no tokens; very long texts are
+counted whole, without a limit; of equally ranked pairs (ties) the first in the word
+is merged; 14 rare or unassigned code points (U+A7CB and U+A7DC among them) may be split
+as the installed Unicode tables say, which are not the library's own; repeated rows are
 counted one by one; an empty table gives an empty result; other columns are
 ignored.
 """

@@ -76,6 +76,61 @@ def test_plans_are_complete_and_near_the_bound(counts):
     assert sum(t for _, t in plan) <= least + 1 + least // 500
 
 
+def fewest(items, capacity):
+    """The optimum, by trying every place of every piece."""
+    items, best = sorted(items, reverse=True), [len(items)]
+
+    def put(i, bins):
+        if len(bins) >= best[0]:
+            return
+        if i == len(items):
+            best[0] = len(bins)
+            return
+        for at in {b: k for k, b in enumerate(bins) if b + items[i] <= capacity}.values():
+            bins[at] += items[i]
+            put(i + 1, bins)
+            bins[at] -= items[i]
+        put(i + 1, [*bins, items[i]])
+
+    put(0, [])
+    return best[0]
+
+
+def test_small_instances_reach_the_optimum():
+    rng, missed = random.Random(1), 0
+    for _ in range(300):
+        items = [rng.randint(10, 60) for _ in range(rng.randint(3, 12))]
+        counts = {x: items.count(x) for x in items}
+        plan = packing.plan_sequences(counts, 100)
+        used = defaultdict(int)
+        for filling, times in plan:
+            assert sum(filling) <= 100
+            for x in filling:
+                used[x] += times
+        assert dict(used) == counts and sum(t for _, t in plan) == fewest(items, 100)
+        missed += sum(t for _, t in packing.best_fit_decreasing(counts, 100)) > fewest(items, 100)
+    assert missed > 5  # best-fit decreasing alone doesn't
+
+
+@pytest.mark.parametrize(("counts", "n"), [({3: 13_650_000}, 10_000), ({3: 2_000_000, 9: 5}, 1466), ({1: 10**9, 2: 10**9}, 732_422)])
+def test_tables_of_many_short_texts(counts, n):
+    assert sum(t for _, t in packing.plan_sequences(counts)) == n
+
+
+def test_fillings_that_a_replacement_improves_are_dominated():
+    stock = packing.Stock({60: 1, 25: 1, 20: 2, 12: 1, 11: 1})
+    found = packing.completions(stock, 100, keep=50)
+    assert (0, (60, 20, 20)) in found
+    # 12 and 11 leave 17, where 20 could stand for 12 and 25 for both.
+    assert not any(filling == (60, 12, 11) for _, filling in found)
+
+
+def test_a_length_is_numbered_in_as_many_parts_as_it_needs(spark, monkeypatch):
+    monkeypatch.setattr(packing, "ROWS_A_TASK", 7)
+    docs = spark.createDataFrame([(i, "one two") for i in range(60)] + [(100 + i, "x " * i) for i in range(20)], "doc_id long, text string")
+    check_packing([tuple(r) for r in docs.collect()], packing.pack(docs, PATH))
+
+
 def test_toxicity_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
@@ -87,6 +142,14 @@ def test_toxicity_on_held_out_documents(spark):
     assert sum(r.predicted for r in clean) <= 0.05 * len(clean)
 
 
+def test_toxicity_scores_are_reproducible(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    first = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.train(docs, labels)).collect()}
+    turned = docs.repartition(7).withColumn("lang", docs.source)
+    assert first == {r.doc_id: r.score for r in toxicity.score(turned, toxicity.train(turned, labels.repartition(3))).collect()}
+
+
 def test_toxicity_edge_cases(spark):
     docs = odd_documents(spark)
     none = spark.createDataFrame([(4, 1, 0)], "doc_id long, quality int, toxic int")
@@ -142,6 +205,70 @@ def test_html_pages(html, text):
     assert html_extract.extract(html) == text
 
 
+PROSE = "<p>A plain sentence of the article that is long enough to count.</p><p>Short.</p>"
+SAID = "A plain sentence of the article that is long enough to count.\nShort."
+MENU = "<ul><li><a href=/>Home</a></li><li><a href=/a>About</a></li></ul>"
+
+
+@pytest.mark.parametrize(("html", "text"), [
+    (f'<div class="content has-sidebar"><article>{PROSE}</article></div>', SAID),
+    (f'<div class="site no-sidebar">{PROSE}</div>', SAID),
+    (f'<div class="main-content with-menu">{PROSE}</div>', SAID),
+    (f'<body class="search-results"><section class="search">{PROSE}</section></body>', SAID),
+    (f'<div class="comment-free post">{PROSE}</div>', SAID),
+    (f'<article class="post related-posts">{PROSE}</article>', SAID),
+    (f'<nav>{MENU}<article>{PROSE}</article>', SAID),
+    (f'<body><nav>{MENU}<div>{PROSE}</div></body>', SAID),
+    (f'<body><header><nav>{MENU}</nav><h2>Site</h2><main>{PROSE}</main></body>', SAID),
+    (f'<article><header><h1>Title</h1><p>By me</p></header>{PROSE}<footer>f</footer></article>', "Title\n" + SAID),
+    (f'<form id="page"><div>{PROSE}</div><div class="sidebar"><p>Other things.</p></div></form>', SAID),
+    (f'<div class="menu">{MENU}</div><article>{PROSE}</article><div class="comments"><article>{PROSE * 3}</article></div>', SAID),
+    (f'<aside><article>{PROSE}</article></aside><article>{PROSE}</article>', SAID),
+    (f'<nav>{MENU}</nav>', ""), (f'<article>{PROSE}<button>Press{PROSE}</article>', SAID + "\n" + SAID),
+])
+def test_an_article_is_not_lost(html, text):
+    assert html_extract.extract(html) == text
+
+
+def test_regions_follow_the_ratios_by_brute_force():
+    rng = random.Random(8)
+    for _ in range(200):
+        regions = [[(rng.randint(1, 60), rng.choice([0, 0, 0, 3, 8])) for _ in range(rng.randint(1, 5))] for _ in range(rng.randint(1, 6))]
+        texts = [[f"{'w' * n}{a}x{b}" + "y" * links for b, (n, links) in enumerate(lines)] for a, lines in enumerate(regions)]
+        html = "".join("<div>" + "".join(f"<p>{t[:len(t) - links]}{'<a href=#>y</a>' * links}</p>" for t, (_, links) in zip(own, lines, strict=True)) + "</div>"
+                       for own, lines in zip(texts, regions, strict=True))
+        # A line's tags: its own and two for each link.
+        ratios = [len(t) / (1 + 2 * links) for own, lines in zip(texts, regions, strict=True) for t, (_, links) in zip(own, lines, strict=True)]
+        n = len(ratios)
+        even = []
+        for i in range(n):
+            near = [(ratios[k], 2.718281828459045 ** (-(k - i) ** 2 / 2)) for k in range(max(0, i - 3), min(n, i + 4))]
+            even.append(sum(r * w for r, w in near) / sum(w for _, w in near))
+        mean = sum(even) / n
+        cut = min(20.0, mean - (sum((r - mean) ** 2 for r in even) / n) ** 0.5 / 2)
+        kept, at = [], 0
+        for own in texts:
+            if any(r >= cut - 1e-9 for r in even[at:at + len(own)]):
+                kept += own
+            at += len(own)
+        assert html_extract.extract(html) == "\n".join(kept)
+
+
+def test_very_long_and_deep_pages():
+    assert html_extract.extract('<div class="a">' * 50_000 + PROSE) == SAID
+    assert html_extract.extract("<div>" * 20_000 + "</p>" * 20_000 + PROSE).endswith("Short.")
+    assert html_extract.extract("<nav>" * 20_000 + PROSE) == SAID
+    assert len(html_extract.extract(f"<article>{PROSE * 20_000}</article>")) == 20_000 * (len(SAID) + 1) - 1
+
+
+def test_pages_of_the_table_word_by_word(spark):
+    import html as entities
+    import re
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        own = re.search(r"<article[^>]*>(.*?)</article>", r.html, re.S).group(1)
+        assert html_extract.extract(r.html).split() == entities.unescape(re.sub(r"<[^>]*>", " ", own)).split()
+
+
 def test_html_query_rows(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, 0), (1, "u", PAGE, 0), (2, None, None, 1), (None, "v", "<p>x</p>", 2)],
                                   "page_id long, url string, html string, text int")

@@ -51,6 +51,15 @@ def test_quality_rules_per_line(spark):
         assert (line in r.cleaned.split("\n")) == ok, line
 
 
+def test_white_space_around_a_line_is_no_word(spark):
+    bare = " ".join(["word"] * 19)
+    rest = "\nThis is a plain sentence with enough words, and it ends well."
+    docs = spark.createDataFrame([(i, f"{a}{bare}{b}{rest}") for i, (a, b) in enumerate([("", ""), ("\t", ""), (" \x0b", "\t "), ("\r", "\r")])]
+                                 + [(9, f"\t{bare} more{rest}")], "doc_id long, text string")
+    for r in quality.judge(docs).collect():
+        assert ("word word" in r.cleaned) == (r.doc_id != 9)
+
+
 def test_quality_keeps_clean_documents_and_rejects_junk(spark):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     rows = quality.judge(documents(spark, "/root/testdata/sf0.01").select("doc_id", "text")).join(labels, "doc_id").collect()
