@@ -5,7 +5,13 @@ packing.
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept
 and returns a DataFrame; :func:`run` writes each result as Parquet in the shared
 checkpoint folder and reads it again for the next stage, so that a lost
-executor never costs more than the stage at hand.
+executor never costs more than the stage at hand; an earlier stage's files go
+when the next one's are complete.
+
+Defined cases, for every stage: null texts count as empty (the quality rules
+reject them); very long texts are worked on whole; repeated rows and ties are treated as the
+stage's operator says; an empty table passes through as an empty table; columns beyond
+those of documents, whatever their names, are kept up to the packing stage.
 """
 
 from __future__ import annotations
@@ -15,7 +21,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from contrail.llm import decontaminate, jaccard_join, line_dedup, packing, quality
-from contrail.llm.common import shared_folder, table
+from contrail.llm.common import remove_folder, shared_folder, table
 from contrail.llm.queries import vocabulary_path
 
 
@@ -62,4 +68,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for n, (_, stage) in enumerate(STAGES, 1):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{n}")
         docs = spark.read.parquet(f"{folder}/{n}")
+        if n > 1:
+            remove_folder(spark, f"{folder}/{n - 1}")  # nothing reads it any more
     return docs
