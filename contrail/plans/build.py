@@ -264,13 +264,9 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], *,
     recover(spark, root)
     catalogue = checks.declared_checks(tuple(hubs))
     by_level = [[c for c in catalogue if checks.check_level(c.table) == lvl] for lvl in range(3)]
-    watched: dict[str, list] = {}
-    for c in catalogue:
-        if checks.check_level(c.table) > 0 or c.table == "stg_weather":  # those that are stored
-            watched.setdefault(c.table, []).append(c)
     with Publication(spark, root) as publication:
         wh = Warehouse(spark, root, raw, full_refresh=full_refresh, lookback_days=lookback_days, fixed_partition=fixed_partition,
-                       publication=publication, watched=watched, holidays=holidays, hubs=hubs)
+                       publication=publication, watched=checks.of_stored_tables(catalogue), holidays=holidays, hubs=hubs)
         for name in ("stg_flight", "stg_weather", "stg_plane", "stg_carrier", "stg_airport_reference", "holidays"):
             getattr(wh, name)  # lazy views, resolved once before the threads start
         at = as_of or dt.datetime(2024, 1, 1)

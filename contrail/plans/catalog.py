@@ -53,13 +53,15 @@ def _fk_destination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole check catalogue over a materialised build (each model is
-    computed once and stored, then every check reads the stored tables)."""
+    """The whole check catalogue over a materialised build: each model is computed
+    once and stored, row-level checks are counted by the job that stores it, the others
+    read the stored tables."""
     from contrail.plans import checks
     from contrail.plans.build import Warehouse
     from contrail.session import scratch_dir
     from contrail.sources import feed
-    wh = Warehouse(spark, scratch_dir(spark, "wh"), feed.raw_sources(spark, sf_dir), hubs=feed.STATIONS)
+    wh = Warehouse(spark, scratch_dir(spark, "wh"), feed.raw_sources(spark, sf_dir), hubs=feed.STATIONS,
+                   watched=checks.of_stored_tables(checks.declared_checks(feed.STATIONS)))
     return checks.quality_report(wh)
 
 
