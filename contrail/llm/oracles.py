@@ -95,19 +95,56 @@ SELECT d.doc_id, coalesce(c.n_lines, 0)::BIGINT AS n_lines, coalesce(t.n_removed
   CASE WHEN t.n_removed IS NULL THEN d.text WHEN k.any_left THEN k.text ELSE '' END AS text
 FROM documents d LEFT JOIN counts c USING (doc_id) LEFT JOIN told t USING (doc_id) LEFT JOIN kept k USING (doc_id)"""
 
-#: crc32 by its usual table of bytes, over the UTF-8 bytes of `<doc_id>:<run>`.
-SPELLING_VARIANTS = r"""
-WITH RECURSIVE crc_table AS (
+#: crc32 by its usual table of bytes.
+_CRC_TABLE = r"""crc_table AS (
   SELECT list(c ORDER BY b) AS t FROM (
     SELECT b, list_reduce(list_prepend(b::BIGINT, [1, 2, 3, 4, 5, 6, 7, 8]), lambda c, k:
-      CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(b))),
+      CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(b)))"""
+
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of a string's UTF-8 bytes, where ``t`` is the table."""
+    return (f"xor(list_reduce(list_prepend(4294967295, [('0x' || x)::BIGINT FOR x IN regexp_extract_all(hex(encode({text})), '..')]), "
+            "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+#: Pairs of equal words at a distance of at most a quarter of the text; stretches of
+#: consecutive pairs at one distance; the smallest distance of each stretch is its period.
+PERIODIC_RUNS = rf"""
+WITH {_CRC_TABLE},
+given AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_crc32('doc_id::VARCHAR')} AS h FROM documents, crc_table),
+placed AS (
+  SELECT *, len(w) AS n, (h // 10) % greatest(len(w), 1) AS a, (h // 10) % 8 AS g8 FROM given),
+said AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN [w[(CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g8)) END) + 1] FOR i IN range(n)] ELSE w END AS w FROM placed),
+words AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(w) AS x FROM said WHERE n > 0),
+pairs AS (
+  SELECT a.doc_id, a.i, b.i - a.i AS d FROM words a JOIN words b ON a.doc_id = b.doc_id AND a.x = b.x AND b.i > a.i AND 4 * (b.i - a.i) <= a.n),
+islands AS (
+  SELECT doc_id, d, min(i) AS start, count(*) + d AS length FROM (
+    SELECT doc_id, d, i, i - row_number() OVER (PARTITION BY doc_id, d ORDER BY i) AS island FROM pairs) GROUP BY doc_id, d, island),
+runs AS (
+  SELECT doc_id, start, length, min(d) AS period FROM islands WHERE length >= greatest(6, 4 * d) GROUP BY doc_id, start, length),
+told AS (
+  SELECT doc_id, count(*) AS n_runs, first([start, length, period] ORDER BY length::DOUBLE / period DESC, start, period) AS best,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS all_runs FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS text FROM words w ANTI JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i GROUP BY doc_id)
+SELECT s.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best[1]::BIGINT AS start, best[2]::BIGINT AS length, best[3]::BIGINT AS period,
+  (1000 * best[2] // best[3])::BIGINT AS exponent_milli, sha256(coalesce(all_runs, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM said s LEFT JOIN told t ON s.doc_id = t.doc_id LEFT JOIN kept k ON s.doc_id = k.doc_id"""
+
+SPELLING_VARIANTS = rf"""
+WITH RECURSIVE {_CRC_TABLE},
 runs AS (
   SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
   FROM documents),
 counted AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL),
 hashed AS (
-  SELECT run, n, xor(list_reduce(list_prepend(4294967295, [('0x' || x)::BIGINT FOR x IN regexp_extract_all(hex(encode(doc_id || ':' || run)), '..')]),
-    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM counted, crc_table),
+  SELECT run, n, {_crc32("doc_id || ':' || run")} AS h FROM counted, crc_table),
 said AS (
   SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n
   FROM hashed),
@@ -133,5 +170,6 @@ ORACLES: dict[str, str] = {
     "op1_quality_rules": QUALITY,
     "op8_decontamination": DECONTAMINATION,
     "op9_line_dedup": LINE_DEDUP,
+    "op11_periodic_runs": PERIODIC_RUNS,
     "op13_spelling_variants": SPELLING_VARIANTS,
 }

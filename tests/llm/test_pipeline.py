@@ -19,7 +19,7 @@ def test_stages_in_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality rules", "line dedup", "near copies", "benchmark decontamination", "best-fit packing"]
     registered = entry.queries()
-    assert {n.split("_")[0] for n in registered if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in registered if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert registered["pipeline"] is corpus_pipeline.run
     assert importlib.import_module("contrail.llm.queries").oracle_sql().keys() <= registered.keys()
 
