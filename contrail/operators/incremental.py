@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from contrail.operators.key_index import index_rows, partitions_of
 from contrail.operators.publish import Publication, partition_folders, recover
 from contrail.operators.sinks import for_partitioned_write, table_exists
-from contrail.session import move_path, path_exists, remove_path, scratch_dir
+from contrail.session import path_exists, remove_path, scratch_dir
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 DEFAULT_FLOOR = dt.date(1900, 1, 1)
@@ -138,11 +138,11 @@ def index_path(path: str) -> str:
     return f"{path.rstrip('/')}/_keys"
 
 
-def read_index(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], partition_cols: Sequence[str]) -> DataFrame:
+def read_index(spark: SparkSession, folder: str, schema: T.StructType, keys: Sequence[str], partition_cols: Sequence[str]) -> DataFrame:
     kinds = {f.name: f.dataType for f in schema.fields}
     key = kinds[keys[0]] if len(keys) == 1 else T.StringType()
     fields = [("slots", T.IntegerType()), ("slot", T.IntegerType()), ("lo", key), ("hi", key), ("bits", T.BinaryType())]
-    return spark.read.schema(T.StructType([T.StructField(n, k) for n, k in [*fields, *((c, kinds[c]) for c in partition_cols)]])).parquet(index_path(path))
+    return spark.read.schema(T.StructType([T.StructField(n, k) for n, k in [*fields, *((c, kinds[c]) for c in partition_cols)]])).parquet(folder)
 
 
 def stage_incremental(publication: Publication, new: DataFrame, path: str, keys: Sequence[str],
@@ -159,8 +159,8 @@ def stage_incremental(publication: Publication, new: DataFrame, path: str, keys:
     those that a replaced key leaves.  ``fixed_partition`` says that a key never moves;
     else the key index names the partitions that may hold a key of the batch
     (see :mod:`contrail.operators.key_index`), and only the keys of those are read to confirm
-    it.  The index is made on the first merge, from one scan of the key columns,
-    and published with the partitions that change."""
+    it.  The index is made on the first merge, from one scan of the key columns of the
+    other partitions, and published with the partitions that change."""
     spark, path, by = publication.spark, path.rstrip("/"), list(partition_cols)
     scratch = scratch_dir(spark, "merge")
     schema = new.schema
@@ -180,12 +180,16 @@ def stage_incremental(publication: Publication, new: DataFrame, path: str, keys:
             _refuse_twice(batch, keys)
         existing = spark.read.schema(schema).parquet(path)
         touched = set(_folders(batch, by))
+        indexed = path_exists(spark, index_path(path))
         if not fixed_partition and touched:
-            if not path_exists(spark, index_path(path)):
-                first = publication.stage(path)
-                index_rows(existing, keys, by).write.partitionBy(*by).parquet(first)
-                move_path(spark, first, index_path(path))
-            named = set(_folders(partitions_of(read_index(spark, path, schema, keys, by), batch, keys, by), by)) - touched
+            index, others = index_path(path), ~in_partitions(by, sorted(touched))
+            if not indexed:
+                index, indexed = publication.stage(path), True
+                index_rows(existing.where(others), keys, by).write.partitionBy(*by).parquet(index)
+                for folder in partition_folders(spark, index, len(by)):
+                    publication.put(f"{index}/{folder}", f"{index_path(path)}/{folder}")
+            asked = read_index(spark, index, schema, keys, by).where(others)
+            named = set(_folders(partitions_of(asked, batch, keys, by), by))
             if named:
                 some = existing.where(in_partitions(by, sorted(named)))
                 touched |= set(_folders(some.join(batch.select(*keys), on=list(keys), how="left_semi"), by))
@@ -193,7 +197,7 @@ def stage_incremental(publication: Publication, new: DataFrame, path: str, keys:
         if folders:
             kept = existing.where(in_partitions(by, folders))
             for_partitioned_write(upsert_by_key(kept, batch, keys), by, sort_by).write.partitionBy(*by).parquet(staged)
-            if path_exists(spark, index_path(path)):
+            if indexed:
                 again = publication.stage(path)
                 index_rows(spark.read.schema(schema).parquet(staged), keys, by).write.partitionBy(*by).parquet(again)
                 present = partition_folders(spark, again, len(by))

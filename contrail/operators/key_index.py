@@ -79,5 +79,10 @@ def partitions_of(index: DataFrame, batch: DataFrame, keys: Sequence[str], parti
                          "key", _probes(F.col("h")).alias("probes"))
     asked = asked.groupBy("_slots", "_slot", "_list").agg(F.collect_list(F.struct("key", "probes")).alias("asked"))
     both = index.join(asked, on=(F.col("slots") == F.col("_slots")) & (F.col("slot") == F.col("_slot")))
-    hit = F.exists("asked", lambda a: (a["key"] >= F.col("lo")) & (a["key"] <= F.col("hi")) & F.forall(a["probes"], lambda p: _is_set(F.col("bits"), p)))
-    return both.where(hit).select(*partition_cols).distinct()
+    # Lists are opened where they meet a slot, and what they hold is dropped in the same
+    # compiled loop: the first bit that isn't set ends a key.
+    each = both.select(*partition_cols, "lo", "hi", "bits", F.explode("asked").alias("a"))
+    hit = (F.col("a.key") >= F.col("lo")) & (F.col("a.key") <= F.col("hi"))
+    for i in range(PROBES):
+        hit = hit & _is_set(F.col("bits"), F.col("a.probes")[i])
+    return each.where(hit).select(*partition_cols).distinct()

@@ -17,7 +17,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 ROW_LEVEL = ("not_null", "accepted_values", "non_negative", "within_range")
@@ -102,11 +103,15 @@ class Observed:
             return df
         return df.observe(self._observation, *[F.expr(f"{_count_sql(c)} AS _c{i}") for i, c in enumerate(self.checks)])
 
-    def rows(self) -> list[tuple[str, str, int]]:
-        """(check, table, violations), once the job has run."""
+    def rows(self, table: DataFrame) -> list[tuple[str, str, int]]:
+        """(check, table, violations), once the job has run.  Where a job turned out to have
+        nothing to do, Spark may leave out the step that counts; then ``table`` is scanned."""
         if not self.checks:
             return []
-        found = self._observation.get
+        try:
+            found = self._observation.get
+        except Py4JJavaError:
+            found = table.selectExpr(*[f"{_count_sql(c)} AS _c{i}" for i, c in enumerate(self.checks)]).first()
         return [(c.name, c.table, int(found[f"_c{i}"])) for i, c in enumerate(self.checks)]
 
 
@@ -204,10 +209,11 @@ def _unique_part(df: DataFrame, table: str, group: Sequence[Check]) -> DataFrame
     return _stack_counts(counts, [c.name for c in group], table)
 
 
-def count_duplicates(df: DataFrame, group: Sequence[Check]) -> list[tuple[str, str, int]]:
+def count_duplicates(df: DataFrame, group: Sequence[Check], watched: DataFrame | None = None) -> list[tuple[str, str, int]]:
     """(check, table, violations) of uniqueness checks on one table.  Whole
-    values are read only for the checks that have a repeated hash."""
-    hit = {r["i"] for r in _repeated_hashes(df, group).select("i").distinct().collect()}
+    values are read only for the checks that have a repeated hash.  ``watched``: ``df``
+    with row-level checks that the same job is to count."""
+    hit = {r["i"] for r in _repeated_hashes(df if watched is None else watched, group).groupBy("i").count().collect()}
     some = [c for i, c in enumerate(group) if i in hit]
     found = {}
     if some:
@@ -240,9 +246,23 @@ def _by_table(checks: Sequence[Check]) -> dict[str, dict[str, list[Check]]]:
     return grouped
 
 
+REPORT = "check_name string, table_name string, violations bigint"
+
+
+def report_of(spark: SparkSession, rows: Sequence[tuple[str, str, int]]) -> DataFrame:
+    """Counted checks as a report."""
+    report = spark.createDataFrame(list(rows), REPORT)
+    return report.withColumn("passed", F.col("violations") == 0)
+
+
 def run_checks_concurrently(checks: Sequence[Check], tables: Mapping[str, DataFrame],
                             threads: int = 8) -> DataFrame:
-    """Same report as ``run_checks``, but each table's kinds of checks are jobs of
+    """Same report as ``run_checks``, from :func:`count_checks`."""
+    return report_of(next(iter(tables.values())).sparkSession, count_checks(checks, tables, threads))
+
+
+def count_checks(checks: Sequence[Check], tables: Mapping[str, DataFrame], threads: int = 8) -> list[tuple[str, str, int]]:
+    """(check, table, violations): each table's kinds of checks are jobs of
     their own, submitted from ``threads`` driver threads so small jobs overlap.  Only
     the per-check counts come back to the driver (one row per check)."""
     from concurrent.futures import ThreadPoolExecutor
@@ -250,20 +270,21 @@ def run_checks_concurrently(checks: Sequence[Check], tables: Mapping[str, DataFr
     def counted(part: DataFrame) -> list[tuple[str, str, int]]:
         return [(r.check_name, r.table_name, int(r.violations)) for r in part.collect()]
 
+    def unique_and_rows(df: DataFrame, group: Sequence[Check], rows: Sequence[Check]) -> list[tuple[str, str, int]]:
+        seen = Observed(rows)
+        return count_duplicates(df, group, seen.watch(df)) + seen.rows(df)
+
     jobs = []
     for table, kinds in _by_table(checks).items():
         df = tables[table]
         if "unique" in kinds:
-            jobs.append(lambda df=df, group=kinds["unique"]: count_duplicates(df, group))
-        if "row" in kinds:
+            jobs.append(lambda df=df, group=kinds["unique"], rows=kinds.get("row", ()): unique_and_rows(df, group, rows))
+        elif "row" in kinds:
             jobs.append(lambda df=df, t=table, group=kinds["row"]: counted(_row_level_part(df, t, group)))
         if "relationships" in kinds:
             jobs.append(lambda df=df, t=table, group=kinds["relationships"]: counted(_relationship_part(df, t, group, tables)))
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        rows = [row for found in pool.map(lambda job: job(), jobs) for row in found]
-    spark = next(iter(tables.values())).sparkSession
-    report = spark.createDataFrame(rows, "check_name string, table_name string, violations bigint")
-    return report.withColumn("passed", F.col("violations") == 0)
+        return [row for found in pool.map(lambda job: job(), jobs) for row in found]
 
 
 def run_checks(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -44,7 +45,10 @@ class Intake:
 
     @property
     def bad(self) -> int:
-        return int(self._seen.get["bad"])
+        try:
+            return int(self._seen.get["bad"])
+        except Py4JJavaError:  # the job had nothing to do and counted nothing
+            return self.rows.where(F.size(BAD) > 0).count()
 
     def rejects(self) -> DataFrame:
         """One row for each bad field."""

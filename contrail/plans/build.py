@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -180,16 +180,16 @@ class Warehouse(Models):
 
     @cached_property
     def endpoints(self) -> DataFrame:
-        return self.partial("airport_usage").select("airport_code").distinct()
+        return self.airport_usage.select("airport_code")
 
     @cached_property
     def airport_usage(self) -> DataFrame:
-        return self.partial("airport_usage").groupBy("airport_code").agg(F.expr("sum(n) AS flight_count"))
+        return partials.airport_usage(self.partial("routes"))
 
     @cached_property
     def mart_carrier_performance(self) -> DataFrame:
         return self._model("mart_carrier_performance", lambda: marts.carrier_performance(
-            self.partial("carrier_delays"), self.partial("carrier_members"), self.dim_carrier, ordered=False))
+            self.partial("carrier_delays"), partials.members_of(self.partial("routes"), self.partial("aircraft")), self.dim_carrier, ordered=False))
 
     @cached_property
     def mart_route_performance(self) -> DataFrame:
@@ -224,34 +224,31 @@ class BuildResult:
     timings: dict
 
 
-# Steps grouped by dependency level: every one of a level only reads staging
-# views or tables of earlier levels, so a level's jobs can run at once.
-LEVELS = (
-    ("fct_flight", "dim_carrier"),
-    tuple(f"partials/{name}" for name in partials.STORED),
-    ("dim_date", "dim_airport", "dim_aircraft", "mart_carrier_performance", "mart_weather_impact"),
-    ("mart_route_performance", "mart_daily_operations", "mart_aircraft_utilization"),
-)
-#: The checks that can run when a level is there.
-CHECKED_AFTER = {2: 1, 3: 2}
+# What each step of a build reads, in an order in which they can be done.
+STEPS: dict[str, tuple[str, ...]] = {
+    "fct_flight": (), "dim_carrier": (),
+    **{name: ("fct_flight",) for name in partials.STORED},
+    "stg_airport": ("routes",), "dim_airport": ("stg_airport", "routes"),
+    "dim_date": ("daily",), "dim_aircraft": ("aircraft",),
+    "mart_weather_impact": ("weather_delays",), "mart_route_performance": ("routes", "dim_airport"),
+    "mart_carrier_performance": ("carrier_delays", "routes", "aircraft", "dim_carrier"),
+    "mart_daily_operations": ("daily", "dim_date"), "mart_aircraft_utilization": ("aircraft", "dim_aircraft"),
+}
 
 
 def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], *,
           hubs: Sequence[str] = warehouse.DEFAULT_HUBS, holidays: DataFrame | None = None,
           as_of: dt.datetime | None = None, full_refresh: bool = False, lookback_days: int = 0,
           fixed_partition: bool = False, fail_on_violation: bool = False, gate: bool = True,
-          warn_only: Sequence[str] = (), threads: int = 6) -> BuildResult:
+          warn_only: Sequence[str] = (), threads: int = 32) -> BuildResult:
     """Build every table, take the snapshot, run the check catalogue, publish.
 
-    Checks run as soon as the staged tables they read exist: raw and staging checks
-    first, then those of dimensions and fact (with the three singular checks), then
-    those of marts.  Row-level checks of a
-    table that is written whole are counted by the job that writes it.  A level is built
-    while the checks of the one before still run; a failing check ends the build
-    and nothing of it is published (with ``gate=False`` all of it is).  Checks named in
-    ``warn_only`` are reported, and gate nothing.  Independent models
-    of a level are submitted from ``threads`` driver threads; Spark runs their
-    jobs side by side on the shared executors.  ``lookback_days`` re-reads
+    Steps are submitted from ``threads`` driver threads, each as soon as what it reads
+    is there; Spark runs their jobs side by side on the shared executors.  The checks of a table
+    run as soon as it, and those its keys refer to, are staged, while others are still
+    being built; row-level checks of a table that is written whole are counted by
+    the job that writes it.  If a check fails nothing is published (with ``gate=False`` all of it is).  Checks named in
+    ``warn_only`` are reported, and gate nothing.  ``lookback_days`` re-reads
     that many days before the stored high-water mark (late flights);
     ``full_refresh`` rebuilds the fact; ``fixed_partition`` says that flights never
     change their date.  The report is written to
@@ -263,40 +260,54 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], *,
     t0 = time.perf_counter()
     recover(spark, root)
     catalogue = checks.declared_checks(tuple(hubs))
-    by_level = [[c for c in catalogue if checks.check_level(c.table) == lvl] for lvl in range(3)]
     with Publication(spark, root) as publication:
         wh = Warehouse(spark, root, raw, full_refresh=full_refresh, lookback_days=lookback_days, fixed_partition=fixed_partition,
                        publication=publication, watched=checks.of_stored_tables(catalogue), holidays=holidays, hubs=hubs)
-        for name in ("stg_flight", "stg_weather", "stg_plane", "stg_carrier", "stg_airport_reference", "holidays"):
-            getattr(wh, name)  # lazy views, resolved once before the threads start
         at = as_of or dt.datetime(2024, 1, 1)
-
-        def run_level_checks(lvl: int) -> list:
-            left = [c for c in by_level[lvl] if c.kind not in quality.ROW_LEVEL or c.table not in wh.observed]
-            found = [row for c in {c.table for c in by_level[lvl]} if c in wh.observed for row in wh.observed[c].rows()]
-            found += [(r.check_name, r.table_name, r.violations) for r in
-                      quality.run_checks_concurrently(left, checks.tables_for(wh, left), threads=threads).collect()]
-            if lvl == 1:
-                found += [(name, "fct_flight", df.count()) for name, df in checks.singular_checks(wh).items()]
-            return found
-
+        done: dict[str, Future] = {}
+
+        def after(needed: Sequence[str], work: Callable[[], object]) -> object:
+            for name in needed:
+                if name in done:
+                    done[name].result()
+            return work()
+
+        def run_checks(some: Sequence[quality.Check]) -> list:
+            counted = {c.table for c in some if c.table in wh.observed}
+            left = [c for c in some if c.kind not in quality.ROW_LEVEL or c.table not in counted]
+            found = [row for table in counted for row in wh.observed[table].rows(getattr(wh, table))]
+            return found + quality.count_checks(left, checks.tables_for(wh, left), threads=2)
+
+        checking: dict[str, list] = {}
+        for c in catalogue:
+            checking.setdefault(c.table, []).append(c)
+
+        def check(pool: ThreadPoolExecutor, table: str) -> None:
+            some = checking.pop(table)
+            found.append(pool.submit(after, [table, *(c.parent for c in some if c.parent)], lambda: run_checks(some)))
+
+        found: list[Future] = []
+        # A step waits for those it reads, which were submitted before it; the checks of a
+        # table wait for it and for the tables that its keys refer to.  Most threads wait.
         with ThreadPoolExecutor(max_workers=max(2, threads)) as pool:
-            pending = [pool.submit(run_level_checks, 0)]
-            jobs = [pool.submit(wh.snapshot, at)]
-            for i, level in enumerate(LEVELS):
-                steps = [n.removeprefix("partials/") for n in level]
-                built = [pool.submit(wh.partial if n in partials.STORED else lambda n: getattr(wh, n), n) for n in steps]
-                for job in built:
-                    job.result()
-                timings[f"level{i + 1}"] = round(time.perf_counter() - t0, 3)
-                t0 = time.perf_counter()
-                if i in CHECKED_AFTER:
-                    pending.append(pool.submit(run_level_checks, CHECKED_AFTER[i]))
-                if gate and pending[0].done():
-                    _gate(spark, root, pending[0].result(), warn_only)
-            reports = [row for future in pending for row in future.result()]
-            for job in jobs:
-                job.result()
+            for table in [t for t in checking if t.startswith("raw.")]:
+                check(pool, table)  # while the weather is stored
+            for name in ("stg_flight", "stg_weather", "stg_plane", "stg_carrier", "stg_airport_reference", "holidays"):
+                getattr(wh, name)  # views, and the weather, resolved once before the steps
+            for name, needed in STEPS.items():
+                make = (lambda n=name: wh.partial(n)) if name in partials.STORED else (lambda n=name: getattr(wh, n))
+                done[name] = pool.submit(after, needed, make)
+            history = pool.submit(wh.snapshot, at)
+            for table in list(checking):
+                check(pool, table)
+            found += [pool.submit(after, ["fct_flight"], lambda name=name: [(name, "fct_flight", checks.singular_checks(wh)[name].count())])
+                      for name in checks.SINGULAR]
+            for step in done.values():
+                step.result()
+            timings["tables"] = round(time.perf_counter() - t0, 3)
+            t0 = time.perf_counter()
+            reports = [row for one in found for row in one.result()]
+            history.result()
         if gate:
             _gate(spark, root, reports, warn_only)
         publication.commit()
@@ -309,9 +320,7 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], *,
 
 
 def _store_report(spark: SparkSession, root: str, rows: list) -> DataFrame:
-    report = spark.createDataFrame(rows, "check_name string, table_name string, violations bigint") \
-        .withColumn("passed", F.col("violations") == 0)
-    return sinks.replace_table(spark, report.coalesce(1), f"{root.rstrip('/')}/quality_report")
+    return sinks.replace_table(spark, quality.report_of(spark, rows).coalesce(1), f"{root.rstrip('/')}/quality_report")
 
 
 class GateFailed(AssertionError):

@@ -151,12 +151,9 @@ def quality_report(m: Models, threads: int = 8) -> DataFrame:
     catalogue, tables = declared_checks(m.hubs), check_tables(m)
     counted = getattr(m, "observed", {})
     left = [c for c in catalogue if c.kind not in Q.ROW_LEVEL or c.table not in counted]
-    report = Q.run_checks_concurrently(left, tables, threads)
-    rows = [row for seen in counted.values() for row in seen.rows()]
-    if not rows:
-        return report
-    more = report.sparkSession.createDataFrame(rows, "check_name string, table_name string, violations bigint")
-    return report.unionByName(more.withColumn("passed", F.col("violations") == 0))
+    rows = Q.count_checks(left, tables, threads)
+    rows += [row for name, seen in counted.items() for row in seen.rows(tables[name])]
+    return Q.report_of(next(iter(tables.values())).sparkSession, rows)
 
 
 def cancelled_with_times(m: Models, fact: DataFrame | None = None) -> DataFrame:
@@ -168,11 +165,12 @@ def fact_count_mismatch(m: Models, fact: DataFrame | None = None) -> DataFrame:
     return Q.reconcile_counts(m.raw["flights"], m.fct_flight if fact is None else fact)
 
 
+SINGULAR = ("cancelled_flights_have_no_times", "every_flight_is_in_the_fact", "weather_covers_the_flights")
+
+
 def singular_checks(m: Models) -> dict[str, DataFrame]:
     """The checks that need more than a rule on one column: name -> violating rows."""
-    return {"cancelled_flights_have_no_times": cancelled_with_times(m),
-            "every_flight_is_in_the_fact": fact_count_mismatch(m),
-            "weather_covers_the_flights": weather_coverage_gap(m)}
+    return dict(zip(SINGULAR, (cancelled_with_times(m), fact_count_mismatch(m), weather_coverage_gap(m)), strict=True))
 
 
 # Facts with planted faults, so that the checks are seen finding them.

@@ -115,7 +115,7 @@ def route_performance(routes: DataFrame, airports: DataFrame, ordered: bool = Tr
     """The route mart from ``partials.routes``."""
     agg = _sums(
         routes, "route_code", "origin_code", "destination_code", "origin_airport_key", "destination_airport_key",
-        flight_count="sum(n)", carrier_count="CAST(size(array_distinct(flatten(collect_list(carriers)))) AS BIGINT)",
+        flight_count="sum(n)", carrier_count=partials.CARRIER_COUNT,
         cancelled_count="sum(cancelled)", arrival_delayed_count="sum(arrival_delayed)",
         _avg_arr=_mean("arrival_sum", "arrival_n"), _avg_air=_mean("air_sum", "air_n"), distance_miles="min(miles)")
     destination = airports.select(
@@ -219,7 +219,7 @@ def aircraft_utilization(usage: DataFrame, aircraft: DataFrame, ordered: bool =
     """The aircraft mart from ``partials.aircraft``: months have no day in common."""
     agg = _sums(
         usage, "aircraft_key", flight_count="sum(n)", active_day_count="CAST(sum(bit_count(coalesce(days, 0))) AS BIGINT)",
-        carrier_count="CAST(size(array_distinct(flatten(collect_list(carriers)))) AS BIGINT)",
+        carrier_count=partials.CARRIER_COUNT,
         route_count="CAST(size(array_distinct(flatten(collect_list(routes)))) AS BIGINT)",
         total_air_time_minutes="sum(air_sum)", total_distance_miles="sum(miles)", _avg_arr=_mean("arrival_sum", "arrival_n"))
     out = attach_dim(agg, aircraft, "aircraft_key").select(

@@ -19,9 +19,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contrail.functions import MISSING_TOKEN, surrogate_key
 from contrail.operators.reshape import stack_conditions
 
 MONTH = ("flight_year", "flight_month")
+#: The carriers of a group; one without a code is the missing one, as its key has it.
+CARRIERS = f"collect_set(coalesce(carrier_code, '{MISSING_TOKEN}'))"
+CARRIER_COUNT = f"CAST(size(array_remove(array_distinct(flatten(collect_list(carriers))), '{MISSING_TOKEN}')) AS BIGINT)"
 
 
 def with_months(fct: DataFrame) -> DataFrame:
@@ -52,7 +56,7 @@ def carrier_members(fct: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def routes(fct: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return _agg(
         fct, [*by, "route_code", "origin_code", "destination_code", "origin_airport_key", "destination_airport_key"],
-        n="count(1)", carriers="collect_set(carrier_code)", cancelled="count_if(is_cancelled)", arrival_delayed="count_if(is_arrival_delayed)",
+        n="count(1)", carriers=CARRIERS, cancelled="count_if(is_cancelled)", arrival_delayed="count_if(is_arrival_delayed)",
         arrival_sum="sum(arrival_delay_minutes)", arrival_n="count(arrival_delay_minutes)",
         air_sum="sum(air_time_minutes)", air_n="count(air_time_minutes)", miles="min(distance_miles)")
 
@@ -83,22 +87,30 @@ def aircraft(fct: DataFrame) -> DataFrame:
     """Per aircraft and month, the days flown as bits of one number."""
     return _agg(
         with_months(fct.where("tail_number IS NOT NULL")), [*MONTH, "aircraft_key", "tail_number"],
-        n="count(1)", days="bit_or(shiftleft(1, day(flight_date) - 1))", carriers="collect_set(carrier_code)", routes="collect_set(route_code)",
+        n="count(1)", days="bit_or(shiftleft(1, day(flight_date) - 1))", carriers=CARRIERS, routes="collect_set(route_code)",
         air_sum="sum(air_time_minutes)", miles="sum(distance_miles)", arrival_sum="sum(arrival_delay_minutes)", arrival_n="count(arrival_delay_minutes)")
 
 
-def airport_usage(fct: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Departures and arrivals of each airport code."""
-    return _agg(fct.selectExpr(*by, "explode(array(destination_code, origin_code)) AS airport_code"), [*by, "airport_code"], n="count(1)")
+def airport_usage(routes: DataFrame) -> DataFrame:
+    """``airport_code`` and ``flight_count``, departures and arrivals, from stored routes."""
+    return _agg(routes.selectExpr("n", "explode(array(destination_code, origin_code)) AS airport_code"), ["airport_code"], flight_count="sum(n)")
+
+
+def members_of(routes: DataFrame, aircraft: DataFrame) -> DataFrame:
+    """:func:`carrier_members` from stored routes and aircraft."""
+    def of(stored: DataFrame, kind: str, value: str) -> DataFrame:
+        each = stored.selectExpr("explode(carriers) AS code", f"'{kind}' AS kind", f"{value} AS value")
+        return each.select(surrogate_key("code").alias("carrier_key"), "kind", "value")
+
+    both = of(routes, "destination", "destination_code").unionByName(of(aircraft, "aircraft", "tail_number"))
+    return both.where("value IS NOT NULL").distinct()
 
 
 #: Stored by a build: name -> its rows for each month of the fact.
 STORED = {
     "carrier_delays": lambda fct: carrier_delays(fct, MONTH),
-    "carrier_members": lambda fct: carrier_members(fct, MONTH),
     "routes": lambda fct: routes(fct, MONTH),
     "weather_delays": lambda fct: weather_delays(fct, MONTH),
     "daily": lambda fct: daily(fct, MONTH),
     "aircraft": aircraft,
-    "airport_usage": lambda fct: airport_usage(fct, MONTH),
 }

@@ -130,9 +130,19 @@ def scratch_dir(spark: SparkSession, label: str = "work") -> str:
     return f"{root}/contrail-{label}-{uuid.uuid4().hex[:12]}"
 
 
-def _file_system(spark: SparkSession, path: str):
+_known_jvm: list = [None, None]
+
+
+def _path(spark: SparkSession, path: str):
+    """A Hadoop path; its class is looked up once, as every package on the way is a call."""
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    if _known_jvm[0] is not jvm:
+        _known_jvm[:] = jvm, jvm.org.apache.hadoop.fs.Path
+    return _known_jvm[1](path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = _path(spark, path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
@@ -157,14 +167,14 @@ def move_path(spark: SparkSession, source: str, target: str) -> None:
     """Rename a folder or file; the target must not exist, its parent may."""
     fs, to = _file_system(spark, target)
     fs.mkdirs(to.getParent())
-    if not fs.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source), to):
+    if not fs.rename(_path(spark, source), to):
         raise OSError(f"can't move {source} to {target}")
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file, complete or not there: written beside its place, then renamed."""
     fs, p = _file_system(spark, path)
-    part = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rsplit('/', 1)[0]}/.{path.rsplit('/', 1)[1]}.part")
+    part = _path(spark, f"{path.rsplit('/', 1)[0]}/.{path.rsplit('/', 1)[1]}.part")
     out = fs.create(part, True)
     out.write(bytearray(text.encode()))
     out.close()

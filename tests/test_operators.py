@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from contrail.operators.dedup import dedup_first
 from contrail.operators.joins import where_not_in
+from contrail.operators.reshape import distinct_members
 from contrail.plans import staging
 
 REF = ("id bigint, ident string, type string, name string, latitude_deg double, longitude_deg double, "
@@ -37,8 +38,9 @@ def test_two_tier_conformance_and_gap_fill(spark):
     reference = reference.where(F.col("ident") != "K004")
     airports = airports.unionByName(spark.createDataFrame([(4, "BBB", "B", 0.0, 0.0, 1, -5, "A", "t")], AIRPORTS))
     flights = spark.createDataFrame([("AAA", "ZZZ"), ("BBB", "QQQ")], "origin_code string, destination_code string")
+    endpoints = distinct_members(flights, ["origin_code", "destination_code"], "airport_code")
     out = {r.airport_code: (r.source_system, r.municipality) for r in
-           staging.stg_airport(airports, reference, flights).collect()}
+           staging.stg_airport(airports, reference, endpoints).collect()}
     assert out == {"AAA": ("faa_matched_iata", "Alpha"), "BBB": ("faa_matched_local", "First pick"),
                    "CCC": ("faa_only", None), "DDD": ("faa_only", None),
                    "ZZZ": ("reference_only", "Only in reference")}   # QQQ: known nowhere, not added

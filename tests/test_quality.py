@@ -75,8 +75,8 @@ def test_row_level_checks_are_counted_by_the_job_that_writes(spark, t, tmp_path)
            Check("t", "non_negative", "n"), Check("t", "within_range", "n", lo=0, hi=100, where="id < 4"), Check("t", "unique", "id")]
     seen = Q.Observed(cat)
     seen.watch(t).write.parquet(str(tmp_path / "t"))
-    assert {name: n for name, _, n in seen.rows()} == {c.name: Q.violations(c, {"t": t}).count() for c in cat if c.kind != "unique"}
-    assert Q.Observed(cat[-1:]).rows() == []
+    assert {name: n for name, _, n in seen.rows(t)} == {c.name: Q.violations(c, {"t": t}).count() for c in cat if c.kind != "unique"}
+    assert Q.Observed(cat[-1:]).rows(t) == []
 
 
 def test_uniqueness_shuffles_hashes_and_compares_values_only_where_they_repeat(spark):
