@@ -25,8 +25,9 @@ touched partitions and the newest raw months is read by flight.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import Future, ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.operators import quality, sinks
-from contrail.operators.history import stage_snapshot
+from contrail.operators.history import read_snapshots, stage_snapshot
 from contrail.operators.incremental import high_water_mark, in_partitions, index_path, months_from, stage_incremental
 from contrail.operators.publish import Publication, recover
 from contrail.operators.sinks import table_exists
@@ -101,13 +102,21 @@ class Warehouse(Models):
             return self.table(name)
         if name == "fct_flight":
             return self._fact()
-        publication = self.publication or Publication(self.spark, self.path(name))
-        out = sinks.stage_table(publication, self._watch(name, build()), self.path(name))
+        with self._publishing(self.path(name)) as publication:
+            out = sinks.stage_table(publication, self._watch(name, build()), self.path(name))
         self.written.append(name)
-        if self.publication is None:
-            publication.commit()
-            return self.table(name)
-        return out
+        return out if self.publication else self.table(name)
+
+    @contextmanager
+    def _publishing(self, path: str) -> Iterator[Publication]:
+        """The build's publication, which commits at its end, or one of the table's own,
+        which commits here and leaves nothing behind if the table can't be written."""
+        if self.publication is not None:
+            yield self.publication
+            return
+        with Publication(self.spark, path) as own:
+            yield own
+            own.commit()
 
     def _watch(self, name: str, df: DataFrame) -> DataFrame:
         if name in self.watched:
@@ -117,7 +126,6 @@ class Warehouse(Models):
 
     def _fact(self) -> DataFrame:
         path = self.path("fct_flight")
-        publication = self.publication or Publication(self.spark, path)
         exists = table_exists(self.spark, path) and not self.full_refresh
         flights = self.stg_flight
         if exists:
@@ -129,18 +137,18 @@ class Warehouse(Models):
         new = warehouse.fct_flight(flights, self.stg_weather).withColumns(
             {"flight_year": F.year("flight_date"), "flight_month": F.month("flight_date")})
         read = self.spark.read.schema(new.schema)
-        if exists:
-            merge = stage_incremental(publication, new, path, ["flight_key"], FACT_PARTITIONS, FACT_SORT, fixed_partition=self.fixed_partition)
-            merge.put()
-            out, self._months = merge.preview(), merge.touched
-            self._changed = lambda: read.parquet(merge.staged)
-        else:
-            out = sinks.stage_partitions(publication, self._watch("fct_flight", new), path, FACT_PARTITIONS, FACT_SORT)
-            publication.drop(index_path(path))  # of the rows that were there
-            self._changed = lambda: out
+        with self._publishing(path) as publication:
+            if exists:
+                merge = stage_incremental(publication, new, path, ["flight_key"], FACT_PARTITIONS, FACT_SORT, fixed_partition=self.fixed_partition)
+                merge.put()
+                out, self._months = merge.preview(), merge.touched
+                self._changed = lambda: read.parquet(merge.staged)
+            else:
+                out = sinks.stage_partitions(publication, self._watch("fct_flight", new), path, FACT_PARTITIONS, FACT_SORT)
+                publication.drop(index_path(path))  # of the rows that were there
+                self._changed = lambda: out
         self.written.append("fct_flight")
         if self.publication is None:
-            publication.commit()
             out = read.parquet(path)
             self._changed = lambda: out if self._months is None else out.where(in_partitions(FACT_PARTITIONS, self._months))
         return out.select(*warehouse.FACT_COLUMNS)
@@ -162,12 +170,9 @@ class Warehouse(Models):
                 return old
             else:
                 rows = old.where(~in_partitions(partials.MONTH, self._months)).unionByName(make(self._changed()))
-            publication = self.publication or Publication(self.spark, path)
-            out = sinks.stage_table(publication, rows, path)
-            if self.publication is None:
-                publication.commit()
-                out = sinks.read_versioned(self.spark, path)
-            self._partials[name] = out
+            with self._publishing(path) as publication:
+                out = sinks.stage_table(publication, rows, path)
+            self._partials[name] = out if self.publication else sinks.read_versioned(self.spark, path)
         return self._partials[name]
 
     @cached_property
@@ -210,11 +215,9 @@ class Warehouse(Models):
     def snapshot(self, as_of: dt.datetime) -> DataFrame:
         """Add a type-2 snapshot of the airport reference taken at ``as_of``."""
         path = self.path("snapshots/snap_airport_reference")
-        publication = self.publication or Publication(self.spark, path)
-        out = stage_snapshot(publication, path, self.stg_airport_reference.select(*SNAPSHOT_COLS), "ident", SNAPSHOT_CHECK_COLS, as_of)
-        if self.publication is None:
-            publication.commit()
-        return out
+        with self._publishing(path) as publication:
+            out = stage_snapshot(publication, path, self.stg_airport_reference.select(*SNAPSHOT_COLS), "ident", SNAPSHOT_CHECK_COLS, as_of)
+        return out if self.publication else read_snapshots(self.spark, path)
 
 
 @dataclass
