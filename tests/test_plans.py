@@ -45,8 +45,16 @@ def test_no_weather_is_read_where_none_is_used(spark, name):
     assert all(line.split("ReadSchema: ")[1].startswith("struct<event_type:string>") for line in scans)
 
 
-def test_percentiles_and_distinct_counts_stand_apart(spark):
-    assert "Expand" not in plan_of(queries()["mart_carrier_performance"](spark, SF_TINY))
+@pytest.mark.parametrize("name", ["mart_carrier_performance", "mart_route_performance", "mart_aircraft_utilization"])
+def test_distinct_counts_expand_no_fact(spark, name):
+    assert "Expand" not in plan_of(queries()[name](spark, SF_TINY))
+
+
+def test_orphans_are_found_by_distinct_keys(spark):
+    plan = plan_of(queries()["dq_fk_destination"](spark, SF_TINY))
+    anti = plan.index("LeftAnti")
+    # Below the anti join the child is reduced to its keys.
+    assert "HashAggregate(keys=[_child_key" in plan[anti:] and "LeftSemi" in plan
 
 
 def test_the_stored_weather_is_broadcast_to_the_fact(spark, raw):
