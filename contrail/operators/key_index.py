@@ -6,7 +6,7 @@ beside the table with the same partitions and is rewritten only with them:
 
 * the keys of a partition are dealt into slots of 32,768 bits by their hash, as
   many slots (a power of two) as ``BITS_PER_KEY`` asks for; in its slot a key sets
-  ``PROBES`` bits, which Spark's bitmap aggregate collects (combined on the map side);
+  ``PROBES`` bits, which Spark's bitmap aggregates collect, one for each probe, and join;
 * a lookup deals the batch in the same way, once for each number of slots in
   use, and joins slot with slot: as many rows as the index has, never one for
   each pair of key and partition.
@@ -38,9 +38,9 @@ def _slot(h: Column, slots: Column) -> Column:
     return F.pmod(h, slots)
 
 
-def _probes(h: Column) -> Column:
+def _probes(h: Column) -> list[Column]:
     """The bits that a key sets in its slot, from its hash."""
-    return F.array(*[F.pmod(F.xxhash64(h, F.lit(i)), F.lit(SLOT_BITS)) for i in range(PROBES)])
+    return [F.pmod(F.xxhash64(h, F.lit(i)), F.lit(SLOT_BITS)) for i in range(PROBES)]
 
 
 def index_rows(rows: DataFrame, keys: Sequence[str], partition_cols: Sequence[str]) -> DataFrame:
@@ -51,13 +51,18 @@ def index_rows(rows: DataFrame, keys: Sequence[str], partition_cols: Sequence[st
     sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min(first).alias("lo"), F.max(first).alias("hi"))
     doubled = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.col("_n") * (BITS_PER_KEY / SLOT_BITS), F.lit(1.0)))))
     sizes = sizes.withColumn("slots", F.least(doubled, F.lit(float(MAX_SLOTS))).cast("int")).drop("_n")
-    sizes = sizes.select(*[F.col(c).alias(f"_p_{c}") for c in by], "slots", "lo", "hi")
+    sizes = F.broadcast(sizes.select(*[F.col(c).alias(f"_p_{c}") for c in by], "slots", "lo", "hi"))
     same = F.lit(True)
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"_p_{c}"))
-    keyed = rows.select(*by, _hash(keys).alias("h")).join(F.broadcast(sizes), on=same, how="inner")
-    keyed = keyed.select(*by, "slots", _slot(F.col("h"), F.col("slots")).cast("int").alias("slot"), "lo", "hi", F.explode(_probes(F.col("h"))).alias("bit"))
-    return keyed.groupBy(*by, "slots", "slot").agg(F.first("lo").alias("lo"), F.first("hi").alias("hi"), F.bitmap_construct_agg("bit").alias("bits"))
+    # One narrow row for each key is dealt before anything is sorted: bitmap aggregates sort
+    # their input, which would be all rows of a file with a row for each bit.
+    keyed = rows.select(*by, _hash(keys).alias("h")).join(sizes, on=same, how="inner")
+    keyed = keyed.select(*by, _slot(F.col("h"), F.col("slots")).cast("int").alias("slot"), "h").repartition(*by, "slot")
+    probes, each = _probes(F.col("h")), [f"_bits_{i}" for i in range(PROBES)]
+    maps = keyed.groupBy(*by, "slot").agg(*[F.bitmap_construct_agg(probes[i]).alias(n) for i, n in enumerate(each)])
+    maps = maps.select(*by, "slot", F.explode(F.array(*each)).alias("bits")).groupBy(*by, "slot").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return maps.join(sizes, on=same, how="inner").select(*by, "slots", "slot", "lo", "hi", "bits")
 
 
 def _is_set(bits: Column, bit: Column) -> Column:
@@ -76,7 +81,7 @@ def partitions_of(index: DataFrame, batch: DataFrame, keys: Sequence[str], parti
     lists = F.greatest(F.ceil(F.lit(batch.count() / ASKED_KEYS) / F.col("_slots")), F.lit(1))
     asked = asked.select("h", "key", F.explode(F.array(*[F.lit(s) for s in known])).alias("_slots"))
     asked = asked.select("_slots", _slot(F.col("h"), F.col("_slots")).cast("int").alias("_slot"), F.pmod(F.xxhash64("h"), lists).alias("_list"),
-                         "key", _probes(F.col("h")).alias("probes"))
+                         "key", F.array(*_probes(F.col("h"))).alias("probes"))
     asked = asked.groupBy("_slots", "_slot", "_list").agg(F.collect_list(F.struct("key", "probes")).alias("asked"))
     both = index.join(asked, on=(F.col("slots") == F.col("_slots")) & (F.col("slot") == F.col("_slot")))
     # Lists are opened where they meet a slot, and what they hold is dropped in the same

@@ -169,6 +169,34 @@ def test_the_key_index_names_every_place_and_few_others(spark):
     assert {17} <= {r.p for r in partitions_of(pairs, two, ["k", "q"], ["p"]).collect()} <= {17, 18, None} | set(range(50))
 
 
+def test_the_key_index_makes_no_row_for_each_bit(spark):
+    from contrail.operators.key_index import PROBES, SLOT_BITS, index_rows
+    rows = spark.range(20_000).selectExpr("id AS k", "CASE WHEN id % 3 > 0 THEN id % 3 END AS p")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        index = index_rows(rows, ["k"], ["p"])
+        found = index.collect()
+        plan = index._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+    def generated(node):
+        own = node.metrics().apply("numOutputRows").value() if node.nodeName() == "Generate" else 0
+        return own + sum(generated(node.children().apply(i)) for i in range(node.children().size()))
+
+    # A row for each slot and probe, of which there are few, and never for each key and probe.
+    assert len(found) == 3 * 8 and generated(plan) <= PROBES * len(found)
+    assert {(r.p, r.slots, r.lo, r.hi) for r in found} == {(None, 8, 0, 19_998), (1, 8, 1, 19_999), (2, 8, 2, 19_997)}
+    # The bits are those that the keys set, one by one.
+    own = {(r.p, r.slot): bytearray(SLOT_BITS // 8) for r in found}
+    for r in rows.selectExpr("p", "pmod(xxhash64(k), 8) AS slot",
+                             f"transform(sequence(0, {PROBES - 1}), i -> pmod(xxhash64(xxhash64(k), i), {SLOT_BITS})) AS bits").collect():
+        for bit in r.bits:
+            own[r.p, r.slot][bit // 8] |= 1 << bit % 8
+    assert {(r.p, r.slot): bytes(r.bits) for r in found} == {at: bytes(bits) for at, bits in own.items()}
+
+
 def test_closed_versions_are_written_once(spark):
     import os
     from contrail.operators.history import read_snapshots, write_snapshot
